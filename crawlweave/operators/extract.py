@@ -1,0 +1,23 @@
+"""HTML extraction from archive byte ranges."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from crawlweave.operators import state as ST
+
+
+def ready_archives(state: DataFrame) -> DataFrame:
+    """Distinct archive names of rows ready for extraction."""
+    return ST.ready(state).select("filename").distinct()
+
+
+def write_path_file(state: DataFrame, path: str) -> None:
+    """K4: the distinct ready archive names, sorted, one per line, one file.
+
+    The list has one line per archive file (not per row), so a single
+    writer task is bounded by the number of archives.
+    """
+    (ready_archives(state).orderBy("filename").coalesce(1)
+     .write.mode("overwrite").text(path))

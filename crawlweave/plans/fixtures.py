@@ -164,3 +164,34 @@ def write_cdx_fixture(spark: SparkSession, sf_dir: str) -> str:
         .text(root)
     )
     return root
+
+
+def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State updates derived from ``events`` (one per event, ``seq`` = event_id).
+
+    The event touches page ``event_id % count(pages)``: click -> matched,
+    view -> missing, purchase -> downloaded, error -> error (long message);
+    signups are not state updates.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    n_pages = pages.count()
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")
+    eid = F.col("event_id")
+    kind = (
+        F.when(F.col("event_type") == "click", F.lit("matched"))
+        .when(F.col("event_type") == "view", F.lit("missing"))
+        .when(F.col("event_type") == "purchase", F.lit("downloaded"))
+        .otherwise(F.lit("error"))
+    )
+    return ev.select(
+        (eid % F.lit(n_pages)).alias("ord"),
+        eid.alias("seq"),
+        kind.alias("kind"),
+        F.concat(F.lit("crawl/seg-"), (eid % 7).cast("string"), F.lit(".warc.gz")).alias("filename"),
+        (eid * 1000).cast("long").alias("offset"),
+        (500 + eid % 100).cast("long").alias("length"),
+        F.concat(F.lit("html/"), (eid % F.lit(n_pages)).cast("string"), F.lit("-"), eid.cast("string"),
+                 F.lit(".html")).alias("saved_path"),
+        F.concat(F.lit("failed "), eid.cast("string"), F.lit(" "),
+                 F.expr("repeat('x', 490 + user_id % 30)")).alias("message"),
+    )

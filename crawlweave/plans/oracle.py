@@ -124,3 +124,89 @@ SELECT snapshot_name, url, filename, "offset", length, capture_ts FROM caps
     "resolve_priority": _resolve_sql("pos, delta, shard, event_id", ALL_URLS),
     "resolve_limited": _resolve_sql("delta, shard, event_id", UNRESOLVED_LIMITED, STATE_FX),
 }
+
+EVENTS_FX = """
+ev AS (
+  SELECT e.event_id % (SELECT count(*) FROM pages) AS ord, e.event_id AS seq,
+         CASE e.event_type WHEN 'click' THEN 'matched' WHEN 'view' THEN 'missing'
+              WHEN 'purchase' THEN 'downloaded' ELSE 'error' END AS kind,
+         'crawl/seg-' || CAST(e.event_id % 7 AS VARCHAR) || '.warc.gz' AS filename,
+         CAST(e.event_id * 1000 AS BIGINT) AS "offset",
+         CAST(500 + e.event_id % 100 AS BIGINT) AS length,
+         'html/' || CAST(e.event_id % (SELECT count(*) FROM pages) AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR)
+           || '.html' AS saved_path,
+         'failed ' || CAST(e.event_id AS VARCHAR) || ' ' || repeat('x', CAST(490 + e.user_id % 30 AS INTEGER)) AS message
+  FROM events e WHERE e.event_type <> 'signup'
+)"""
+
+ORACLE.update({
+    "resolve_summary": f"""
+SELECT snapshot_name,
+       CAST(count(*) FILTER (WHERE status = 'matched') AS BIGINT) AS matched,
+       CAST(count(*) FILTER (WHERE status = 'missing') AS BIGINT) AS missing
+FROM ({_resolve_sql("delta, shard, event_id", ALL_URLS)}) r
+GROUP BY ROLLUP (snapshot_name)
+""",
+    "state_latest": f"""
+WITH {URLS_FX}, {EVENTS_FX},
+f AS (
+  SELECT ord,
+         arg_max({{'f': filename, 'o': "offset", 'l': length}}, seq) FILTER (WHERE kind = 'matched') AS loc,
+         arg_max(kind, seq) AS st,
+         arg_max(saved_path, seq) FILTER (WHERE kind = 'downloaded') AS sp,
+         arg_max({{'m': CASE WHEN kind = 'error' THEN substring(message, 1, 500) END}}, seq)
+           FILTER (WHERE kind IN ('error', 'downloaded')) AS le
+  FROM ev GROUP BY ord
+)
+SELECT u.snapshot_name, u.url_raw, coalesce(f.st, 'pending') AS status,
+       f.loc.f AS filename, f.loc.o AS "offset", f.loc.l AS length,
+       f.sp AS saved_path, f.le.m AS last_error
+FROM urls_fx u LEFT JOIN f ON f.ord = u.ord
+""",
+    "pending_ranges": f"""
+WITH {STATE_FX}
+SELECT snapshot_name, url_raw, regexp_replace(filename, '^/+', '') AS archive, "offset", length,
+       "offset" + length - 1 AS range_end, (length > 0 AND "offset" >= 0) AS range_valid,
+       regexp_extract(filename, '([^/]*)/*$', 1) || '-' || CAST("offset" AS VARCHAR) || '-'
+         || CAST("offset" + length - 1 AS VARCHAR) || '.warc.gz' AS part_name
+FROM state_fx
+WHERE filename IS NOT NULL AND "offset" IS NOT NULL AND length IS NOT NULL AND saved_path IS NULL
+""",
+    "archive_paths": f"""
+WITH {STATE_FX}
+SELECT DISTINCT filename FROM state_fx
+WHERE filename IS NOT NULL AND "offset" IS NOT NULL AND length IS NOT NULL AND saved_path IS NULL
+""",
+    "progress_stats": f"""
+WITH {STATE_FX}
+SELECT CAST(count(*) AS BIGINT) AS total,
+       CAST(count(*) FILTER (WHERE filename IS NOT NULL) AS BIGINT) AS resolved,
+       CAST(count(*) FILTER (WHERE saved_path IS NOT NULL) AS BIGINT) AS downloaded,
+       CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) AS errors
+FROM state_fx
+""",
+    "safe_names": rf"""
+WITH {URLS_FX},
+named AS (
+  SELECT 'p' || CAST(ord AS VARCHAR) AS item, url_raw AS u,
+         CASE WHEN ord % 6 = 1 THEN NULL ELSE digest END AS d,
+         regexp_replace(snapshot_name, '^CC-MAIN-', '') AS base
+  FROM urls_fx
+  UNION ALL
+  SELECT 'd' || CAST(doc_id AS VARCHAR), 'https://example.org/' || text, NULL,
+         regexp_replace(source, '^CC-MAIN-', '')
+  FROM documents
+),
+cleaned AS (
+  SELECT item, d, base,
+         substring(regexp_replace(regexp_replace(coalesce(u, ''), '[^\p{{L}}\p{{N}}._-]', '_', 'g'),
+                                  '^_+|_+$', '', 'g'), 1, 150) AS c
+  FROM named
+)
+SELECT item,
+       CASE WHEN (CASE WHEN coalesce(d, '') <> '' THEN c || '_' || d ELSE c END) = '' THEN 'unknown'
+            ELSE (CASE WHEN coalesce(d, '') <> '' THEN c || '_' || d ELSE c END) END || '.html' AS name,
+       base
+FROM cleaned
+""",
+})

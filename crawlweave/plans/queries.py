@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from crawlweave.operators import resolve as R
 from crawlweave.operators import state as ST
 from crawlweave.plans import fixtures as FX
+from crawlweave.functions import scalars as S
+from crawlweave.operators import metrics as M
+from crawlweave.session import scratch_dir
 from crawlweave.sources import cdx
 
 RESOLVE_OUT = ["snapshot_name", "url_raw", "warc_date", "status", "filename", "offset", "length", "capture_ts"]
@@ -49,9 +52,65 @@ def q_resolve_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*RESOLVE_OUT)
 
 
+def q_resolve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.resolution_summary(_resolve(spark, sf_dir, "nearest"))
+
+
+def q_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = FX.urls_fx(spark, sf_dir)
+    latest = ST.fold_events(state, FX.state_events(spark, sf_dir), key_cols=["ord"])
+    return latest.select("snapshot_name", "url_raw", "status", "filename", "offset", "length",
+                         "saved_path", "last_error")
+
+
+def q_pending_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = FX.state_fx(spark, sf_dir)
+    shards = state.select("hf_path", "snapshot_name").distinct()
+    urls = ST.with_snapshot_names(state.drop("snapshot_name"), shards)
+    plan = ST.range_plan(ST.ready(urls))
+    return plan.select("snapshot_name", "url_raw", "archive", "offset", "length", "range_end",
+                       "range_valid", "part_name")
+
+
+def q_archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import extract as X
+
+    path = scratch_dir(spark, "paths")
+    X.write_path_file(FX.state_fx(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("filename"))
+
+
+def q_progress_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.progress_stats(FX.state_fx(spark, sf_dir))
+
+
+def q_safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = FX.urls_fx(spark, sf_dir)
+    digest = F.when(F.col("ord") % 6 == 1, F.lit(None).cast("string")).otherwise(F.col("digest"))
+    from_pages = u.select(
+        F.concat(F.lit("p"), F.col("ord").cast("string")).alias("item"),
+        F.concat(S.safe_filename("url_raw", digest), F.lit(".html")).alias("name"),
+        S.snapshot_basename("snapshot_name").alias("base"),
+    )
+    docs = FX.table(spark, sf_dir, "documents")
+    from_docs = docs.select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"),
+        F.concat(S.safe_filename(F.concat(F.lit("https://example.org/"), F.col("text")),
+                                 F.lit(None).cast("string")), F.lit(".html")).alias("name"),
+        S.snapshot_basename(F.col("source")).alias("base"),
+    )
+    return from_pages.unionByName(from_docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "resolve_nearest": q_resolve_nearest,
     "resolve_priority": q_resolve_priority,
     "resolve_limited": q_resolve_limited,
+    "resolve_summary": q_resolve_summary,
+    "state_latest": q_state_latest,
+    "pending_ranges": q_pending_ranges,
+    "archive_paths": q_archive_paths,
+    "progress_stats": q_progress_stats,
+    "safe_names": q_safe_names,
 }
