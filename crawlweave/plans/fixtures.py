@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
-from crawlweave.session import apply_session_conf, scratch_dir
+from crawlweave.session import apply_session_conf, filesystem_for, scratch_dir
 
 # Fixed values of the derivation (mirrored in the oracle SQL).
 BASE_EPOCH = 1704067200          # 2024-01-01T00:00:00Z
@@ -195,3 +195,116 @@ def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("failed "), eid.cast("string"), F.lit(" "),
                  F.expr("repeat('x', 490 + user_id % 30)")).alias("message"),
     )
+
+
+# --------------------------------------------------------------------------- metadata shards
+
+META_DIRS = ("CC-MAIN-2024-10", "2024-11", "CC-MAIN-2024-12")   # by page_id % 3
+META_ROWS_PER_FILE = 3000                                          # shards grow with the data
+
+
+def _meta_file(k: F.Column, pid: F.Column, mark: str = "tt") -> F.Column:
+    d = F.element_at(F.array(*[F.lit(x) for x in META_DIRS]), (pid % 3 + 1).cast("int"))
+    name = F.concat(F.lit("tt_meta_" if mark == "tt" else "other_"), F.lpad(k.cast("string"), 4, "0"))
+    return F.concat(F.lit(f"meta/{mark}/"), d, F.lit("/"), name, F.lit(".jsonl.zst"))
+
+
+def _meta_record(pid: F.Column, copy: int, with_quirks: bool) -> F.Column:
+    url = F.col("url")
+    if with_quirks:
+        url = F.when(pid % 13 == 5, F.lit("")).otherwise(url)
+    epoch = F.lit(BASE_EPOCH) + (pid * DATE_STEP) % DATE_SPAN + F.lit(60 * copy)
+    date = F.when(pid % 9 == 7, F.lit("2024-13-45T00:00:00Z")).otherwise(
+        F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    block = (F.when(pid % 4 == 1, F.lit(""))
+             .when(pid % 4 == 2, F.lit(None).cast("string"))
+             .otherwise(F.concat(F.lit("sha1:B"), F.md5("url"))))
+    headers = F.struct(
+        url.alias("warc-target-uri"),
+        date.alias("warc-date"),
+        F.concat(F.lit("<urn:uuid:"), pid.cast("string"), F.lit(f"-{copy}>")).alias("warc-record-id"),
+        block.alias("warc-block-digest"),
+        F.concat(F.lit("sha1:P"), F.md5("url")).alias("warc-payload-digest"),
+    )
+    return F.to_json(F.struct(headers.alias("warc_headers"),
+                              F.struct(F.lit("en").alias("lang")).alias("metadata")))
+
+
+def meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSONL lines of the metadata shards: ``rel, seq, value``.
+
+    Every page is one record in its home shard; page_id % 10 == 0 repeats it a
+    minute later (replaced by ``not json`` when also % 17 == 0);
+    % 19 == 4 adds a non-object line, % 8 == 3 a blank line, % 25 == 0 a copy
+    in the other shard of the snapshot, % 50 == 7 a copy in a file outside
+    the shard pattern.  Empty target URI for % 13 == 5, bad date for % 9 == 7,
+    block digest empty / absent for % 4 == 1 / 2.
+    """
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    pid = F.col("page_id")
+    half = (pid / 3).cast("long") % 2
+    block = (pid / META_ROWS_PER_FILE).cast("long") * 2
+    home = _meta_file(half + block, pid)
+    other = _meta_file(F.lit(1) - half + block, pid)
+    seq = pid * 10
+    parts = [
+        p.select(home.alias("rel"), seq.alias("seq"), _meta_record(pid, 0, True).alias("value")),
+        p.where(pid % 10 == 0).select(
+            home.alias("rel"), (seq + 1).alias("seq"),
+            F.when(pid % 17 == 0, F.lit("not json")).otherwise(_meta_record(pid, 1, False)).alias("value")),
+        p.where(pid % 19 == 4).select(home.alias("rel"), (seq + 2).alias("seq"), F.lit("[1, 2, 3]").alias("value")),
+        p.where(pid % 8 == 3).select(home.alias("rel"), (seq + 3).alias("seq"), F.lit("   ").alias("value")),
+        p.where(pid % 25 == 0).select(other.alias("rel"), (seq + 4).alias("seq"), _meta_record(pid, 2, False).alias("value")),
+        p.where(pid % 50 == 7).select(_meta_file(F.lit(0), pid, "other").alias("rel"), (seq + 5).alias("seq"),
+                                      _meta_record(pid, 3, False).alias("value")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _open_output(path: str):
+    filesystem, inner = filesystem_for(path)
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return filesystem, inner
+
+
+def write_zstd_files(lines: DataFrame, root: str, level: int = 3, window_log: int | None = None) -> DataFrame:
+    """Write ``rel, seq, value`` lines as zstd text files ``<root>/<rel>`` (lines in ``seq`` order).
+
+    One task per file, written under a temporary name and moved into place,
+    so a retried task simply rewrites it.  Returns ``rel, lines``; the files
+    exist once that result has been computed.
+    """
+    def write(pdf):
+        import zstandard
+
+        pdf = pdf.sort_values("seq")
+        rel = pdf["rel"].iloc[0]
+        filesystem, inner = _open_output(f"{root}/{rel}")
+        params = None
+        if window_log is not None:
+            params = zstandard.ZstdCompressionParameters.from_level(level, window_log=window_log)
+        cctx = zstandard.ZstdCompressor(level=level) if params is None else zstandard.ZstdCompressor(compression_params=params)
+        payload = ("\n".join(pdf["value"]) + "\n").encode("utf-8")
+        with filesystem.open_output_stream(inner + ".part", compression=None) as out:
+            with cctx.stream_writer(out, closefd=False) as zw:
+                zw.write(payload)
+        filesystem.move(inner + ".part", inner)
+        import pandas as pd
+
+        return pd.DataFrame({"rel": [rel], "lines": [len(pdf)]})
+
+    return lines.groupBy("rel").applyInPandas(write, "rel string, lines long")
+
+
+def write_meta_fixture(spark: SparkSession, sf_dir: str, root: str | None = None,
+                       snapshot_dirs: tuple[str, ...] | None = None) -> str:
+    """Write the metadata shards (optionally only those of some snapshot folders)."""
+    root = root or scratch_dir(spark, "meta")
+    lines = meta_lines(spark, sf_dir)
+    if snapshot_dirs is not None:
+        lines = lines.where(F.split("rel", "/")[2].isin(list(snapshot_dirs)))
+    write_zstd_files(lines, root).count()
+    return root

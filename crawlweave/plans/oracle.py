@@ -210,3 +210,55 @@ SELECT item,
 FROM cleaned
 """,
 })
+
+META = """
+mp AS (
+  SELECT page_id AS pid, url,
+         CASE page_id % 3 WHEN 0 THEN 'CC-MAIN-2024-10' WHEN 1 THEN '2024-11' ELSE 'CC-MAIN-2024-12' END AS d,
+         (page_id // 3) % 2 AS half, (page_id // 3000) * 2 AS blk
+  FROM pages
+),
+meta_recs AS (
+  SELECT 'meta/tt/' || d || '/tt_meta_' || lpad(CAST(half + blk AS VARCHAR), 4, '0') || '.jsonl.zst' AS hf_path,
+         pid * 10 AS seq, CASE WHEN pid % 13 = 5 THEN '' ELSE url END AS u, pid, 0 AS copy, url
+  FROM mp
+  UNION ALL
+  SELECT 'meta/tt/' || d || '/tt_meta_' || lpad(CAST(half + blk AS VARCHAR), 4, '0') || '.jsonl.zst',
+         pid * 10 + 1, url, pid, 1, url
+  FROM mp WHERE pid % 10 = 0 AND pid % 17 <> 0
+  UNION ALL
+  SELECT 'meta/tt/' || d || '/tt_meta_' || lpad(CAST(1 - half + blk AS VARCHAR), 4, '0') || '.jsonl.zst',
+         pid * 10 + 4, url, pid, 2, url
+  FROM mp WHERE pid % 25 = 0
+),
+meta_valid AS (
+  SELECT hf_path, seq, u AS url_raw,
+         'CC-MAIN-' || regexp_replace(split_part(hf_path, '/', 3), '^CC-MAIN-', '') AS snapshot_name,
+         CAST(CASE WHEN pid % 9 = 7 THEN NULL ELSE 1704067200 + (pid * 7919) % 2592000 + 60 * copy END AS BIGINT)
+           AS warc_date,
+         '<urn:uuid:' || CAST(pid AS VARCHAR) || '-' || CAST(copy AS VARCHAR) || '>' AS warc_record_id,
+         CASE WHEN pid % 4 IN (1, 2) THEN 'sha1:P' ELSE 'sha1:B' END || md5(url) AS digest
+  FROM meta_recs WHERE u <> ''
+),
+meta_first AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY hf_path, url_raw ORDER BY seq) AS rn FROM meta_valid
+  ) WHERE rn = 1
+)"""
+
+_INGESTED = f"""
+WITH {META}
+SELECT snapshot_name, hf_path, url_raw, url_raw AS url_norm, warc_date, warc_record_id, digest
+FROM meta_first
+"""
+
+ORACLE.update({
+    "ingest_metadata": _INGESTED,
+    "ingest_incremental": _INGESTED,
+    "ingest_counts": f"""
+WITH {META}
+SELECT v.hf_path, CAST(count(*) AS BIGINT) AS parsed,
+       CAST(count(DISTINCT v.url_raw) AS BIGINT) AS inserted
+FROM meta_valid v GROUP BY v.hf_path
+""",
+})

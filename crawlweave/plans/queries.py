@@ -102,6 +102,43 @@ def q_safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_pages.unionByName(from_docs)
 
 
+INGEST_OUT = ["snapshot_name", "hf_path", "url_raw", "url_norm", "warc_date", "warc_record_id", "digest"]
+
+
+def q_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import ingest as IG
+    from crawlweave.sources import metadata as MD
+
+    root = FX.write_meta_fixture(spark, sf_dir)
+    records = MD.parse_records(MD.read_metadata_lines(spark, root))
+    return IG.ingest(records).select(*INGEST_OUT)
+
+
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import ingest as IG
+    from crawlweave.sources import metadata as MD
+
+    root = FX.write_meta_fixture(spark, sf_dir)
+    records = MD.parse_records(MD.read_metadata_lines(spark, root, reader="stream"))
+    return M.ingest_counts(records, IG.first_wins(records))
+
+
+def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.streaming import ingest_stream as IS
+
+    root = scratch_dir(spark, "meta")
+    state, shards, ckpt = (scratch_dir(spark, n) for n in ("state", "shards", "stream-ckpt"))
+    first, later = FX.META_DIRS[:2], FX.META_DIRS[2:]
+    FX.write_meta_fixture(spark, sf_dir, root, snapshot_dirs=first)
+    IS.run_ingest_stream(spark, root, state, shards, ckpt, max_files_per_trigger=2)
+    FX.write_meta_fixture(spark, sf_dir, root, snapshot_dirs=later)
+    IS.run_ingest_stream(spark, root, state, shards, ckpt, max_files_per_trigger=2)
+    IS.run_ingest_stream(spark, root, state, shards, ckpt)           # nothing new: no-op
+    IS.ingest_batch(spark, root, state, shards)                       # every shard imported: no-op
+    IS.ingest_batch(spark, root, state, shards, force=True)           # re-read, nothing overwritten
+    return spark.read.parquet(state).select(*INGEST_OUT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "resolve_nearest": q_resolve_nearest,
@@ -113,4 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_paths": q_archive_paths,
     "progress_stats": q_progress_stats,
     "safe_names": q_safe_names,
+    "ingest_metadata": q_ingest_metadata,
+    "ingest_counts": q_ingest_counts,
+    "ingest_incremental": q_ingest_incremental,
 }

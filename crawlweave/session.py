@@ -26,6 +26,7 @@ SESSION_CONF = {
 def apply_session_conf(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -87,3 +88,42 @@ def is_local_fs(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_fs(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def filesystem_for(path: str):
+    """(pyarrow FileSystem, path inside it) for a local path or any URI
+    (``file:/x``, ``file:///x``, ``s3://...``, ``hdfs://...``)."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    elif "://" not in path:
+        path = "file://" + os.path.abspath(path)
+    return pafs.FileSystem.from_uri(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``crawlweave`` importable in executor Python workers (once per application).
+
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile`` -- the in-session equivalent of ``--py-files``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    local_zip = os.path.join(tempfile.mkdtemp(prefix="crawlweave-pkg-"), "crawlweave.zip")
+    with zipfile.ZipFile(local_zip, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(local_zip)
+    _SHIPPED.add(app)
