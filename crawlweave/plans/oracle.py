@@ -262,3 +262,7 @@ SELECT v.hf_path, CAST(count(*) AS BIGINT) AS parsed,
 FROM meta_valid v GROUP BY v.hf_path
 """,
 })
+
+from crawlweave.functions.markdown import duckdb_markdown_sql  # noqa: E402
+
+ORACLE["html_markdown"] = duckdb_markdown_sql("pages", "page_id", "html")

@@ -139,6 +139,13 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(state).select(*INGEST_OUT)
 
 
+def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.functions.markdown import html_to_markdown
+
+    pages = FX.table(spark, sf_dir, "pages")
+    return pages.select("page_id", html_to_markdown("html").alias("markdown"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "resolve_nearest": q_resolve_nearest,
@@ -153,4 +160,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_metadata": q_ingest_metadata,
     "ingest_counts": q_ingest_counts,
     "ingest_incremental": q_ingest_incremental,
+    "html_markdown": q_html_markdown,
 }
