@@ -21,3 +21,50 @@ def write_path_file(state: DataFrame, path: str) -> None:
     """
     (ready_archives(state).orderBy("filename").coalesce(1)
      .write.mode("overwrite").text(path))
+
+
+def plan_extraction(state: DataFrame, present: DataFrame, limit_archives: int | None = None) -> DataFrame:
+    """Ready rows whose archive exists (J10), optionally only the first
+    ``limit_archives`` archives by name (O5)."""
+    rows = ST.range_plan(ST.ready(state))
+    rows = rows.join(present.select("archive"), "archive", "left_semi")
+    if limit_archives is not None:
+        first = rows.select("archive").distinct().orderBy("archive").limit(int(limit_archives))
+        rows = rows.join(first, "archive", "left_semi")
+    return rows
+
+
+def extract_html(rows: DataFrame, archive_root: str, key_cols: list[str], check_target: bool = True) -> DataFrame:
+    """S5 + P23: ``key_cols, html, error`` per row (html NULL when the row failed)."""
+    from crawlweave.functions import scalars as S
+    from crawlweave.sources import warc as W
+
+    got = W.read_ranges(rows, archive_root, key_cols, check_target)
+    return got.select(*key_cols, S.bytes_to_text("payload").alias("html"), "error")
+
+
+def extraction_events(rows: DataFrame, results: DataFrame, key_cols: list[str], seq: int) -> DataFrame:
+    """K9/K10 state events out of extraction results."""
+    from crawlweave.functions import scalars as S
+
+    j = rows.select(*key_cols, "snapshot_name", "url_raw", "digest").join(results, key_cols)
+    ok = F.col("error").isNull()
+    return j.select(
+        *key_cols,
+        F.lit(seq).cast("long").alias("seq"),
+        F.when(ok, F.lit("downloaded")).otherwise(F.lit("error")).alias("kind"),
+        F.lit(None).cast("string").alias("filename"),
+        F.lit(None).cast("long").alias("offset"),
+        F.lit(None).cast("long").alias("length"),
+        F.when(ok, F.concat(F.lit("html/"), F.col("snapshot_name"), F.lit("/"),
+                            S.safe_filename("url_raw", "digest"), F.lit(".html"))).alias("saved_path"),
+        F.when(~ok, F.col("error")).alias("message"),
+    )
+
+
+def html_table(events: DataFrame, results: DataFrame, rows: DataFrame, key_cols: list[str]) -> DataFrame:
+    """K3: ``snapshot_name, saved_path, html`` of the saved pages (one row per URL row)."""
+    saved = events.where(F.col("kind") == "downloaded").select(*key_cols, "saved_path")
+    return (saved.join(results.select(*key_cols, "html"), key_cols)
+            .join(rows.select(*key_cols, "snapshot_name"), key_cols)
+            .select(*key_cols, "snapshot_name", "saved_path", "html"))

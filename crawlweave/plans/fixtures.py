@@ -308,3 +308,63 @@ def write_meta_fixture(spark: SparkSession, sf_dir: str, root: str | None = None
         lines = lines.where(F.split("rel", "/")[2].isin(list(snapshot_dirs)))
     write_zstd_files(lines, root).count()
     return root
+
+
+# --------------------------------------------------------------------------- archives
+
+ARCHIVES_PER_BLOCK = 4
+PAGES_PER_BLOCK = 1000
+
+
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive contents derived from ``pages``: gzip body for even pages,
+    chunked transfer for % 6 == 1, another target URI for % 9 == 4, a bad
+    UTF-8 byte in front of the HTML for % 10 == 3."""
+    p = table(spark, sf_dir, "pages")
+    pid = F.col("page_id")
+    html = F.encode("html", "UTF-8")
+    return p.select(
+        F.concat(F.lit("crawl/seg-"), (pid % ARCHIVES_PER_BLOCK + ARCHIVES_PER_BLOCK * (pid / PAGES_PER_BLOCK).cast("long"))
+                 .cast("string"), F.lit(".warc.gz")).alias("archive"),
+        pid.alias("seq"),
+        "url",
+        F.when(pid % 10 == 3, F.concat(F.unhex(F.lit("FF")), html)).otherwise(html).alias("html"),
+        (pid % 2 == 0).alias("gzip_body"),
+        (pid % 6 == 1).alias("chunked"),
+        F.when(pid % 9 == 4, F.concat("url", F.lit("?other"))).alias("target"),
+    )
+
+
+def write_warc_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Write the archives; returns (archive root, parquet of record locations).
+
+    The locations are written once so later steps never re-run the writer.
+    """
+    from crawlweave.sources import warc as W
+
+    root = scratch_dir(spark, "warc")
+    locations = scratch_dir(spark, "warc-locations")
+    W.write_archives(archive_records(spark, sf_dir), root).write.parquet(locations)
+    return root, locations
+
+
+def extract_state(spark: SparkSession, sf_dir: str, locations: str) -> DataFrame:
+    """Located URL rows pointing at the archives (% 11 == 5 at an absent archive,
+    % 8 == 0 with a leading ``/`` in the archive name)."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    loc = spark.read.parquet(locations)
+    pid = F.col("page_id")
+    j = p.join(loc, "url")
+    fname = (F.when(pid % 11 == 5, F.concat(F.lit("crawl/missing-"), pid.cast("string"), F.lit(".warc.gz")))
+             .when(pid % 8 == 0, F.concat(F.lit("/"), F.col("archive")))
+             .otherwise(F.col("archive")))
+    return j.select(
+        page_snapshot("page_id").alias("snapshot_name"),
+        F.col("url").alias("url_raw"),
+        F.concat(F.lit("sha1:"), F.md5("url")).alias("digest"),
+        F.col("offset"), F.col("length"), fname.alias("filename"),
+        F.lit("matched").alias("status"),
+        F.lit(None).cast("string").alias("saved_path"),
+        F.lit(None).cast("string").alias("last_error"),
+        pid.alias("ord"),
+    )

@@ -86,6 +86,14 @@ pairs AS (
 )"""
 
 
+def safe_name_sql(u: str, d: str) -> str:
+    """DuckDB twin of ``scalars.safe_filename``."""
+    c = (f"substring(regexp_replace(regexp_replace(coalesce({u}, ''), '[^\\p{{L}}\\p{{N}}._-]', '_', 'g'), "
+         f"'^_+|_+$', '', 'g'), 1, 150)")
+    named = f"(CASE WHEN coalesce({d}, '') <> '' THEN {c} || '_' || {d} ELSE {c} END)"
+    return f"(CASE WHEN {named} = '' THEN 'unknown' ELSE {named} END)"
+
+
 def _resolve_sql(order_by: str, rows_in: str, with_prefix: str = URLS_FX) -> str:
     return f"""
 WITH {with_prefix}, {CAPS},
@@ -266,3 +274,19 @@ FROM meta_valid v GROUP BY v.hf_path
 from crawlweave.functions.markdown import duckdb_markdown_sql  # noqa: E402
 
 ORACLE["html_markdown"] = duckdb_markdown_sql("pages", "page_id", "html")
+
+ORACLE["extract_records"] = f"""
+WITH p AS (
+  SELECT page_id AS pid, url, html, 'CC-MAIN-2024-1' || CAST(page_id % 3 AS VARCHAR) AS snapshot_name,
+         'sha1:' || md5(url) AS digest
+  FROM pages
+)
+SELECT snapshot_name, url AS url_raw,
+       CASE WHEN pid % 11 = 5 THEN 'matched' WHEN pid % 9 = 4 THEN 'error' ELSE 'downloaded' END AS status,
+       CASE WHEN pid % 11 = 5 OR pid % 9 = 4 THEN NULL
+            ELSE 'html/' || snapshot_name || '/' || {safe_name_sql('url', 'digest')} || '.html' END AS saved_path,
+       CASE WHEN pid % 11 <> 5 AND pid % 9 = 4 THEN 'WARC target mismatch' END AS last_error,
+       CASE WHEN pid % 11 = 5 OR pid % 9 = 4 THEN NULL
+            WHEN pid % 10 = 3 THEN chr(65533) || html ELSE html END AS html
+FROM p
+"""

@@ -146,6 +146,21 @@ def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", html_to_markdown("html").alias("markdown"))
 
 
+def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import extract as X
+    from crawlweave.sources import warc as W
+
+    root, locations = FX.write_warc_fixture(spark, sf_dir)
+    state = FX.extract_state(spark, sf_dir, locations)
+    rows = X.plan_extraction(state, W.list_archives(spark, root))
+    results = X.extract_html(rows, root, ["ord"])
+    events = X.extraction_events(rows, results, ["ord"], seq=1)
+    latest = ST.fold_events(state, events, key_cols=["ord"])
+    html = X.html_table(events, results, rows, ["ord"]).select("ord", "html")
+    return latest.join(html, "ord", "left").select(
+        "snapshot_name", "url_raw", "status", "saved_path", "last_error", "html")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "resolve_nearest": q_resolve_nearest,
@@ -161,4 +176,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_counts": q_ingest_counts,
     "ingest_incremental": q_ingest_incremental,
     "html_markdown": q_html_markdown,
+    "extract_records": q_extract_records,
 }
