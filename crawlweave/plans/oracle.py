@@ -290,3 +290,52 @@ SELECT snapshot_name, url AS url_raw,
             WHEN pid % 10 = 3 THEN chr(65533) || html ELSE html END AS html
 FROM p
 """
+
+_SAVED_SRC = f"""
+WITH {STATE_FX},
+src AS (
+  SELECT s.*, CASE WHEN s.ord % 12 = 7 THEN NULL ELSE p.html END AS html
+  FROM state_fx s JOIN pages p ON p.page_id = s.ord
+  WHERE s.saved_path IS NOT NULL
+),
+md AS ({duckdb_markdown_sql("src", "ord", "html")})
+SELECT regexp_replace(src.snapshot_name, '^CC-MAIN-', '') AS snapshot, lower(coalesce(src.url_raw, '')) AS url,
+       src."offset", src.length, src.filename, src.html, md.markdown, src.ord
+FROM src JOIN md ON md.ord = src.ord
+"""
+
+ORACLE["export_snapshot"] = f"""
+SELECT snapshot, url, "offset", length, filename, html, markdown FROM ({_SAVED_SRC}) x
+"""
+
+ORACLE["export_limited"] = f"""
+SELECT snapshot, url, "offset", length, filename, html, markdown FROM (
+  SELECT *, row_number() OVER (PARTITION BY snapshot ORDER BY ord) AS rn FROM ({_SAVED_SRC}) x
+) WHERE rn <= 20
+"""
+
+ORACLE["export_split_parts"] = f"""
+WITH RECURSIVE src AS (
+  SELECT page_id AS ord, html, regexp_replace('CC-MAIN-2024-1' || CAST(page_id % 3 AS VARCHAR), '^CC-MAIN-', '') AS snapshot
+  FROM pages
+),
+md AS ({duckdb_markdown_sql("src", "ord", "html")}),
+r AS (
+  SELECT src.snapshot, src.ord,
+         CAST(coalesce(strlen(src.html), 0) + coalesce(strlen(md.markdown), 0) AS BIGINT) AS bytes
+  FROM src JOIN md ON md.ord = src.ord
+),
+idx AS (SELECT *, (row_number() OVER (PARTITION BY snapshot ORDER BY ord) - 1) // 20 AS batch FROM r),
+b AS (SELECT snapshot, batch, sum(bytes) AS bytes, count(*) AS n FROM idx GROUP BY snapshot, batch),
+walk(snapshot, batch, part, acc) AS (
+  SELECT snapshot, batch, 0, bytes FROM b WHERE batch = 0
+  UNION ALL
+  SELECT w.snapshot, b.batch,
+         CASE WHEN w.acc >= 65536 THEN w.part + 1 ELSE w.part END,
+         CASE WHEN w.acc >= 65536 THEN b.bytes ELSE w.acc + b.bytes END
+  FROM walk w JOIN b ON b.snapshot = w.snapshot AND b.batch = w.batch + 1
+)
+SELECT w.snapshot, CAST(w.part AS INTEGER) AS part, CAST(sum(b.n) AS BIGINT) AS rows, CAST(sum(b.bytes) AS BIGINT) AS bytes
+FROM walk w JOIN b ON b.snapshot = w.snapshot AND b.batch = w.batch
+GROUP BY w.snapshot, w.part
+"""

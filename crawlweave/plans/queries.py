@@ -161,6 +161,57 @@ def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snapshot_name", "url_raw", "status", "saved_path", "last_error", "html")
 
 
+EXPORT_OUT = ["snapshot", "url", "offset", "length", "filename", "html", "markdown"]
+EXPORT_LIMIT = 20            # rows per snapshot in the limited export
+SPLIT_BYTES = 64 * 1024      # split threshold of the split export
+SPLIT_BATCH_ROWS = 20        # rows per size check in the split export
+
+
+def _saved_with_html(spark: SparkSession, sf_dir: str):
+    """Saved rows of the state fixture and their HTML store (K3 -> S7):
+    the HTML of page_id % 12 == 7 is missing."""
+    state = FX.state_fx(spark, sf_dir)
+    pages = FX.table(spark, sf_dir, "pages")
+    store = scratch_dir(spark, "html")
+    (state.where(ST.is_saved()).join(pages.select(F.col("page_id").alias("ord"), "html"), "ord")
+     .where(F.col("ord") % 12 != 7)
+     .select("snapshot_name", "saved_path", "ord", "html")
+     .write.partitionBy("snapshot_name").parquet(store))
+    return ST.saved(state), spark.read.parquet(store)
+
+
+def q_export_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import export as E
+
+    saved, html = _saved_with_html(spark, sf_dir)
+    out = scratch_dir(spark, "export")
+    E.write_export(E.export_rows(saved, html, ["ord"]), out)
+    return spark.read.parquet(out).select(*EXPORT_OUT)
+
+
+def q_export_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import export as E
+
+    saved, html = _saved_with_html(spark, sf_dir)
+    out = scratch_dir(spark, "export")
+    rows = E.limit_per_snapshot(E.export_rows(saved, html, ["ord"]), EXPORT_LIMIT)
+    E.write_export(rows, out)
+    return spark.read.parquet(out).select(*EXPORT_OUT)
+
+
+def q_export_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import export as E
+
+    pages = FX.table(spark, sf_dir, "pages")
+    rows = FX.urls_fx(spark, sf_dir).join(pages.select(F.col("page_id").alias("ord"), "html"), "ord")
+    rows = E.export_rows(rows.drop("html"), rows.select("ord", "html"), ["ord"])
+    out = scratch_dir(spark, "export-split")
+    E.write_export(rows, out, max_bytes=SPLIT_BYTES, batch_rows=SPLIT_BATCH_ROWS)
+    back = spark.read.parquet(out)
+    return back.groupBy("snapshot", "part").agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.sum(E.row_bytes()).cast("long").alias("bytes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "resolve_nearest": q_resolve_nearest,
@@ -177,4 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_incremental": q_ingest_incremental,
     "html_markdown": q_html_markdown,
     "extract_records": q_extract_records,
+    "export_snapshot": q_export_snapshot,
+    "export_limited": q_export_limited,
+    "export_split_parts": q_export_split_parts,
 }
