@@ -368,3 +368,52 @@ def extract_state(spark: SparkSession, sf_dir: str, locations: str) -> DataFrame
         F.lit(None).cast("string").alias("last_error"),
         pid.alias("ord"),
     )
+
+
+# --------------------------------------------------------------------------- index manifests
+
+def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each snapshot's index manifest, one per event: ``snapshot, value``.
+
+    Shard names ``cdx-<event_id % 1000, 5 digits>.gz``; errors name a
+    ``.gz.tmp`` file and signups ``cluster.idx`` (both filtered out); even
+    events carry a ``commoncrawl/`` prefix; event_id % 97 == 0 is blank.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    eid = F.col("event_id")
+    snap = F.concat(F.lit(SNAPSHOT_STEM), (eid % 3).cast("string"))
+    num = F.lpad((eid % 1000).cast("string"), 5, "0")
+    name = (F.when(F.col("event_type") == "error", F.concat(F.lit("cdx-"), num, F.lit(".gz.tmp")))
+            .when(F.col("event_type") == "signup", F.lit("cluster.idx"))
+            .otherwise(F.concat(F.lit("cdx-"), num, F.lit(".gz"))))
+    line = F.concat(F.when(eid % 2 == 0, F.lit("commoncrawl/")).otherwise(F.lit("")),
+                    F.lit("crawl-data/"), snap, F.lit("/indexes/"), name)
+    return ev.select(snap.alias("snapshot"), F.when(eid % 97 == 0, F.lit("   ")).otherwise(line).alias("value"))
+
+
+def write_manifest_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Manifests under ``<root>/snapshot=S/`` and local shard files under
+    ``<local>/S/cdx-NNNNN.gz`` for shard numbers % 7 == 3 named by view events."""
+    root = scratch_dir(spark, "manifest")
+    local = scratch_dir(spark, "index-local")
+    manifest_lines(spark, sf_dir).write.partitionBy("snapshot").option("compression", "gzip").text(root)
+    ev = table(spark, sf_dir, "events")
+    present = (ev.where((F.col("event_type") == "view") & ((F.col("event_id") % 1000) % 7 == 3))
+               .select(F.concat(F.lit(SNAPSHOT_STEM), (F.col("event_id") % 3).cast("string")).alias("snapshot"),
+                       F.concat(F.lit("cdx-"), F.lpad((F.col("event_id") % 1000).cast("string"), 5, "0"),
+                                F.lit(".gz")).alias("name"))
+               .distinct())
+
+    def touch(pdf):
+        import gzip
+
+        import pandas as pd
+        for snap, name in zip(pdf["snapshot"], pdf["name"]):
+            filesystem, inner = filesystem_for(f"{local}/{snap}/{name}")
+            filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            with filesystem.open_output_stream(inner, compression=None) as out:
+                out.write(gzip.compress(b""))
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    present.groupBy("snapshot").applyInPandas(touch, "n long").count()
+    return root, local

@@ -339,3 +339,32 @@ SELECT w.snapshot, CAST(w.part AS INTEGER) AS part, CAST(sum(b.n) AS BIGINT) AS
 FROM walk w JOIN b ON b.snapshot = w.snapshot AND b.batch = w.batch
 GROUP BY w.snapshot, w.part
 """
+
+ORACLE["shard_manifest_missing"] = """
+WITH lines AS (
+  SELECT 'CC-MAIN-2024-1' || CAST(event_id % 3 AS VARCHAR) AS snapshot_name, event_id, event_type,
+         CASE WHEN event_id % 97 = 0 THEN '   ' ELSE
+           CASE WHEN event_id % 2 = 0 THEN 'commoncrawl/' ELSE '' END || 'crawl-data/CC-MAIN-2024-1'
+           || CAST(event_id % 3 AS VARCHAR) || '/indexes/'
+           || CASE WHEN event_type = 'error' THEN 'cdx-' || lpad(CAST(event_id % 1000 AS VARCHAR), 5, '0') || '.gz.tmp'
+                   WHEN event_type = 'signup' THEN 'cluster.idx'
+                   ELSE 'cdx-' || lpad(CAST(event_id % 1000 AS VARCHAR), 5, '0') || '.gz' END
+         END AS line
+  FROM events
+),
+entries AS (
+  SELECT DISTINCT snapshot_name, rel_path, regexp_extract(rel_path, '[^/]*$') AS basename
+  FROM (SELECT snapshot_name,
+               CASE WHEN trim(line) LIKE '%commoncrawl/%' THEN regexp_extract(trim(line), '.*commoncrawl/(.*)$', 1)
+                    ELSE trim(line) END AS rel_path
+        FROM lines WHERE trim(line) <> '')
+),
+present AS (
+  SELECT DISTINCT 'CC-MAIN-2024-1' || CAST(event_id % 3 AS VARCHAR) AS snapshot_name,
+         'cdx-' || lpad(CAST(event_id % 1000 AS VARCHAR), 5, '0') || '.gz' AS basename
+  FROM events WHERE event_type = 'view' AND (event_id % 1000) % 7 = 3
+)
+SELECT e.snapshot_name, e.rel_path, e.basename FROM entries e
+WHERE regexp_full_match(e.basename, 'cdx-[0-9]{5}[.]gz')
+  AND NOT EXISTS (SELECT 1 FROM present p WHERE p.snapshot_name = e.snapshot_name AND p.basename = e.basename)
+"""

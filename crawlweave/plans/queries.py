@@ -212,8 +212,16 @@ def q_export_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("rows"), F.sum(E.row_bytes()).cast("long").alias("bytes"))
 
 
+def q_shard_manifest_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, local = FX.write_manifest_fixture(spark, sf_dir)
+    entries = cdx.manifest_entries(cdx.read_manifests(spark, root))
+    missing = cdx.missing_shards(entries, cdx.list_present_shards(spark, local))
+    return missing.select("snapshot_name", "rel_path", "basename")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
+    "shard_manifest_missing": q_shard_manifest_missing,
     "resolve_nearest": q_resolve_nearest,
     "resolve_priority": q_resolve_priority,
     "resolve_limited": q_resolve_limited,

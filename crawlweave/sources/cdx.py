@@ -103,6 +103,15 @@ def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None =
 
 # --------------------------------------------------------------------------- manifest
 
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """Manifest text (gzip) under ``root/<snapshot>/``: ``snapshot_name, value``;
+    undecodable bytes are dropped."""
+    lines = (spark.read.format("text").option("recursiveFileLookup", "true").load(root)
+             .select("value", F.col("_metadata.file_path").alias("file_path")))
+    return lines.select(snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
+                        F.regexp_replace(S.bytes_to_text(F.col("value").cast("binary")), "\uFFFD", "").alias("value"))
+
+
 def manifest_entries(manifest_lines: DataFrame, snapshot_col: str = "snapshot_name") -> DataFrame:
     """S3: shard entries of an index manifest (``value`` column of text lines).
 
@@ -117,6 +126,7 @@ def manifest_entries(manifest_lines: DataFrame, snapshot_col: str = "snapshot_na
         manifest_lines.where(line != "")
         .select(F.col(snapshot_col).alias("snapshot_name"), rel.alias("rel_path"), base.alias("basename"))
         .where(F.col("basename").rlike(S.CDX_SHARD_NAME))
+        .distinct()
     )
 
 
