@@ -110,8 +110,7 @@ def q_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.sources import metadata as MD
 
     root = FX.write_meta_fixture(spark, sf_dir)
-    records = MD.parse_records(MD.read_metadata_lines(spark, root))
-    return IG.ingest(records).select(*INGEST_OUT)
+    return IG.ingest(MD.read_records(spark, root)).select(*INGEST_OUT)
 
 
 def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +118,7 @@ def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.sources import metadata as MD
 
     root = FX.write_meta_fixture(spark, sf_dir)
-    records = MD.parse_records(MD.read_metadata_lines(spark, root, reader="stream"))
+    records = MD.read_records(spark, root, reader="stream")
     return M.ingest_counts(records, IG.first_wins(records))
 
 

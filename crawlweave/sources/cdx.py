@@ -33,15 +33,9 @@ def snapshot_below(path: F.Column, root: str) -> F.Column:
     return F.regexp_extract(path, r"/\Q" + root_name + r"\E/(?:snapshot=)?([^/]+)/", 1)
 
 
-def read_index_lines(spark: SparkSession, root: str, snapshots: list[str] | None = None,
-                     path_glob: str = "*.gz") -> DataFrame:
-    """Every line of every index shard under ``root/<snapshot>/...``.
-
-    Only the listed snapshot folders are read when ``snapshots`` is given
-    (partition pruning by path).  Returns ``snapshot_name, value, scan_ord``.
-    """
+def _index_text(spark: SparkSession, root: str, snapshots: list[str] | None, path_glob: str) -> DataFrame:
     paths = [f"{root}/{s}" for s in snapshots] if snapshots else [root]
-    lines = (
+    return (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", path_glob)
@@ -51,12 +45,24 @@ def read_index_lines(spark: SparkSession, root: str, snapshots: list[str] | None
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
         )
-        .withColumn("line_ord", F.monotonically_increasing_id())
     )
-    return lines.select(
+
+
+def _scan_ord() -> F.Column:
+    return F.struct("file_path", "block_start", F.monotonically_increasing_id().alias("line_ord"))
+
+
+def read_index_lines(spark: SparkSession, root: str, snapshots: list[str] | None = None,
+                     path_glob: str = "*.gz") -> DataFrame:
+    """Every line of every index shard under ``root/<snapshot>/...``.
+
+    Only the listed snapshot folders are read when ``snapshots`` is given
+    (partition pruning by path).  Returns ``snapshot_name, value, scan_ord``.
+    """
+    return _index_text(spark, root, snapshots, path_glob).select(
         snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
         S.bytes_to_text(F.col("value").cast("binary")).alias("value"),
-        F.struct("file_path", "block_start", "line_ord").alias("scan_ord"),
+        _scan_ord().alias("scan_ord"),
     )
 
 
@@ -67,13 +73,7 @@ def parse_cdxj(value) -> F.Column:
     return F.when(pos > 0, F.from_json(F.substring(v, pos, 1 << 30), CDXJ_SCHEMA))
 
 
-def captures_from_lines(lines: DataFrame) -> DataFrame:
-    """Valid HTML captures out of raw index lines.
-
-    Drops lines without JSON, records without url/original, non-HTML mime
-    types, and locations that are missing or not integers.
-    """
-    rec = lines.select("snapshot_name", "scan_ord", parse_cdxj("value").alias("r"))
+def _captures(rec: DataFrame) -> DataFrame:
     r = F.col("r")
     url = S.capture_url(r["url"], r["original"])
     offset = S.to_long_strict(r["offset"])
@@ -95,10 +95,31 @@ def captures_from_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def captures_from_lines(lines: DataFrame) -> DataFrame:
+    """Valid HTML captures out of raw index lines.
+
+    Drops lines without JSON, records without url/original, non-HTML mime
+    types, and locations that are missing or not integers.
+    """
+    return _captures(lines.select("snapshot_name", "scan_ord", parse_cdxj("value").alias("r")))
+
+
 def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None = None,
                   path_glob: str = "*.gz") -> DataFrame:
-    """The valid HTML captures of the index shards under ``root``."""
-    return captures_from_lines(read_index_lines(spark, root, snapshots, path_glob))
+    """The valid HTML captures of the index shards under ``root``.
+
+    The JSON payload is parsed in the same projection that numbers the lines:
+    that projection is not deterministic, so Catalyst neither pushes the
+    validity filters below it nor splits ``from_json`` into one parse per
+    field -- each line is parsed exactly once.
+    """
+    text = S.bytes_to_text(F.col("value").cast("binary"))
+    rec = _index_text(spark, root, snapshots, path_glob).select(
+        snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
+        _scan_ord().alias("scan_ord"),
+        parse_cdxj(text).alias("r"),
+    )
+    return _captures(rec)
 
 
 # --------------------------------------------------------------------------- manifest

@@ -62,7 +62,12 @@ def read_metadata_lines(spark: SparkSession, root: str, reader: str = "native")
     """Every line of every shard: ``hf_path, line_ord, value`` (line order kept)."""
     if reader == "stream":
         return stream_lines(list_shards(spark, root))
-    lines = (
+    # one task reads a whole shard (zstd is not splittable): the id grows with the line
+    return _shard_text(spark, root).select("hf_path", F.monotonically_increasing_id().alias("line_ord"), "value")
+
+
+def _shard_text(spark: SparkSession, root: str) -> DataFrame:
+    return (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", SHARD_GLOB)
@@ -70,8 +75,6 @@ def read_metadata_lines(spark: SparkSession, root: str, reader: str = "native")
         .select("value", relative_to(F.col("_metadata.file_path"), root).alias("hf_path"))
         .where(F.col("hf_path").contains(SHARD_MARK))
     )
-    # one task reads a whole shard (zstd is not splittable): the id grows with the line
-    return lines.select("hf_path", F.monotonically_increasing_id().alias("line_ord"), "value")
 
 
 def _open_input(path: str):
@@ -104,19 +107,27 @@ def stream_lines(shards: DataFrame) -> DataFrame:
     return shards.repartition("hf_path").mapInPandas(_stream_shards, LINE_SCHEMA)
 
 
-def parse_records(lines: DataFrame) -> DataFrame:
-    """S1 + P1/P2/P9/P10: one row per usable record.
+def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFrame:
+    """S1 + P1/P2/P9/P10: one row per usable record of ``hf_path, value`` lines.
 
     Lines are stripped; blank lines, lines that are not a JSON object and
     records without a target URI are dropped.  ``url_norm`` is the raw URL
     (the reference re-serialises without canonicalising; see
     ``scalars.canonicalize_url`` for an opt-in canonical form).
+
+    Pass ``line_ord=F.monotonically_increasing_id()`` to number lines in the
+    same projection that parses them: that projection is not deterministic,
+    so Catalyst keeps the filters above it and each line is parsed once.
     """
-    rec = F.from_json(F.trim(F.col("value")), RECORD_SCHEMA)
+    ord_col = F.col("line_ord") if line_ord is None else line_ord
+    rec = lines.select(
+        "hf_path",
+        ord_col.alias("line_ord"),
+        F.from_json(F.trim(F.col("value")), RECORD_SCHEMA).alias("r"),
+    )
     h = F.col("r.warc_headers")
-    parsed = lines.where(F.trim(F.col("value")) != "").select("hf_path", "line_ord", rec.alias("r"))
     url = S.blank_to_null(h["warc-target-uri"])
-    return parsed.where(url.isNotNull()).select(
+    return rec.where(url.isNotNull()).select(
         "hf_path",
         "line_ord",
         S.snapshot_name_from_path(F.col("hf_path")).alias("snapshot_name"),
@@ -126,3 +137,15 @@ def parse_records(lines: DataFrame) -> DataFrame:
         h["warc-record-id"].alias("warc_record_id"),
         S.first_digest(h["warc-block-digest"], h["warc-payload-digest"]).alias("digest"),
     )
+
+
+def parse_records(lines: DataFrame) -> DataFrame:
+    """Records of numbered lines (``hf_path, line_ord, value``)."""
+    return records_from(lines)
+
+
+def read_records(spark: SparkSession, root: str, reader: str = "native") -> DataFrame:
+    """Usable records of every shard under ``root``, with line order."""
+    if reader == "stream":
+        return parse_records(read_metadata_lines(spark, root, reader="stream"))
+    return records_from(_shard_text(spark, root), F.monotonically_increasing_id())

@@ -42,10 +42,10 @@ def read_state(spark: SparkSession, state_path: str, before_batch: int | None =
     return df
 
 
-def ingest_lines(spark: SparkSession, lines: DataFrame, state_path: str, shards_path: str,
-                 batch_id: int) -> None:
-    """One ingest batch: lines (``hf_path, line_ord, value``) -> new state rows + shard rows."""
-    records = MD.parse_records(lines).persist()
+def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, shards_path: str,
+                   batch_id: int) -> None:
+    """One ingest batch: parsed records -> new state rows + shard rows."""
+    records = records.persist()
     existing = read_state(spark, state_path, before_batch=batch_id)
     new = IG.ingest(records, existing, batch_id)
     new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
@@ -76,8 +76,8 @@ def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, sh
     def each_batch(df: DataFrame, batch_id: int) -> None:
         # a shard file is never split across micro-batches, and zstd files are
         # read whole by one task, so the id below follows the line order
-        lines = df.select("hf_path", F.monotonically_increasing_id().alias("line_ord"), "value")
-        ingest_lines(df.sparkSession, lines, state_path, shards_path, batch_id)
+        records = MD.records_from(df, F.monotonically_increasing_id())
+        ingest_records(df.sparkSession, records, state_path, shards_path, batch_id)
 
     query = (
         stream_lines(spark, source_root, max_files_per_trigger)
@@ -111,7 +111,7 @@ def ingest_batch(spark: SparkSession, source_root: str, state_path: str, shards_
         top = previous.agg(F.max("batch")).first()[0]
         batch_id = max(FORCE_BATCH_BASE, int(top) + 1)
     todo = IG.pending_shards(MD.list_shards(spark, source_root), shard_table(spark, shards_path), force)
-    lines = MD.read_metadata_lines(spark, source_root, reader=reader)
-    lines = lines.join(todo.select("hf_path"), "hf_path", "left_semi")
-    ingest_lines(spark, lines, state_path, shards_path, batch_id)
+    records = MD.read_records(spark, source_root, reader=reader)
+    records = records.join(todo.select("hf_path"), "hf_path", "left_semi")
+    ingest_records(spark, records, state_path, shards_path, batch_id)
     return batch_id
