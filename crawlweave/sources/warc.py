@@ -69,7 +69,7 @@ def decode_record(data: bytes, url_raw: str | None = None, check_target: bool =
     return body
 
 
-def _read_ranges(root: str, check_target: bool):
+def _read_ranges(root: str, check_target: bool, keep_url: bool):
     def run(batches):
         handles: dict[str, object] = {}
         try:
@@ -89,7 +89,8 @@ def _read_ranges(root: str, check_target: bool):
                     except Exception as e:  # noqa: BLE001 - isolate per-row failures (E3)
                         payloads.append(None)
                         errors.append(str(e) or type(e).__name__)
-                yield pdf.drop(columns=["url_raw"]).assign(payload=payloads, error=errors)
+                out = pdf if keep_url else pdf.drop(columns=["url_raw"])
+                yield out.assign(payload=payloads, error=errors)
         finally:
             for f in handles.values():
                 f.close()
@@ -105,14 +106,16 @@ def read_ranges(rows: DataFrame, root: str, key_cols: list[str], check_target: b
     Returns ``key_cols + archive, offset, length, payload (binary), error``.
     """
     cols = list(dict.fromkeys(key_cols + ["archive", "offset", "length", "url_raw"]))
+    keep_url = "url_raw" in key_cols
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*cols).schema if f.name != "url_raw"]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*cols).schema
+         if keep_url or f.name != "url_raw"]
         + ["payload binary", "error string"])
     return (
         rows.select(*cols)
         .repartition("archive", F.floor(F.col("offset") / RANGE_BUCKET))
         .sortWithinPartitions("archive", "offset")
-        .mapInPandas(_read_ranges(root, check_target), schema)
+        .mapInPandas(_read_ranges(root, check_target, keep_url), schema)
     )
 
 
