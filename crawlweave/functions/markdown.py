@@ -69,8 +69,8 @@ def _tidy(c: Column) -> Column:
     return c
 
 
-def html_to_markdown(html) -> Column:
-    """Markdown text (with a ``title:`` header when the page has a title) or NULL."""
+def markdown_parts(html) -> tuple[Column, Column]:
+    """(body text, title) of the page; '' when there is none."""
     h = F.col(html) if isinstance(html, str) else html
     main = (
         F.when(h.rlike(r"(?i)<article\b"), F.regexp_extract(h, ARTICLE, 1))
@@ -83,9 +83,39 @@ def html_to_markdown(html) -> Column:
         main = F.regexp_replace(main, p, _java_repl(r))
     text = _tidy(_decode(main))
     title = _tidy(_decode(F.regexp_replace(F.regexp_extract(h, TITLE, 1), "<[^>]*>", "")))
-    body = F.when(text != "", text)
-    with_header = F.when(title != "", F.concat(F.lit("---\ntitle: "), title, F.lit("\n---\n\n"), body)).otherwise(body)
-    return F.when(h.isNull() | (h == "") | body.isNull(), F.lit(None).cast("string")).otherwise(with_header)
+    return text, title
+
+
+def assemble(text, title, html) -> Column:
+    """Markdown from computed parts: ``title:`` header + text, NULL when no text."""
+    t = F.col(text) if isinstance(text, str) else text
+    ti = F.col(title) if isinstance(title, str) else title
+    h = F.col(html) if isinstance(html, str) else html
+    with_header = F.when(ti != "", F.concat(F.lit("---\ntitle: "), ti, F.lit("\n---\n\n"), t)).otherwise(t)
+    return F.when(h.isNull() | (h == "") | (t == ""), F.lit(None).cast("string")).otherwise(with_header)
+
+
+def html_to_markdown(html) -> Column:
+    """Markdown as one Column expression.
+
+    The parts appear more than once in the final CASE, and Spark does not
+    share subexpressions inside conditional branches -- prefer
+    ``with_markdown``, which computes each part once.
+    """
+    text, title = markdown_parts(html)
+    return assemble(text, title, html)
+
+
+def with_markdown(df, html: str = "html", out: str = "markdown"):
+    """``df`` plus a ``markdown`` column, the regexp chain evaluated once per row.
+
+    The parts are computed in their own projection; Catalyst will not merge
+    it into the next one because that would repeat a non-trivial expression.
+    """
+    text, title = markdown_parts(html)
+    return (df.withColumn("_md_text", text).withColumn("_md_title", title)
+            .withColumn(out, assemble("_md_text", "_md_title", html))
+            .drop("_md_text", "_md_title"))
 
 
 # --------------------------------------------------------------------------- DuckDB twin

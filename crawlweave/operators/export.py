@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
-from crawlweave.functions.markdown import html_to_markdown
+from crawlweave.functions.markdown import with_markdown
 from crawlweave.operators import sequence as Q
 
 EXPORT_COLUMNS = ["url", "offset", "length", "filename", "html", "markdown"]
@@ -28,13 +28,13 @@ def export_rows(saved: DataFrame, html: DataFrame, key_cols: list[str]) -> DataF
     JVM-side (U3), NULL when the HTML is NULL or empty.
     """
     j = saved.join(html.select(*key_cols, "html"), key_cols, "left")
-    return j.select(
+    rows = j.select(
         S.snapshot_basename("snapshot_name").alias("snapshot"),
         "ord",
         S.export_url("url_raw").alias("url"),
         "offset", "length", "filename", "html",
-        html_to_markdown("html").alias("markdown"),
     )
+    return with_markdown(rows)
 
 
 def limit_per_snapshot(rows: DataFrame, limit: int | None) -> DataFrame:

@@ -92,7 +92,9 @@ def q_safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(S.safe_filename("url_raw", digest), F.lit(".html")).alias("name"),
         S.snapshot_basename("snapshot_name").alias("base"),
     )
-    docs = FX.table(spark, sf_dir, "documents")
+    from crawlweave.session import spread
+
+    docs = spread(FX.table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     from_docs = docs.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"),
         F.concat(S.safe_filename(F.concat(F.lit("https://example.org/"), F.col("text")),
@@ -139,10 +141,11 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from crawlweave.functions.markdown import html_to_markdown
+    from crawlweave.functions.markdown import with_markdown
+    from crawlweave.session import spread
 
-    pages = FX.table(spark, sf_dir, "pages")
-    return pages.select("page_id", html_to_markdown("html").alias("markdown"))
+    pages = spread(FX.table(spark, sf_dir, "pages").select("page_id", "html"))
+    return with_markdown(pages).select("page_id", "markdown")
 
 
 def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # pre-filter the big side of selective joins (capture index vs. our URLs)
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
@@ -127,3 +129,14 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(local_zip)
     _SHIPPED.add(app)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster when it arrives in fewer input
+    partitions than there are cores (small inputs feeding CPU-heavy rows).
+    A no-op for large inputs, which already come in many splits."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
