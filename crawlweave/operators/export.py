@@ -10,6 +10,7 @@ replaces only that snapshot's folder (dynamic partition overwrite).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from crawlweave.operators import sequence as Q
 
 EXPORT_COLUMNS = ["url", "offset", "length", "filename", "html", "markdown"]
 BATCH_ROWS = 500            # rows per size check (fixed by the export format)
+FOLD_MAX_BATCHES = 2_000_000  # batches of one snapshot one task may fold (~50 MB of batch sizes)
 
 
 def export_rows(saved: DataFrame, html: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -81,22 +83,55 @@ def _orbit(starts: DataFrame, jump: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def assign_parts(rows: DataFrame, max_bytes: int, batch_rows: int = BATCH_ROWS,
-                 n_parts: int | None = None) -> DataFrame:
+                 n_parts: int | None = None, fold_max_batches: int = FOLD_MAX_BATCHES) -> DataFrame:
     """Greedy size rollover -> ``part`` per row.
 
     Rows go in insertion order in batches of ``batch_rows``; a part closes
     after the first batch at which its bytes reach ``max_bytes`` and the next
-    batch opens a new part (overshoot is not carried over).  Exact and
-    distributed: batch numbers and byte offsets come from segmented prefix
-    sums, the batch that closes the part opened at each batch from a
+    batch opens a new part (overshoot is not carried over).  Batch numbers
+    come from a distributed row index.  The fold over batches runs per
+    snapshot in one task when the batch list is under ``FOLD_MAX_BATCHES``;
+    beyond that it is exact and distributed: byte offsets from segmented
+    prefix sums, the batch that closes the part opened at each batch from a
     forward as-of (a fill over the sorted union), and the chain of part
     starts from pointer doubling.
     """
     if max_bytes is None or max_bytes <= 0:
         raise ValueError("split must be positive")
-    r = Q.row_index(rows.withColumn("_bytes", row_bytes()), ["snapshot"], ["ord"], "_idx", n_parts)
+    # the scans below move only (snapshot, ord, bytes); the wide rows
+    # (html, markdown) are joined back once at the end
+    slim = rows.select("snapshot", "ord", row_bytes().alias("_bytes"))
+    r = Q.row_index(slim, ["snapshot"], ["ord"], "_idx", n_parts)
     r = r.withColumn("batch", F.floor(F.col("_idx") / batch_rows).cast("long"))
-    b = r.groupBy("snapshot", "batch").agg(F.sum("_bytes").cast("long").alias("bytes"))
+    b = r.groupBy("snapshot", "batch").agg(F.sum("_bytes").cast("long").alias("bytes")).checkpoint(eager=True)
+    # size check: the batch table is batch_rows times smaller than the data;
+    # when every snapshot's batch list is small enough, fold it in one task
+    # per snapshot, otherwise run the distributed chain below
+    biggest = b.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 0
+    if biggest <= fold_max_batches:
+        parts = b.groupBy("snapshot").applyInPandas(_fold(max_bytes), "snapshot string, batch long, part long")
+    else:
+        parts = _parts_distributed(b, max_bytes, n_parts)
+    row_parts = r.join(parts, ["snapshot", "batch"]).select("snapshot", "ord", "part")
+    return rows.join(row_parts, ["snapshot", "ord"])
+
+
+def _fold(max_bytes: int):
+    """The greedy rollover over one snapshot's batch sizes (in batch order)."""
+    def run(pdf):
+        pdf = pdf.sort_values("batch")
+        parts, part, acc = [], 0, 0
+        for size in pdf["bytes"].tolist():
+            parts.append(part)
+            acc += size
+            if acc >= max_bytes:
+                part, acc = part + 1, 0
+        return pdf.assign(part=parts)[["snapshot", "batch", "part"]]
+    return run
+
+
+def _parts_distributed(b: DataFrame, max_bytes: int, n_parts: int | None) -> DataFrame:
+    """Part number per batch without gathering a snapshot's batches in one task."""
     b = Q.segmented_cumsum(b, ["snapshot"], ["batch"], "bytes", "p_before", n_parts)
     b = b.withColumn("p_after", F.col("p_before") + F.col("bytes")).checkpoint(eager=True)
 
@@ -114,16 +149,18 @@ def assign_parts(rows: DataFrame, max_bytes: int, batch_rows: int = BATCH_ROWS,
     starts = _orbit(b.where(F.col("batch") == 0).select("snapshot", "batch"), jump, batches)
     starts = Q.row_index(starts, ["snapshot"], ["batch"], "part", n_parts)
     marked = batches.join(starts.withColumnRenamed("part", "_p"), ["snapshot", "batch"], "left")
-    parts = Q.segmented_ffill(marked, ["snapshot"], ["batch"], "_p", "part", n_parts).drop("_p")
-    return r.join(parts, ["snapshot", "batch"]).drop("_idx", "_bytes")
+    return Q.segmented_ffill(marked, ["snapshot"], ["batch"], "_p", "part", n_parts).drop("_p")
 
 
 def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
                  batch_rows: int = BATCH_ROWS, n_parts: int | None = None) -> None:
     """K1/K2: write export rows; with ``max_bytes`` also split into ``part=<n>`` folders."""
     cols = ["snapshot"] + EXPORT_COLUMNS
+    cached = None
     if max_bytes is not None:
-        rows = assign_parts(rows, max_bytes, batch_rows, n_parts)
+        # the rows are read twice (sizes, then the write): compute markdown once
+        cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = assign_parts(cached, max_bytes, batch_rows, n_parts)
         cols = ["snapshot", "part"] + EXPORT_COLUMNS
     by = ["snapshot", "part"] if max_bytes is not None else ["snapshot"]
     n = n_parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -131,6 +168,8 @@ def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
      .select(*cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(out))
+    if cached is not None:
+        cached.unpersist()
 
 
 def export_counts(saved: DataFrame, limit: int | None = None) -> DataFrame:

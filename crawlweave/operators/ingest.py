@@ -30,11 +30,21 @@ def first_wins(records: DataFrame) -> DataFrame:
     )
 
 
-def new_rows(deduped: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Insert-or-ignore -- rows whose key is not in the state yet."""
+def new_rows(deduped: DataFrame, existing: DataFrame | None, shards: DataFrame | None = None) -> DataFrame:
+    """Insert-or-ignore -- rows whose key is not in the state yet.
+
+    The key starts with ``hf_path``, so only state rows of the shards being
+    ingested can collide.  When ``shards`` (one row per shard file of this
+    batch) is given, the state is cut to those shards first with a semi-join
+    -- the shard list has one row per file, so AQE broadcasts it from its
+    measured size -- and the anti join then shuffles only that slice.
+    """
     if existing is None:
         return deduped
-    return deduped.join(existing.select(*KEY), KEY, "left_anti")
+    keys = existing.select(*KEY)
+    if shards is not None:
+        keys = keys.join(shards.select("hf_path").distinct(), "hf_path", "left_semi")
+    return deduped.join(keys, KEY, "left_anti")
 
 
 def as_state_rows(rows: DataFrame, batch: int = 0) -> DataFrame:
@@ -78,6 +88,7 @@ def upsert_shards(snapshots: DataFrame | None, updates: DataFrame) -> DataFrame:
     return j.select("hf_path", *[F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in cols])
 
 
-def ingest(records: DataFrame, existing: DataFrame | None = None, batch: int = 0) -> DataFrame:
+def ingest(records: DataFrame, existing: DataFrame | None = None, batch: int = 0,
+           shards: DataFrame | None = None) -> DataFrame:
     """Records -> new state rows (first-wins inside the input, ignore existing keys)."""
-    return as_state_rows(new_rows(first_wins(records), existing), batch)
+    return as_state_rows(new_rows(first_wins(records), existing, shards), batch)

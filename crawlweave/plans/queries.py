@@ -172,8 +172,10 @@ SPLIT_BATCH_ROWS = 20        # rows per size check in the split export
 def _saved_with_html(spark: SparkSession, sf_dir: str):
     """Saved rows of the state fixture and their HTML store (K3 -> S7):
     the HTML of page_id % 12 == 7 is missing."""
+    from crawlweave.session import spread
+
     state = FX.state_fx(spark, sf_dir)
-    pages = FX.table(spark, sf_dir, "pages")
+    pages = spread(FX.table(spark, sf_dir, "pages"))
     store = scratch_dir(spark, "html")
     (state.where(ST.is_saved()).join(pages.select(F.col("page_id").alias("ord"), "html"), "ord")
      .where(F.col("ord") % 12 != 7)
@@ -204,8 +206,10 @@ def q_export_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_export_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.operators import export as E
 
-    pages = FX.table(spark, sf_dir, "pages")
-    rows = FX.urls_fx(spark, sf_dir).join(pages.select(F.col("page_id").alias("ord"), "html"), "ord")
+    from crawlweave.session import spread
+
+    pages = spread(FX.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), "html"))
+    rows = FX.urls_fx(spark, sf_dir).join(pages, "ord")
     rows = E.export_rows(rows.drop("html"), rows.select("ord", "html"), ["ord"])
     out = scratch_dir(spark, "export-split")
     E.write_export(rows, out, max_bytes=SPLIT_BYTES, batch_rows=SPLIT_BATCH_ROWS)

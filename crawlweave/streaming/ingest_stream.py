@@ -23,6 +23,7 @@ from crawlweave.operators import ingest as IG
 from crawlweave.sources import metadata as MD
 
 FORCE_BATCH_BASE = 1 << 40      # batch ids of forced (non-stream) re-ingests
+MAX_FILES_PER_TRIGGER = 1000    # bounds the shard list (and work) of one micro-batch
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -47,7 +48,8 @@ def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, sha
     """One ingest batch: parsed records -> new state rows + shard rows."""
     records = records.persist()
     existing = read_state(spark, state_path, before_batch=batch_id)
-    new = IG.ingest(records, existing, batch_id)
+    shards = records.select("hf_path").distinct()
+    new = IG.ingest(records, existing, batch_id, shards=shards)
     new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     IG.shard_rows(records, now).write.mode("overwrite").parquet(f"{shards_path}/batch={batch_id}")
@@ -70,7 +72,7 @@ def stream_lines(spark: SparkSession, source_root: str, max_files_per_trigger: i
 
 
 def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, shards_path: str,
-                      checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+                      checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> None:
     """Ingest every shard not seen by this checkpoint, then stop."""
 
     def each_batch(df: DataFrame, batch_id: int) -> None:

@@ -49,14 +49,15 @@ def test_split_must_be_positive(spark):
         E.assign_parts(export_df(spark, 3), 0)
 
 
-def test_greedy_parts_match_reference_fold(spark):
+@pytest.mark.parametrize("fold_max", [0, 10 ** 6])
+def test_greedy_parts_match_reference_fold(spark, fold_max):
     rnd = random.Random(3)
     rows = []
     for snap in ("a", "b"):
         for i in range(300):
             rows.append((snap, i, "u", 0, 0, "f", "x" * rnd.randrange(0, 200), None))
     df = spark.createDataFrame(rows, ROWS)
-    got = E.assign_parts(df, max_bytes=900, batch_rows=7, n_parts=5).collect()
+    got = E.assign_parts(df, max_bytes=900, batch_rows=7, n_parts=5, fold_max_batches=fold_max).collect()
     for snap in ("a", "b"):
         sizes = [len(r[6]) for r in rows if r[0] == snap]
         want = greedy(sizes, 7, 900)
