@@ -1,9 +1,14 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric": ..., "value": total_sec, "unit": "sec",
-"queries": {name: sec}, "sf": ...}.  Each query is forced end to end with
-the ``noop`` sink (all columns computed, nothing pulled to the driver); the
-time includes deriving its crawl-shaped input from the test tables.
+"queries": {name: sec}, "cold": {name: sec}, "sf": ...}.
+
+Each query is forced end to end with the ``noop`` sink (all columns
+computed, nothing pulled to the driver); the time includes deriving its
+crawl-shaped input (index shards, metadata shards, archives) from the test
+tables.  ``cold`` is the first run of each query in a fresh JVM (JIT and
+Python workers not warm); ``queries``/``value`` are a second run after
+every query has run once (warm), at the same scale factor.
 """
 
 from __future__ import annotations
@@ -25,20 +30,25 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(QUERIES)
     spark = get_spark(f"local[{cpus}]", app_name="crawlweave-bench", shuffle_partitions=int(cpus) * 2)
-    # warm-up: JVM, Python workers, codegen caches
-    QUERIES["progress_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
-    for name in names:
+
+    def run(name: str) -> float:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
-        print(f"# {name}: {times[name]} s", file=sys.stderr, flush=True)
+        return round(time.perf_counter() - t0, 3)
+
+    cold = {name: run(name) for name in names}
+    times: dict[str, float] = {}
+    for name in names:
+        times[name] = run(name)
+        print(f"# {name}: cold {cold[name]} s, warm {times[name]} s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "cold": cold,
+        "cold_total": round(sum(cold.values()), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }))

@@ -41,7 +41,7 @@ def urls_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(page_snapshot("page_id"), F.lit("/tt_meta_"), (pid % 2).cast("string"),
                  F.lit(".jsonl.zst")).alias("hf_path"),
         F.when(pid % 5 == 0, F.upper("url")).otherwise(F.col("url")).alias("url_raw"),
-        F.regexp_replace("url", "#.*$", "").alias("url_norm"),
+        S.canonicalize_url(F.col("url")).alias("url_norm"),
         F.when(pid % 11 == 0, F.lit(None).cast("long"))
         .when(pid % 23 == 0, F.lit(0).cast("long"))
         .otherwise(F.lit(BASE_EPOCH) + (pid * DATE_STEP) % DATE_SPAN).cast("long").alias("warc_date"),

@@ -368,3 +368,51 @@ SELECT e.snapshot_name, e.rel_path, e.basename FROM entries e
 WHERE regexp_full_match(e.basename, 'cdx-[0-9]{5}[.]gz')
   AND NOT EXISTS (SELECT 1 FROM present p WHERE p.snapshot_name = e.snapshot_name AND p.basename = e.basename)
 """
+
+_READY = 'filename IS NOT NULL AND "offset" IS NOT NULL AND length IS NOT NULL AND saved_path IS NULL'
+
+ORACLE.update({
+    "progress_by_snapshot": f"""
+WITH {STATE_FX}
+SELECT snapshot_name,
+       CAST(count(*) AS BIGINT) AS total,
+       CAST(count(*) FILTER (WHERE filename IS NOT NULL) AS BIGINT) AS resolved,
+       CAST(count(*) FILTER (WHERE saved_path IS NOT NULL) AS BIGINT) AS downloaded,
+       CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) AS errors
+FROM state_fx GROUP BY ROLLUP (snapshot_name)
+""",
+    "export_counts": f"""
+WITH {STATE_FX}
+SELECT snapshot_name, CAST(least(count(*), 20) AS BIGINT) AS rows
+FROM state_fx WHERE saved_path IS NOT NULL GROUP BY snapshot_name
+""",
+    "snapshot_lists": f"""
+WITH {STATE_FX}
+SELECT DISTINCT 'unresolved' AS kind, snapshot_name FROM state_fx
+WHERE "offset" IS NULL OR length IS NULL OR filename IS NULL
+UNION ALL
+SELECT DISTINCT 'saved' AS kind, snapshot_name FROM state_fx WHERE saved_path IS NOT NULL
+""",
+    "ready_budget": f"""
+WITH {STATE_FX}
+SELECT snapshot_name, url_raw, filename, "offset", length FROM state_fx
+WHERE {_READY} ORDER BY filename, "offset" LIMIT 25
+""",
+    "saved_budget": f"""
+WITH {STATE_FX}
+SELECT snapshot_name, url_raw, saved_path FROM state_fx
+WHERE saved_path IS NOT NULL AND snapshot_name = 'CC-MAIN-2024-11' ORDER BY ord LIMIT 25
+""",
+    "archive_budget": """
+WITH p AS (
+  SELECT page_id AS pid, url,
+         'crawl/seg-' || CAST(page_id % 4 + 4 * (page_id // 1000) AS VARCHAR) || '.warc.gz' AS archive
+  FROM pages
+),
+present AS (SELECT DISTINCT archive FROM p WHERE pid % 11 <> 5),
+first AS (SELECT archive FROM present ORDER BY archive LIMIT 3)
+SELECT p.archive, p.url AS url_raw, true AS range_valid
+FROM p JOIN first f ON f.archive = p.archive
+WHERE p.pid % 11 <> 5
+""",
+})

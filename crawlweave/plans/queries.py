@@ -225,6 +225,44 @@ def q_shard_manifest_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.select("snapshot_name", "rel_path", "basename")
 
 
+READY_BUDGET = 25            # rows in the ready-range budget (O1)
+ARCHIVE_BUDGET = 3           # archives in the extraction budget (O5)
+
+
+def q_progress_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.progress_by_snapshot(FX.state_fx(spark, sf_dir))
+
+
+def q_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.saved_counts(FX.state_fx(spark, sf_dir), limit=EXPORT_LIMIT)
+
+
+def q_snapshot_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = FX.state_fx(spark, sf_dir)
+    return (ST.snapshots_with_unresolved(state).select(F.lit("unresolved").alias("kind"), "snapshot_name")
+            .unionByName(ST.snapshots_with_saved(state).select(F.lit("saved").alias("kind"), "snapshot_name")))
+
+
+def q_ready_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ST.ready(FX.state_fx(spark, sf_dir), limit=READY_BUDGET)
+    return rows.select("snapshot_name", "url_raw", "filename", "offset", "length")
+
+
+def q_saved_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ST.saved(FX.state_fx(spark, sf_dir), snapshot="CC-MAIN-2024-11", limit=READY_BUDGET)
+    return rows.select("snapshot_name", "url_raw", "saved_path")
+
+
+def q_archive_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.operators import extract as X
+    from crawlweave.sources import warc as W
+
+    root, locations = FX.write_warc_fixture(spark, sf_dir)
+    state = FX.extract_state(spark, sf_dir, locations)
+    rows = X.plan_extraction(state, W.list_archives(spark, root), limit_archives=ARCHIVE_BUDGET)
+    return rows.select("archive", "url_raw", "range_valid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
     "shard_manifest_missing": q_shard_manifest_missing,
@@ -245,4 +283,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_snapshot": q_export_snapshot,
     "export_limited": q_export_limited,
     "export_split_parts": q_export_split_parts,
+    "progress_by_snapshot": q_progress_by_snapshot,
+    "export_counts": q_export_counts,
+    "snapshot_lists": q_snapshot_lists,
+    "ready_budget": q_ready_budget,
+    "saved_budget": q_saved_budget,
+    "archive_budget": q_archive_budget,
 }
