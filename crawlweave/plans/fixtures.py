@@ -20,7 +20,8 @@ BASE_EPOCH = 1704067200          # 2024-01-01T00:00:00Z
 DATE_SPAN = 2592000              # 30 days, the span of events.ts
 DATE_STEP = 7919                 # spreads page dates over the span
 SNAPSHOT_STEM = "CC-MAIN-2024-1"  # + page_id % 3
-INDEX_SHARDS = 4                 # capture-index shards per snapshot
+INDEX_SHARDS = 4                 # capture-index shards per snapshot per block of events
+EVENTS_PER_BLOCK = 100_000       # so a shard file never grows with the data
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,19 +139,21 @@ def capture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(urlkey, F.lit(" "), stamp, F.lit(" "), record))
     )
     snap_page = F.when(uid % 11 == 4, F.col("page_id") + 1).otherwise(F.col("page_id"))
+    shard = eid % INDEX_SHARDS + INDEX_SHARDS * (eid / EVENTS_PER_BLOCK).cast("long")
     return e.select(
         F.concat(F.lit(SNAPSHOT_STEM), (snap_page % 3).cast("string")).alias("snapshot"),
-        (eid % INDEX_SHARDS).alias("shard"),
+        F.lpad(shard.cast("string"), 5, "0").alias("shard"),
         eid.alias("event_id"),
         value.alias("value"),
     )
 
 
 def write_cdx_fixture(spark: SparkSession, sf_dir: str) -> str:
-    """Write the capture index as gzip text shards ``<root>/snapshot=S/shard=k/``.
+    """Write the capture index as gzip text shards ``<root>/snapshot=S/shard=NNNNN/``.
 
     One task writes each shard with its lines in event order, so the index
-    scan order is ``(shard, event_id)`` within a snapshot.
+    scan order is ``(shard, event_id)`` within a snapshot.  Shards hold at
+    most ``EVENTS_PER_BLOCK / INDEX_SHARDS`` lines each.
     """
     root = scratch_dir(spark, "cdx")
     (

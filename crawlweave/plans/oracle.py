@@ -53,7 +53,7 @@ caps_raw AS (
               ELSE strftime(e.ts, '%Y%m%d%H%M%S') END AS stamp,
          'CC-MAIN-2024-1' || CAST((CASE WHEN e.user_id % 11 = 4 THEN p.page_id + 1 ELSE p.page_id END) % 3
            AS VARCHAR) AS snapshot_name,
-         e.event_id % 4 AS shard
+         lpad(CAST(e.event_id % 4 + 4 * (e.event_id // 100000) AS VARCHAR), 5, '0') AS shard
   FROM events e JOIN pages p ON e.event_id % (SELECT count(*) FROM pages) = p.page_id
 ),
 caps AS (
