@@ -6,9 +6,9 @@ Prints one JSON line: {"metric": ..., "value": total_sec, "unit": "sec",
 Each query is forced end to end with the ``noop`` sink (all columns
 computed, nothing pulled to the driver); the time includes deriving its
 crawl-shaped input (index shards, metadata shards, archives) from the test
-tables.  ``cold`` is the first run of each query in a fresh JVM (JIT and
-Python workers not warm); ``queries``/``value`` are a second run after
-every query has run once (warm), at the same scale factor.
+tables.  ``cold`` is the first run of each query, ``queries``/``value``
+the run right after it (same query, same scale factor, JIT and Python
+workers warm).  Each run writes its derived input afresh.
 """
 
 from __future__ import annotations
@@ -36,9 +36,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - t0, 3)
 
-    cold = {name: run(name) for name in names}
+    cold: dict[str, float] = {}
     times: dict[str, float] = {}
     for name in names:
+        cold[name] = run(name)
         times[name] = run(name)
         print(f"# {name}: cold {cold[name]} s, warm {times[name]} s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
