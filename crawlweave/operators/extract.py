@@ -47,7 +47,8 @@ def extraction_events(rows: DataFrame, results: DataFrame, key_cols: list[str],
     """K9/K10 state events out of extraction results."""
     from crawlweave.functions import scalars as S
 
-    j = rows.select(*key_cols, "snapshot_name", "url_raw", "digest").join(results, key_cols)
+    cols = list(dict.fromkeys(key_cols + ["snapshot_name", "url_raw", "digest"]))
+    j = rows.select(*cols).join(results, key_cols)
     ok = F.col("error").isNull()
     return j.select(
         *key_cols,

@@ -33,8 +33,29 @@ def snapshot_below(path: F.Column, root: str) -> F.Column:
     return F.regexp_extract(path, r"/\Q" + root_name + r"\E/(?:snapshot=)?([^/]+)/", 1)
 
 
+def snapshot_folders(root: str, snapshots: list[str]) -> dict[str, str]:
+    """Existing index folders of the given snapshots (``<root>/<s>`` or ``<root>/snapshot=<s>``)."""
+    from pyarrow import fs as pafs
+
+    from crawlweave.session import filesystem_for
+
+    found = {}
+    for s in snapshots:
+        for path in (f"{root}/{s}", f"{root}/snapshot={s}"):
+            filesystem, inner = filesystem_for(path)
+            if filesystem.get_file_info(inner).type == pafs.FileType.Directory:
+                found[s] = path
+                break
+    return found
+
+
 def _index_text(spark: SparkSession, root: str, snapshots: list[str] | None, path_glob: str) -> DataFrame:
-    paths = [f"{root}/{s}" for s in snapshots] if snapshots else [root]
+    if snapshots is None:
+        paths = [root]
+    else:
+        paths = list(snapshot_folders(root, snapshots).values())
+        if not paths:
+            return spark.createDataFrame([], "value string, file_path string, block_start long")
     return (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")
