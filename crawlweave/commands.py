@@ -6,6 +6,7 @@ Layout of ``state_root`` (every part append-only; readers take the latest)::
     shards/batch=<n>/          one row per ingested shard (imported, time, count)
     events/run=<seq>/          state updates from resolve / extract runs
     html/snapshot_name=<s>/    saved pages: hf_path, url_raw, saved_path, html
+    compact/v=<seq>/           folded state up to event ``seq`` (see ``compact``)
     stream-checkpoint/         file-source checkpoint of the incremental ingest
 
 ``current_state`` folds the event log over the URL rows (latest event per
@@ -68,14 +69,42 @@ def events(spark: SparkSession, state_root: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(path) else None
 
 
+def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, DataFrame] | None:
+    path = _p(state_root, "compact")
+    if not _exists(path):
+        return None
+    # partition values only: one row per compaction ever made
+    top = spark.read.parquet(path).select("v").distinct().agg(F.max("v")).first()[0]
+    return None if top is None else (int(top), spark.read.parquet(f"{path}/v={top}"))
+
+
 def current_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """Latest state of every URL row (W4 over the event log)."""
+    """Latest state of every URL row (W4 over the event log).
+
+    With a compaction, only the URL batches it does not cover and the events
+    newer than it are folded over it -- the cost no longer grows with the
+    number of past runs.  (Compact while no command is running.)
+    """
     apply_session_conf(spark)
     urls = url_rows(spark, state_root)
     ev = events(spark, state_root)
+    base = _latest_compaction(spark, state_root)
+    if base is not None:
+        v, done = base
+        covered = done.select("batch").distinct()     # one row per ingest batch
+        urls = done.unionByName(urls.join(covered, "batch", "left_anti"))
+        ev = None if ev is None else ev.where(F.col("seq") > F.lit(v))
     return urls if ev is None else ST.fold_events(urls, ev, KEY)
 
 
+def compact(spark: SparkSession, state_root: str) -> int:
+    """Write the current state as ``compact/v=<seq>`` and return ``seq``;
+    later reads start from it.  Old URL batches and events stay on disk."""
+    seq = time.time_ns()
+    current_state(spark, state_root).write.parquet(f"{_p(state_root, 'compact')}/v={seq}")
+    return seq
+
+
 def _append_events(ev: DataFrame, state_root: str, seq: int) -> DataFrame:
     path = f"{_p(state_root, 'events')}/run={seq}"
     ev.write.mode("overwrite").parquet(path)

@@ -113,8 +113,11 @@ def ship_package(spark: SparkSession) -> None:
     The package is zipped into the shared checkpoint folder and added with
     ``addPyFile`` -- the in-session equivalent of ``--py-files``.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     import zipfile
@@ -127,7 +130,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(local_zip)
+    if sc is not None:
+        sc.addPyFile(local_zip)
+    else:
+        spark.addArtifacts(local_zip, pyfile=True)
     _SHIPPED.add(app)
 
 

@@ -57,3 +57,13 @@ def test_end_to_end(spark):
 
     s = C.stats(spark, state).first()
     assert s.total == n and s.downloaded == kinds["downloaded"] and s.errors == kinds.get("error", 0)
+
+    # compaction keeps the state; later events and new URL batches still apply
+    before = sorted(map(tuple, C.current_state(spark, state).select(*C.KEY, "status", "saved_path").collect()))
+    C.compact(spark, state)
+    after = sorted(map(tuple, C.current_state(spark, state).select(*C.KEY, "status", "saved_path").collect()))
+    assert before == after
+    C.extract_html(spark, state, archives)            # retries the error rows after the compaction
+    assert C.stats(spark, state).first().errors == kinds.get("error", 0)
+    C.compact(spark, state)
+    assert C.stats(spark, state).first().total == n
