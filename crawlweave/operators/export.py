@@ -170,10 +170,3 @@ def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
      .partitionBy(*by).parquet(out))
     if cached is not None:
         cached.unpersist()
-
-
-def export_counts(saved: DataFrame, limit: int | None = None) -> DataFrame:
-    """A3 by snapshot name (alias of the metrics helper)."""
-    from crawlweave.operators.metrics import saved_counts
-
-    return saved_counts(saved, limit)

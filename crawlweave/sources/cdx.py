@@ -23,10 +23,6 @@ CDXJ_SCHEMA = T.StructType([
                  "mimetype", "mime", "timestamp", "status", "digest")
 ])
 
-CAPTURE_COLUMNS = ["snapshot_name", "url", "filename", "offset", "length",
-                   "capture_ts", "scan_ord"]
-
-
 def snapshot_below(path: F.Column, root: str) -> F.Column:
     """Name of the folder right below ``root`` in ``path`` (a ``snapshot=`` prefix is dropped)."""
     root_name = root.rstrip("/").split("/")[-1]
@@ -116,15 +112,6 @@ def _captures(rec: DataFrame) -> DataFrame:
     )
 
 
-def captures_from_lines(lines: DataFrame) -> DataFrame:
-    """Valid HTML captures out of raw index lines.
-
-    Drops lines without JSON, records without url/original, non-HTML mime
-    types, and locations that are missing or not integers.
-    """
-    return _captures(lines.select("snapshot_name", "scan_ord", parse_cdxj("value").alias("r")))
-
-
 def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None = None,
                   path_glob: str = "*.gz") -> DataFrame:
     """The valid HTML captures of the index shards under ``root``.

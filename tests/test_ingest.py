@@ -99,3 +99,16 @@ def test_list_shards_filter(spark, tmp_root):
     write_shard(spark, tmp_root, "x/tt_meta/a.jsonl.zst", [rec("u")])
     write_shard(spark, tmp_root, "x/other/b.jsonl.zst", [rec("u")])
     assert [r.hf_path for r in MD.list_shards(spark, tmp_root).collect()] == ["x/tt_meta/a.jsonl.zst"]
+
+
+def test_batch_rerun_is_idempotent(spark, tmp_root):
+    """A micro-batch replayed after a failure writes the same rows again (exactly once)."""
+    from crawlweave.session import scratch_dir
+
+    write_shard(spark, tmp_root, "S/tt_meta_0.jsonl.zst", [rec("u1"), rec("u2"), rec("u1")])
+    state, shards = scratch_dir(spark, "st"), scratch_dir(spark, "sh")
+    IS.ingest_records(spark, MD.read_records(spark, tmp_root), state, shards, batch_id=0)
+    IS.ingest_records(spark, MD.read_records(spark, tmp_root), state, shards, batch_id=0)   # replay
+    assert sorted(r.url_raw for r in spark.read.parquet(state).collect()) == ["u1", "u2"]
+    IS.ingest_records(spark, MD.read_records(spark, tmp_root), state, shards, batch_id=1)   # later batch
+    assert spark.read.parquet(state).count() == 2
