@@ -14,13 +14,13 @@ def ready_archives(state: DataFrame) -> DataFrame:
 
 
 def write_path_file(state: DataFrame, path: str) -> None:
-    """K4: the distinct ready archive names, sorted, one per line, one file.
+    """K4: the distinct ready archive names, sorted, one per line.
 
-    The list has one line per archive file (not per row), so a single
-    writer task is bounded by the number of archives.
+    Written by a global sort: the part files under ``path`` are range
+    partitions, so reading them in file-name order gives the sorted list
+    (no single writer task).
     """
-    (ready_archives(state).orderBy("filename").coalesce(1)
-     .write.mode("overwrite").text(path))
+    ready_archives(state).orderBy("filename").write.mode("overwrite").text(path)
 
 
 def plan_extraction(state: DataFrame, present: DataFrame, limit_archives: int | None = None) -> DataFrame:
