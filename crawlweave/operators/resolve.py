@@ -103,22 +103,22 @@ def nearest_timed(per_second: DataFrame, cands: DataFrame) -> DataFrame:
     both = timed.unionByName(targets).withColumn("day", F.floor(F.col("t") / DAY))
 
     in_day = Window.partitionBy("snapshot_name", "url", "day").orderBy("t", "kind")
-    near = (
-        both.select(
-            "snapshot_name", "url", "day", "t", "kind",
-            F.last("cap", ignorenulls=True).over(
-                in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("prev_in"),
-            F.first("cap", ignorenulls=True).over(
-                in_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("next_in"),
-        )
-        .where(F.col("kind") == 1)
-    )
-
-    timed_t = F.when(F.col("kind") == 0, F.col("t"))
-    days = both.groupBy("snapshot_name", "url", "day").agg(
-        F.max_by("cap", timed_t).alias("day_last"),
-        F.min_by("cap", timed_t).alias("day_first"),
+    whole_day = in_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one window pass gives the in-day neighbours of each target and the
+    # day's first / last capture (same partitioning and order, different frames)
+    scanned = both.select(
+        "snapshot_name", "url", "day", "t", "kind",
+        F.last("cap", ignorenulls=True).over(
+            in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("prev_in"),
+        F.first("cap", ignorenulls=True).over(
+            in_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("next_in"),
+        F.first("cap", ignorenulls=True).over(whole_day).alias("day_first"),
+        F.last("cap", ignorenulls=True).over(whole_day).alias("day_last"),
     )
+    near = scanned.where(F.col("kind") == 1)
+    # the data is already partitioned by (snapshot, url, day): no shuffle here
+    days = scanned.groupBy("snapshot_name", "url", "day").agg(
+        F.first("day_first").alias("day_first"), F.first("day_last").alias("day_last"))
     across = Window.partitionBy("snapshot_name", "url").orderBy("day")
     days = days.select(
         "snapshot_name", "url", "day",
