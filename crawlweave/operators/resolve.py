@@ -14,6 +14,9 @@ picked per row:
 Scale design -- no step emits all pairs of a (snapshot, url) group, and no
 group whose size grows with the data is gathered into one task:
 
+0. the candidate rows (rows x <= 3 URLs) are the largest intermediate: they
+   are reduced once to distinct (snapshot, url, target date) lookups and
+   joined back once at the end -- two shuffles of them in total.
 1. distinct candidate keys semi-join the index (the index is cut to the URLs
    we need; AQE turns this into a broadcast when the key set is small).
 2. captures collapse to one per (snapshot, url, second) -- the earliest in
@@ -25,8 +28,9 @@ group whose size grows with the data is gathered into one task:
    second of that day (<= 2 * 86,400 rows) whatever the data volume.
 4. neighbours in other days come from a per-(snapshot, url) window over the
    per-day summary table (one row per day with data).
-5. each candidate row picks the least of (previous, next, first-untimed)
-   capture; rows then take the least over their <= 3 candidates.
+5. each lookup picks the least of (previous, next, first-untimed) capture by
+   (delta, scan order); each row then takes the least over its <= 3
+   candidates (prefixed by the candidate position for ``priority``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from crawlweave.functions import scalars as S
 
 DAY = 86_400
 STRATEGIES = ("nearest", "priority")
+UNDATED = -1            # target key of rows without a date (dates are > 0)
 
 
 def _capture_struct() -> F.Column:
@@ -60,14 +65,20 @@ def candidate_rows(rows: DataFrame, key_cols: list[str]) -> DataFrame:
     return rows.select(
         *[F.col(c) for c in key_cols],
         "snapshot_name",
-        F.when(date.isNull() | (date == 0), F.lit(None).cast("long")).otherwise(date).alias("target_ts"),
+        F.when(date.isNull() | (date == 0), F.lit(UNDATED)).otherwise(date).cast("long").alias("target_ts"),
         F.posexplode_outer(S.url_candidates("url_raw", "url_norm")).alias("cand_pos", "url"),
     )
 
 
-def needed_captures(captures: DataFrame, cands: DataFrame) -> DataFrame:
+def distinct_targets(cands: DataFrame) -> DataFrame:
+    """Distinct (snapshot, url, target_ts) lookups: every later step runs on
+    these instead of on the (much larger) candidate rows."""
+    return cands.where(F.col("url").isNotNull()).select("snapshot_name", "url", "target_ts").distinct()
+
+
+def needed_captures(captures: DataFrame, targets: DataFrame) -> DataFrame:
     """Captures whose (snapshot, url) is a candidate of some row."""
-    wanted = cands.where(F.col("url").isNotNull()).select("snapshot_name", "url").distinct()
+    wanted = targets.select("snapshot_name", "url").distinct()
     return captures.join(wanted, ["snapshot_name", "url"], "left_semi")
 
 
@@ -88,14 +99,12 @@ def url_summary(per_second: DataFrame) -> DataFrame:
     )
 
 
-def nearest_timed(per_second: DataFrame, cands: DataFrame) -> DataFrame:
-    """As-of in both directions: for each distinct (snapshot, url, target_ts)
+def nearest_timed(per_second: DataFrame, targets: DataFrame) -> DataFrame:
+    """As-of in both directions: for each distinct dated (snapshot, url, target_ts)
     the last timed capture at or before it and the first one after it."""
     targets = (
-        cands.where(F.col("target_ts").isNotNull() & F.col("url").isNotNull())
-        .select("snapshot_name", "url", F.col("target_ts").alias("t"))
-        .distinct()
-        .select("snapshot_name", "url", "t", F.lit(1).alias("kind"),
+        targets.where(F.col("target_ts") != UNDATED)
+        .select("snapshot_name", "url", F.col("target_ts").alias("t"), F.lit(1).alias("kind"),
                 F.lit(None).cast(per_second.schema["cap"].dataType).alias("cap"))
     )
     timed = per_second.where(F.col("capture_ts") > 0).select(
@@ -132,16 +141,29 @@ def nearest_timed(per_second: DataFrame, cands: DataFrame) -> DataFrame:
     )
 
 
-def _option(cap: F.Column, target: F.Column | None, pos: F.Column | None) -> F.Column:
-    """Sort key + payload of one candidate capture; NULL when ``cap`` is NULL."""
+def _option(cap: F.Column, target: F.Column | None) -> F.Column:
+    """(delta, scan order, capture) of one capture; NULL when ``cap`` is NULL."""
     if target is None:
         delta = F.lit(0).cast("long")
     else:
         delta = F.when(cap["capture_ts"] == 0, F.lit(S.NO_TIMESTAMP_DELTA)).otherwise(
             F.abs(cap["capture_ts"] - target))
-    fields = [] if pos is None else [pos.alias("pos")]
-    fields += [delta.alias("delta"), cap["scan_ord"].alias("ord"), cap.alias("cap")]
-    return F.when(cap.isNotNull(), F.struct(*fields))
+    return F.when(cap.isNotNull(), F.struct(delta.alias("delta"), cap["scan_ord"].alias("ord"), cap.alias("cap")))
+
+
+def best_per_target(per_second: DataFrame, targets: DataFrame) -> DataFrame:
+    """Best capture for each distinct (snapshot, url, target_ts): the least
+    of (previous, next, first untimed) by (delta, scan order); the first
+    capture seen when the target is undated."""
+    summary = url_summary(per_second)
+    timed = nearest_timed(per_second, targets)
+    t = (targets.join(summary, ["snapshot_name", "url"], "left")
+         .join(timed, ["snapshot_name", "url", "target_ts"], "left"))
+    tgt = F.col("target_ts")
+    dated = F.least(_option(F.col("prev_cap"), tgt), _option(F.col("next_cap"), tgt),
+                    _option(F.col("first_untimed"), tgt))
+    best = F.when(tgt == UNDATED, _option(F.col("first_any"), None)).otherwise(dated)
+    return t.select("snapshot_name", "url", "target_ts", best.alias("opt"))
 
 
 def best_captures(rows: DataFrame, captures: DataFrame, key_cols: list[str],
@@ -153,26 +175,18 @@ def best_captures(rows: DataFrame, captures: DataFrame, key_cols: list[str],
 
     checkpoint_root(rows.sparkSession)
     cands = candidate_rows(rows, key_cols)
+    targets = distinct_targets(cands)
     # the index is the largest input: scan it once, keep only the captures of
-    # our URLs (one per second), and cut the lineage so the three consumers
-    # below read this table instead of rescanning the index
-    per_second = first_per_second(needed_captures(captures, cands)).checkpoint(eager=True)
-    summary = url_summary(per_second)
-    timed = nearest_timed(per_second, cands)
-
-    scored = (
-        cands.join(summary, ["snapshot_name", "url"], "left")
-        .join(timed, ["snapshot_name", "url", "target_ts"], "left")
-    )
-    pos = F.col("cand_pos") if strategy == "priority" else None
-    tgt = F.col("target_ts")
-    dated = F.least(
-        _option(F.col("prev_cap"), tgt, pos),
-        _option(F.col("next_cap"), tgt, pos),
-        _option(F.col("first_untimed"), tgt, pos),
-    )
-    undated = _option(F.col("first_any"), None, pos)
-    choice = F.when(tgt.isNull(), undated).otherwise(dated)
+    # our URLs (one per second), and cut the lineage so the consumers below
+    # read this table instead of rescanning the index
+    per_second = first_per_second(needed_captures(captures, targets)).checkpoint(eager=True)
+    per_target = best_per_target(per_second, targets)
+
+    opt = F.col("opt")
+    fields = [F.col("cand_pos").alias("pos")] if strategy == "priority" else []
+    choice = F.when(opt.isNotNull(), F.struct(*fields, opt["delta"].alias("delta"), opt["ord"].alias("ord"),
+                                              opt["cap"].alias("cap")))
+    scored = cands.join(per_target, ["snapshot_name", "url", "target_ts"], "left")
     return scored.groupBy(*key_cols).agg(F.min(choice).alias("best"))
 
 
