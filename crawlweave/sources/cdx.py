@@ -91,35 +91,39 @@ def parse_cdxj(value) -> F.Column:
 
 
 def _captures(rec: DataFrame) -> DataFrame:
+    """Valid captures of parsed records (``snapshot_name, scan_ord, r``).
+
+    Each record yields a 0/1-element array that ``inline`` expands: there is
+    no filter for Catalyst to push below the parse, so ``from_json`` runs
+    once per line whatever columns the caller keeps.
+    """
     r = F.col("r")
     url = S.capture_url(r["url"], r["original"])
     offset = S.to_long_strict(r["offset"])
     length = S.to_long_strict(r["length"])
-    return (
-        rec.where(r.isNotNull())
-        .where(url.isNotNull())
-        .where(S.is_html_capture(r["filename"], r["offset"], r["length"], r["mimetype"], r["mime"]))
-        .select(
-            "snapshot_name",
-            url.alias("url"),
-            r["filename"].alias("filename"),
-            offset.alias("offset"),
-            length.alias("length"),
-            S.parse_cdx_timestamp(r["timestamp"]).alias("capture_ts"),
-            "scan_ord",
-        )
-        .where(F.col("offset").isNotNull() & F.col("length").isNotNull())
+    valid = (
+        r.isNotNull() & url.isNotNull() & offset.isNotNull() & length.isNotNull()
+        & S.is_html_capture(r["filename"], r["offset"], r["length"], r["mimetype"], r["mime"])
+    )
+    row = F.struct(
+        F.col("snapshot_name").alias("snapshot_name"),
+        url.alias("url"),
+        r["filename"].alias("filename"),
+        offset.alias("offset"),
+        length.alias("length"),
+        S.parse_cdx_timestamp(r["timestamp"]).alias("capture_ts"),
+        F.col("scan_ord").alias("scan_ord"),
     )
+    return rec.select(F.inline(F.filter(F.array(F.when(valid, row)), lambda x: x.isNotNull())))
 
 
 def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None = None,
                   path_glob: str = "*.gz") -> DataFrame:
     """The valid HTML captures of the index shards under ``root``.
 
-    The JSON payload is parsed in the same projection that numbers the lines:
-    that projection is not deterministic, so Catalyst neither pushes the
-    validity filters below it nor splits ``from_json`` into one parse per
-    field -- each line is parsed exactly once.
+    Each line is parsed once: the validity rules select records through
+    ``inline`` (see ``_captures``) rather than a filter Catalyst could push
+    below the parse and split into one ``from_json`` per field.
     """
     text = S.bytes_to_text(F.col("value").cast("binary"))
     rec = _index_text(spark, root, snapshots, path_glob).select(

@@ -116,8 +116,7 @@ def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFram
     ``scalars.canonicalize_url`` for an opt-in canonical form).
 
     Pass ``line_ord=F.monotonically_increasing_id()`` to number lines in the
-    same projection that parses them: that projection is not deterministic,
-    so Catalyst keeps the filters above it and each line is parsed once.
+    projection that parses them (valid for unsplittable shards).
     """
     ord_col = F.col("line_ord") if line_ord is None else line_ord
     rec = lines.select(
@@ -127,9 +126,9 @@ def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFram
     )
     h = F.col("r.warc_headers")
     url = S.blank_to_null(h["warc-target-uri"])
-    return rec.where(url.isNotNull()).select(
-        "hf_path",
-        "line_ord",
+    row = F.struct(
+        F.col("hf_path").alias("hf_path"),
+        F.col("line_ord").alias("line_ord"),
         S.snapshot_name_from_path(F.col("hf_path")).alias("snapshot_name"),
         url.alias("url_raw"),
         url.alias("url_norm"),
@@ -137,6 +136,9 @@ def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFram
         h["warc-record-id"].alias("warc_record_id"),
         S.first_digest(h["warc-block-digest"], h["warc-payload-digest"]).alias("digest"),
     )
+    # records come out of ``inline`` (0 or 1 per line) instead of a filter, so
+    # Catalyst cannot push a condition below the parse: one parse per line
+    return rec.select(F.inline(F.filter(F.array(F.when(url.isNotNull(), row)), lambda x: x.isNotNull())))
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
