@@ -19,6 +19,8 @@ from crawlweave.session import filesystem_for
 
 TARGET_MISMATCH = "WARC target mismatch"
 RANGE_BUCKET = 1 << 30          # rows of one archive spread over tasks per GiB of offsets
+COALESCE_GAP = 1 << 20          # ranges closer than this are fetched with one read ...
+COALESCE_SPAN = 64 << 20        # ... as long as the combined read stays under this size
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -69,26 +71,69 @@ def decode_record(data: bytes, url_raw: str | None = None, check_target: bool =
     return body
 
 
+def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = COALESCE_GAP,
+                    span: int = COALESCE_SPAN) -> list[tuple[int, int, list[int]]]:
+    """Group (offset, length) ranges sorted by offset into reads.
+
+    Returns ``(start, end, members)`` per read, members being indexes into
+    ``ranges``.  Neighbours closer than ``gap`` share a read while it stays
+    under ``span`` bytes: one request instead of one per record, which is
+    what matters on object storage.
+    """
+    reads: list[tuple[int, int, list[int]]] = []
+    for i, (off, ln) in enumerate(ranges):
+        end = off + ln
+        if reads:
+            s0, e0, members = reads[-1]
+            if off - e0 <= gap and max(e0, end) - s0 <= span:
+                reads[-1] = (s0, max(e0, end), members + [i])
+                continue
+        reads.append((off, end, [i]))
+    return reads
+
+
 def _read_ranges(root: str, check_target: bool, keep_url: bool):
     def run(batches):
         handles: dict[str, object] = {}
         try:
             for pdf in batches:
-                payloads, errors = [], []
-                for archive, offset, length, url in zip(pdf["archive"], pdf["offset"], pdf["length"], pdf["url_raw"]):
+                n = len(pdf)
+                payloads, errors = [None] * n, [None] * n
+                archives, offsets, lengths, urls = (list(pdf["archive"]), list(pdf["offset"]),
+                                                    list(pdf["length"]), list(pdf["url_raw"]))
+                good: dict[str, list[int]] = {}
+                for i in range(n):
+                    ln, off = lengths[i], offsets[i]
+                    if ln is None or off is None or ln != ln or off != off or ln <= 0 or off < 0:
+                        errors[i] = "offset must be >= 0 and length must be > 0"
+                    else:
+                        good.setdefault(archives[i], []).append(i)
+                for archive, idx in good.items():
+                    idx.sort(key=lambda i: offsets[i])
                     try:
-                        if length is None or offset is None or length <= 0 or offset < 0:
-                            raise ValueError("offset must be >= 0 and length must be > 0")
                         f = handles.get(archive)
                         if f is None:
                             filesystem, inner = filesystem_for(f"{root}/{archive}")
                             f = handles[archive] = filesystem.open_input_file(inner)
-                        data = f.read_at(int(length), int(offset))
-                        payloads.append(decode_record(data, url, check_target))
-                        errors.append(None)
-                    except Exception as e:  # noqa: BLE001 - isolate per-row failures (E3)
-                        payloads.append(None)
-                        errors.append(str(e) or type(e).__name__)
+                    except Exception as e:  # noqa: BLE001 - absent / unreadable archive
+                        for i in idx:
+                            errors[i] = str(e) or type(e).__name__
+                        continue
+                    ranges = [(int(offsets[i]), int(lengths[i])) for i in idx]
+                    for start, end, members in coalesce_ranges(ranges):
+                        try:
+                            block = f.read_at(end - start, start)
+                        except Exception as e:  # noqa: BLE001
+                            for m in members:
+                                errors[idx[m]] = str(e) or type(e).__name__
+                            continue
+                        for m in members:
+                            i = idx[m]
+                            off, ln = ranges[m]
+                            try:
+                                payloads[i] = decode_record(block[off - start: off - start + ln], urls[i], check_target)
+                            except Exception as e:  # noqa: BLE001 - isolate per-row failures (E3)
+                                errors[i] = str(e) or type(e).__name__
                 out = pdf if keep_url else pdf.drop(columns=["url_raw"])
                 yield out.assign(payload=payloads, error=errors)
         finally:
@@ -102,7 +147,8 @@ def read_ranges(rows: DataFrame, root: str, key_cols: list[str], check_target: b
 
     Rows are hash-partitioned by (archive, offset bucket) and sorted by
     offset, so a task reads one archive front to back; the bucket keeps a
-    huge archive from landing in a single task.
+    huge archive from landing in a single task.  Nearby ranges are fetched
+    with one read (``coalesce_ranges``).
     Returns ``key_cols + archive, offset, length, payload (binary), error``.
     """
     cols = list(dict.fromkeys(key_cols + ["archive", "offset", "length", "url_raw"]))

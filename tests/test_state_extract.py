@@ -95,3 +95,9 @@ def test_write_path_file(spark, tmp_root):
     for f in sorted(glob.glob(os.path.join(local_path(tmp_root), "part-*"))):
         lines += open(f).read().splitlines()
     assert lines == ["a.warc.gz", "b.warc.gz"]
+
+
+def test_coalesce_ranges():
+    reads = W.coalesce_ranges([(0, 10), (10, 5), (2000, 10), (2_000_000, 1)], gap=100, span=1000)
+    assert reads == [(0, 15, [0, 1]), (2000, 2010, [2]), (2_000_000, 2_000_001, [3])]
+    assert W.coalesce_ranges([(0, 600), (650, 600)], gap=100, span=1000) == [(0, 600, [0]), (650, 1250, [1])]
