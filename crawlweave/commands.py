@@ -151,10 +151,7 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     """
     state = current_state(spark, state_root)
     rows = X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit)
-    # the extraction result feeds two writers: materialise it once (a written table)
-    tmp = scratch_dir(spark, "extracted")
-    X.extract_html(rows, archive_root, KEY, check_target).write.parquet(tmp)
-    results = spark.read.parquet(tmp)
+    results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
     seq = time.time_ns()
     written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
     (X.html_table(written, results, rows, KEY)

@@ -1,4 +1,4 @@
-"""Corpus export: Parquet per snapshot, optionally size-split.
+"""Corpus export: Parquet per snapshot, optionally size-split.
 
 Output layout: ``<out>/snapshot=<YYYY-NN>/[part=<n>/]part-*.parquet`` with the
 columns ``url, offset, length, filename, html, markdown`` -- a folder per

@@ -43,6 +43,18 @@ def extract_html(rows: DataFrame, archive_root: str, key_cols: list[str], check_
     return got.select(*key_cols, S.bytes_to_text("payload").alias("html"), "error")
 
 
+def extract_to_table(rows: DataFrame, archive_root: str, key_cols: list[str], path: str,
+                     check_target: bool = True) -> DataFrame:
+    """``extract_html`` written once to ``path`` (shared folder) and read back.
+
+    Its result feeds several consumers (events, state fold, HTML table);
+    without a written table each of them would re-read and re-decode the
+    archives.
+    """
+    extract_html(rows, archive_root, key_cols, check_target).write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def extraction_events(rows: DataFrame, results: DataFrame, key_cols: list[str], seq: int) -> DataFrame:
     """K9/K10 state events out of extraction results."""
     from crawlweave.functions import scalars as S

@@ -38,9 +38,17 @@ def saved_counts(state: DataFrame, limit: int | None = None) -> DataFrame:
     return state.where(F.col("saved_path").isNotNull()).groupBy("snapshot_name").agg(n.alias("rows"))
 
 
-def ingest_counts(parsed: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Records parsed vs newly inserted, per shard."""
-    p = parsed.groupBy("hf_path").agg(F.count(F.lit(1)).cast("long").alias("parsed"))
+def ingest_counts(records: DataFrame, inserted: DataFrame | None = None) -> DataFrame:
+    """Records parsed vs newly inserted, per shard.
+
+    Without ``inserted`` (a fresh state) every distinct URL of a shard is
+    new, so both counts come from one pass over the records.
+    """
+    parsed = F.count(F.lit(1)).cast("long").alias("parsed")
+    if inserted is None:
+        return records.groupBy("hf_path").agg(
+            parsed, F.count_distinct("url_raw").cast("long").alias("inserted"))
+    p = records.groupBy("hf_path").agg(parsed)
     i = inserted.groupBy("hf_path").agg(F.count(F.lit(1)).cast("long").alias("inserted"))
     return p.join(i, "hf_path", "left").select(
         "hf_path", "parsed", F.coalesce("inserted", F.lit(0).cast("long")).alias("inserted"))

@@ -81,17 +81,22 @@ def _local_scan(keys: list[str], value: str, out: str, mode: str):
     return run
 
 
-def _with_carry(local: DataFrame, keys: list[str], value: str, out: str, mode: str) -> DataFrame:
+def _with_carry(local: DataFrame, s: DataFrame, keys: list[str], value: str, out: str, mode: str) -> DataFrame:
+    """Add the carry from earlier tasks to the first group of each task.
+
+    The per-task summaries come from the sorted input ``s`` (not from the
+    Python scan ``local``), so the scan runs once.
+    """
     first_key = (
-        local.groupBy(PID).agg(F.min_by(F.struct(*keys), F.col(POS)).alias("k"))
+        s.groupBy(PID).agg(F.min_by(F.struct(*keys), F.col(POS)).alias("k"))
         .select(PID, *[F.col("k")[c].alias(c) for c in keys])
     )
     if mode == "sum":
-        per_task = local.groupBy(PID, *keys).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("t"))
+        per_task = s.groupBy(PID, *keys).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("t"))
         w = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
         carried = per_task.select(PID, *keys, F.coalesce(F.sum("t").over(w), F.lit(0)).alias("carry"))
     else:
-        per_task = local.groupBy(PID, *keys).agg(
+        per_task = s.groupBy(PID, *keys).agg(
             F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(POS))).alias("t"))
         w = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
         carried = per_task.select(PID, *keys, F.last("t", ignorenulls=True).over(w).alias("carry"))
@@ -111,7 +116,7 @@ def segmented_cumsum(df: DataFrame, keys: list[str], order: list, value: str, ou
     s = sorted_tasks(df, keys, order, n_parts)
     schema = T.StructType(s.schema.fields + [T.StructField(out, T.LongType())])
     local = s.mapInPandas(_local_scan(keys, value, out, "sum"), schema)
-    return _with_carry(local, keys, value, out, "sum").drop(PID, POS)
+    return _with_carry(local, s, keys, value, out, "sum").drop(PID, POS)
 
 
 def segmented_ffill(df: DataFrame, keys: list[str], order: list, value: str, out: str,
@@ -120,7 +125,7 @@ def segmented_ffill(df: DataFrame, keys: list[str], order: list, value: str, out
     s = sorted_tasks(df, keys, order, n_parts)
     schema = T.StructType(s.schema.fields + [T.StructField(out, s.schema[value].dataType)])
     local = s.mapInPandas(_local_scan(keys, value, out, "ffill"), schema)
-    return _with_carry(local, keys, value, out, "ffill").drop(PID, POS)
+    return _with_carry(local, s, keys, value, out, "ffill").drop(PID, POS)
 
 
 def row_index(df: DataFrame, keys: list[str], order: list, out: str = "idx",

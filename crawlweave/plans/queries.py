@@ -116,12 +116,10 @@ def q_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from crawlweave.operators import ingest as IG
     from crawlweave.sources import metadata as MD
 
     root = FX.write_meta_fixture(spark, sf_dir)
-    records = MD.read_records(spark, root, reader="stream")
-    return M.ingest_counts(records, IG.first_wins(records))
+    return M.ingest_counts(MD.read_records(spark, root, reader="stream"))
 
 
 def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +153,7 @@ def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, locations = FX.write_warc_fixture(spark, sf_dir)
     state = FX.extract_state(spark, sf_dir, locations)
     rows = X.plan_extraction(state, W.list_archives(spark, root))
-    results = X.extract_html(rows, root, ["ord"])
+    results = X.extract_to_table(rows, root, ["ord"], scratch_dir(spark, "extracted"))
     events = X.extraction_events(rows, results, ["ord"], seq=1)
     latest = ST.fold_events(state, events, key_cols=["ord"])
     html = X.html_table(events, results, rows, ["ord"]).select("ord", "html")
