@@ -105,6 +105,14 @@ def compact(spark: SparkSession, state_root: str) -> int:
     return seq
 
 
+def _work_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a run's work set once (shared scratch folder) and read it back:
+    the state fold behind it is a join that several consumers would redo."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _append_events(ev: DataFrame, state_root: str, seq: int) -> DataFrame:
     path = f"{_p(state_root, 'events')}/run={seq}"
     ev.write.mode("overwrite").parquet(path)
@@ -127,7 +135,7 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
     # a snapshot without index shards is skipped (its rows stay as they are),
     # but its rows still used their share of the budget above
     present = list(cdx.snapshot_folders(index_root, snaps))
-    rows = rows.where(F.col("snapshot_name").isin(present))
+    rows = _work_table(rows.where(F.col("snapshot_name").isin(present)), "resolve-work")
     resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
     seq = time.time_ns()
     written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
@@ -150,7 +158,8 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     Returns the counts per kind.
     """
     state = current_state(spark, state_root)
-    rows = X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit)
+    rows = _work_table(X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit),
+                       "extract-work")
     results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
     seq = time.time_ns()
     written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
