@@ -9,7 +9,7 @@ along the lines of one file split, and is stable on task retry).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,9 @@ def snapshot_folders(root: str, snapshots: list[str]) -> dict[str, str]:
 
 
 def _index_text(spark: SparkSession, root: str, snapshots: list[str] | None, path_glob: str) -> DataFrame:
-    if snapshots is None:
-        paths = [root]
-    else:
-        paths = list(snapshot_folders(root, snapshots).values())
-        if not paths:
-            return spark.createDataFrame([], "value string, file_path string, block_start long")
+    paths = _index_paths(root, snapshots)
+    if not paths:
+        return spark.createDataFrame([], "value string, file_path string, block_start long")
     return (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")
@@ -69,6 +66,23 @@ def _scan_ord() -> F.Column:
     return F.struct("file_path", "block_start", F.monotonically_increasing_id().alias("line_ord"))
 
 
+def _index_paths(root: str, snapshots: list[str] | None) -> list[str]:
+    return [root] if snapshots is None else list(snapshot_folders(root, snapshots).values())
+
+
+def index_file_ranks(spark: SparkSession, root: str, snapshots: list[str] | None = None,
+                     path_glob: str = "*.gz") -> DataFrame:
+    """``file_path, file_rank``: position of each index file in name order
+    within its snapshot -- one row per file (a listing, no content read)."""
+    paths = _index_paths(root, snapshots)
+    if not paths:
+        return spark.createDataFrame([], "file_path string, file_rank int")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", path_glob).load(paths).select(F.col("path").alias("file_path")))
+    by_snapshot = Window.partitionBy(snapshot_below(F.col("file_path"), root)).orderBy("file_path")
+    return files.select("file_path", F.row_number().over(by_snapshot).cast("int").alias("file_rank"))
+
+
 def read_index_lines(spark: SparkSession, root: str, snapshots: list[str] | None = None,
                      path_glob: str = "*.gz") -> DataFrame:
     """Every line of every index shard under ``root/<snapshot>/...``.
@@ -126,9 +140,15 @@ def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None =
     below the parse and split into one ``from_json`` per field.
     """
     text = S.bytes_to_text(F.col("value").cast("binary"))
-    rec = _index_text(spark, root, snapshots, path_glob).select(
+    lines = _index_text(spark, root, snapshots, path_glob).select(
+        "value", "file_path", "block_start", F.monotonically_increasing_id().alias("line_ord"))
+    # the scan order carries a small file rank instead of the file path: every
+    # capture is shuffled by the semi-join, and the path is its widest field.
+    # The rank table has one row per index file, so broadcasting it is bounded.
+    ranks = F.broadcast(index_file_ranks(spark, root, snapshots, path_glob))
+    rec = lines.join(ranks, "file_path").select(
         snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
-        _scan_ord().alias("scan_ord"),
+        F.struct("file_rank", "block_start", "line_ord").alias("scan_ord"),
         parse_cdxj(text).alias("r"),
     )
     return _captures(rec)
