@@ -6,7 +6,7 @@ Layout of ``state_root`` (every part append-only; readers take the latest)::
     shards/batch=<n>/          one row per ingested shard (imported, time, count)
     events/run=<seq>/          state updates from resolve / extract runs
     html/snapshot_name=<s>/    saved pages: hf_path, url_raw, saved_path, html
-    compact/v=<seq>/           folded state up to event ``seq`` (see ``compact``)
+    compact/v=<seq>/batch=<n>/ folded state up to event ``seq`` (see ``compact``)
     stream-checkpoint/         file-source checkpoint of the incremental ingest
 
 ``current_state`` folds the event log over the URL rows (latest event per
@@ -45,6 +45,32 @@ def _exists(path: str) -> bool:
     return IS._path_exists(None, path)
 
 
+def _partition_values(path: str, name: str) -> list[int]:
+    """Values of a ``name=<int>`` folder partitioning under ``path`` (a listing, no data read)."""
+    from pyarrow import fs as pafs
+
+    from crawlweave.session import filesystem_for
+
+    if not _exists(path):
+        return []
+    filesystem, inner = filesystem_for(path)
+    out = []
+    for info in filesystem.get_file_info(pafs.FileSelector(inner)):
+        base = info.base_name
+        if info.type == pafs.FileType.Directory and base.startswith(name + "="):
+            try:
+                out.append(int(base.split("=", 1)[1]))
+            except ValueError:
+                pass
+    return out
+
+
+def _next_seq(state_root: str) -> int:
+    """A run number above every earlier one, even if the driver clock stepped back."""
+    seen = _partition_values(_p(state_root, "events"), "run") + _partition_values(_p(state_root, "compact"), "v")
+    return max([time.time_ns()] + [x + 1 for x in seen])
+
+
 def ingest(spark: SparkSession, shards_root: str, state_root: str, force: bool = False,
            stream: bool = True, max_files_per_trigger: int | None = IS.MAX_FILES_PER_TRIGGER) -> None:
     """Ingest metadata shards: new shards only (incremental stream), or all
@@ -69,13 +95,14 @@ def events(spark: SparkSession, state_root: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(path) else None
 
 
-def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, DataFrame] | None:
-    path = _p(state_root, "compact")
-    if not _exists(path):
+def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, list[int], DataFrame] | None:
+    """(version, ingest batches it covers, its rows) of the newest compaction."""
+    versions = _partition_values(_p(state_root, "compact"), "v")
+    if not versions:
         return None
-    # partition values only: one row per compaction ever made
-    top = spark.read.parquet(path).select("v").distinct().agg(F.max("v")).first()[0]
-    return None if top is None else (int(top), spark.read.parquet(f"{path}/v={top}"))
+    top = max(versions)
+    path = f"{_p(state_root, 'compact')}/v={top}"
+    return top, _partition_values(path, "batch"), spark.read.parquet(path)
 
 
 def current_state(spark: SparkSession, state_root: str) -> DataFrame:
@@ -90,18 +117,19 @@ def current_state(spark: SparkSession, state_root: str) -> DataFrame:
     ev = events(spark, state_root)
     base = _latest_compaction(spark, state_root)
     if base is not None:
-        v, done = base
-        covered = done.select("batch").distinct()     # one row per ingest batch
-        urls = done.unionByName(urls.join(covered, "batch", "left_anti"))
-        ev = None if ev is None else ev.where(F.col("seq") > F.lit(v))
+        v, covered, done = base
+        # partition filters (not joins), so the folders already folded are pruned
+        urls = done.unionByName(urls.where(~F.col("batch").isin(covered)))
+        ev = None if ev is None else ev.where(F.col("run") > F.lit(v))
     return urls if ev is None else ST.fold_events(urls, ev, KEY)
 
 
 def compact(spark: SparkSession, state_root: str) -> int:
     """Write the current state as ``compact/v=<seq>`` and return ``seq``;
     later reads start from it.  Old URL batches and events stay on disk."""
-    seq = time.time_ns()
-    current_state(spark, state_root).write.parquet(f"{_p(state_root, 'compact')}/v={seq}")
+    seq = _next_seq(state_root)
+    (current_state(spark, state_root).write.partitionBy("batch")
+     .parquet(f"{_p(state_root, 'compact')}/v={seq}"))
     return seq
 
 
@@ -137,7 +165,7 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
     present = list(cdx.snapshot_folders(index_root, snaps))
     rows = _work_table(rows.where(F.col("snapshot_name").isin(present)), "resolve-work")
     resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
-    seq = time.time_ns()
+    seq = _next_seq(state_root)
     written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
     counted = written.join(url_rows(spark, state_root).select(*KEY, "snapshot_name"), KEY)
     return R.resolution_summary(counted.withColumnRenamed("kind", "status"))
@@ -161,7 +189,7 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     rows = _work_table(X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit),
                        "extract-work")
     results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
-    seq = time.time_ns()
+    seq = _next_seq(state_root)
     written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
     (X.html_table(written, results, rows, KEY)
      .write.mode("append").partitionBy("snapshot_name").parquet(_p(state_root, "html")))
