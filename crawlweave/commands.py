@@ -156,18 +156,18 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
     event per row (matched / missing) and returns matched/missing counts per
     snapshot plus a total row.
     """
-    state = current_state(spark, state_root)
-    rows = ST.unresolved(state, snapshot, limit)
-    # the snapshot list is one row per crawl snapshot, not per URL
-    snaps = [snapshot] if snapshot else [r[0] for r in ST.snapshots_with_unresolved(state).collect()]
+    # the work set is written once: the state fold behind it is a large join
+    work = _work_table(ST.unresolved(current_state(spark, state_root), snapshot, limit), "resolve-work")
+    # one row per crawl snapshot, not per URL
+    snaps = [r[0] for r in work.select("snapshot_name").distinct().collect()]
     # a snapshot without index shards is skipped (its rows stay as they are),
     # but its rows still used their share of the budget above
     present = list(cdx.snapshot_folders(index_root, snaps))
-    rows = _work_table(rows.where(F.col("snapshot_name").isin(present)), "resolve-work")
+    rows = work.where(F.col("snapshot_name").isin(present))
     resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
     seq = _next_seq(state_root)
     written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
-    counted = written.join(url_rows(spark, state_root).select(*KEY, "snapshot_name"), KEY)
+    counted = written.join(rows.select(*KEY, "snapshot_name"), KEY)
     return R.resolution_summary(counted.withColumnRenamed("kind", "status"))
 
 
