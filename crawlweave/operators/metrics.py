@@ -20,14 +20,31 @@ def progress_stats(state: DataFrame) -> DataFrame:
     )
 
 
+def with_total_row(df: DataFrame, key: str, counts: dict[str, F.Column]) -> DataFrame:
+    """Counts per ``key`` plus a total row (``key`` NULL), zeros on empty input.
+
+    One pass: ``rollup`` gives the groups and the total; a one-row zero total
+    is added and the rollup output (a handful of rows) is re-aggregated, so
+    the total row exists even when the input is empty.
+    """
+    names = list(counts)
+    rolled = df.rollup(key).agg(*[c.cast("long").alias(n) for n, c in counts.items()],
+                                F.grouping_id().alias("_gid"))
+    zero = df.sparkSession.range(1).select(
+        F.lit(None).cast(df.schema[key].dataType).alias(key),
+        *[F.lit(0).cast("long").alias(n) for n in names], F.lit(1).cast(rolled.schema["_gid"].dataType).alias("_gid"))
+    return (rolled.unionByName(zero).groupBy(key, "_gid")
+            .agg(*[F.sum(n).cast("long").alias(n) for n in names]).drop("_gid"))
+
+
 def progress_by_snapshot(state: DataFrame) -> DataFrame:
-    """A1 per snapshot, with a total row (snapshot_name NULL)."""
-    return state.rollup("snapshot_name").agg(
-        F.count(F.lit(1)).cast("long").alias("total"),
-        F.count_if(F.col("filename").isNotNull()).cast("long").alias("resolved"),
-        F.count_if(F.col("saved_path").isNotNull()).cast("long").alias("downloaded"),
-        F.count_if(F.col("status") == "error").cast("long").alias("errors"),
-    )
+    """A1 per snapshot, with a total row (snapshot_name NULL; zeros when empty)."""
+    return with_total_row(state, "snapshot_name", {
+        "total": F.count(F.lit(1)),
+        "resolved": F.count_if(F.col("filename").isNotNull()),
+        "downloaded": F.count_if(F.col("saved_path").isNotNull()),
+        "errors": F.count_if(F.col("status") == "error"),
+    })
 
 
 def saved_counts(state: DataFrame, limit: int | None = None) -> DataFrame:

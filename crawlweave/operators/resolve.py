@@ -213,8 +213,11 @@ def resolve(rows: DataFrame, captures: DataFrame, key_cols: list[str],
 
 
 def resolution_summary(resolved: DataFrame) -> DataFrame:
-    """Matched / missing per snapshot, plus a total row (snapshot NULL)."""
-    return resolved.rollup("snapshot_name").agg(
-        F.count_if(F.col("status") == "matched").cast("long").alias("matched"),
-        F.count_if(F.col("status") == "missing").cast("long").alias("missing"),
-    )
+    """Matched / missing per snapshot, plus a total row (snapshot NULL)
+    that is there even when nothing was resolved (zeros)."""
+    from crawlweave.operators.metrics import with_total_row
+
+    return with_total_row(resolved, "snapshot_name", {
+        "matched": F.count_if(F.col("status") == "matched"),
+        "missing": F.count_if(F.col("status") == "missing"),
+    })

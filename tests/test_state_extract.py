@@ -101,3 +101,17 @@ def test_coalesce_ranges():
     reads = W.coalesce_ranges([(0, 10), (10, 5), (2000, 10), (2_000_000, 1)], gap=100, span=1000)
     assert reads == [(0, 15, [0, 1]), (2000, 2010, [2]), (2_000_000, 2_000_001, [3])]
     assert W.coalesce_ranges([(0, 600), (650, 600)], gap=100, span=1000) == [(0, 600, [0]), (650, 1250, [1])]
+
+
+def test_aggregates_on_empty_input(spark):
+    from crawlweave.operators import resolve as R
+
+    state = spark.createDataFrame([], STATE)
+    assert tuple(M.progress_stats(state).first()) == (0, 0, 0, 0)
+    assert [tuple(r) for r in M.progress_by_snapshot(state).collect()] == [(None, 0, 0, 0, 0)]
+    assert M.saved_counts(state, 5).count() == 0
+    assert [tuple(r) for r in R.resolution_summary(state).collect()] == [(None, 0, 0)]
+    ev = spark.createDataFrame([], EVENTS)
+    assert ST.fold_events(state, ev, ["ord"]).count() == 0
+    one = spark.createDataFrame([("S", "p", "u", None, None, None, None, "pending", None, None, 1)], STATE)
+    assert ST.fold_events(one, ev, ["ord"]).first().status == "pending"
