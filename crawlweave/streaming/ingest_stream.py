@@ -7,8 +7,8 @@ stream checkpoint remembers which files were read, so a re-run picks up only
 new shards (``trigger(availableNow=True)`` processes what is there and stops).
 
 The state is a Parquet folder with one sub-folder per batch
-(``batch=<id>``).  A batch writes its folder with ``overwrite`` and only reads
-the batches before it, so a batch re-run after a failure yields the same rows
+(``batch=<id>``).  A batch writes its folder with ``overwrite`` and reads
+every other batch, so a batch re-run after a failure yields the same rows
 -- the sink is idempotent and the whole job exactly-once.
 """
 
@@ -34,12 +34,19 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
 
 
-def read_state(spark: SparkSession, state_path: str, before_batch: int | None = None) -> DataFrame | None:
+def read_state(spark: SparkSession, state_path: str, exclude_batch: int | None = None) -> DataFrame | None:
+    """URL rows of every batch but ``exclude_batch`` (the one being (re)written).
+
+    Not "earlier batches only": forced re-ingests get ids above the stream's,
+    and a later stream batch must still see the rows they added.  A batch is
+    only replayed before any later batch exists, so excluding just itself
+    keeps replays idempotent.
+    """
     if not _path_exists(spark, state_path):
         return None
     df = spark.read.parquet(state_path)
-    if before_batch is not None:
-        df = df.where(F.col("batch") < F.lit(before_batch))
+    if exclude_batch is not None:
+        df = df.where(F.col("batch") != F.lit(exclude_batch))
     return df
 
 
@@ -47,7 +54,7 @@ def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, sha
                    batch_id: int) -> None:
     """One ingest batch: parsed records -> new state rows + shard rows."""
     records = records.persist()
-    existing = read_state(spark, state_path, before_batch=batch_id)
+    existing = read_state(spark, state_path, exclude_batch=batch_id)
     shards = records.select("hf_path").distinct()
     new = IG.ingest(records, existing, batch_id, shards=shards)
     new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")

@@ -112,3 +112,18 @@ def test_batch_rerun_is_idempotent(spark, tmp_root):
     assert sorted(r.url_raw for r in spark.read.parquet(state).collect()) == ["u1", "u2"]
     IS.ingest_records(spark, MD.read_records(spark, tmp_root), state, shards, batch_id=1)   # later batch
     assert spark.read.parquet(state).count() == 2
+
+
+def test_forced_batch_then_stream_sees_its_rows(spark, tmp_root):
+    """A shard first read by a forced re-ingest is not inserted again by the stream."""
+    from crawlweave.session import scratch_dir
+
+    state, shards, ckpt = (scratch_dir(spark, n) for n in ("st", "sh", "ck"))
+    write_shard(spark, tmp_root, "S/tt_meta_0.jsonl.zst", [rec("u1")])
+    IS.run_ingest_stream(spark, tmp_root, state, shards, ckpt)
+    write_shard(spark, tmp_root, "S/tt_meta_1.jsonl.zst", [rec("u2"), rec("u3")])
+    IS.ingest_batch(spark, tmp_root, state, shards, force=True)      # picks up the new shard first
+    IS.run_ingest_stream(spark, tmp_root, state, shards, ckpt)         # then the stream sees it as new
+    rows = [(r.hf_path, r.url_raw) for r in spark.read.parquet(state).collect()]
+    assert sorted(rows) == [("S/tt_meta_0.jsonl.zst", "u1"), ("S/tt_meta_1.jsonl.zst", "u2"),
+                            ("S/tt_meta_1.jsonl.zst", "u3")]
