@@ -243,9 +243,14 @@ def write_archives(records: DataFrame, root: str) -> DataFrame:
     return records.groupBy("archive").applyInPandas(write, "url string, archive string, offset long, length long")
 
 
-def list_archives(spark, root: str) -> DataFrame:
-    """Archive files present under ``root`` as ``archive`` (path relative to root)."""
+def list_archives(spark, root: str, path_glob: str | None = None) -> DataFrame:
+    """Files present under ``root`` as ``archive`` (path relative to root).
+
+    Any file name is accepted (the join with the rows' archive names does the
+    matching); ``path_glob`` narrows the listing when the root is shared."""
     name = root.rstrip("/").split("/")[-1]
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.warc.gz").load(root).select("path"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    files = reader.load(root).select("path")
     return files.select(F.regexp_extract("path", r"/\Q" + name + r"\E/(.*)$", 1).alias("archive"))
