@@ -146,3 +146,18 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def path_below(path_col, root: str):
+    """Column: the part of a file path (as Spark reports it, a URI) below ``root``.
+
+    ``root`` may be a plain path or a URI (``file:``, ``s3a://bucket``...);
+    its scheme and authority are dropped and its full path is matched, so
+    a folder name repeated higher up cannot confuse the match.
+    """
+    import re
+
+    from pyspark.sql import functions as F
+
+    root_path = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    return F.regexp_extract(path_col, r"\Q" + root_path + r"\E/(.*)$", 1)

@@ -25,8 +25,9 @@ CDXJ_SCHEMA = T.StructType([
 
 def snapshot_below(path: F.Column, root: str) -> F.Column:
     """Name of the folder right below ``root`` in ``path`` (a ``snapshot=`` prefix is dropped)."""
-    root_name = root.rstrip("/").split("/")[-1]
-    return F.regexp_extract(path, r"/\Q" + root_name + r"\E/(?:snapshot=)?([^/]+)/", 1)
+    from crawlweave.session import path_below
+
+    return F.regexp_extract(path_below(path, root), r"^(?:snapshot=)?([^/]+)/", 1)
 
 
 def snapshot_folders(root: str, snapshots: list[str]) -> dict[str, str]:

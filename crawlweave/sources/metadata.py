@@ -38,8 +38,9 @@ LINE_SCHEMA = "hf_path string, line_ord long, value string"
 
 def relative_to(path: F.Column, root: str) -> F.Column:
     """Path below ``root`` (the shard id the state keeps, like a dataset-relative path)."""
-    name = root.rstrip("/").split("/")[-1]
-    return F.regexp_extract(path, r"/\Q" + name + r"\E/(.*)$", 1)
+    from crawlweave.session import path_below
+
+    return path_below(path, root)
 
 
 def _files(spark: SparkSession, root: str) -> DataFrame:

@@ -248,9 +248,10 @@ def list_archives(spark, root: str, path_glob: str | None = None) -> DataFrame:
 
     Any file name is accepted (the join with the rows' archive names does the
     matching); ``path_glob`` narrows the listing when the root is shared."""
-    name = root.rstrip("/").split("/")[-1]
+    from crawlweave.session import path_below
+
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     files = reader.load(root).select("path")
-    return files.select(F.regexp_extract("path", r"/\Q" + name + r"\E/(.*)$", 1).alias("archive"))
+    return files.select(path_below(F.col("path"), root).alias("archive"))
