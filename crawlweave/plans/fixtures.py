@@ -34,7 +34,13 @@ def page_snapshot(page_id) -> F.Column:
 
 
 def urls_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URL state rows (all unresolved) derived from ``pages``."""
+    """URL state rows (all unresolved) derived from ``pages``, one per page.
+
+    Snapshot ``CC-MAIN-2024-1<page_id % 3>``; ``url_raw`` upper-cased for
+    page_id % 5 == 0 (so only the lower-case candidate matches);
+    ``url_norm`` = canonical form (fragment dropped); ``warc_date`` NULL for
+    % 11 == 0, 0 for % 23 == 0, else spread over January 2024; ``ord`` = page_id.
+    """
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
     return p.select(
@@ -93,7 +99,13 @@ def state_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def capture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CDXJ text lines (one per event) with the fields the index carries.
 
-    The event ``e`` describes a capture of page ``e.event_id % count(pages)``.
+    The event ``e`` describes a capture of page ``e.event_id % count(pages)``
+    at ``e.ts``.  Variations by ``user_id``: % 4 == 1 upper-case URL, == 2
+    fragment dropped; % 7 == 3 URL under ``original``; % 17 == 5 offset
+    ``n/a``; % 13 == 7 empty and % 29 == 11 malformed timestamp; % 11 == 4
+    filed under the next snapshot; % 31 == 0 a line without JSON and
+    % 37 == 1 broken JSON.  By ``event_type``: error -> image/png, purchase ->
+    empty mimetype, view -> TEXT/HTML, click -> xhtml, signup -> ``mime`` key.
     Returns ``snapshot, shard, event_id, value``.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
