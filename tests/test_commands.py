@@ -67,3 +67,29 @@ def test_end_to_end(spark):
     assert C.stats(spark, state).first().errors == kinds.get("error", 0)
     C.compact(spark, state)
     assert C.stats(spark, state).first().total == n
+
+
+def test_resolve_budget_skips_snapshot_without_index(spark):
+    import json
+
+    from crawlweave.session import scratch_dir
+
+    def rec(url):
+        return json.dumps({"warc_headers": {"warc-target-uri": url, "warc-date": "2020-01-01T00:00:00Z"}})
+
+    meta, index, state = (scratch_dir(spark, n) for n in ("meta", "index", "state"))
+    lines = [("CC-MAIN-2020-01/tt_meta_0.jsonl.zst", i, rec(f"http://a/{i}")) for i in range(3)] + \
+            [("CC-MAIN-2020-02/tt_meta_0.jsonl.zst", i, rec(f"http://b/{i}")) for i in range(3)]
+    FX.write_zstd_files(spark.createDataFrame(lines, "rel string, seq long, value string"), meta).count()
+    cap = {"filename": "f.warc.gz", "offset": "1", "length": "2", "timestamp": "20200101000000"}
+    cdx_lines = [f"k 20200101000000 {json.dumps(dict(cap, url=f'http://b/{i}'))}" for i in range(3)]
+    (spark.createDataFrame([(x,) for x in cdx_lines], "value string").coalesce(1)
+     .write.option("compression", "gzip").text(f"{index}/CC-MAIN-2020-02/s0"))
+    C.ingest(spark, meta, state)
+
+    # budget 4: snapshot 01 (no index) takes 3, snapshot 02 gets 1
+    out = {r.snapshot_name: (r.matched, r.missing) for r in C.resolve_local(spark, state, index, limit=4).collect()}
+    assert out["CC-MAIN-2020-02"] == (1, 0) and out[None] == (1, 0) and "CC-MAIN-2020-01" not in out
+    st = {r.url_raw: r.status for r in C.current_state(spark, state).collect()}
+    assert [st[f"http://a/{i}"] for i in range(3)] == ["pending"] * 3
+    assert sorted(st[f"http://b/{i}"] for i in range(3)) == ["matched", "pending", "pending"]
