@@ -31,9 +31,15 @@ def main() -> None:
     names = sys.argv[1:] or list(QUERIES)
     spark = get_spark(f"local[{cpus}]", app_name="crawlweave-bench", shuffle_partitions=int(cpus) * 2)
 
-    def run(name: str) -> float:
+    failed: dict[str, str] = {}
+
+    def run(name: str) -> float | None:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - report the failure, keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            return None
         return round(time.perf_counter() - t0, 3)
 
     cold: dict[str, float] = {}
@@ -45,11 +51,12 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for v in times.values() if v is not None), 3),
         "unit": "sec",
         "queries": times,
         "cold": cold,
-        "cold_total": round(sum(cold.values()), 3),
+        "cold_total": round(sum(v for v in cold.values() if v is not None), 3),
+        "failed": failed,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }))
