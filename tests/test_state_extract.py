@@ -115,3 +115,25 @@ def test_aggregates_on_empty_input(spark):
     assert ST.fold_events(state, ev, ["ord"]).count() == 0
     one = spark.createDataFrame([("S", "p", "u", None, None, None, None, "pending", None, None, 1)], STATE)
     assert ST.fold_events(one, ev, ["ord"]).first().status == "pending"
+
+
+def test_coalesce_ranges_properties():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 10_000), st.integers(1, 500)), max_size=40),
+           st.integers(0, 300), st.integers(1, 2_000))
+    def check(raw, gap, span):
+        ranges = sorted(raw)
+        reads = W.coalesce_ranges(ranges, gap=gap, span=span)
+        seen = sorted(m for _, _, members in reads for m in members)
+        assert seen == list(range(len(ranges)))                     # each record in exactly one read
+        for start, end, members in reads:
+            for m in members:
+                off, ln = ranges[m]
+                assert start <= off and off + ln <= end               # the read covers the record
+            assert end - start <= span or len(members) == 1           # span bound unless one big record
+        for (s0, e0, _), (s1, _, _) in zip(reads, reads[1:]):
+            assert s1 >= s0                                           # reads stay in offset order
+    check()
