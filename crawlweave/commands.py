@@ -196,6 +196,22 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
 
 
+def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snapshot: str | None = None,
+                   limit: int | None = None, check_target: bool = False) -> DataFrame:
+    """The range variant of ``extract_html``: ready rows in (filename, offset)
+    order, optionally one snapshot and a row budget (not an archive budget),
+    target check off by default.  Rows whose archive is absent get an error
+    (there is no "skip"; every selected range is attempted)."""
+    state = current_state(spark, state_root)
+    rows = _work_table(ST.range_plan(ST.ready(state, snapshot, limit)), "ranges-work")
+    results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
+    seq = _next_seq(state_root)
+    written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
+    (X.html_table(written, results, rows, KEY)
+     .write.mode("append").partitionBy("snapshot_name").parquet(_p(state_root, "html")))
+    return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
 def stats(spark: SparkSession, state_root: str, by_snapshot: bool = False) -> DataFrame:
     """A1: total, resolved, downloaded, errors (optionally per snapshot with a total row)."""
     state = current_state(spark, state_root)

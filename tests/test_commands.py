@@ -44,8 +44,11 @@ def test_end_to_end(spark):
 
     paths = scratch_dir(spark, "paths")
     assert C.write_paths(spark, state, paths) > 0
+    first = {r.kind: r.rows for r in C.extract_ranges(spark, state, archives, limit=5).collect()}
+    assert sum(first.values()) == 5 and first.get("downloaded", 0) > 0    # row budget, not archives
     kinds = {r.kind: r.rows for r in C.extract_html(spark, state, archives).collect()}
     assert kinds.get("downloaded", 0) > 0
+    kinds["downloaded"] += first.get("downloaded", 0)
     again = C.extract_html(spark, state, archives).collect()   # saved rows are not extracted twice
     assert sum(r.rows for r in again) == kinds.get("error", 0)
 
