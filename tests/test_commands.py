@@ -96,3 +96,32 @@ def test_resolve_budget_skips_snapshot_without_index(spark):
     st = {r.url_raw: r.status for r in C.current_state(spark, state).collect()}
     assert [st[f"http://a/{i}"] for i in range(3)] == ["pending"] * 3
     assert sorted(st[f"http://b/{i}"] for i in range(3)) == ["matched", "pending", "pending"]
+
+
+def test_compaction_then_new_batches(spark):
+    import json
+
+    from crawlweave.session import scratch_dir
+
+    def rec(url):
+        return json.dumps({"warc_headers": {"warc-target-uri": url}})
+
+    meta, state = scratch_dir(spark, "meta"), scratch_dir(spark, "state")
+
+    def shard(name, urls):
+        df = spark.createDataFrame([(name, i, rec(u)) for i, u in enumerate(urls)], "rel string, seq long, value string")
+        FX.write_zstd_files(df, meta).count()
+
+    shard("S/tt_meta_0.jsonl.zst", ["u1", "u2"])
+    C.ingest(spark, meta, state)
+    C.compact(spark, state)
+    shard("S/tt_meta_1.jsonl.zst", ["u2", "u3"])
+    C.ingest(spark, meta, state)                        # stream batch after the compaction
+    shard("S/tt_meta_2.jsonl.zst", ["u4"])
+    C.ingest(spark, meta, state, force=True)            # forced batch (large batch id)
+    got = sorted((r.hf_path, r.url_raw) for r in C.current_state(spark, state).collect())
+    assert got == [("S/tt_meta_0.jsonl.zst", "u1"), ("S/tt_meta_0.jsonl.zst", "u2"),
+                   ("S/tt_meta_1.jsonl.zst", "u2"), ("S/tt_meta_1.jsonl.zst", "u3"),
+                   ("S/tt_meta_2.jsonl.zst", "u4")]
+    C.compact(spark, state)
+    assert C.stats(spark, state).first().total == 5
