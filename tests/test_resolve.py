@@ -148,3 +148,59 @@ def test_summary_rollup(spark):
     df = spark.createDataFrame([("A", "matched"), ("A", "missing"), ("B", "matched")], "snapshot_name string, status string")
     got = {r.snapshot_name: (r.matched, r.missing) for r in R.resolution_summary(df).collect()}
     assert got == {"A": (1, 1), "B": (1, 0), None: (2, 1)}
+
+
+def test_random_cases_match_reference_rules(spark, tmp_root):
+    """Random captures/rows vs. a direct reading of the pick rules (both strategies)."""
+    import random
+    import time as _t
+
+    rnd = random.Random(23)
+    base = 1577836800
+    urls = ["http://x/a", "HTTP://X/A", "http://x/b", "http://x/a#f"]
+    caps = []                                   # (url, ts or None, scan position)
+    lines = []
+    for i in range(120):
+        u = rnd.choice(urls)
+        kind = rnd.random()
+        if kind < 0.1:
+            ts, stamp = 0, ""
+        elif kind < 0.15:
+            ts, stamp = 0, "bad"
+        else:
+            ts = base + rnd.randrange(0, 5 * 86400, 600)       # coarse grid: many equal distances
+            stamp = _t.strftime("%Y%m%d%H%M%S", _t.gmtime(ts))
+        caps.append((u, ts, i))
+        lines.append(cdx_line(u, stamp, f"f{i}", i, 1))
+    write_index(spark, tmp_root, "S", {"s0": lines})
+    data = []
+    for j in range(40):
+        raw = rnd.choice(["http://x/a", "HTTP://X/A", "http://x/b", "http://x/c"])
+        norm = rnd.choice([None, "http://x/a#f", raw.lower()])
+        d = rnd.choice([None, 0, base + rnd.randrange(0, 5 * 86400, 300)])
+        data.append(("S", "p", raw, norm, d, None, None, None, "pending", None, j))
+
+    def cands(raw, norm):
+        out = []
+        for c in (raw, raw.lower(), norm):
+            if c and c not in out:
+                out.append(c)
+        return out
+
+    def pick(raw, norm, d, strategy):
+        best, best_key = None, None
+        for pos, c in enumerate(cands(raw, norm)):
+            for u, ts, i in caps:
+                if u != c:
+                    continue
+                delta = 0 if not d else (10 ** 12 if ts == 0 else abs(ts - d))
+                key = (pos, delta, i) if strategy == "priority" else (delta, i)
+                if best_key is None or key < best_key:
+                    best, best_key = i, key
+        return best
+
+    for strategy in ("nearest", "priority"):
+        got = resolved(spark, tmp_root, data, strategy)
+        for (_, _, raw, norm, d, *_rest, j) in data:
+            want = pick(raw, norm, d, strategy)
+            assert (got[j].offset if got[j].status == "matched" else None) == want, (strategy, raw, norm, d)
