@@ -6,7 +6,7 @@ import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe, packing, token_count, token_files
+from crawlweave.llm import bpe, packing, quality_rules, sharding, token_count, token_files
 from crawlweave.llm.common import table
 
 
@@ -21,6 +21,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_tokens", "padded_tokens")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *[F.col(f"measures.{c}") for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+
+
+def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.tiktoken"),
                                  vocab.PATTERN)
@@ -33,9 +43,48 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_byte_shards": op8_byte_shards,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB twins, for the operators that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_quality_rules": r"""
+WITH base AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         string_split(coalesce(text, ''), chr(10)) AS all_lines
+  FROM documents),
+windows AS (
+  SELECT rid, pos, words[pos] AS a, words[pos + 1] AS b, words[pos + 2] AS c
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS pos FROM base WHERE len(words) >= 3)),
+repeated AS (
+  SELECT rid, pos FROM (SELECT rid, pos, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT rid, count(DISTINCT place) AS n
+  FROM (SELECT rid, unnest([pos, pos + 1, pos + 2]) AS place FROM repeated) GROUP BY rid),
+measured AS (
+  SELECT b.doc_id, b.text, b.all_lines, len(b.words) AS n_words,
+         length(regexp_replace(b.text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(b.text) - length(regexp_replace(b.text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(list_filter(b.all_lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(b.all_lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM base b LEFT JOIN covered c USING (rid)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed
+            OR n_symbols * 10 > word_chars
+            OR n_dup_lines * 10 > 3 * len(all_lines)
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > letters
+            OR 10 * len(list_filter(all_lines, lambda x: ends_with(rtrim(x), '...'))) > 3 * len(all_lines)
+            OR 2 * letters < word_chars) AS kept
+FROM judged
+""",
+}
