@@ -46,8 +46,8 @@ class Rule:
 
 #: What a document must not be: thresholds far from prose, so that clean documents pass.
 RULES = [
-    Rule("symbols", "n_symbols * 10 > word_chars"),
-    Rule("duplicate_lines", "n_dup_lines * 10 > 3 * size(split(text, '\\n'))"),
+    Rule("symbols", "n_symbols * 20 > word_chars"),
+    Rule("duplicate_lines", "n_dup_lines * 2 > size(split(text, '\\n'))"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule("capitals", "2 * length(regexp_replace(text, '[^\\\\p{Lu}]', '')) "
                      "> length(regexp_replace(text, '[^\\\\p{L}]', ''))"),

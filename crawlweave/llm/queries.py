@@ -6,7 +6,7 @@ import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe, packing, quality_rules, sharding, token_count, token_files
+from crawlweave.llm import bpe, packing, quality_rules, sharding, token_count, token_files, vector_search
 from crawlweave.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_tokens", "padded_tokens")
 
 
+def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *[F.col(f"measures.{c}") for c in (
@@ -43,6 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
+    "op6_vector_search": op6_vector_search,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_shards": op8_byte_shards,
     "op9_byte_bpe": op9_byte_bpe,
@@ -79,8 +84,8 @@ judged AS (
   FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed
-            OR n_symbols * 10 > word_chars
-            OR n_dup_lines * 10 > 3 * len(all_lines)
+            OR n_symbols * 20 > word_chars
+            OR n_dup_lines * 2 > len(all_lines)
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > letters
             OR 10 * len(list_filter(all_lines, lambda x: ends_with(rtrim(x), '...'))) > 3 * len(all_lines)
