@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from crawlweave.llm.common import map_texts, mix64, prepare
-from crawlweave.llm.pieces import PieceCache, is_plain, piece_of
+from crawlweave.llm.pieces import PieceCache, piece_of
 
 #: Mean keys per bucket of the perfect hash.
 KEYS_PER_BUCKET = 4
@@ -157,15 +157,14 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, as little-endian 32-bit integers."""
-        plain = [i for i, t in enumerate(texts) if is_plain(t)]
-        out = [b""] * len(texts)
-        if plain:
-            for i, keys in zip(plain, self.cache.learn([texts[i] for i in plain]), strict=True):
-                out[i] = b"".join(map(self.cache.known.__getitem__, keys))
-        for i in set(range(len(texts))).difference(plain):
-            tokens = self.split(texts[i])
-            ids = self._encode_pretokens(tokens)
-            out[i] = b"".join(map(ids.__getitem__, tokens))
+        out = []
+        for text, keys in zip(texts, self.cache.learn(texts), strict=True):
+            if keys is None:
+                tokens = self.split(text)
+                ids = self._encode_pretokens(tokens)
+                out.append(b"".join(map(ids.__getitem__, tokens)))
+            else:
+                out.append(b"".join(map(self.cache.known.__getitem__, keys)))
         return out
 
     def decode(self, ids: bytes) -> bytes:

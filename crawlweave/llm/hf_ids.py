@@ -7,7 +7,7 @@ import os
 
 import numpy as np
 
-from crawlweave.llm.pieces import HEAD, PieceCache, is_plain, piece_of
+from crawlweave.llm.pieces import HEAD, PieceCache, piece_of
 
 
 class IdEncoder:
@@ -23,7 +23,7 @@ class IdEncoder:
         # the tokenizer writes a space as U+0120 and a line feed as U+010A
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for t, i in vocab.items() if t[:1] in ("Ġ", "Ċ")]] = True
-        self.cache = PieceCache(self._encode_keys)
+        self.cache = PieceCache(self._encode_keys, alone=self.added)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -50,12 +50,10 @@ class IdEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = [b""] * len(texts)
-        plain = [i for i, t in enumerate(texts) if is_plain(t) and not any(a in t for a in self.added)]
-        if plain:
-            for i, keys in zip(plain, self.cache.learn([texts[i] for i in plain]), strict=True):
-                out[i] = b"".join(map(self.cache.known.__getitem__, keys))
-        rest = sorted(set(range(len(texts))).difference(plain))
+        keys = self.cache.learn(texts)
+        known = self.cache.known.__getitem__
+        out = [b"" if k is None else b"".join(map(known, k)) for k in keys]
+        rest = [i for i, k in enumerate(keys) if k is None]
         for i, ids in zip(rest, self._whole([texts[i] for i in rest]), strict=True):
             out[i] = ids
         return out

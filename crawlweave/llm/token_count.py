@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlweave.llm.common import map_texts, prepare, text_batches
-from crawlweave.llm.pieces import HEAD, PieceCache, is_plain, keys_of
+from crawlweave.llm.pieces import HEAD, PieceCache, keys_of
 
 #: Entries of the broadcast table: about 1 MB, whatever the corpus.
 FREQUENT = 16_384
@@ -47,10 +47,6 @@ def count_keys(path: str, keys: list[str]) -> list[int]:
     return [len(ids) - (k[0] == "\n") for k, ids in zip(keys, encode(spaced, num_threads=1), strict=True)]
 
 
-def _countable(text: str) -> bool:
-    return is_plain(text) and SPACE_MARK not in text
-
-
 def frequent_pieces(df: DataFrame, text_col: str = "text", entries: int = FREQUENT,
                     task_counters: int = TASK_COUNTERS) -> list[str]:
     """The most frequent pieces of all texts, at most ``entries``.
@@ -60,6 +56,7 @@ def frequent_pieces(df: DataFrame, text_col: str = "text", entries: int = FREQUE
     its ``entries`` largest; the merged sums give the corpus's list.  It only
     decides what is broadcast, never a count that is returned.
     """
+    pieces = PieceCache(lambda keys: keys, alone=[SPACE_MARK])
     schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +64,7 @@ def frequent_pieces(df: DataFrame, text_col: str = "text", entries: int = FREQUE
         for batch in batches:
             for _, texts in text_batches(batch, text_col):
                 for t in texts:
-                    if _countable(t):
-                        seen.update(keys_of(t))
+                    seen.update(keys_of(t))
                 if len(seen) > task_counters:
                     off = sorted(seen.values())[len(seen) // 2]
                     seen = Counter({k: v - off for k, v in seen.items() if v > off})
@@ -78,7 +74,7 @@ def frequent_pieces(df: DataFrame, text_col: str = "text", entries: int = FREQUE
                                               pa.array([v for _, v in top], pa.int64())], names=["piece", "n"])
 
     counted = df.select(text_col).mapInArrow(run, schema).groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(entries).collect()]
+    return [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(entries).collect() if pieces.is_piece(r.piece)]
 
 
 #: A worker process keeps the cache of the latest count.
@@ -97,17 +93,14 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         cache = _CACHES.get(key)
         if cache is None:
             _CACHES.clear()
-            cache = _CACHES[key] = PieceCache(lambda keys: count_keys(path, keys), fixed=table.value)
+            cache = _CACHES[key] = PieceCache(lambda keys: count_keys(path, keys), alone=[SPACE_MARK],
+                                                       fixed=table.value)
 
         def count(texts):
-            n = [0] * len(texts)
-            plain = [i for i, t in enumerate(texts) if _countable(t)]
-            if plain:
-                for i, keys in zip(plain, cache.learn([texts[i] for i in plain]), strict=True):
-                    n[i] = sum(map(cache.known.__getitem__, keys))
-            rest = sorted(set(range(len(texts))).difference(plain))
-            for i in rest:
-                n[i] = len(processor(path).encode(texts[i], num_threads=1))
+            keys = cache.learn(texts)
+            known = cache.known.__getitem__
+            n = [len(processor(path).encode(t, num_threads=1)) if k is None else sum(map(known, k))
+                 for t, k in zip(texts, keys, strict=True)]
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
             return [pa.array(sizes, pa.int64()), pa.array(n, pa.int64()),
                     pa.array([x > limit for x in n], pa.bool_())]
