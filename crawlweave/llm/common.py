@@ -27,9 +27,10 @@ _POW = np.uint64(0x100000001B3)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Make the package importable in workers and bound Arrow batches by rows."""
+    """Make the package importable in workers and bound Arrow batches by rows and bytes."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{4 * BATCH_BYTES}b")
     return spark
 
 
@@ -117,26 +118,37 @@ def _powers(n: int) -> np.ndarray:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """One 64-bit hash per word of the whole text, in order, without a Python loop.
+    """One 64-bit hash per word of the whole text, in order, without a Python loop."""
+    return byte_word_hashes(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
 
-    A polynomial over the word's bytes (position counted from the word's
-    start) and its length, finalised by ``mix64``.
-    """
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+
+def byte_word_hashes(raw: np.ndarray) -> np.ndarray:
+    """A polynomial over each word's bytes (position counted from the word's start)
+    and its length, finalised by ``mix64``."""
     if not len(raw):
         return np.zeros(0, np.uint64)
     start, end = word_spans(raw)
     if not len(start):
         return np.zeros(0, np.uint64)
     size = end - start
-    powers = _powers(int(size.max()))
     # letters of all words, one after the other, with their place in the word
-    total = int(size.sum())
+    inside = ~_IS_SPACE[raw]
     first = np.cumsum(size) - size
-    place = np.arange(total) - np.repeat(first, size)
-    letters = raw[place + np.repeat(start, size)].astype(np.uint64) + np.uint64(1)
-    sums = np.add.reduceat(letters * powers[place], first)
-    return mix64(sums + size.astype(np.uint64) * _MIX)
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    terms = raw[inside].astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= _powers(int(size.max()))[place]
+    return mix64(np.add.reduceat(terms, first) + size.astype(np.uint64) * _MIX)
+
+
+_LETTERS = np.full(256, 32, np.uint8)
+_LETTERS[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
+_LETTERS[128:] = np.arange(128, 256)
+
+
+def letter_bytes(text: str) -> np.ndarray:
+    """The text in lower case as bytes, with a space for every ASCII character that is no letter."""
+    return _LETTERS[np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)]
 
 
 def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:

@@ -6,10 +6,36 @@ import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe, packing, quality_rules, sharding, token_count, token_files, vector_search
+from crawlweave.llm import (
+    bpe,
+    language,
+    near_dup,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    token_count,
+    token_files,
+    vector_search,
+)
 from crawlweave.llm.common import table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
+
+
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    return quality_model.rate(docs, model, ["doc_id"])
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_round_trip(table(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.json"))
 
@@ -45,6 +71,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op2_quality_model": op2_quality_model,
+    "op3_language": op3_language,
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
     "op6_vector_search": op6_vector_search,
