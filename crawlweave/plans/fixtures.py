@@ -334,7 +334,8 @@ PAGES_PER_BLOCK = 1000
 def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive contents derived from ``pages``: gzip body for even pages,
     chunked transfer for % 6 == 1, another target URI for % 9 == 4, a bad
-    UTF-8 byte in front of the HTML for % 10 == 3."""
+    UTF-8 byte in front of the HTML for % 10 == 3.  Bodies that deviate from
+    their headers: see ``record_variant``."""
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
     html = F.encode("html", "UTF-8")
@@ -347,9 +348,33 @@ def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pid % 2 == 0).alias("gzip_body"),
         (pid % 6 == 1).alias("chunked"),
         F.when(pid % 9 == 4, F.concat("url", F.lit("?other"))).alias("target"),
+        record_variant(pid).alias("variant"),
     )
 
 
+def record_variant(pid: F.Column) -> F.Column:
+    """% 33 == 6 shorter than stated, % 21 == 9 an unknown encoding, % 14 == 3 deflate, % 17 == 2 raw deflate,
+    % 15 == 2 plain under a chunked header, % 16 == 11 plain under a gzip header."""
+    return (F.when(pid % 33 == 6, "short").when(pid % 21 == 9, "brotli").when(pid % 14 == 3, "deflate")
+            .when(pid % 17 == 2, "raw-deflate").when(pid % 15 == 2, "chunked-plain")
+            .when(pid % 16 == 11, "gzip-plain"))
+
+
+def encoded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record bytes as an index client would hand them over: ``page_id, body``."""
+    from crawlweave.sources import warc as W
+
+    def encode(batches):
+        for pdf in batches:
+            yield pdf.assign(body=[W.encode_record(u, bytes(h), gzip_body=bool(g), chunked=bool(c), target=t, variant=v)
+                                   for u, h, g, c, t, v in zip(pdf["url"], pdf["html"], pdf["gzip_body"],
+                                                               pdf["chunked"], pdf["target"], pdf["variant"])]
+                             )[["page_id", "body"]]
+
+    records = archive_records(spark, sf_dir).withColumnRenamed("seq", "page_id").drop("archive")
+    return records.mapInPandas(encode, "page_id long, body binary")
+
+
 def write_warc_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Write the archives; returns (archive root, parquet of record locations).
 
@@ -365,7 +390,7 @@ def write_warc_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def extract_state(spark: SparkSession, sf_dir: str, locations: str) -> DataFrame:
     """Located URL rows pointing at the archives (% 11 == 5 at an absent archive,
-    % 8 == 0 with a leading ``/`` in the archive name)."""
+    % 8 == 0 with a leading ``/`` in the archive name, % 23 == 7 with half the length)."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
     loc = spark.read.parquet(locations)
     pid = F.col("page_id")
@@ -377,7 +402,8 @@ def extract_state(spark: SparkSession, sf_dir: str, locations: str) -> DataFrame
         page_snapshot("page_id").alias("snapshot_name"),
         F.col("url").alias("url_raw"),
         F.concat(F.lit("sha1:"), F.md5("url")).alias("digest"),
-        F.col("offset"), F.col("length"), fname.alias("filename"),
+        F.col("offset"), F.when(pid % 23 == 7, F.floor(F.col("length") / 2)).otherwise(F.col("length")).alias("length"),
+        fname.alias("filename"),
         F.lit("matched").alias("status"),
         F.lit(None).cast("string").alias("saved_path"),
         F.lit(None).cast("string").alias("last_error"),

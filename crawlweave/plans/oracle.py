@@ -278,19 +278,31 @@ ORACLE["html_markdown"] = duckdb_markdown_sql("pages", "page_id", "html")
 ORACLE["extract_records"] = f"""
 WITH p AS (
   SELECT page_id AS pid, url, html, 'CC-MAIN-2024-1' || CAST(page_id % 3 AS VARCHAR) AS snapshot_name,
-         'sha1:' || md5(url) AS digest
+         'sha1:' || md5(url) AS digest,
+         CASE WHEN page_id % 33 = 6 THEN 'record ends early'
+              WHEN page_id % 9 = 4 THEN 'WARC target mismatch'
+              WHEN page_id % 21 = 9 THEN 'content encoding br is not supported' END AS failure
   FROM pages
 )
 SELECT snapshot_name, url AS url_raw,
-       CASE WHEN pid % 11 = 5 THEN 'matched' WHEN pid % 9 = 4 THEN 'error' ELSE 'downloaded' END AS status,
-       CASE WHEN pid % 11 = 5 OR pid % 9 = 4 THEN NULL
-            ELSE 'html/' || snapshot_name || '/' || {safe_name_sql('url', 'digest')} || '.html' END AS saved_path,
-       CASE WHEN pid % 11 <> 5 AND pid % 9 = 4 THEN 'WARC target mismatch' END AS last_error,
-       CASE WHEN pid % 11 = 5 OR pid % 9 = 4 THEN NULL
+       CASE WHEN pid % 11 = 5 THEN 'matched' WHEN failure IS NOT NULL THEN 'error' ELSE 'downloaded' END AS status,
+       CASE WHEN pid % 11 <> 5 AND failure IS NULL
+            THEN 'html/' || snapshot_name || '/' || {safe_name_sql('url', 'digest')} || '.html' END AS saved_path,
+       CASE WHEN pid % 11 <> 5 THEN failure END AS last_error,
+       CASE WHEN pid % 11 = 5 OR failure IS NOT NULL THEN NULL
             WHEN pid % 10 = 3 THEN chr(65533) || html ELSE html END AS html
 FROM p
 """
 
+ORACLE["decode_payloads"] = """
+SELECT page_id,
+       CASE WHEN page_id % 33 = 6 OR page_id % 21 = 9 THEN NULL
+            WHEN page_id % 10 = 3 THEN chr(65533) || html ELSE html END AS html,
+       CASE WHEN page_id % 33 = 6 THEN 'record ends early'
+            WHEN page_id % 21 = 9 THEN 'content encoding br is not supported' END AS error
+FROM pages
+"""
+
 _SAVED_SRC = f"""
 WITH {STATE_FX},
 src AS (

@@ -161,6 +161,13 @@ def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snapshot_name", "url_raw", "status", "saved_path", "last_error", "html")
 
 
+def q_decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.sources import warc as W
+
+    decoded = W.decode_payloads(FX.encoded_records(spark, sf_dir))
+    return decoded.select("page_id", S.bytes_to_text("payload").alias("html"), "error")
+
+
 EXPORT_OUT = ["snapshot", "url", "offset", "length", "filename", "html", "markdown"]
 EXPORT_LIMIT = 20            # rows per snapshot in the limited export
 SPLIT_BYTES = 64 * 1024      # split threshold of the split export
@@ -196,8 +203,8 @@ def q_export_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     saved, html = _saved_with_html(spark, sf_dir)
     out = scratch_dir(spark, "export")
-    rows = E.limit_per_snapshot(E.export_rows(saved, html, ["ord"]), EXPORT_LIMIT)
-    E.write_export(rows, out)
+    first = E.limit_per_snapshot(saved, EXPORT_LIMIT, "snapshot_name")
+    E.write_export(E.export_rows(first, html, ["ord"]), out)
     return spark.read.parquet(out).select(*EXPORT_OUT)
 
 
@@ -278,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_incremental": q_ingest_incremental,
     "html_markdown": q_html_markdown,
     "extract_records": q_extract_records,
+    "decode_payloads": q_decode_payloads,
     "export_snapshot": q_export_snapshot,
     "export_limited": q_export_limited,
     "export_split_parts": q_export_split_parts,

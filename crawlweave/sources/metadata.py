@@ -104,8 +104,13 @@ def _stream_shards(batches):
 
 
 def stream_lines(shards: DataFrame) -> DataFrame:
-    """Lines of the shards listed in ``file_path`` (ids in ``hf_path``), one shard per task."""
-    return shards.repartition("hf_path").mapInPandas(_stream_shards, LINE_SCHEMA)
+    """Lines of the shards listed in ``file_path`` (ids in ``hf_path``), one shard per task.
+
+    The number of tasks is stated (a listing counts the shards when this is
+    called): rows this small would otherwise be merged into one task.
+    """
+    n = max(1, shards.count())
+    return shards.repartitionByRange(n, "hf_path").mapInPandas(_stream_shards, LINE_SCHEMA)
 
 
 def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFrame:

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from crawlweave.session import filesystem_for
 
-TARGET_MISMATCH = "WARC target mismatch"
-RANGE_BUCKET = 1 << 30          # rows of one archive spread over tasks per GiB of offsets
+TARGET_MISMATCH = "WARC target mismatch"  # fixed value: the message kept in the state
+BAD_RANGE = "byte range needs a start of 0 or more and a size of 1 or more"
+TASK_BYTES = 256 << 20          # archive bytes that one task reads
+TASK_ROWS = 20_000              # ranges that one task reads
+YIELD_BYTES = 32 << 20          # payload bytes handed back to Spark at once
 COALESCE_GAP = 1 << 20          # ranges closer than this are fetched with one read ...
 COALESCE_SPAN = 64 << 20        # ... as long as the combined read stays under this size
 
@@ -32,29 +35,86 @@ def _headers(block: bytes) -> dict[str, str]:
     return out
 
 
+class CutShort(ValueError):
+    """The bytes end before the record does."""
+
+
 def _dechunk(body: bytes) -> bytes:
+    """Body of a chunked message; the body itself where it is not chunked after all."""
     out, pos = bytearray(), 0
     while pos < len(body):
         eol = body.find(b"\r\n", pos)
-        if eol < 0:
-            break
-        size = int(body[pos:eol].split(b";", 1)[0].strip() or b"0", 16)
+        digits = body[pos:eol if eol >= 0 else len(body)].split(b";", 1)[0].strip()
+        try:
+            size = int(digits, 16)
+        except ValueError:
+            if pos == 0:
+                return body  # the header says chunked, the body is plain
+            raise ValueError("chunked body ends early") from None
         if size == 0:
-            break
+            return bytes(out)
+        if eol < 0 or eol + 2 + size > len(body):
+            if pos == 0:
+                return body  # a plain body that begins like a chunk size
+            raise ValueError("chunked body ends early")
         out += body[eol + 2: eol + 2 + size]
         pos = eol + 2 + size + 2
     return bytes(out)
 
 
+def _gunzip(data: bytes, short: type[ValueError], what: str) -> bytes:
+    """The first gzip member of ``data``; ``short`` is raised where it is not whole."""
+    member = zlib.decompressobj(31)
+    out = member.decompress(data)
+    if not member.eof:
+        raise short(f"{what} ends early")
+    return out
+
+
+def _inflate(body: bytes) -> bytes:
+    """A deflate body, with or without the zlib header; a plain body as it is."""
+    for bits in (zlib.MAX_WBITS, -zlib.MAX_WBITS):
+        stream = zlib.decompressobj(bits)
+        try:
+            out = stream.decompress(body)
+        except zlib.error:
+            continue
+        if stream.eof:
+            return out
+        if bits > 0:
+            raise ValueError("deflate body ends early")
+    return body
+
+
+def _decode_content(body: bytes, encodings: str) -> bytes:
+    """Undo the content encodings, last one first.  A body that does not begin
+    like its encoding was stored decoded; an encoding unknown here is an error."""
+    for name in reversed([x.strip().lower() for x in encodings.split(",") if x.strip()]):
+        if name in ("gzip", "x-gzip"):
+            body = _gunzip(body, ValueError, "gzip body") if body[:2] == b"\x1f\x8b" else body
+        elif name == "deflate":
+            body = _inflate(body)
+        elif name not in ("identity", "none"):
+            raise ValueError(f"content encoding {name} is not supported")
+    return body
+
+
 def decode_record(data: bytes, url_raw: str | None = None, check_target: bool = True) -> bytes:
-    """Payload bytes of the single record in ``data`` (raises on bad input)."""
+    """Payload bytes of the single record in ``data``; raises on bad input, ``CutShort`` if bytes are missing."""
+    short = CutShort  # more bytes may follow in the archive ...
     if data[:2] == b"\x1f\x8b":
-        data = zlib.decompressobj(31).decompress(data)
+        data = _gunzip(data, short, "record")
+        short = ValueError  # ... but not beyond a whole gzip member
     head, sep, rest = data.partition(b"\r\n\r\n")
-    if not sep or not head.startswith(b"WARC/"):
+    if not head.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
+    if not sep:
+        raise short("record ends early")
     warc = _headers(head)
-    block = rest[: int(warc.get("content-length", len(rest)))]
+    size = int(warc.get("content-length", len(rest)))
+    if len(rest) < size:
+        raise short("record ends early")
+    block = rest[:size]
     target = warc.get("warc-target-uri")
     if check_target and target and url_raw and target.strip() != url_raw.strip():
         raise ValueError(TARGET_MISMATCH)
@@ -66,9 +126,7 @@ def decode_record(data: bytes, url_raw: str | None = None, check_target: bool =
     http = _headers(http_head)
     if "chunked" in http.get("transfer-encoding", "").lower():
         body = _dechunk(body)
-    if "gzip" in http.get("content-encoding", "").lower():
-        body = zlib.decompress(body, 16 + zlib.MAX_WBITS)
-    return body
+    return _decode_content(body, http.get("content-encoding", ""))
 
 
 def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = COALESCE_GAP,
@@ -92,74 +150,102 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = COALESCE_GAP,
     return reads
 
 
+def _whole_record(f, offset: int, data: bytes, url: str | None, check_target: bool) -> bytes:
+    """Decode ``data``; where it is cut short, read on from ``offset`` (a stated length can be too small)."""
+    while True:
+        try:
+            return decode_record(data, url, check_target)
+        except CutShort:
+            more = f.read_at(max(4 * len(data), 1 << 16), offset)
+            if len(more) <= len(data):
+                raise
+            data = more
+
+
 def _read_ranges(root: str, check_target: bool, keep_url: bool):
     def run(batches):
         handles: dict[str, object] = {}
         try:
             for pdf in batches:
-                n = len(pdf)
-                payloads, errors = [None] * n, [None] * n
-                archives, offsets, lengths, urls = (list(pdf["archive"]), list(pdf["offset"]),
-                                                    list(pdf["length"]), list(pdf["url_raw"]))
-                good: dict[str, list[int]] = {}
-                for i in range(n):
-                    ln, off = lengths[i], offsets[i]
-                    if ln is None or off is None or ln != ln or off != off or ln <= 0 or off < 0:
-                        errors[i] = "offset must be >= 0 and length must be > 0"
-                    else:
-                        good.setdefault(archives[i], []).append(i)
-                for archive, idx in good.items():
-                    idx.sort(key=lambda i: offsets[i])
-                    try:
-                        f = handles.get(archive)
-                        if f is None:
-                            filesystem, inner = filesystem_for(f"{root}/{archive}")
-                            f = handles[archive] = filesystem.open_input_file(inner)
-                    except Exception as e:  # noqa: BLE001 - absent / unreadable archive
-                        for i in idx:
-                            errors[i] = str(e) or type(e).__name__
-                        continue
-                    ranges = [(int(offsets[i]), int(lengths[i])) for i in idx]
-                    for start, end, members in coalesce_ranges(ranges):
-                        try:
-                            block = f.read_at(end - start, start)
-                        except Exception as e:  # noqa: BLE001
-                            for m in members:
-                                errors[idx[m]] = str(e) or type(e).__name__
-                            continue
-                        for m in members:
-                            i = idx[m]
-                            off, ln = ranges[m]
-                            try:
-                                payloads[i] = decode_record(block[off - start: off - start + ln], urls[i], check_target)
-                            except Exception as e:  # noqa: BLE001 - isolate per-row failures (E3)
-                                errors[i] = str(e) or type(e).__name__
-                out = pdf if keep_url else pdf.drop(columns=["url_raw"])
-                yield out.assign(payload=payloads, error=errors)
+                if not keep_url:
+                    source, pdf = pdf, pdf.drop(columns=["url_raw"])
+                else:
+                    source = pdf
+                for done in _read_batch(source, handles, root, check_target):
+                    rows = [i for i, _, _ in done]
+                    yield pdf.iloc[rows].assign(payload=[x for _, x, _ in done], error=[e for _, _, e in done])
         finally:
             for f in handles.values():
                 f.close()
     return run
 
 
+def _read_batch(pdf, handles: dict, root: str, check_target: bool):
+    """Lists of (row, payload, error), each of about YIELD_BYTES of payloads; failures stay with their rows."""
+    archives, offsets, lengths, urls = (list(pdf[c]) for c in ("archive", "offset", "length", "url_raw"))
+    done, held = [], 0
+    by_archive: dict[str, list[int]] = {}
+    for i, (ln, off) in enumerate(zip(lengths, offsets)):
+        if ln is None or off is None or ln != ln or off != off or ln <= 0 or off < 0:
+            done.append((i, None, BAD_RANGE))
+        else:
+            by_archive.setdefault(archives[i], []).append(i)
+    for archive, idx in by_archive.items():
+        idx.sort(key=lambda i: offsets[i])
+        try:
+            f = handles.get(archive)
+            if f is None:
+                filesystem, inner = filesystem_for(f"{root}/{archive}")
+                f = handles[archive] = filesystem.open_input_file(inner)
+        except Exception as e:  # noqa: BLE001 - absent / unreadable archive
+            done += [(i, None, str(e) or type(e).__name__) for i in idx]
+            continue
+        ranges = [(int(offsets[i]), int(lengths[i])) for i in idx]
+        for start, end, members in coalesce_ranges(ranges):
+            try:
+                block = f.read_at(end - start, start)
+            except Exception as e:  # noqa: BLE001
+                done += [(idx[m], None, str(e) or type(e).__name__) for m in members]
+                continue
+            for m in members:
+                (off, ln), i = ranges[m], idx[m]
+                try:
+                    page = _whole_record(f, off, block[off - start: off - start + ln], urls[i], check_target)
+                    done.append((i, page, None))
+                    held += len(page)
+                except Exception as e:  # noqa: BLE001 - isolate per-row failures (E3)
+                    done.append((i, None, str(e) or type(e).__name__))
+                if held >= YIELD_BYTES:
+                    yield done
+                    done, held = [], 0
+    if done:
+        yield done
+
+
+def range_tasks(spark, rows: int, total_bytes: int) -> int:
+    """Tasks for reading ``rows`` ranges: by bytes and by rows, at least one per core while there are rows."""
+    return max(1, min(rows, spark.sparkContext.defaultParallelism), -(-total_bytes // TASK_BYTES), -(-rows // TASK_ROWS))
+
+
 def read_ranges(rows: DataFrame, root: str, key_cols: list[str], check_target: bool = True) -> DataFrame:
     """Payload bytes for each row's (archive, offset, length) under ``root``.
 
-    Rows are hash-partitioned by (archive, offset bucket) and sorted by
-    offset, so a task reads one archive front to back; the bucket keeps a
-    huge archive from landing in a single task.  Nearby ranges are fetched
-    with one read (``coalesce_ranges``).
-    Returns ``key_cols + archive, offset, length, payload (binary), error``.
+    Rows are range-partitioned by (archive, offset) into a stated number of
+    tasks, chosen from the bytes they point at (counting them is a job of its
+    own, run when this is called), so a task reads its archives front to back and a huge archive spans
+    several tasks.  Nearby ranges are fetched with one read
+    (``coalesce_ranges``).  Returns ``key_cols + archive, offset, length,
+    payload (binary), error``.
     """
     cols = list(dict.fromkeys(key_cols + ["archive", "offset", "length", "url_raw"]))
     keep_url = "url_raw" in key_cols
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*cols).schema
-         if keep_url or f.name != "url_raw"]
-        + ["payload binary", "error string"])
+    slim = rows.select(*cols)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema
+                        if keep_url or f.name != "url_raw"] + ["payload binary", "error string"])
+    size = slim.agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.col("length"), F.lit(0))).alias("bytes")).first()
+    n = range_tasks(rows.sparkSession, size["n"], int(size["bytes"] or 0))
     return (
-        rows.select(*cols)
-        .repartition("archive", F.floor(F.col("offset") / RANGE_BUCKET))
+        slim.repartitionByRange(n, "archive", "offset")
         .sortWithinPartitions("archive", "offset")
         .mapInPandas(_read_ranges(root, check_target, keep_url), schema)
     )
@@ -188,20 +274,36 @@ def decode_payloads(df: DataFrame, body_col: str = "body", url_col: str | None =
 
 # --------------------------------------------------------------------------- record writer
 
+#: Ways in which archives in the wild deviate, for building test archives.
+VARIANTS = ("deflate", "raw-deflate", "chunked-plain", "gzip-plain", "brotli", "short")
+
+
 def encode_record(url: str, html: bytes, *, gzip_body: bool = False, chunked: bool = False,
                   target: str | None = None, date: str = "2024-01-01T00:00:00Z",
-                  record_id: str = "<urn:uuid:0>") -> bytes:
-    """One gzip member holding one WARC response record (used to build archives)."""
+                  record_id: str = "<urn:uuid:0>", variant: str | None = None) -> bytes:
+    """One gzip member holding one WARC response record (used to build archives).
+
+    ``variant``: a deflate body (with or without zlib header), a plain body
+    under a chunked or gzip header, an encoding that is not supported, or a
+    record shorter than it states.
+    """
     body = html
     http_headers = [b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8"]
-    if gzip_body:
+    if variant in ("deflate", "raw-deflate"):
+        c = zlib.compressobj(6, zlib.DEFLATED, zlib.MAX_WBITS if variant == "deflate" else -zlib.MAX_WBITS)
+        body = c.compress(body) + c.flush()
+    elif gzip_body and variant is None:
         c = zlib.compressobj(6, zlib.DEFLATED, 31)
         body = c.compress(body) + c.flush()
-        http_headers.append(b"Content-Encoding: gzip")
-    if chunked:
+    encoding = {"deflate": b"deflate", "raw-deflate": b"deflate", "gzip-plain": b"gzip", "brotli": b"br",
+                None: b"gzip" if gzip_body else None}.get(variant)
+    if encoding:
+        http_headers.append(b"Content-Encoding: " + encoding)
+    if chunked and variant is None:
         step = 1000
         parts = [b"%x\r\n%s\r\n" % (len(body[i:i + step]), body[i:i + step]) for i in range(0, len(body), step)]
         body = b"".join(parts) + b"0\r\n\r\n"
+    if (chunked and variant is None) or variant == "chunked-plain":
         http_headers.append(b"Transfer-Encoding: chunked")
     else:
         http_headers.append(b"Content-Length: %d" % len(body))
@@ -211,7 +313,7 @@ def encode_record(url: str, html: bytes, *, gzip_body: bool = False, chunked: bo
         b"WARC-Target-URI: " + (target or url).encode("utf-8"),
         b"WARC-Date: " + date.encode(), b"WARC-Record-ID: " + record_id.encode(),
         b"Content-Type: application/http; msgtype=response",
-        b"Content-Length: %d" % len(block),
+        b"Content-Length: %d" % (len(block) * 2 if variant == "short" else len(block)),
     ]
     record = b"\r\n".join(warc) + b"\r\n\r\n" + block + b"\r\n\r\n"
     c = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -219,7 +321,7 @@ def encode_record(url: str, html: bytes, *, gzip_body: bool = False, chunked: bo
 
 
 def write_archives(records: DataFrame, root: str) -> DataFrame:
-    """Write archives from ``archive, seq, url, html, gzip_body, chunked, target``.
+    """Write archives from ``archive, seq, url, html, gzip_body, chunked, target, variant``.
 
     One task per archive file; returns ``url, archive, offset, length`` per
     record.  Files are written under a temporary name and moved into place.
@@ -231,8 +333,9 @@ def write_archives(records: DataFrame, root: str) -> DataFrame:
         filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         offsets, lengths, pos = [], [], 0
         with filesystem.open_output_stream(inner + ".part", compression=None) as out:
-            for url, html, gz, ch, tgt in zip(pdf["url"], pdf["html"], pdf["gzip_body"], pdf["chunked"], pdf["target"]):
-                member = encode_record(url, bytes(html), gzip_body=bool(gz), chunked=bool(ch), target=tgt)
+            for url, html, gz, ch, tgt, var in zip(*(pdf[c] for c in (
+                    "url", "html", "gzip_body", "chunked", "target", "variant"))):
+                member = encode_record(url, bytes(html), gzip_body=bool(gz), chunked=bool(ch), target=tgt, variant=var)
                 out.write(member)
                 offsets.append(pos)
                 lengths.append(len(member))
@@ -240,6 +343,8 @@ def write_archives(records: DataFrame, root: str) -> DataFrame:
         filesystem.move(inner + ".part", inner)
         return pd.DataFrame({"url": pdf["url"].values, "archive": archive, "offset": offsets, "length": lengths})
 
+    if "variant" not in records.columns:
+        records = records.withColumn("variant", F.lit(None).cast("string"))
     return records.groupBy("archive").applyInPandas(write, "url string, archive string, offset long, length long")
 
 

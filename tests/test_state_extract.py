@@ -137,3 +137,51 @@ def test_coalesce_ranges_properties():
         for (s0, e0, _), (s1, _, _) in zip(reads, reads[1:]):
             assert s1 >= s0                                           # reads stay in offset order
     check()
+
+
+def test_bodies_that_deviate_from_their_headers():
+    import zlib
+
+    import pytest
+
+    html = b"<html>" + b"page " * 500
+    for variant in ("deflate", "raw-deflate", "chunked-plain", "gzip-plain"):
+        assert W.decode_record(W.encode_record("u", html, variant=variant)) == html, variant
+    for variant, message in (("brotli", "content encoding br is not supported"), ("short", "record ends early")):
+        with pytest.raises(ValueError, match=message):
+            W.decode_record(W.encode_record("u", html, variant=variant))
+    whole = W.encode_record("u", html)
+    with pytest.raises(W.CutShort):
+        W.decode_record(whole[:len(whole) // 2])
+    plain = zlib.decompress(whole, 31)
+    with pytest.raises(W.CutShort):
+        W.decode_record(plain[:-300])
+    assert W.decode_record(plain) == html
+
+
+def test_a_length_that_is_too_small_costs_nothing(spark, tmp_root):
+    import os
+
+    pages = [os.urandom(3000 + 40_000 * i) for i in range(5)]
+    recs = spark.createDataFrame([("x.warc.gz", i, f"u{i}", bytearray(p), False, False, None) for i, p in enumerate(pages)],
+                                 "archive string, seq long, url string, html binary, gzip_body boolean, chunked boolean, "
+                                 "target string")
+    loc = W.write_archives(recs, tmp_root).withColumn("length", F.greatest(F.lit(1), F.floor(F.col("length") / 7)))
+    got = W.read_ranges(loc.withColumnRenamed("url", "url_raw"), tmp_root, ["url_raw"]).collect()
+    assert {r.url_raw: bytes(r.payload) for r in got} == {f"u{i}": p for i, p in enumerate(pages)}
+
+
+def test_byte_reading_is_spread(spark, tmp_root):
+    from crawlweave.sources import metadata as MD
+
+    n = 100_000
+    rows = spark.range(n).select(F.format_string("a%02d", F.col("id") % 100).alias("archive"),
+                                 (F.col("id") * 1000).alias("offset"), F.lit(4000).cast("long").alias("length"),
+                                 F.lit("u").alias("url_raw"))
+    tasks = W.read_ranges(rows, tmp_root, ["archive", "offset"]).select(F.spark_partition_id().alias("t"))
+    assert tasks.distinct().count() >= 4
+    shards = spark.range(2000).select(F.concat(F.lit(tmp_root + "/s"), "id").alias("file_path"),
+                                      F.format_string("s%04d", "id").alias("hf_path"))
+    assert shards.repartitionByRange(2000, "hf_path").rdd.getNumPartitions() > 1500
+    plan = MD.stream_lines(shards)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(hf_path" in plan and ", 2000)" in plan
