@@ -224,12 +224,12 @@ def export_parquet(spark: SparkSession, state_root: str, out: str, snapshot: str
     ``out/snapshot=<YYYY-NN>/[part=<n>/]``; returns rows per snapshot (A3)."""
     max_bytes = S.parse_split_mb(split_mb)
     state = current_state(spark, state_root)
-    saved = ST.saved(state, snapshot)
+    # the limit cuts slim rows, before HTML is joined and markdown computed
+    saved = E.limit_per_snapshot(ST.saved(state, snapshot), limit, "snapshot_name")
     html_path = _p(state_root, "html")
     if _exists(html_path):
         html = spark.read.parquet(html_path).select(*KEY, "html")
     else:
         html = saved.select(*KEY, F.lit(None).cast("string").alias("html")).limit(0)
-    rows = E.limit_per_snapshot(E.export_rows(saved, html, KEY), limit)
-    E.write_export(rows, out, max_bytes)
+    E.write_export(E.export_rows(saved, html, KEY), out, max_bytes)
     return spark.read.parquet(out).groupBy("snapshot").agg(F.count(F.lit(1)).cast("long").alias("rows"))

@@ -10,45 +10,41 @@ replaces only that snapshot's folder (dynamic partition overwrite).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
 from crawlweave.functions.markdown import with_markdown
 from crawlweave.operators import sequence as Q
+from crawlweave.session import filesystem_for, scratch_dir
 
 EXPORT_COLUMNS = ["url", "offset", "length", "filename", "html", "markdown"]
 BATCH_ROWS = 500            # rows per size check (fixed by the export format)
-FOLD_MAX_BATCHES = 2_000_000  # batches of one snapshot one task may fold (~50 MB of batch sizes)
 
 
 def export_rows(saved: DataFrame, html: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Saved URL rows + their HTML (S7: missing HTML -> NULL) -> export rows.
-
-    Returns ``snapshot, ord`` + the export columns; markdown is computed
-    JVM-side (U3), NULL when the HTML is NULL or empty.
-    """
+    """Saved URL rows + their HTML (S7: missing HTML -> NULL) -> ``snapshot, ord`` + the export columns but
+    ``markdown``, which ``write_export`` computes behind its shuffle."""
     j = saved.join(html.select(*key_cols, "html"), key_cols, "left")
-    rows = j.select(
+    return j.select(
         S.snapshot_basename("snapshot_name").alias("snapshot"),
         "ord",
         S.export_url("url_raw").alias("url"),
         "offset", "length", "filename", "html",
     )
-    return with_markdown(rows)
 
 
-def limit_per_snapshot(rows: DataFrame, limit: int | None) -> DataFrame:
+def limit_per_snapshot(rows: DataFrame, limit: int | None, snapshot_col: str = "snapshot") -> DataFrame:
     """The first ``limit`` rows of each snapshot by insertion order.
 
-    ``row_number() <= n`` is planned with a partial WindowGroupLimit before
-    the shuffle, so each task ships at most ``n`` rows per snapshot.
+    Meant for the slim saved rows, before HTML is joined.  Positions come
+    from a distributed row index, so no snapshot is sorted in one task,
+    whatever the limit.
     """
     if limit is None:
         return rows
-    w = Window.partitionBy("snapshot").orderBy("ord")
-    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(limit)).drop("_rn")
+    numbered = Q.row_index(rows, [snapshot_col], ["ord"], "_idx")
+    return numbered.where(F.col("_idx") < F.lit(int(limit))).drop("_idx")
 
 
 def row_bytes() -> F.Column:
@@ -83,51 +79,24 @@ def _orbit(starts: DataFrame, jump: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def assign_parts(rows: DataFrame, max_bytes: int, batch_rows: int = BATCH_ROWS,
-                 n_parts: int | None = None, fold_max_batches: int = FOLD_MAX_BATCHES) -> DataFrame:
-    """Greedy size rollover -> ``part`` per row.
+                 n_parts: int | None = None) -> DataFrame:
+    """Greedy size rollover -> ``snapshot, ord, part`` of each row (``snapshot, ord, bytes``).
 
     Rows go in insertion order in batches of ``batch_rows``; a part closes
     after the first batch at which its bytes reach ``max_bytes`` and the next
-    batch opens a new part (overshoot is not carried over).  Batch numbers
-    come from a distributed row index.  The fold over batches runs per
-    snapshot in one task when the batch list is under ``FOLD_MAX_BATCHES``;
-    beyond that it is exact and distributed: byte offsets from segmented
-    prefix sums, the batch that closes the part opened at each batch from a
-    forward as-of (a fill over the sorted union), and the chain of part
-    starts from pointer doubling.
+    batch opens a new part (overshoot is not carried over).  Exact and
+    distributed at every size: batch numbers from a distributed row index,
+    byte offsets from segmented prefix sums, the batch that closes the part opened at
+    each batch from a forward as-of (a fill over the sorted union), and the
+    chain of part starts from pointer doubling.
     """
     if max_bytes is None or max_bytes <= 0:
-        raise ValueError("split must be positive")
-    # the scans below move only (snapshot, ord, bytes); the wide rows
-    # (html, markdown) are joined back once at the end
-    slim = rows.select("snapshot", "ord", row_bytes().alias("_bytes"))
-    r = Q.row_index(slim, ["snapshot"], ["ord"], "_idx", n_parts)
+        raise ValueError("a part needs a positive number of bytes")
+    r = Q.row_index(rows.select("snapshot", "ord", "bytes"), ["snapshot"], ["ord"], "_idx", n_parts)
     r = r.withColumn("batch", F.floor(F.col("_idx") / batch_rows).cast("long"))
-    b = r.groupBy("snapshot", "batch").agg(F.sum("_bytes").cast("long").alias("bytes")).checkpoint(eager=True)
-    # size check: the batch table is batch_rows times smaller than the data;
-    # when every snapshot's batch list is small enough, fold it in one task
-    # per snapshot, otherwise run the distributed chain below
-    biggest = b.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 0
-    if biggest <= fold_max_batches:
-        parts = b.groupBy("snapshot").applyInPandas(_fold(max_bytes), "snapshot string, batch long, part long")
-    else:
-        parts = _parts_distributed(b, max_bytes, n_parts)
-    row_parts = r.join(parts, ["snapshot", "batch"]).select("snapshot", "ord", "part")
-    return rows.join(row_parts, ["snapshot", "ord"])
-
-
-def _fold(max_bytes: int):
-    """The greedy rollover over one snapshot's batch sizes (in batch order)."""
-    def run(pdf):
-        pdf = pdf.sort_values("batch")
-        parts, part, acc = [], 0, 0
-        for size in pdf["bytes"].tolist():
-            parts.append(part)
-            acc += size
-            if acc >= max_bytes:
-                part, acc = part + 1, 0
-        return pdf.assign(part=parts)[["snapshot", "batch", "part"]]
-    return run
+    b = r.groupBy("snapshot", "batch").agg(F.sum("bytes").cast("long").alias("bytes")).checkpoint(eager=True)
+    parts = _parts_distributed(b, max_bytes, n_parts)
+    return r.join(parts, ["snapshot", "batch"]).select("snapshot", "ord", "part")
 
 
 def _parts_distributed(b: DataFrame, max_bytes: int, n_parts: int | None) -> DataFrame:
@@ -154,19 +123,51 @@ def _parts_distributed(b: DataFrame, max_bytes: int, n_parts: int | None) -> Dat
 
 def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
                  batch_rows: int = BATCH_ROWS, n_parts: int | None = None) -> None:
-    """K1/K2: write export rows; with ``max_bytes`` also split into ``part=<n>`` folders."""
-    cols = ["snapshot"] + EXPORT_COLUMNS
-    cached = None
-    if max_bytes is not None:
-        # the rows are read twice (sizes, then the write): compute markdown once
-        cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = assign_parts(cached, max_bytes, batch_rows, n_parts)
-        cols = ["snapshot", "part"] + EXPORT_COLUMNS
-    by = ["snapshot", "part"] if max_bytes is not None else ["snapshot"]
-    n = n_parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, "snapshot", "ord").sortWithinPartitions("snapshot", "ord")
-     .select(*cols)
+    """K1/K2: write export rows; with ``max_bytes`` split into ``part=<n>`` folders.
+
+    Runs its jobs when called.  A snapshot's folder is replaced as a whole.
+    Without parts, rows are range-partitioned first and their markdown is
+    computed behind the shuffle.  With parts, rows and markdown are written once to the shared
+    scratch folder (their sizes are needed before the layout is known); a
+    part, bounded by its size, is then written by one task.
+    """
+    spark = rows.sparkSession
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def with_pages(df: DataFrame) -> DataFrame:
+        return df if "markdown" in df.columns else with_markdown(df)
+
+    if max_bytes is None:
+        ordered = rows.repartitionByRange(n, "snapshot", "ord").sortWithinPartitions("snapshot", "ord")
+        (with_pages(ordered).select("snapshot", *EXPORT_COLUMNS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot").parquet(out))
+        return
+    if max_bytes <= 0:
+        raise ValueError("a part needs a positive number of bytes")
+    work = scratch_dir(spark, "export-pages")
+    with_pages(rows).withColumn("bytes", row_bytes()).write.parquet(work)
+    pages = spark.read.parquet(work)
+    slots = scratch_dir(spark, "export-parts")
+    assign_parts(pages, max_bytes, batch_rows, n_parts).write.parquet(slots)
+    parts = spark.read.parquet(slots)
+    (pages.join(parts, ["snapshot", "ord"]).repartition(n, "snapshot", "part")
+     .sortWithinPartitions("snapshot", "part", "ord").select("snapshot", "part", *EXPORT_COLUMNS)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*by).parquet(out))
-    if cached is not None:
-        cached.unpersist()
+     .partitionBy("snapshot", "part").parquet(out))
+    # parts of an earlier export beyond the new ones (one row per snapshot comes to the driver)
+    for r in parts.groupBy("snapshot").agg(F.max("part").alias("last")).collect():
+        _drop_old_parts(f"{out.rstrip('/')}/snapshot={r.snapshot}", r.last)
+
+
+def _drop_old_parts(folder: str, last: int) -> None:
+    """Remove what an earlier export left in a snapshot's folder: higher parts, or files without parts."""
+    from pyarrow import fs as pafs
+
+    filesystem, inner = filesystem_for(folder)
+    for entry in filesystem.get_file_info(pafs.FileSelector(inner)):
+        name = entry.base_name
+        if entry.type == pafs.FileType.Directory and name.startswith("part="):
+            if int(name[len("part="):]) > last:
+                filesystem.delete_dir(entry.path)
+        elif entry.type == pafs.FileType.File and name.endswith(".parquet"):
+            filesystem.delete_file(entry.path)

@@ -132,3 +132,18 @@ def row_index(df: DataFrame, keys: list[str], order: list, out: str = "idx",
               n_parts: int | None = None) -> DataFrame:
     """0-based position of each row in its group (a distributed zipWithIndex)."""
     return segmented_cumsum(df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", out, n_parts).drop("_one")
+
+
+def first_rows(df: DataFrame, order: list, limit: int, n_parts: int | None = None) -> DataFrame:
+    """The first ``limit`` rows in the order (which must be unique), spread over the tasks that hold them.
+
+    ``orderBy().limit(n)`` ends in one task with n rows; here each task keeps
+    the rows whose position - those of earlier tasks plus its own - is below
+    the limit.  Only one row per task is summed up and broadcast.
+    """
+    s = sorted_tasks(df, [], order, n_parts)
+    tasks = s.groupBy(PID).agg(F.count(F.lit(1)).alias("n"), F.min(POS).alias("first"))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = tasks.select(PID, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("_shift"))
+    j = s.join(F.broadcast(shifts), PID)
+    return j.where(F.col(POS) + F.col("_shift") < F.lit(int(limit))).drop(PID, POS, "_shift")

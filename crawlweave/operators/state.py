@@ -13,13 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
-
-STATUSES = ("pending", "matched", "missing", "downloaded", "error")
-
-# Columns of the URL state table (key: hf_path + url_raw; ``ord`` = insertion order).
-STATE_COLUMNS = ["snapshot_name", "hf_path", "url_raw", "url_norm", "warc_date", "warc_record_id",
-                 "digest", "offset", "length", "filename", "status", "saved_path", "last_error", "ord"]
-
+from crawlweave.operators import sequence as Q
 
 def is_unresolved() -> F.Column:
     """Any of offset / length / filename missing."""
@@ -47,7 +41,7 @@ def unresolved(state: DataFrame, snapshot: str | None = None, limit: int | None
     the snapshots in name order, rows in insertion order (O3/O4)."""
     df = _in_snapshot(state.where(is_unresolved()), snapshot)
     if limit is not None:
-        df = df.orderBy("snapshot_name", "ord").limit(int(limit))
+        df = Q.first_rows(df, ["snapshot_name", "ord"], limit)
     return df
 
 
@@ -62,10 +56,11 @@ def snapshots_with_saved(state: DataFrame) -> DataFrame:
 
 
 def ready(state: DataFrame, snapshot: str | None = None, limit: int | None = None) -> DataFrame:
-    """Rows ready for extraction; with ``limit`` the first ones by (filename, offset) (O1)."""
+    """Rows ready for extraction; with ``limit`` the first ones by (filename, offset),
+    ties by insertion order (O1)."""
     df = _in_snapshot(state.where(is_ready()), snapshot)
     if limit is not None:
-        df = df.orderBy("filename", "offset").limit(int(limit))
+        df = Q.first_rows(df, ["filename", "offset", "ord"], limit)
     return df
 
 
@@ -73,7 +68,7 @@ def saved(state: DataFrame, snapshot: str | None = None, limit: int | None = Non
     """Rows with saved HTML; with ``limit`` the first ones by insertion order (O2)."""
     df = _in_snapshot(state.where(is_saved()), snapshot)
     if limit is not None:
-        df = df.orderBy("ord").limit(int(limit))
+        df = Q.first_rows(df, ["ord"], limit)
     return df
 
 
