@@ -5,7 +5,7 @@ Layout of ``state_root`` (every part append-only; readers take the latest)::
     urls/batch=<n>/            URL rows written by ingest (key: hf_path, url_raw)
     shards/batch=<n>/          one row per ingested shard (imported, time, count)
     events/run=<seq>/          state updates from resolve / extract runs
-    html/snapshot_name=<s>/    saved pages: hf_path, url_raw, saved_path, html
+    html/run=<seq>/            saved pages: hf_path, url_raw, snapshot_name, saved_path, html
     compact/v=<seq>/batch=<n>/ folded state up to event ``seq`` (see ``compact``)
     stream-checkpoint/         file-source checkpoint of the incremental ingest
 
@@ -41,68 +41,61 @@ def _p(state_root: str, part: str) -> str:
     return f"{state_root.rstrip('/')}/{part}"
 
 
-def _exists(path: str) -> bool:
-    return IS._path_exists(None, path)
-
-
-def _partition_values(path: str, name: str) -> list[int]:
-    """Values of a ``name=<int>`` folder partitioning under ``path`` (a listing, no data read)."""
-    from pyarrow import fs as pafs
-
-    from crawlweave.session import filesystem_for
-
-    if not _exists(path):
-        return []
-    filesystem, inner = filesystem_for(path)
-    out = []
-    for info in filesystem.get_file_info(pafs.FileSelector(inner)):
-        base = info.base_name
-        if info.type == pafs.FileType.Directory and base.startswith(name + "="):
-            try:
-                out.append(int(base.split("=", 1)[1]))
-            except ValueError:
-                pass
-    return out
-
-
 def _next_seq(state_root: str) -> int:
     """A run number above every earlier one, even if the driver clock stepped back."""
-    seen = _partition_values(_p(state_root, "events"), "run") + _partition_values(_p(state_root, "compact"), "v")
+    seen = IS.committed(_p(state_root, "events"), "run") + IS.committed(_p(state_root, "compact"), "v")
     return max([time.time_ns()] + [x + 1 for x in seen])
 
 
 def ingest(spark: SparkSession, shards_root: str, state_root: str, force: bool = False,
-           stream: bool = True, max_files_per_trigger: int | None = IS.MAX_FILES_PER_TRIGGER) -> None:
+           stream: bool = True, max_files_per_trigger: int | None = IS.MAX_FILES_PER_TRIGGER,
+           reader: str = "native") -> None:
     """Ingest metadata shards: new shards only (incremental stream), or all
-    of them again with ``force`` (existing URL rows are never overwritten)."""
+    of them again with ``force`` (existing URL rows are never overwritten).
+    ``reader="stream"`` (a batch job) takes shards with zstd windows above 128 MB."""
     apply_session_conf(spark)
     urls, shards = _p(state_root, "urls"), _p(state_root, "shards")
-    if stream and not force:
+    if stream and not force and reader == "native":
         IS.run_ingest_stream(spark, shards_root, urls, shards, _p(state_root, "stream-checkpoint"),
                              max_files_per_trigger)
     else:
-        IS.ingest_batch(spark, shards_root, urls, shards, force=force)
+        IS.ingest_batch(spark, shards_root, urls, shards, force=force, reader=reader)
 
 
 def url_rows(spark: SparkSession, state_root: str) -> DataFrame:
-    """URL rows as ingested, with ``ord`` = insertion order (batch, shard, line)."""
-    urls = spark.read.parquet(_p(state_root, "urls"))
+    """URL rows of the committed ingest batches, with ``ord`` = insertion order (batch, shard, line)."""
+    urls = IS.read_state(spark, _p(state_root, "urls"), _p(state_root, "shards"))
     return urls.withColumn("ord", F.struct("ingest_batch", "hf_path", "line_ord"))
 
 
-def events(spark: SparkSession, state_root: str) -> DataFrame | None:
+EVENT_SCHEMA = ("hf_path string, url_raw string, seq long, kind string, filename string, offset long, length long, "
+                "saved_path string, message string, run long")
+HTML_SCHEMA = "hf_path string, url_raw string, snapshot_name string, saved_path string, html string, run long"
+
+
+def events(spark: SparkSession, state_root: str, after: int = -1) -> DataFrame:
+    """Events of the runs that ended, those after run ``after``."""
     path = _p(state_root, "events")
-    return spark.read.parquet(path) if _exists(path) else None
+    runs = [r for r in IS.committed(path, "run") if r > after]
+    return IS.read_batches(spark, path, runs, EVENT_SCHEMA, "run")
+
+
+def saved_html(spark: SparkSession, state_root: str) -> DataFrame:
+    """Saved pages of the runs whose events are there: a page without its event is not saved."""
+    path = _p(state_root, "html")
+    runs = set(IS.committed(path, "run")) & set(IS.committed(_p(state_root, "events"), "run"))
+    return IS.read_batches(spark, path, sorted(runs), HTML_SCHEMA, "run")
 
 
 def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, list[int], DataFrame] | None:
-    """(version, ingest batches it covers, its rows) of the newest compaction."""
-    versions = _partition_values(_p(state_root, "compact"), "v")
+    """(version, ingest batches it covers, its rows) of the newest compaction whose write ended."""
+    versions = IS.committed(_p(state_root, "compact"), "v")
     if not versions:
         return None
-    top = max(versions)
-    path = f"{_p(state_root, 'compact')}/v={top}"
-    return top, _partition_values(path, "batch"), spark.read.parquet(path)
+    path = f"{_p(state_root, 'compact')}/v={max(versions)}"
+    rows = spark.read.schema(url_rows(spark, state_root).schema).parquet(path)
+    covered = [r[0] for r in spark.read.parquet(f"{_p(state_root, 'compact')}/covered={max(versions)}").collect()]
+    return max(versions), covered, rows
 
 
 def current_state(spark: SparkSession, state_root: str) -> DataFrame:
@@ -114,22 +107,26 @@ def current_state(spark: SparkSession, state_root: str) -> DataFrame:
     """
     apply_session_conf(spark)
     urls = url_rows(spark, state_root)
-    ev = events(spark, state_root)
     base = _latest_compaction(spark, state_root)
-    if base is not None:
-        v, covered, done = base
-        # partition filters (not joins), so the folders already folded are pruned
-        urls = done.unionByName(urls.where(~F.col("batch").isin(covered)))
-        ev = None if ev is None else ev.where(F.col("run") > F.lit(v))
-    return urls if ev is None else ST.fold_events(urls, ev, KEY)
+    if base is None:
+        return ST.fold_events(urls, events(spark, state_root), KEY)
+    v, covered, done = base
+    # partition filters (not joins), so the folders already folded are pruned
+    urls = done.unionByName(urls.where(~F.col("batch").isin(covered)))
+    return ST.fold_events(urls, events(spark, state_root, after=v), KEY)
 
 
 def compact(spark: SparkSession, state_root: str) -> int:
     """Write the current state as ``compact/v=<seq>`` and return ``seq``;
-    later reads start from it.  Old URL batches and events stay on disk."""
+    later reads start from it.  Old URL batches and events stay on disk.
+
+    The list of covered batches is written first; a compaction counts from
+    the moment its rows are complete."""
     seq = _next_seq(state_root)
-    (current_state(spark, state_root).write.partitionBy("batch")
-     .parquet(f"{_p(state_root, 'compact')}/v={seq}"))
+    batches = IS.committed(_p(state_root, "shards"), "batch")
+    (spark.createDataFrame([(b,) for b in batches], "batch long").write.mode("overwrite")
+     .parquet(f"{_p(state_root, 'compact')}/covered={seq}"))
+    current_state(spark, state_root).write.partitionBy("batch").parquet(f"{_p(state_root, 'compact')}/v={seq}")
     return seq
 
 
@@ -148,9 +145,13 @@ def _append_events(ev: DataFrame, state_root: str, seq: int) -> DataFrame:
 
 
 def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapshot: str | None = None,
-                  limit: int | None = None, strategy: str = "nearest") -> DataFrame:
+                  limit: int | None = None, strategy: str = "nearest", manifest_root: str | None = None) -> DataFrame:
     """Resolve unresolved rows against the capture index under ``index_root/<snapshot>/``.
 
+    A snapshot is resolved only against its whole index: with manifests under
+    ``manifest_root/<snapshot>/``, every shard they name must be present;
+    without, its folder must hold a shard.  The rows of other snapshots stay as they are.
+
     Only the snapshot folders that still have unresolved rows are read; the
     budget ``limit`` is shared by snapshots in name order.  Appends one
     event per row (matched / missing) and returns matched/missing counts per
@@ -160,9 +161,8 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
     work = _work_table(ST.unresolved(current_state(spark, state_root), snapshot, limit), "resolve-work")
     # one row per crawl snapshot, not per URL
     snaps = [r[0] for r in work.select("snapshot_name").distinct().collect()]
-    # a snapshot without index shards is skipped (its rows stay as they are),
-    # but its rows still used their share of the budget above
-    present = list(cdx.snapshot_folders(index_root, snaps))
+    # a snapshot that is skipped still used its share of the budget above
+    present = cdx.complete_snapshots(spark, index_root, manifest_root, snaps)
     rows = work.where(F.col("snapshot_name").isin(present))
     resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
     seq = _next_seq(state_root)
@@ -177,6 +177,17 @@ def write_paths(spark: SparkSession, state_root: str, path_file: str) -> int:
     return spark.read.text(path_file).count()
 
 
+def _keep_extracted(spark: SparkSession, state_root: str, rows: DataFrame, archive_root: str,
+                    check_target: bool) -> DataFrame:
+    """Read the pages, store them, then append the events that make them count (a run stopped
+    in between leaves rows that the next run extracts again)."""
+    results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
+    seq = _next_seq(state_root)
+    X.html_table(results, KEY).write.mode("overwrite").parquet(f"{_p(state_root, 'html')}/run={seq}")
+    written = _append_events(X.extraction_events(results, KEY, seq), state_root, seq)
+    return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
 def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit: int | None = None,
                  check_target: bool = True) -> DataFrame:
     """Extract the HTML of ready rows whose archive exists under ``archive_root``.
@@ -188,12 +199,7 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     state = current_state(spark, state_root)
     rows = _work_table(X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit),
                        "extract-work")
-    results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
-    seq = _next_seq(state_root)
-    written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
-    (X.html_table(written, results, rows, KEY)
-     .write.mode("append").partitionBy("snapshot_name").parquet(_p(state_root, "html")))
-    return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    return _keep_extracted(spark, state_root, rows, archive_root, check_target)
 
 
 def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snapshot: str | None = None,
@@ -204,12 +210,7 @@ def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snap
     (there is no "skip"; every selected range is attempted)."""
     state = current_state(spark, state_root)
     rows = _work_table(ST.range_plan(ST.ready(state, snapshot, limit)), "ranges-work")
-    results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
-    seq = _next_seq(state_root)
-    written = _append_events(X.extraction_events(rows, results, KEY, seq), state_root, seq)
-    (X.html_table(written, results, rows, KEY)
-     .write.mode("append").partitionBy("snapshot_name").parquet(_p(state_root, "html")))
-    return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    return _keep_extracted(spark, state_root, rows, archive_root, check_target)
 
 
 def stats(spark: SparkSession, state_root: str, by_snapshot: bool = False) -> DataFrame:
@@ -226,10 +227,6 @@ def export_parquet(spark: SparkSession, state_root: str, out: str, snapshot: str
     state = current_state(spark, state_root)
     # the limit cuts slim rows, before HTML is joined and markdown computed
     saved = E.limit_per_snapshot(ST.saved(state, snapshot), limit, "snapshot_name")
-    html_path = _p(state_root, "html")
-    if _exists(html_path):
-        html = spark.read.parquet(html_path).select(*KEY, "html")
-    else:
-        html = saved.select(*KEY, F.lit(None).cast("string").alias("html")).limit(0)
+    html = saved_html(spark, state_root).select(*KEY, "html")
     E.write_export(E.export_rows(saved, html, KEY), out, max_bytes)
     return spark.read.parquet(out).groupBy("snapshot").agg(F.count(F.lit(1)).cast("long").alias("rows"))

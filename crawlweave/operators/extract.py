@@ -45,39 +45,40 @@ def extract_html(rows: DataFrame, archive_root: str, key_cols: list[str], check_
 
 def extract_to_table(rows: DataFrame, archive_root: str, key_cols: list[str], path: str,
                      check_target: bool = True) -> DataFrame:
-    """``extract_html`` written once to ``path`` (shared folder) and read back.
+    """``extract_html`` written once to ``path`` (shared folder) and read back, with what a page's name is made of.
 
-    Its result feeds several consumers (events, state fold, HTML table);
-    without a written table each of them would re-read and re-decode the
-    archives.
+    The events and the HTML table are projections of it: archives are read
+    and decoded once, and no page is joined.
     """
-    extract_html(rows, archive_root, key_cols, check_target).write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    carried = list(dict.fromkeys([*key_cols, "snapshot_name", "url_raw", "digest"]))
+    extract_html(rows, archive_root, carried, check_target).write.mode("overwrite").parquet(path)
+    schema = rows.select(*carried).withColumn("html", F.lit("")).withColumn("error", F.lit("")).schema
+    return rows.sparkSession.read.schema(schema).parquet(path)
 
 
-def extraction_events(rows: DataFrame, results: DataFrame, key_cols: list[str], seq: int) -> DataFrame:
-    """K9/K10 state events out of extraction results."""
+def _saved_path() -> F.Column:
     from crawlweave.functions import scalars as S
 
-    cols = list(dict.fromkeys(key_cols + ["snapshot_name", "url_raw", "digest"]))
-    j = rows.select(*cols).join(results, key_cols)
+    return F.concat(F.lit("html/"), F.col("snapshot_name"), F.lit("/"), S.safe_filename("url_raw", "digest"),
+                    F.lit(".html"))
+
+
+def extraction_events(results: DataFrame, key_cols: list[str], seq: int) -> DataFrame:
+    """K9/K10 state events out of extraction results."""
     ok = F.col("error").isNull()
-    return j.select(
+    return results.select(
         *key_cols,
         F.lit(seq).cast("long").alias("seq"),
         F.when(ok, F.lit("downloaded")).otherwise(F.lit("error")).alias("kind"),
         F.lit(None).cast("string").alias("filename"),
         F.lit(None).cast("long").alias("offset"),
         F.lit(None).cast("long").alias("length"),
-        F.when(ok, F.concat(F.lit("html/"), F.col("snapshot_name"), F.lit("/"),
-                            S.safe_filename("url_raw", "digest"), F.lit(".html"))).alias("saved_path"),
+        F.when(ok, _saved_path()).alias("saved_path"),
         F.when(~ok, F.col("error")).alias("message"),
     )
 
 
-def html_table(events: DataFrame, results: DataFrame, rows: DataFrame, key_cols: list[str]) -> DataFrame:
+def html_table(results: DataFrame, key_cols: list[str]) -> DataFrame:
     """K3: ``snapshot_name, saved_path, html`` of the saved pages (one row per URL row)."""
-    saved = events.where(F.col("kind") == "downloaded").select(*key_cols, "saved_path")
-    return (saved.join(results.select(*key_cols, "html"), key_cols)
-            .join(rows.select(*key_cols, "snapshot_name"), key_cols)
-            .select(*key_cols, "snapshot_name", "saved_path", "html"))
+    return results.where(F.col("error").isNull()).select(
+        *key_cols, "snapshot_name", _saved_path().alias("saved_path"), "html")

@@ -15,7 +15,7 @@ RECORD_COLUMNS = ["snapshot_name", "url_raw", "url_norm", "warc_date", "warc_rec
 
 
 def first_wins(records: DataFrame) -> DataFrame:
-    """One row per (hf_path, url_raw), the earliest line.
+    """One row per (hf_path, url_raw), the earliest line, with the number of its ``records``.
 
     A ``min_by`` aggregation rather than a window: duplicates collapse in the
     map-side partial aggregation, so a URL repeated a billion times in one
@@ -24,9 +24,9 @@ def first_wins(records: DataFrame) -> DataFrame:
     payload = F.struct(*[F.col(c) for c in RECORD_COLUMNS + ["line_ord"]])
     return (
         records.groupBy(*KEY)
-        .agg(F.min_by(payload, F.col("line_ord")).alias("r"))
+        .agg(F.min_by(payload, F.col("line_ord")).alias("r"), F.count(F.lit(1)).cast("long").alias("records"))
         .select("hf_path", *[F.col("r")[c].alias(c) for c in RECORD_COLUMNS if c != "url_raw"],
-                "url_raw", F.col("r.line_ord").alias("line_ord"))
+                "url_raw", F.col("r.line_ord").alias("line_ord"), "records")
     )
 
 
@@ -70,13 +70,14 @@ def pending_shards(shards: DataFrame, snapshots: DataFrame | None, force: bool =
     return shards.join(done, "hf_path", "left_anti")
 
 
-def shard_rows(records: DataFrame, imported_at) -> DataFrame:
-    """K5/K7: one row per ingested shard -- name, imported flag, time, records parsed."""
-    return records.groupBy("hf_path").agg(
-        F.first("snapshot_name").alias("snapshot_name"),
-        F.count(F.lit(1)).cast("long").alias("total_urls"),
-    ).select("hf_path", "snapshot_name", F.lit(True).alias("imported"),
-             F.lit(imported_at).cast("timestamp").alias("imported_at"), "total_urls")
+def shard_rows(shards: DataFrame, firsts: DataFrame, imported_at) -> DataFrame:
+    """K5/K7: one row per shard of the list -- name, imported flag, time, records parsed (0 without records)."""
+    from crawlweave.functions import scalars as S
+
+    counts = firsts.groupBy("hf_path").agg(F.sum(F.when(F.col("url_raw").isNotNull(), F.col("records"))).alias("n"))
+    return shards.select("hf_path").distinct().join(counts, "hf_path", "left").select(
+        "hf_path", S.snapshot_name_from_path(F.col("hf_path")).alias("snapshot_name"), F.lit(True).alias("imported"),
+        F.lit(imported_at).cast("timestamp").alias("imported_at"), F.coalesce("n", F.lit(0)).cast("long").alias("total_urls"))
 
 
 def upsert_shards(snapshots: DataFrame | None, updates: DataFrame) -> DataFrame:

@@ -148,6 +148,8 @@ def capture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (
         F.when(uid % 31 == 0, F.concat(F.lit("garbage line "), eid.cast("string")))
         .when(uid % 37 == 1, F.concat(urlkey, F.lit(" "), stamp, F.lit(' {"url": "'), cap_url, F.lit('", broken')))
+        .when(uid % 41 == 2, F.concat(urlkey, F.lit(" "), stamp, F.lit(" "), record, F.lit(" trailing text")))
+        .when(uid % 43 == 3, F.concat(urlkey, F.lit(" "), stamp, F.lit(" "), F.translate(record, '"', "'")))
         .otherwise(F.concat(urlkey, F.lit(" "), stamp, F.lit(" "), record))
     )
     snap_page = F.when(uid % 11 == 4, F.col("page_id") + 1).otherwise(F.col("page_id"))
@@ -181,6 +183,54 @@ def write_cdx_fixture(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+SNAPSHOTS = [f"{SNAPSHOT_STEM}{i}" for i in range(3)]
+
+
+def write_named_index(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The capture index as ``<root>/S/cdx-NNNNN.gz`` with manifests under ``<lists>/snapshot=S/``.
+
+    The manifest of snapshot 11 names one shard more than there is;
+    snapshot 12 has no manifest.  Returns (index root, manifest root).
+    """
+    root, lists = scratch_dir(spark, "cdx-named"), scratch_dir(spark, "cdx-lists")
+
+    def write(pdf):
+        import gzip
+
+        import pandas as pd
+
+        snapshot, shard = pdf["snapshot"].iloc[0], pdf["shard"].iloc[0]
+        filesystem, inner = _open_output(f"{root}/{snapshot}/cdx-{shard}.gz")
+        lines = "\n".join(pdf.sort_values("event_id")["value"]) + "\n"
+        with filesystem.open_output_stream(inner + ".part", compression=None) as out:
+            out.write(gzip.compress(lines.encode("utf-8")))
+        filesystem.move(inner + ".part", inner)
+        return pd.DataFrame({"snapshot": [snapshot], "name": [f"cdx-{shard}.gz"]})
+
+    work = scratch_dir(spark, "cdx-names")
+    (capture_lines(spark, sf_dir).groupBy("snapshot", "shard").applyInPandas(write, "snapshot string, name string")
+     .write.parquet(work))
+    names = spark.read.parquet(work).where(F.col("snapshot") != SNAPSHOTS[2])
+    more = spark.createDataFrame([(SNAPSHOTS[1], "cdx-99999.gz")], "snapshot string, name string")
+    (names.unionByName(more).select("snapshot", F.concat(F.lit("crawl-data/indexes/"), "name").alias("value"))
+     .write.partitionBy("snapshot").option("compression", "gzip").text(lists))
+    return root, lists
+
+
+def write_idle_shards(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Metadata shards without a usable record: one with junk lines, one without any line (names from ``pages``)."""
+    folder = f"meta/tt/{META_DIRS[0]}"
+    junk = table(spark, sf_dir, "pages").where("page_id % 10 = 0").select(
+        F.lit(f"{folder}/tt_meta_junk.jsonl.zst").alias("rel"), F.col("page_id").alias("seq"),
+        F.concat(F.lit("{'warc_headers': "), "page_id").alias("value"))
+    write_zstd_files(junk, root).count()
+    filesystem, inner = _open_output(f"{root}/{folder}/tt_meta_none.jsonl.zst")
+    import zstandard
+
+    with filesystem.open_output_stream(inner, compression=None) as out:
+        out.write(zstandard.ZstdCompressor().compress(b""))
+
+
 def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State updates derived from ``events`` (one per event, ``seq`` = event_id).
 
@@ -250,6 +300,7 @@ def meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every page is one record in its home shard; page_id % 10 == 0 repeats it a
     minute later (replaced by ``not json`` when also % 17 == 0);
+    % 12 == 1 adds a record with text behind it, % 14 == 9 one in single quotes,
     % 19 == 4 adds a non-object line, % 8 == 3 a blank line, % 25 == 0 a copy
     in the other shard of the snapshot, % 50 == 7 a copy in a file outside
     the shard pattern.  Empty target URI for % 13 == 5, bad date for % 9 == 7,
@@ -268,6 +319,10 @@ def meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             home.alias("rel"), (seq + 1).alias("seq"),
             F.when(pid % 17 == 0, F.lit("not json")).otherwise(_meta_record(pid, 1, False)).alias("value")),
         p.where(pid % 19 == 4).select(home.alias("rel"), (seq + 2).alias("seq"), F.lit("[1, 2, 3]").alias("value")),
+        p.where(pid % 12 == 1).select(home.alias("rel"), (seq + 6).alias("seq"),
+                                      F.concat(_meta_record(pid, 4, False), F.lit(" {}")).alias("value")),
+        p.where(pid % 14 == 9).select(home.alias("rel"), (seq + 7).alias("seq"),
+                                      F.translate(_meta_record(pid, 5, False), '"', "'").alias("value")),
         p.where(pid % 8 == 3).select(home.alias("rel"), (seq + 3).alias("seq"), F.lit("   ").alias("value")),
         p.where(pid % 25 == 0).select(other.alias("rel"), (seq + 4).alias("seq"), _meta_record(pid, 2, False).alias("value")),
         p.where(pid % 50 == 7).select(_meta_file(F.lit(0), pid, "other").alias("rel"), (seq + 5).alias("seq"),

@@ -65,6 +65,7 @@ caps AS (
          shard, event_id
   FROM caps_raw
   WHERE user_id % 31 <> 0 AND user_id % 37 <> 1      -- lines without a JSON record
+    AND user_id % 41 <> 2 AND user_id % 43 <> 3      -- text behind the object, single quotes
     AND event_type <> 'error'                        -- image/png captures
     AND user_id % 17 <> 5                            -- offset is not an integer
 )"""
@@ -273,6 +274,25 @@ FROM meta_valid v GROUP BY v.hf_path
 
 from crawlweave.functions.markdown import duckdb_markdown_sql  # noqa: E402
 
+ORACLE["resolve_complete_index"] = f"""
+SELECT * FROM ({ORACLE["resolve_nearest"]}) r WHERE snapshot_name = 'CC-MAIN-2024-10'
+UNION ALL
+SELECT snapshot_name, url_raw, warc_date, 'pending', NULL, NULL, NULL, NULL
+FROM (WITH {URLS_FX} SELECT * FROM urls_fx) u WHERE snapshot_name <> 'CC-MAIN-2024-10'
+"""
+
+ORACLE["ingest_shards"] = f"""
+WITH {META}
+SELECT r.hf_path,
+       'CC-MAIN-' || regexp_replace(split_part(r.hf_path, '/', 3), '^CC-MAIN-', '') AS snapshot_name,
+       true AS imported, CAST(count(v.seq) AS BIGINT) AS total_urls
+FROM meta_recs r LEFT JOIN meta_valid v ON v.hf_path = r.hf_path AND v.seq = r.seq
+GROUP BY r.hf_path
+UNION ALL
+SELECT 'meta/tt/CC-MAIN-2024-10/tt_meta_' || n || '.jsonl.zst', 'CC-MAIN-2024-10', true, 0
+FROM (VALUES ('junk'), ('none')) t(n)
+"""
+
 ORACLE["html_markdown"] = duckdb_markdown_sql("pages", "page_id", "html")
 
 ORACLE["extract_records"] = f"""

@@ -24,6 +24,11 @@ RESOLVE_OUT = ["snapshot_name", "url_raw", "warc_date", "status", "filename", "o
 LIMITED_BUDGET = 100
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows whose work is all CPU, dealt out anew (the test tables are single files)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def q_scan_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = FX.write_cdx_fixture(spark, sf_dir)
     caps = cdx.read_captures(spark, root)
@@ -56,6 +61,32 @@ def q_resolve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.resolution_summary(_resolve(spark, sf_dir, "nearest"))
 
 
+def q_resolve_complete_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot 11 lacks a shard that its manifest names, snapshot 12 has no manifest: only 10 is resolved."""
+    root, manifests = FX.write_named_index(spark, sf_dir)
+    rows = FX.urls_fx(spark, sf_dir)
+    complete = cdx.complete_snapshots(spark, root, manifests, FX.SNAPSHOTS)
+    done = R.resolve(rows.where(F.col("snapshot_name").isin(complete)),
+                     cdx.read_captures(spark, root, snapshots=complete), ["ord"])
+    left = rows.where(~F.col("snapshot_name").isin(complete)).withColumn("capture_ts", F.lit(None).cast("long"))
+    return done.select(*RESOLVE_OUT).unionByName(left.select(*RESOLVE_OUT))
+
+
+def q_ingest_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard table after an incremental and a long-window ingest, shards without records included."""
+    from crawlweave.streaming import ingest_stream as IS
+
+    root = scratch_dir(spark, "meta")
+    state, shards, ckpt = (scratch_dir(spark, n) for n in ("state", "shards", "stream-ckpt"))
+    FX.write_meta_fixture(spark, sf_dir, root, snapshot_dirs=FX.META_DIRS[:2])
+    FX.write_idle_shards(spark, sf_dir, root)
+    IS.run_ingest_stream(spark, root, state, shards, ckpt)
+    lines = FX.meta_lines(spark, sf_dir).where(F.split("rel", "/")[2].isin(list(FX.META_DIRS[2:])))
+    FX.write_zstd_files(lines, root, window_log=28).count()      # beyond the native reader
+    IS.ingest_batch(spark, root, state, shards, reader="stream")
+    return IS.shard_table(spark, shards).select("hf_path", "snapshot_name", "imported", "total_urls")
+
+
 def q_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = FX.urls_fx(spark, sf_dir)
     latest = ST.fold_events(state, FX.state_events(spark, sf_dir), key_cols=["ord"])
@@ -92,9 +123,7 @@ def q_safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(S.safe_filename("url_raw", digest), F.lit(".html")).alias("name"),
         S.snapshot_basename("snapshot_name").alias("base"),
     )
-    from crawlweave.session import spread
-
-    docs = spread(FX.table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = _dealt(FX.table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     from_docs = docs.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"),
         F.concat(S.safe_filename(F.concat(F.lit("https://example.org/"), F.col("text")),
@@ -140,9 +169,7 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.functions.markdown import with_markdown
-    from crawlweave.session import spread
-
-    pages = spread(FX.table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = _dealt(FX.table(spark, sf_dir, "pages").select("page_id", "html"))
     return with_markdown(pages).select("page_id", "markdown")
 
 
@@ -154,9 +181,8 @@ def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = FX.extract_state(spark, sf_dir, locations)
     rows = X.plan_extraction(state, W.list_archives(spark, root))
     results = X.extract_to_table(rows, root, ["ord"], scratch_dir(spark, "extracted"))
-    events = X.extraction_events(rows, results, ["ord"], seq=1)
-    latest = ST.fold_events(state, events, key_cols=["ord"])
-    html = X.html_table(events, results, rows, ["ord"]).select("ord", "html")
+    latest = ST.fold_events(state, X.extraction_events(results, ["ord"], seq=1), key_cols=["ord"])
+    html = X.html_table(results, ["ord"]).select("ord", "html")
     return latest.join(html, "ord", "left").select(
         "snapshot_name", "url_raw", "status", "saved_path", "last_error", "html")
 
@@ -177,10 +203,8 @@ SPLIT_BATCH_ROWS = 20        # rows per size check in the split export
 def _saved_with_html(spark: SparkSession, sf_dir: str):
     """Saved rows of the state fixture and their HTML store (K3 -> S7):
     the HTML of page_id % 12 == 7 is missing."""
-    from crawlweave.session import spread
-
     state = FX.state_fx(spark, sf_dir)
-    pages = spread(FX.table(spark, sf_dir, "pages"))
+    pages = _dealt(FX.table(spark, sf_dir, "pages"))
     store = scratch_dir(spark, "html")
     (state.where(ST.is_saved()).join(pages.select(F.col("page_id").alias("ord"), "html"), "ord")
      .where(F.col("ord") % 12 != 7)
@@ -211,9 +235,7 @@ def q_export_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_export_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.operators import export as E
 
-    from crawlweave.session import spread
-
-    pages = spread(FX.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), "html"))
+    pages = _dealt(FX.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), "html"))
     rows = FX.urls_fx(spark, sf_dir).join(pages, "ord")
     rows = E.export_rows(rows.drop("html"), rows.select("ord", "html"), ["ord"])
     out = scratch_dir(spark, "export-split")
@@ -275,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_priority": q_resolve_priority,
     "resolve_limited": q_resolve_limited,
     "resolve_summary": q_resolve_summary,
+    "resolve_complete_index": q_resolve_complete_index,
     "state_latest": q_state_latest,
     "pending_ranges": q_pending_ranges,
     "archive_paths": q_archive_paths,
@@ -283,6 +306,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_metadata": q_ingest_metadata,
     "ingest_counts": q_ingest_counts,
     "ingest_incremental": q_ingest_incremental,
+    "ingest_shards": q_ingest_shards,
     "html_markdown": q_html_markdown,
     "extract_records": q_extract_records,
     "decode_payloads": q_decode_payloads,

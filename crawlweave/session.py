@@ -62,6 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="crawlweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -84,7 +87,7 @@ def local_path(path: str) -> str:
 
 
 def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+    return path.startswith("file:") or "://" not in path
 
 
 def ensure_local_dir(path: str) -> None:
@@ -94,14 +97,18 @@ def ensure_local_dir(path: str) -> None:
 
 def filesystem_for(path: str):
     """(pyarrow FileSystem, path inside it) for a local path or any URI
-    (``file:/x``, ``file:///x``, ``s3://...``, ``hdfs://...``)."""
+    (``file:/x``, ``file:///x``, ``s3://...``, ``hdfs://...``).
+
+    As for Spark, the path is what it says: a space or ``%`` in it stands for itself.
+    """
+    from urllib.parse import quote
+
     from pyarrow import fs as pafs
 
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    elif "://" not in path:
-        path = "file://" + os.path.abspath(path)
-    return pafs.FileSystem.from_uri(path)
+    if is_local_fs(path):
+        return pafs.LocalFileSystem(), os.path.abspath(local_path(path))
+    scheme, rest = path.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{scheme}://{quote(rest, safe='/:@?=&+,;~')}")
 
 
 _SHIPPED: set[str] = set()
@@ -110,7 +117,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``crawlweave`` importable in executor Python workers (once per application).
 
-    The package is zipped into the shared checkpoint folder and added with
+    The package is zipped on the driver and handed out by Spark with
     ``addPyFile`` -- the in-session equivalent of ``--py-files``.
     """
     try:
@@ -137,15 +144,11 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster when it arrives in fewer input
-    partitions than there are cores (small inputs feeding CPU-heavy rows).
-    A no-op for large inputs, which already come in many splits."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+def file_path_of(metadata_path):
+    """Column: Spark's ``_metadata.file_path`` (an encoded URI) as the plain path that listings report."""
+    from pyspark.sql import functions as F
+
+    return F.url_decode(F.replace(metadata_path, F.lit("+"), F.lit("%2B")))
 
 
 def path_below(path_col, root: str):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlweave.functions import scalars as S
+from crawlweave.session import file_path_of
 
 # JSON keys of a capture-index record that the engine reads.  Every value is
 # read as text; numbers in the JSON come back as their literal text.
@@ -57,7 +58,7 @@ def _index_text(spark: SparkSession, root: str, snapshots: list[str] | None, pat
         .load(paths)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("file_path"),
+            file_path_of(F.col("_metadata.file_path")).alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
         )
     )
@@ -102,7 +103,7 @@ def parse_cdxj(value) -> F.Column:
     """JSON payload of a CDXJ line (text from the first ``{``); NULL if none or malformed."""
     v = F.col(value) if isinstance(value, str) else value
     pos = F.instr(v, "{")
-    return F.when(pos > 0, F.from_json(F.substring(v, pos, 1 << 30), CDXJ_SCHEMA))
+    return F.when(pos > 0, S.strict_json(F.trim(F.substring(v, pos, 1 << 30)), CDXJ_SCHEMA))
 
 
 def _captures(rec: DataFrame) -> DataFrame:
@@ -147,9 +148,10 @@ def read_captures(spark: SparkSession, root: str, snapshots: list[str] | None =
     # capture is shuffled by the semi-join, and the path is its widest field.
     # The rank table has one row per index file, so broadcasting it is bounded.
     ranks = F.broadcast(index_file_ranks(spark, root, snapshots, path_glob))
-    rec = lines.join(ranks, "file_path").select(
+    rank = F.coalesce("file_rank", F.raise_error(F.concat(F.lit("index file not listed: "), "file_path")).cast("int"))
+    rec = lines.join(ranks, "file_path", "left").select(
         snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
-        F.struct("file_rank", "block_start", "line_ord").alias("scan_ord"),
+        F.struct(rank.alias("file_rank"), "block_start", "line_ord").alias("scan_ord"),
         parse_cdxj(text).alias("r"),
     )
     return _captures(rec)
@@ -161,7 +163,7 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """Manifest text (gzip) under ``root/<snapshot>/``: ``snapshot_name, value``;
     undecodable bytes are dropped."""
     lines = (spark.read.format("text").option("recursiveFileLookup", "true").load(root)
-             .select("value", F.col("_metadata.file_path").alias("file_path")))
+             .select("value", file_path_of(F.col("_metadata.file_path")).alias("file_path")))
     return lines.select(snapshot_below(F.col("file_path"), root).alias("snapshot_name"),
                         F.regexp_replace(S.bytes_to_text(F.col("value").cast("binary")), "\uFFFD", "").alias("value"))
 
@@ -190,6 +192,31 @@ def missing_shards(entries: DataFrame, present: DataFrame) -> DataFrame:
                         ["snapshot_name", "basename"], "left_anti")
 
 
+def complete_snapshots(spark: SparkSession, index_root: str, manifest_root: str | None,
+                       snapshots: list[str]) -> list[str]:
+    """The snapshots whose index can be resolved against.
+
+    With manifests: those that name at least one shard and whose named shards
+    are all present.  Without: those whose folder holds a shard.  The answer
+    is a short list (crawl snapshots, not URLs).
+    """
+    folders = snapshot_folders(index_root, snapshots)
+    if not folders:
+        return []
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
+             .load(list(folders.values())).select(F.col("path").alias("file_path")))
+    present = files.select(snapshot_below(F.col("file_path"), index_root).alias("snapshot_name"),
+                           F.substring_index("file_path", "/", -1).alias("basename")).distinct()
+    if manifest_root is None:
+        names = present.select("snapshot_name").distinct()
+    else:
+        entries = manifest_entries(read_manifests(spark, manifest_root))
+        names = entries.select("snapshot_name").distinct().join(
+            missing_shards(entries, present).select("snapshot_name"), "snapshot_name", "left_anti")
+    found = {r[0] for r in names.collect()}
+    return [s for s in snapshots if s in found and s in folders]
+
+
 def list_present_shards(spark: SparkSession, root: str) -> DataFrame:
     """Local shard files under ``root/<snapshot>/`` as ``snapshot_name, basename``."""
     files = (

@@ -10,6 +10,7 @@ limit of 2^31 -- still one task per shard and bounded memory per task.
 from __future__ import annotations
 
 import io
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlweave.functions import scalars as S
-from crawlweave.session import filesystem_for
+from crawlweave.session import file_path_of, filesystem_for
 
 SHARD_GLOB = "*.jsonl.zst"
 SHARD_MARK = "tt_meta"
@@ -59,21 +60,27 @@ def list_shards(spark: SparkSession, root: str) -> DataFrame:
     return files.where(F.col("hf_path").contains(SHARD_MARK))
 
 
-def read_metadata_lines(spark: SparkSession, root: str, reader: str = "native") -> DataFrame:
-    """Every line of every shard: ``hf_path, line_ord, value`` (line order kept)."""
+def read_metadata_lines(spark: SparkSession, root: str, reader: str = "native",
+                        shards: DataFrame | None = None) -> DataFrame:
+    """Every line of every shard (or of the listed ones): ``hf_path, line_ord, value`` (line order kept)."""
     if reader == "stream":
-        return stream_lines(list_shards(spark, root))
+        return stream_lines(list_shards(spark, root) if shards is None else shards)
     # one task reads a whole shard (zstd is not splittable): the id grows with the line
-    return _shard_text(spark, root).select("hf_path", F.monotonically_increasing_id().alias("line_ord"), "value")
-
-
-def _shard_text(spark: SparkSession, root: str) -> DataFrame:
+    return _shard_text(spark, root, shards).select("hf_path", F.monotonically_increasing_id().alias("line_ord"), "value")
+
+
+def _shard_text(spark: SparkSession, root: str, shards: DataFrame | None = None) -> DataFrame:
+    """``value, hf_path`` of the shards; with a list, only its files are opened (one path per file comes to the driver)."""
+    reader = spark.read.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", SHARD_GLOB)
+    if shards is None:
+        files = reader.load(root)
+    else:
+        paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", r.file_path) for r in shards.select("file_path").collect()]
+        if not paths:
+            return spark.createDataFrame([], "value string, hf_path string")
+        files = reader.load(paths)
     return (
-        spark.read.format("text")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", SHARD_GLOB)
-        .load(root)
-        .select("value", relative_to(F.col("_metadata.file_path"), root).alias("hf_path"))
+        files.select("value", relative_to(file_path_of(F.col("_metadata.file_path")), root).alias("hf_path"))
         .where(F.col("hf_path").contains(SHARD_MARK))
     )
 
@@ -113,7 +120,7 @@ def stream_lines(shards: DataFrame) -> DataFrame:
     return shards.repartitionByRange(n, "hf_path").mapInPandas(_stream_shards, LINE_SCHEMA)
 
 
-def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFrame:
+def records_from(lines: DataFrame, line_ord: F.Column | None = None, every_line: bool = False) -> DataFrame:
     """S1 + P1/P2/P9/P10: one row per usable record of ``hf_path, value`` lines.
 
     Lines are stripped; blank lines, lines that are not a JSON object and
@@ -122,13 +129,17 @@ def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFram
     ``scalars.canonicalize_url`` for an opt-in canonical form).
 
     Pass ``line_ord=F.monotonically_increasing_id()`` to number lines in the
-    projection that parses them (valid for unsplittable shards).
+    projection that parses them (valid for unsplittable shards).  With
+    ``every_line`` lines without a usable record stay, their URL NULL.
+
+    The JSON is strict: the line is read as the only element of an array, so
+    that text behind the object makes it malformed.
     """
     ord_col = F.col("line_ord") if line_ord is None else line_ord
     rec = lines.select(
         "hf_path",
         ord_col.alias("line_ord"),
-        F.from_json(F.trim(F.col("value")), RECORD_SCHEMA).alias("r"),
+        S.strict_json(F.trim(F.col("value")), RECORD_SCHEMA).alias("r"),
     )
     h = F.col("r.warc_headers")
     url = S.blank_to_null(h["warc-target-uri"])
@@ -144,6 +155,8 @@ def records_from(lines: DataFrame, line_ord: F.Column | None = None) -> DataFram
     )
     # records come out of ``inline`` (0 or 1 per line) instead of a filter, so
     # Catalyst cannot push a condition below the parse: one parse per line
+    if every_line:
+        return rec.select(F.inline(F.array(row)))
     return rec.select(F.inline(F.filter(F.array(F.when(url.isNotNull(), row)), lambda x: x.isNotNull())))
 
 
@@ -152,8 +165,9 @@ def parse_records(lines: DataFrame) -> DataFrame:
     return records_from(lines)
 
 
-def read_records(spark: SparkSession, root: str, reader: str = "native") -> DataFrame:
-    """Usable records of every shard under ``root``, with line order."""
+def read_records(spark: SparkSession, root: str, reader: str = "native", shards: DataFrame | None = None,
+                 every_line: bool = False) -> DataFrame:
+    """Usable records of every shard under ``root`` (or of the listed ones), with line order."""
     if reader == "stream":
-        return parse_records(read_metadata_lines(spark, root, reader="stream"))
-    return records_from(_shard_text(spark, root), F.monotonically_increasing_id())
+        return records_from(read_metadata_lines(spark, root, "stream", shards), every_line=every_line)
+    return records_from(_shard_text(spark, root, shards), F.monotonically_increasing_id(), every_line)

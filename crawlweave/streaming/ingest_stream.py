@@ -7,9 +7,11 @@ stream checkpoint remembers which files were read, so a re-run picks up only
 new shards (``trigger(availableNow=True)`` processes what is there and stops).
 
 The state is a Parquet folder with one sub-folder per batch
-(``batch=<id>``).  A batch writes its folder with ``overwrite`` and reads
-every other batch, so a batch re-run after a failure yields the same rows
--- the sink is idempotent and the whole job exactly-once.
+(``batch=<id>``).  A batch writes its rows with ``overwrite``, then its shard
+rows, which commit it: readers take committed batches only.  It reads no
+other batch than those that saw one of its shards before.  A batch re-run
+after a failure yields the same rows -- the sink is idempotent and the whole
+job exactly-once.
 """
 
 from __future__ import annotations
@@ -20,12 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.operators import ingest as IG
+from crawlweave.session import file_path_of, scratch_dir
 from crawlweave.sources import metadata as MD
 
 FORCE_BATCH_BASE = 1 << 40      # batch ids of forced (non-stream) re-ingests
 MAX_FILES_PER_TRIGGER = 1000    # bounds the shard list (and work) of one micro-batch
 
 
+URL_SCHEMA = ("snapshot_name string, hf_path string, url_raw string, url_norm string, warc_date long, "
+              "warc_record_id string, digest string, offset long, length long, filename string, status string, "
+              "saved_path string, last_error string, ingest_batch long, line_ord long, batch long")
+SHARD_SCHEMA = ("hf_path string, snapshot_name string, imported boolean, imported_at timestamp, total_urls long, "
+                "batch long")
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     from crawlweave.session import filesystem_for
     from pyarrow import fs as pafs
@@ -34,33 +44,68 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
 
 
-def read_state(spark: SparkSession, state_path: str, exclude_batch: int | None = None) -> DataFrame | None:
-    """URL rows of every batch but ``exclude_batch`` (the one being (re)written).
+def committed(path: str, name: str) -> list[int]:
+    """Values of the ``name=<int>`` folders under ``path`` whose write ended (a listing, no data read)."""
+    from crawlweave.session import filesystem_for
+    from pyarrow import fs as pafs
 
-    Not "earlier batches only": forced re-ingests get ids above the stream's,
-    and a later stream batch must still see the rows they added.  A batch is
-    only replayed before any later batch exists, so excluding just itself
-    keeps replays idempotent.
-    """
-    if not _path_exists(spark, state_path):
+    filesystem, inner = filesystem_for(path)
+    if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
+        return []
+    found = []
+    for entry in filesystem.get_file_info(pafs.FileSelector(inner)):
+        value = entry.base_name.removeprefix(f"{name}=")
+        if entry.type == pafs.FileType.Directory and value != entry.base_name and value.isdigit():
+            done = filesystem.get_file_info(f"{entry.path}/_SUCCESS").type != pafs.FileType.NotFound
+            found += [int(value)] * done
+    return sorted(found)
+
+
+def read_batches(spark: SparkSession, path: str, batches: list[int], schema: str, name: str = "batch") -> DataFrame:
+    """The rows of the given ``name=<n>`` folders; folders without files give none."""
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", path)
+            .parquet(*[f"{path}/{name}={b}" for b in batches]))
+
+
+def read_state(spark: SparkSession, state_path: str, shards_path: str, exclude_batch: int | None = None) -> DataFrame:
+    """URL rows of every committed batch (its shard rows, written last, are there) but ``exclude_batch``."""
+    batches = [b for b in committed(shards_path, "batch") if b != exclude_batch]
+    return read_batches(spark, state_path, sorted(set(batches) & set(committed(state_path, "batch"))), URL_SCHEMA)
+
+
+def known_rows(spark: SparkSession, state_path: str, shards_path: str, shards: DataFrame,
+               batch_id: int) -> DataFrame | None:
+    """State rows that could share a key with this batch: the key starts with the shard's path, so only
+    those of batches that read one of these shards before.  For new shards none, and no state is read."""
+    batches = [b for b in committed(shards_path, "batch") if b != batch_id]
+    before = read_batches(spark, shards_path, batches, SHARD_SCHEMA)
+    again = before.join(shards.select("hf_path").distinct(), "hf_path", "left_semi").select("batch").distinct()
+    which = sorted(r.batch for r in again.collect())
+    if not which:
         return None
-    df = spark.read.parquet(state_path)
-    if exclude_batch is not None:
-        df = df.where(F.col("batch") != F.lit(exclude_batch))
-    return df
+    return read_batches(spark, state_path, sorted(set(which) & set(committed(state_path, "batch"))), URL_SCHEMA)
 
 
 def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, shards_path: str,
-                   batch_id: int) -> None:
-    """One ingest batch: parsed records -> new state rows + shard rows."""
-    records = records.persist()
-    existing = read_state(spark, state_path, exclude_batch=batch_id)
-    shards = records.select("hf_path").distinct()
-    new = IG.ingest(records, existing, batch_id, shards=shards)
-    new.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+                   batch_id: int, shards: DataFrame | None = None) -> None:
+    """One ingest batch: parsed lines -> new state rows, then shard rows (which commit the batch).
+
+    ``records`` may hold a row without URL per line without record
+    (``every_line``), so that shards without records are seen; ``shards``
+    lists the batch's shards where the caller knows them.  The first rows per
+    key are written once to the shared scratch folder; all else derives from them.
+    """
+    work = scratch_dir(spark, "ingest-firsts")
+    IG.first_wins(records).write.parquet(work)
+    firsts = spark.read.parquet(work)
+    shards = firsts.select("hf_path").distinct() if shards is None else shards
+    existing = known_rows(spark, state_path, shards_path, shards, batch_id)
+    new = IG.new_rows(firsts.where(F.col("url_raw").isNotNull()), existing)
+    IG.as_state_rows(new, batch_id).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    IG.shard_rows(records, now).write.mode("overwrite").parquet(f"{shards_path}/batch={batch_id}")
-    records.unpersist()
+    IG.shard_rows(shards, firsts, now).write.mode("overwrite").parquet(f"{shards_path}/batch={batch_id}")
 
 
 def stream_lines(spark: SparkSession, source_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -73,19 +118,25 @@ def stream_lines(spark: SparkSession, source_root: str, max_files_per_trigger: i
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return (
         reader.load(source_root)
-        .select("value", MD.relative_to(F.col("_metadata.file_path"), source_root).alias("hf_path"))
+        .select("value", MD.relative_to(file_path_of(F.col("_metadata.file_path")), source_root).alias("hf_path"))
         .where(F.col("hf_path").contains(MD.SHARD_MARK))
     )
 
 
 def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, shards_path: str,
                       checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> None:
-    """Ingest every shard not seen by this checkpoint, then stop."""
+    """Ingest every shard not seen by this checkpoint, then stop.
+
+    A file without any line never reaches a batch: the listed shards that are
+    not in the shard table afterwards are entered as imported, with no record.
+    """
+    listed = scratch_dir(spark, "listed-shards")
+    MD.list_shards(spark, source_root).write.parquet(listed)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         # a shard file is never split across micro-batches, and zstd files are
         # read whole by one task, so the id below follows the line order
-        records = MD.records_from(df, F.monotonically_increasing_id())
+        records = MD.records_from(df, F.monotonically_increasing_id(), every_line=True)
         ingest_records(df.sparkSession, records, state_path, shards_path, batch_id)
 
     query = (
@@ -96,31 +147,41 @@ def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, sh
         .start()
     )
     query.awaitTermination()
+    blank = IG.pending_shards(spark.read.parquet(listed), shard_table(spark, shards_path))
+    if not blank.isEmpty():
+        nothing = spark.createDataFrame([], "hf_path string, url_raw string, records long")
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        IG.shard_rows(blank, nothing, now).write.mode("overwrite").parquet(
+            f"{shards_path}/batch={next_forced_batch(shards_path)}")
 
 
 def shard_table(spark: SparkSession, shards_path: str) -> DataFrame | None:
     """Latest row per shard (K5 upsert semantics over the batch folders)."""
-    if not _path_exists(spark, shards_path):
+    batches = committed(shards_path, "batch")
+    if not batches:
         return None
-    rows = spark.read.parquet(shards_path)
+    rows = read_batches(spark, shards_path, batches, SHARD_SCHEMA)
     latest = rows.groupBy("hf_path").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "batch"]),
                                                   F.col("batch")).alias("r"))
     return latest.select("r.*")
 
 
+def next_forced_batch(shards_path: str) -> int:
+    """A batch id above the stream's and above every earlier forced one."""
+    return max([FORCE_BATCH_BASE, *(b + 1 for b in committed(shards_path, "batch"))])
+
+
 def ingest_batch(spark: SparkSession, source_root: str, state_path: str, shards_path: str,
                  force: bool = False, reader: str = "native") -> int:
-    """Batch ingest of the shards not imported yet (all of them with ``force``).
+    """Batch ingest of the shards not imported yet (all of them with ``force``); no other file is opened.
 
-    Existing URLs are never overwritten, forced or not.  Returns the batch id.
+    Existing URLs are never overwritten, forced or not.  ``reader="stream"``
+    takes shards with windows beyond the native reader's.  Returns the batch id.
     """
-    previous = spark.read.parquet(shards_path).select("batch") if _path_exists(spark, shards_path) else None
-    batch_id = FORCE_BATCH_BASE
-    if previous is not None:
-        top = previous.agg(F.max("batch")).first()[0]
-        batch_id = max(FORCE_BATCH_BASE, int(top) + 1)
-    todo = IG.pending_shards(MD.list_shards(spark, source_root), shard_table(spark, shards_path), force)
-    records = MD.read_records(spark, source_root, reader=reader)
-    records = records.join(todo.select("hf_path"), "hf_path", "left_semi")
-    ingest_records(spark, records, state_path, shards_path, batch_id)
+    batch_id = next_forced_batch(shards_path)
+    work = scratch_dir(spark, "pending-shards")
+    IG.pending_shards(MD.list_shards(spark, source_root), shard_table(spark, shards_path), force).write.parquet(work)
+    todo = spark.read.parquet(work)
+    records = MD.read_records(spark, source_root, reader, todo, every_line=True)
+    ingest_records(spark, records, state_path, shards_path, batch_id, todo)
     return batch_id

@@ -42,7 +42,7 @@ def test_first_wins_and_quirks(spark, tmp_root):
     assert b.warc_date is None and b.digest == "sha1:p"
     assert c.digest is None
     assert a.snapshot_name == "CC-MAIN-2014-42" and a.status == "pending"
-    counts = IG.shard_rows(recs, "2024-01-01 00:00:00").first()
+    counts = IG.shard_rows(recs.select("hf_path"), IG.first_wins(recs), "2024-01-01 00:00:00").first()
     assert counts.total_urls == 4 and counts.imported
 
 
