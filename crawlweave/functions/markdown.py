@@ -1,46 +1,62 @@
 """HTML -> markdown with a metadata header (U3), as a chain of Column expressions.
 
-Main-content rules: keep the ``<article>`` when there is one (else
-``<body>``, else everything); drop scripts, styles, comments, navigation,
-footers, asides and ad blocks; headings become ``#`` lines, list items ``-``
-lines, paragraphs and ``<br>`` line breaks; remaining tags are removed,
-entities decoded and white space tidied.  A ``title:`` header comes from
-``<title>``.  NULL when the HTML is NULL/empty or no text is left.
-
-Every step is a JVM ``regexp_replace``/``replace``, so the whole chain runs
-inside whole-stage codegen -- no Python worker.  The patterns use only what
-Java regex and RE2 share (no back-references, no look-arounds, no ``\\s``),
-so the DuckDB oracle runs the very same rules (``duckdb_expression``).
+Scripts, styles and comments go first, closed or not.  The main content is
+the ``<article>``, else the ``<body>``, else everything; a missing closing tag
+means the end of the text, and a part without any text is passed over for
+the next one.  Navigation, footers, asides and ad blocks go.  Headings become
+``#`` lines, list items ``-`` or ``1.`` lines, table rows ``|`` lines, closed
+links, images, bold, italic and code their markdown; paragraphs and ``<br>``
+line breaks; remaining tags are removed, entities decoded (numeric ones and
+HTML 4's names) and white space tidied.  A header holds ``title:``, ``author:`` and
+``description:`` where the page states them.  NULL when the HTML is
+NULL/empty or no text is left.  Nested ad blocks end at their first closing tag.
+
+Every step is a JVM expression: no Python worker.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed rule tables.  (pattern, replacement); ``\1`` in a replacement is the first group.
+HIDDEN = [
+    r"(?s)<!--.*?(-->|\z)",
+    r"(?is)<script\b[^>]*>.*?(</script[^>]*>|\z)",
+    r"(?is)<style\b[^>]*>.*?(</style[^>]*>|\z)",
+]
 DROP_BLOCKS = [
-    r"(?is)<script\b[^>]*>.*?</script>",
-    r"(?is)<style\b[^>]*>.*?</style>",
-    r"(?s)<!--.*?-->",
-    r"(?is)<nav\b[^>]*>.*?</nav>",
-    r"(?is)<footer\b[^>]*>.*?</footer>",
-    r"(?is)<aside\b[^>]*>.*?</aside>",
-    r"(?is)<div class=.ad.[^>]*>.*?</div>",
+    r"(?is)<nav\b[^>]*>.*?</nav[^>]*>",
+    r"(?is)<footer\b[^>]*>.*?</footer[^>]*>",
+    r"(?is)<aside\b[^>]*>.*?</aside[^>]*>",
+    r"(?is)<div\b[^>]*\bclass=(\"([^\">]* )?ad( [^\">]*)?\"|'([^'>]* )?ad( [^'>]*)?'|ad[ >])[^>]*>.*?</div[^>]*>",
 ]
 STRUCTURE = [
     (r"(?is)<h1\b[^>]*>(.*?)</h1>", "\n\n# \\1\n\n"),
     (r"(?is)<h2\b[^>]*>(.*?)</h2>", "\n\n## \\1\n\n"),
     (r"(?is)<h3\b[^>]*>(.*?)</h3>", "\n\n### \\1\n\n"),
+    (r"(?is)<h4\b[^>]*>(.*?)</h4>", "\n\n#### \\1\n\n"),
+    (r"(?is)<h5\b[^>]*>(.*?)</h5>", "\n\n##### \\1\n\n"),
+    (r"(?is)<h6\b[^>]*>(.*?)</h6>", "\n\n###### \\1\n\n"),
+    (r"(?is)<pre\b[^>]*>[ \n]*<code\b[^>]*>([^<]*)</code>[ \n]*</pre>", "\n\n```\n\\1\n```\n\n"),
+    (r"(?is)<pre\b[^>]*>([^<]*)</pre>", "\n\n```\n\\1\n```\n\n"),
+    (r"(?is)<code\b[^>]*>([^<]*)</code>", "`\\1`"),
+    (r"(?is)<(?:b|strong)(?: [^>]*)?>([^<]+)</(?:b|strong)>", "**\\1**"),
+    (r"(?is)<(?:i|em)(?: [^>]*)?>([^<]+)</(?:i|em)>", "*\\1*"),
+    (r"(?is)<img\b[^>]*\bsrc=[\"']([^\"'>]*)[\"'][^>]*\balt=[\"']([^\"'>]*)[\"'][^>]*>", "![\\2](\\1)"),
+    (r"(?is)<img\b[^>]*\balt=[\"']([^\"'>]*)[\"'][^>]*\bsrc=[\"']([^\"'>]*)[\"'][^>]*>", "![\\1](\\2)"),
+    (r"(?is)<a\b[^>]*\bhref=[\"']([^\"'>]*)[\"'][^>]*>([^<]*)</a>", "[\\2](\\1)"),
     (r"(?i)<br\b[^>]*>", "\n"),
     (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?i)</?(p|div|ul|ol|table|tr|section|blockquote|h4|h5|h6)\b[^>]*>", "\n\n"),
+    (r"(?is)</t[dh]>[ \t\r\n]*<t[dh]\b[^>]*>", " | "),
+    (r"(?is)<tr\b[^>]*>[ \t\r\n]*<t[dh]\b[^>]*>", "\n| "),
+    (r"(?is)</t[dh]>[ \t\r\n]*</tr>", " |"),
+    (r"(?i)</?(p|div|ul|ol|table|section|blockquote|h[1-6])\b[^>]*>", "\n\n"),
     (r"<[^>]*>", ""),
 ]
-ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
-]
 WHITESPACE = [
     ("[ \t\r\f]+", " "),
     (" *\n *", "\n"),
@@ -48,19 +64,48 @@ WHITESPACE = [
     ("^[ \n]+", ""),
     ("[ \n]+$", ""),
 ]
-ARTICLE = r"(?is)<article\b[^>]*>(.*)</article>"
-BODY = r"(?is)<body\b[^>]*>(.*)</body>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
+ARTICLE = [r"(?is)<article\b[^>]*>(.*)</article", r"(?is)<article\b[^>]*>(.*)"]
+BODY = [r"(?is)<body\b[^>]*>(.*)</body", r"(?is)<body\b[^>]*>(.*)"]
+TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
+META = r"(?is)<meta\b[^>]*\bname=[\"']?{}[\"']?[^>]*\bcontent=[\"']([^\"'>]*)[\"']"
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _java_repl(r: str) -> str:
-    return r.replace("$", "\\$").replace("\\1", "$1")
+    return r.replace("$", "\\$").replace("\\1", "$1").replace("\\2", "$2")
+
+
+def _entity(rest: Column) -> Column:
+    """What an ``&`` and the text after it stand for."""
+    names = F.create_map(*[F.lit(x) for x in chain.from_iterable(
+        (name, " " if name == "nbsp" else chr(code)) for name, code in name2codepoint.items())])
+    name = F.regexp_extract(rest, ENTITY, 1)
+    number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).when(
+        name.startswith("#"), F.substring(name, 2, 7)).cast("int")
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(
+        number.isNull(), F.try_element_at(names, name))
+    tail = F.substring(rest, F.length(name) + 2, F.length(rest))
+    return F.coalesce(F.concat(char, tail), F.concat(F.lit("&"), rest))
 
 
 def _decode(c: Column) -> Column:
-    for a, b in ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    parts = F.split(c, "&")
+    decoded = F.transform(F.slice(parts, 2, F.size(parts)), _entity)
+    return F.when(c.contains("&"), F.concat(parts[0], F.array_join(decoded, ""))).otherwise(c)
+
+
+def _numbered(c: Column) -> Column:
+    """Items of ``<ol>`` as ``1.`` lines (markdown counts them on)."""
+    def one(part: Column) -> Column:
+        end = F.regexp_instr(part, F.lit("(?i)</ol"))
+        inside = F.when(end > 0, F.substring(part, F.lit(1), end - 1)).otherwise(part)
+        after = F.when(end > 0, F.substring(part, end, F.length(part))).otherwise(F.lit(""))
+        return F.concat(F.regexp_replace(inside, r"(?i)<li\b[^>]*>", "\n1. "), after)
+
+    parts = F.split(c, r"(?i)<ol\b")
+    lists = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.concat(F.lit("<ol"), one(p)))
+    return F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(lists, ""))).otherwise(c)
 
 
 def _tidy(c: Column) -> Column:
@@ -69,97 +114,55 @@ def _tidy(c: Column) -> Column:
     return c
 
 
-def markdown_parts(html) -> tuple[Column, Column]:
-    """(body text, title) of the page; '' when there is none."""
-    h = F.col(html) if isinstance(html, str) else html
-    main = (
-        F.when(h.rlike(r"(?i)<article\b"), F.regexp_extract(h, ARTICLE, 1))
-        .when(h.rlike(r"(?i)<body\b"), F.regexp_extract(h, BODY, 1))
-        .otherwise(h)
-    )
-    for p in DROP_BLOCKS:
-        main = F.regexp_replace(main, p, "")
-    for p, r in STRUCTURE:
-        main = F.regexp_replace(main, p, _java_repl(r))
-    text = _tidy(_decode(main))
-    title = _tidy(_decode(F.regexp_replace(F.regexp_extract(h, TITLE, 1), "<[^>]*>", "")))
-    return text, title
+def visible(html: Column) -> Column:
+    """The page without scripts, styles and comments."""
+    for p in HIDDEN:
+        html = F.regexp_replace(html, p, "")
+    return html
 
 
-def assemble(text, title, html) -> Column:
-    """Markdown from computed parts: ``title:`` header + text, NULL when no text."""
-    t = F.col(text) if isinstance(text, str) else text
-    ti = F.col(title) if isinstance(title, str) else title
-    h = F.col(html) if isinstance(html, str) else html
-    with_header = F.when(ti != "", F.concat(F.lit("---\ntitle: "), ti, F.lit("\n---\n\n"), t)).otherwise(t)
-    return F.when(h.isNull() | (h == "") | (t == ""), F.lit(None).cast("string")).otherwise(with_header)
+def main_part(h: Column) -> Column:
+    """The first of article, body, everything that holds text."""
+    def inner(name: str, closed: str, rest: str) -> Column:
+        has_end = h.rlike(f"(?is)<{name}\\b.*</{name}")
+        return F.when(has_end, F.regexp_extract(h, closed, 1)).otherwise(F.regexp_extract(h, rest, 1))
 
+    def filled(part: Column) -> Column:
+        return F.when(F.regexp_replace(part, "<[^>]*>", "").rlike(r"[^ \t\r\n\f]"), part)
 
-def html_to_markdown(html) -> Column:
-    """Markdown as one Column expression.
+    return F.coalesce(filled(inner("article", *ARTICLE)), filled(inner("body", *BODY)), h)
 
-    The parts appear more than once in the final CASE, and Spark does not
-    share subexpressions inside conditional branches -- prefer
-    ``with_markdown``, which computes each part once.
-    """
-    text, title = markdown_parts(html)
-    return assemble(text, title, html)
+
+def marked(main: Column) -> Column:
+    """Main content as markdown, entities still coded."""
+    for p in DROP_BLOCKS:
+        main = F.regexp_replace(main, p, "")
+    main = _numbered(main)
+    for p, r in STRUCTURE:
+        main = F.regexp_replace(main, p, _java_repl(r))
+    return main
 
 
 def with_markdown(df, html: str = "html", out: str = "markdown"):
-    """``df`` plus a ``markdown`` column, the regexp chain evaluated once per row.
+    """``df`` plus a ``markdown`` column, the chain evaluated once per row.
 
-    The parts are computed in their own projection; Catalyst will not merge
-    it into the next one because that would repeat a non-trivial expression.
+    The steps are projections of their own; Catalyst will not merge one into
+    the next because that would repeat a non-trivial expression.
     """
-    text, title = markdown_parts(html)
-    return (df.withColumn("_md_text", text).withColumn("_md_title", title)
-            .withColumn(out, assemble("_md_text", "_md_title", html))
-            .drop("_md_text", "_md_title"))
-
-
-# --------------------------------------------------------------------------- DuckDB twin
-
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def duckdb_parts(col: str) -> tuple[str, str]:
-    """(body text, title) of the same chain as DuckDB SQL expressions (for the oracle)."""
-    def rr(e, p, r):
-        return f"regexp_replace({e}, {_q(p)}, {_q(r)}, 'g')"
-
-    def decode(e):
-        for a, b in ENTITIES:
-            e = f"replace({e}, {_q(a)}, {_q(b)})"
-        return e
-
-    def tidy(e):
-        for p, r in WHITESPACE:
-            e = rr(e, p, r)
-        return e
-
-    main = (f"(CASE WHEN regexp_matches({col}, '(?i)<article\\b') THEN regexp_extract({col}, {_q(ARTICLE)}, 1) "
-            f"WHEN regexp_matches({col}, '(?i)<body\\b') THEN regexp_extract({col}, {_q(BODY)}, 1) ELSE {col} END)")
-    for p in DROP_BLOCKS:
-        main = rr(main, p, "")
-    for p, r in STRUCTURE:
-        main = rr(main, p, r)
-    text = tidy(decode(main))
-    title = tidy(decode(rr(f"regexp_extract({col}, {_q(TITLE)}, 1)", "<[^>]*>", "")))
-    return text, title
-
-
-def duckdb_markdown_sql(table: str, id_col: str, html_col: str) -> str:
-    """SELECT id, markdown FROM table -- the DuckDB twin of ``html_to_markdown``."""
-    text, title = duckdb_parts(html_col)
-    return f"""
-WITH md_parts AS (
-  SELECT {id_col}, {html_col}, {text} AS md_text, {title} AS md_title FROM {table}
-)
-SELECT {id_col},
-       CASE WHEN {html_col} IS NULL OR {html_col} = '' OR md_text = '' THEN NULL
-            WHEN md_title <> '' THEN '---' || chr(10) || 'title: ' || md_title || chr(10) || '---' || chr(10) || chr(10) || md_text
-            ELSE md_text END AS markdown
-FROM md_parts
-"""
+    def line(name: str, value: Column) -> Column:
+        return F.when(value != "", F.concat(F.lit(f"{name}: "), value, F.lit("\n"))).otherwise(F.lit(""))
+
+    def meta(name: str) -> Column:
+        return _tidy(_decode(F.regexp_extract("_md_seen", META.format(name), 1)))
+
+    steps = df.withColumn("_md_seen", visible(F.col(html))).withColumn("_md_main", main_part(F.col("_md_seen")))
+    steps = steps.withColumn("_md_marked", marked(F.col("_md_main")))
+    steps = steps.withColumn("_md_text", _tidy(_decode(F.col("_md_marked"))))
+    steps = steps.withColumn("_md_title", _tidy(_decode(F.regexp_replace(F.regexp_extract("_md_seen", TITLE, 1),
+                                                                         "<[^>]*>", ""))))
+    steps = steps.withColumn("_md_head", F.concat(line("title", F.col("_md_title")), line("author", meta("author")),
+                                                  line("description", meta("description"))))
+    header = F.when(F.col("_md_head") != "", F.concat(F.lit("---\n"), "_md_head", F.lit("---\n\n"))).otherwise(F.lit(""))
+    whole = F.concat(header, "_md_text")
+    return steps.withColumn(out, F.when((F.col(html) != "") & (F.col("_md_text") != ""), whole)).drop(
+        "_md_seen", "_md_main", "_md_marked", "_md_text", "_md_title", "_md_head")

@@ -513,3 +513,31 @@ def write_manifest_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     present.groupBy("snapshot").applyInPandas(touch, "n long").count()
     return root, local
+
+
+# --------------------------------------------------------------------------- markdown cases
+
+MARKDOWN_CASES = [
+    "<body><p>hello {k}",
+    "<html><body><article><p>one {k}<p>two",
+    "<article></article><body><p>{k} in body</p></body>",
+    "<!-- <article>no</article> --><body><p>{k}</p></body>",
+    "<body><div class=\"address\">{k} street</div><div class=\"top ad big\">buy</div></body>",
+    "<p>See <a href=\"{u}\">{k}</a> and <b>bold {k}</b> <em>it</em></p>",
+    "<h4>{k}</h4><p>x</p><h6>y</h6>",
+    "<ol><li>{k}</li><li>b</li></ol><ul><li>c</li></ul>",
+    "<table><tr><th>{k}</th><th>v</th></tr><tr><td>1</td><td>2</td></tr></table>",
+    "<p>{k}&#8212;&eacute;&#x41;&nope;&amp;lt;</p>",
+    "<head><title>T {k}</title><meta name=\"author\" content=\"A B\"><meta name='description' content='D'></head>"
+    "<body><p>x</p></body>",
+    "<body><script>if (a<b) <p>no</p></script><pre><code>{k} = 1</code></pre><p>use <code>{k}</code></p>",
+]
+
+
+def markdown_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One small page per row of ``pages``, its kind by page_id % 12, with the row's id and address in it."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    kinds = F.array(*[F.lit(x) for x in MARKDOWN_CASES])
+    page = F.element_at(kinds, (F.col("page_id") % len(MARKDOWN_CASES) + 1).cast("int"))
+    word = F.concat(F.lit("k"), F.col("page_id").cast("string"))
+    return p.select("page_id", F.replace(F.replace(page, F.lit("{k}"), word), F.lit("{u}"), F.col("url")).alias("html"))

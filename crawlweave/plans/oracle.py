@@ -272,7 +272,38 @@ FROM meta_valid v GROUP BY v.hf_path
 """,
 })
 
-from crawlweave.functions.markdown import duckdb_markdown_sql  # noqa: E402
+
+
+def page_markdown_sql(table: str, id_col: str, html_col: str) -> str:
+    """Expected markdown of the test pages, from what is known of their make-up: one article of h1, p, br and
+    unclosed b, four entities, a title.  Plain splits and replaces; no rule of the engine is used."""
+    nl = "chr(10)"
+
+    def entities(e):
+        for code, char in (("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&amp;", "&")):
+            e = f"replace({e}, '{code}', '{char}')"
+        return e
+
+    def lines(e):
+        kept = (f"array_to_string(list_transform(string_split({e}, {nl}), "
+                f"lambda x: array_to_string(list_filter(string_split(translate(x, chr(9) || chr(13), '  '), ' '), "
+                f"lambda w: w <> ''), ' ')), {nl})")
+        return f"trim(regexp_replace({kept}, '\\n{{3,}}', {nl} || {nl}, 'g'), {nl} || ' ')"
+
+    article = f"split_part(split_part({html_col}, '<article>', 2), '</article>', 1)"
+    for tag, text in (("<h1>", f"{nl} || {nl} || '# '"), ("</h1>", f"{nl} || {nl}"), ("<p>", f"{nl} || {nl}"),
+                      ("</p>", f"{nl} || {nl}"), ("<br>", nl), ("<b>", "''")):
+        article = f"replace({article}, '{tag}', {text})"
+    title = f"split_part(split_part({html_col}, '<title>', 2), '</title>', 1)"
+    return f"""
+WITH md AS (SELECT {id_col}, {html_col}, {lines(entities(article))} AS body, {lines(entities(title))} AS title FROM {table})
+SELECT {id_col},
+       CASE WHEN {html_col} IS NOT NULL AND body <> '' THEN
+         CASE WHEN title <> '' THEN '---' || chr(10) || 'title: ' || title || chr(10) || '---' || chr(10) || chr(10)
+              ELSE '' END || body END AS markdown
+FROM md
+"""
+
 
 ORACLE["resolve_complete_index"] = f"""
 SELECT * FROM ({ORACLE["resolve_nearest"]}) r WHERE snapshot_name = 'CC-MAIN-2024-10'
@@ -293,7 +324,24 @@ SELECT 'meta/tt/CC-MAIN-2024-10/tt_meta_' || n || '.jsonl.zst', 'CC-MAIN-2024-10
 FROM (VALUES ('junk'), ('none')) t(n)
 """
 
-ORACLE["html_markdown"] = duckdb_markdown_sql("pages", "page_id", "html")
+ORACLE["html_markdown"] = page_markdown_sql("pages", "page_id", "html")
+
+ORACLE["markdown_cases"] = """
+SELECT page_id, replace(replace(CASE page_id % 12
+  WHEN 0 THEN 'hello {k}'
+  WHEN 1 THEN 'one {k}||two'
+  WHEN 2 THEN '{k} in body'
+  WHEN 3 THEN '{k}'
+  WHEN 4 THEN '{k} street'
+  WHEN 5 THEN 'See [{k}](' || url || ') and **bold {k}** *it*'
+  WHEN 6 THEN '#### {k}||x||###### y'
+  WHEN 7 THEN '1. {k}$1. b||- c'
+  WHEN 8 THEN '| {k} | v |$| 1 | 2 |'
+  WHEN 9 THEN '{k}' || chr(8212) || chr(233) || 'A&nope;&lt;'
+  WHEN 10 THEN '---$title: T {k}$author: A B$description: D$---||x'
+  ELSE '```${k} = 1$```||use `{k}`' END, '||', '$$'), '$', chr(10)).replace('{k}', 'k' || page_id) AS markdown
+FROM pages
+"""
 
 ORACLE["extract_records"] = f"""
 WITH p AS (
@@ -330,7 +378,7 @@ src AS (
   FROM state_fx s JOIN pages p ON p.page_id = s.ord
   WHERE s.saved_path IS NOT NULL
 ),
-md AS ({duckdb_markdown_sql("src", "ord", "html")})
+md AS ({page_markdown_sql("src", "ord", "html")})
 SELECT regexp_replace(src.snapshot_name, '^CC-MAIN-', '') AS snapshot, lower(coalesce(src.url_raw, '')) AS url,
        src."offset", src.length, src.filename, src.html, md.markdown, src.ord
 FROM src JOIN md ON md.ord = src.ord
@@ -351,7 +399,7 @@ WITH RECURSIVE src AS (
   SELECT page_id AS ord, html, regexp_replace('CC-MAIN-2024-1' || CAST(page_id % 3 AS VARCHAR), '^CC-MAIN-', '') AS snapshot
   FROM pages
 ),
-md AS ({duckdb_markdown_sql("src", "ord", "html")}),
+md AS ({page_markdown_sql("src", "ord", "html")}),
 r AS (
   SELECT src.snapshot, src.ord,
          CAST(coalesce(strlen(src.html), 0) + coalesce(strlen(md.markdown), 0) AS BIGINT) AS bytes

@@ -173,6 +173,12 @@ def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_markdown(pages).select("page_id", "markdown")
 
 
+def q_markdown_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.functions.markdown import with_markdown
+
+    return with_markdown(_dealt(FX.markdown_cases(spark, sf_dir))).select("page_id", "markdown")
+
+
 def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.operators import extract as X
     from crawlweave.sources import warc as W
@@ -308,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_incremental": q_ingest_incremental,
     "ingest_shards": q_ingest_shards,
     "html_markdown": q_html_markdown,
+    "markdown_cases": q_markdown_cases,
     "extract_records": q_extract_records,
     "decode_payloads": q_decode_payloads,
     "export_snapshot": q_export_snapshot,
