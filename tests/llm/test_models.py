@@ -1,9 +1,13 @@
 """Operators 1, 2, 3 and the pipeline: brute force and held-out accuracy."""
 
+import zlib
+
 import numpy as np
+import public_tokenizers as vocab
 import pytest
 from helpers import SCHEMA, collected, no_documents, odd_documents, rows
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from crawlweave.llm import components, language, near_dup, quality_model
@@ -203,10 +207,32 @@ def test_pipeline_stages(spark):
         sizes.append((name, len(before), len(after)))
         if name == "language":
             assert before - set(after) == {(-1, "12 34")}
-        if name == "near_duplicates":
-            assert len(after) == len(set(after))
-            classes = {r.doc_id: r.class_id for r in near_dup.near_duplicate_classes(docs).collect()}
-            assert sorted(d for d, _ in after) == sorted(set(classes.values()))
+        if name == "quality":  # the same model, applied text by text
+            model = quality_model.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+            good = {(d, t) for d, t in before if model.grade(np.array([model.score(
+                quality_model.features(t or ""))]))[1][0] >= quality_model.KEEP_PROBABILITY}
+            assert set(after) == good and 0 < len(good) < len(before)
+        if name == "near_duplicates":  # all pairs of texts
+            listed = sorted(before)
+            classes = brute_classes([t or "" for _, t in listed],
+                                    near_dup.idf_table(*near_dup.document_frequencies(docs, "text")))
+            first = {}
+            for (doc, text), c in zip(listed, classes, strict=True):
+                first.setdefault(c, (doc, text))
+            assert len(after) == len(set(after)) and set(after) == set(first.values()) and len(after) < len(before)
         docs = kept
-    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == {d for d, _ in after}
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    encode = Tokenizer.from_file(vocab.path("byte_bpe_50k.json")).encode
+    ids = {d: [*encode(t, add_special_tokens=False).ids, 1] for d, t in after}
+    covered = {}
+    for r in out:
+        piece = np.array(ids[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()
+        assert zlib.crc32(piece) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        covered[r.doc_id] = covered.get(r.doc_id, 0) + r.length
+    assert covered == {d: len(x) for d, x in ids.items()}
+
+
+def test_pipeline_run_reads_documents(spark):
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert set(out.columns) >= {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"}
+    assert 0 < out.select("doc_id").distinct().count() < 200
