@@ -13,12 +13,14 @@ connected components of the links, equal texts included.
 2. Every text gets ``BANDS`` x ``ROWS`` samples, each drawing a shingle
    with a probability in proportion to its weight, alike in similar texts (Ioffe's
    construction), and a bucket per band.  Only text digests and buckets are shuffled.
-3. Candidates are texts that share a bucket.  A bucket's smallest digest is
-   its leader.  Each text is compared with one leader, then with the other
-   leaders it is not connected to yet - a linear number of comparisons.  What
+3. Candidates are texts that share a bucket.  A bucket's leader is the text
+   that has the most company over all buckets.  Each text is compared with
+   one leader, then with the other leaders it is not connected to yet - a
+   linear number of comparisons, made where the samples agree enough.  What
    then still shares a bucket without being connected is compared exactly,
    small components of the bucket against its members, in blocks of bounded
-   size: no group lands in one task, and no pair that shares a bucket is left undecided.
+   size: no group lands in one task, and no pair that shares a bucket and
+   agrees enough is left undecided.
 
 Nodes are digests of texts, so a group of equal texts is one node, however
 large.  Null text counts as empty; texts without words are linked to equal
@@ -44,13 +46,16 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: A pair at the threshold shares a bucket with probability 1 - (1 - 0.8^4)^14 = 0.9994.
 BANDS, ROWS = 14, 4
+#: Of the 56 samples, so many must agree for a pair to be verified: one at the
+#: threshold falls short with a probability of 1 in 10,000, less than its bands miss.
+LEAST_AGREEING = 34
 COUNTERS = 1 << 20
-#: Rows the counter table is cut into while it is summed.
-SEGMENTS = 16
+#: Rows the counter table is cut into, and groups of tasks, while it is summed.
+SEGMENTS, TASK_GROUPS = 16, 64
 RARE_SHARE = 1e-3
-IDF_TOP = 1.25
+IDF_TOP = 1.15
 #: Texts of a block in the exact comparison of what is left in a bucket.
-LEFT_BLOCK, RIGHT_BLOCK = 64, 512
+LEFT_BLOCK, RIGHT_BLOCK = 256, 512
 SEED = 7
 
 
@@ -81,7 +86,7 @@ def document_frequencies(df: DataFrame, text_col: str) -> tuple[np.ndarray, int]
             parts = counts.reshape(SEGMENTS, -1)
             task = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pylist([
-                {"segment": i, "task": task, "docs": docs if i == 0 else 0, "counts": p.astype("<i8").tobytes()}
+                {"segment": i, "task": task, "docs": docs if i == 0 else 0, "counts": p.astype("<i4").tobytes()}
                 for i, p in enumerate(parts)], schema=_arrow(schema))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,24 +95,29 @@ def document_frequencies(df: DataFrame, text_col: str) -> tuple[np.ndarray, int]
         docs = 0
         for batch in batches:
             for row in batch.to_pylist():
-                part = np.frombuffer(row["counts"], "<i8")
+                part = _numbers(row["counts"])
                 sums[row["segment"]] = sums.get(row["segment"], 0) + part
                 docs += row["docs"]
         for i, (segment, part) in enumerate(sorted(sums.items())):
             yield pa.RecordBatch.from_pylist([{"segment": segment, "task": 0, "docs": docs if i == 0 else 0,
                                                "counts": part.astype("<i8").tobytes()}], schema=_arrow(schema))
 
-    # sums in two steps: first over groups of tasks, then over all, one partition per segment
+    # sums in two steps: over groups of tasks, then over all
     partial = df.select(text_col).mapInArrow(run, schema)
-    halfway = partial.repartition(SEGMENTS * 8, "segment", F.pmod("task", F.lit(8))).mapInArrow(add, schema)
-    rows = halfway.repartition(SEGMENTS, "segment").mapInArrow(add, schema).toArrow().to_pylist()
+    halfway = partial.repartition("segment", F.pmod("task", F.lit(TASK_GROUPS))).mapInArrow(add, schema)
+    rows = halfway.repartition("segment").mapInArrow(add, schema).toArrow().to_pylist()
     counts, docs = np.zeros((SEGMENTS, COUNTERS // SEGMENTS), np.int64), 0
     for row in rows:
-        counts[row["segment"]] += np.frombuffer(row["counts"], "<i8")
+        counts[row["segment"]] += _numbers(row["counts"])
         docs += row["docs"]
     return counts.ravel(), docs
 
 
+def _numbers(raw: bytes) -> np.ndarray:
+    """Counters of a segment: 4 bytes each from one task, 8 once summed."""
+    return np.frombuffer(raw, "<i4" if len(raw) == 4 * COUNTERS // SEGMENTS else "<i8")
+
+
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -136,6 +146,28 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return smaller / larger if larger else 0.0
 
 
+class BlockIndex:
+    """Shingles of a block of texts in one sorted list, to compare a text with all of them at once."""
+
+    def __init__(self, sets: list[tuple[np.ndarray, np.ndarray]]):
+        self.n = len(sets)
+        hashes = np.concatenate([h for h, _ in sets])
+        owner = np.repeat(np.arange(self.n), [len(h) for h, _ in sets])
+        weights = np.concatenate([w for _, w in sets])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner, self.weights = hashes[order], owner[order], weights[order]
+        self.totals = np.array([w.sum(dtype=np.float64) for _, w in sets])
+
+    def jaccard(self, own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Weighted Jaccard similarity of a text with each of the block."""
+        low, high = (np.searchsorted(self.hashes, own[0], side) for side in ("left", "right"))
+        found = high - low
+        places = np.arange(int(found.sum())) + np.repeat(low - (np.cumsum(found) - found), found)
+        shared = np.minimum(np.repeat(own[1], found), self.weights[places])
+        smaller = np.bincount(self.owner[places], weights=shared, minlength=self.n)
+        return smaller / np.maximum(self.totals + own[1].sum(dtype=np.float64) - smaller, 1e-30)
+
+
 class Sampler:
     """Improved consistent weighted sampling.
 
@@ -181,13 +213,18 @@ def band_buckets(samples: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def agreeing(a: Column, b: Column) -> Column:
+    """How many of two signatures' samples are the same."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+
+
 def digest(text: Column) -> Column:
     """The name of a text: 16 bytes of MD5."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> DataFrame:
-    """``id``, ``key`` (text digest), ``buckets`` of each row."""
+    """``id``, ``key`` (text digest), ``buckets`` and ``signature`` (a byte of each sample) of each row."""
     shared = df.sparkSession.sparkContext.broadcast(idf)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest(F.col(text_col)).alias("key"))
 
@@ -195,15 +232,18 @@ def sketches(df: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> Data
         table, sampler = shared.value, Sampler(BANDS * ROWS)
 
         def sketch(texts):
-            out = []
+            buckets, signatures = [], []
             for text in texts:
                 hashes, weights = weighted_set(text, table)
-                out.append(band_buckets(sampler.samples(hashes, weights)).tolist() if len(hashes) else [])
-            return [pa.array(out, pa.list_(pa.int64()))]
+                samples = sampler.samples(hashes, weights) if len(hashes) else np.zeros(0, np.uint64)
+                buckets.append(band_buckets(samples).tolist() if len(hashes) else [])
+                signatures.append((samples & np.uint64(255)).astype(np.uint8).view(np.int8).tolist())
+            return [pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int8()))]
 
         return sketch
 
-    return map_texts(rows, "text", ["id", "key"], [T.StructField("buckets", T.ArrayType(T.LongType()))], make)
+    return map_texts(rows, "text", ["id", "key"], [T.StructField("buckets", T.ArrayType(T.LongType())),
+                                                   T.StructField("signature", T.ArrayType(T.ByteType()))], make)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -235,9 +275,7 @@ def verify_blocks(left: DataFrame, right: DataFrame, texts: DataFrame, idf: np.n
     right = right.select(*[F.col(c).alias(c) for c in right.columns])  # both sides come from one table
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        table = shared.value
-        sets = [weighted_set(t, table) for t in b["text"].to_pylist()] if a.num_rows else []
-        roots, keys, found = b["root"].to_pylist(), b["key"].to_pylist(), []
+        table, found = shared.value, []
         joined: dict[bytes, bytes] = {}  # components linked within this block
 
         def top(x: bytes) -> bytes:
@@ -245,18 +283,66 @@ def verify_blocks(left: DataFrame, right: DataFrame, texts: DataFrame, idf: np.n
                 x = joined[x]
             return x
 
-        for key, root, text in zip(a["key"].to_pylist(), a["root"].to_pylist(), a["text"].to_pylist(), strict=True):
-            own = weighted_set(text, table)
-            for other_key, other_root, other in zip(keys, roots, sets, strict=True):
-                if top(root) != top(other_root) and weighted_jaccard(own, other) >= SIMILARITY:
-                    joined[top(root)] = top(other_root)
-                    found.append((key, other_key))
+        if a.num_rows and b.num_rows:
+            block = BlockIndex([weighted_set(t, table) for t in b["text"].to_pylist()])
+            roots, keys = b["root"].to_pylist(), b["key"].to_pylist()
+            for key, root, text in zip(a["key"].to_pylist(), a["root"].to_pylist(), a["text"].to_pylist(), strict=True):
+                for i in np.flatnonzero(block.jaccard(weighted_set(text, table)) >= SIMILARITY).tolist():
+                    if top(root) != top(roots[i]):
+                        joined[top(root)] = top(roots[i])
+                        found.append((key, keys[i]))
         return pa.table({"a": pa.array([x for x, _ in found], pa.binary()),
                          "b": pa.array([x for _, x in found], pa.binary())})
 
     return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(compare, "a binary, b binary")
 
 
+def _blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (``bucket, key, root``, more) of buckets with several components, dealt to blocks ``bucket, i, j``.
+
+    Left: those outside the bucket's largest component; right: all.  Every
+    pair of a left and a right member meets in one block of bounded size.
+    """
+    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    mixed = (parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"),
+                                         F.max(F.struct("n", "root")).alias("main")).filter("parts > 1")
+             .select("bucket", F.col("main.root").alias("main"),
+                     F.ceil((F.col("n") - F.col("main.n")) / LEFT_BLOCK).cast("int").alias("lefts"),
+                     F.ceil(F.col("n") / RIGHT_BLOCK).cast("int").alias("rights")))
+    open_, spot = members.join(mixed, "bucket"), F.xxhash64("key")
+    kept = [c for c in members.columns if c != "bucket"]
+    left = open_.filter("root <> main").select(
+        "bucket", F.pmod(spot, F.col("lefts")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), *kept)
+    right = open_.select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
+        F.pmod(spot, F.col("rights")).cast("int").alias("j"), *kept)
+    return left, right
+
+
+def _with_partners(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``bucket, key`` of the members that agree enough with one of another component in their block."""
+    names = ["bucket", "i", "j"]
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not (a.num_rows and b.num_rows):
+            return pa.table({"bucket": pa.array([], pa.int64()), "key": pa.array([], pa.binary())})
+        x, y = (np.array(t["signature"].combine_chunks().flatten()).reshape(t.num_rows, -1) for t in (a, b))
+        agree = np.zeros((len(x), len(y)), np.uint8)
+        for k in range(x.shape[1]):
+            agree += x[:, k, None] == y[None, :, k]
+        names_of = {r: i for i, r in enumerate({*a["root"].to_pylist(), *b["root"].to_pylist()})}
+        of_a, of_b = (np.array([names_of[r] for r in t["root"].to_pylist()]) for t in (a, b))
+        good = (agree >= LEAST_AGREEING) & (of_a[:, None] != of_b[None, :])
+        keys = (a["key"].filter(pa.array(good.any(axis=1))).to_pylist()
+                + b["key"].filter(pa.array(good.any(axis=0))).to_pylist())
+        return pa.table({"bucket": pa.array([a["bucket"][0].as_py()] * len(keys), pa.int64()),
+                         "key": pa.array(keys, pa.binary())})
+
+    return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInArrow(compare, "bucket long, key binary")
+
+
 def _labelled(nodes: DataFrame, roots: DataFrame, key: str = "key") -> DataFrame:
     """``nodes`` with the component (``root``) of each key; a node without links is its own."""
     return nodes.join(roots.select(F.col("v").alias(key), "root"), key, "left").withColumn(
@@ -278,17 +364,31 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     rows = cut(sketches(df, id_col, text_col, idf), "sketches")
 
     # one node per distinct text; its places in buckets that hold another node
-    nodes = rows.groupBy("key").agg(F.any_value("buckets").alias("buckets"))
+    nodes = rows.groupBy("key").agg(F.any_value(F.struct("buckets", "signature")).alias("n"))
+    nodes = cut(nodes.select("key", "n.buckets", "n.signature"), "nodes")
     places = cut(nodes.select("key", F.explode("buckets").alias("bucket")), "places")
-    buckets = places.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    buckets = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     places = cut(places.join(buckets, "bucket"), "shared")
-    named = places.select("key").distinct()
+    # a bucket's leader is its node with the most company over all buckets: in a group of copies, the one they came from
+    company = places.groupBy("key").agg(F.sum("n").alias("company"))
+    leaders = places.join(company, "key").groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("top")).select(
+        "bucket", F.col("top.key").alias("leader"))
+    places = cut(places.join(leaders, "bucket"), "led")
+    signatures = cut(nodes.select("key", "signature").join(places.select("key").distinct(), "key", "left_semi"), "signed")
+
+    def signed(name: str) -> DataFrame:
+        return signatures.select(F.col("key").alias(name), F.col("signature").alias(f"signature_{name}"))
+
+    pairs = places.filter("key <> leader").groupBy(F.col("key").alias("a"), F.col("leader").alias("b")).agg(
+        F.count("*").alias("shared"))
+    pairs = cut(pairs.join(signed("a"), "a").join(signed("b"), "b")
+                .filter(agreeing(F.col("signature_a"), F.col("signature_b")) >= LEAST_AGREEING)
+                .select("a", "b", "shared"), "pairs")
     # the texts of candidates, once per digest (equal texts fall together before the shuffle)
     texts = cut(df.select(digest(F.col(text_col)).alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
-                .groupBy("key").agg(F.any_value("text").alias("text")).join(named, "key", "left_semi"), "texts")
+                .groupBy("key").agg(F.any_value("text").alias("text")).join(signatures.select("key"), "key", "left_semi"),
+                "texts")
 
-    pairs = cut(places.filter("key <> leader").groupBy(F.col("key").alias("a"), F.col("leader").alias("b"))
-                .agg(F.count("*").alias("shared")), "pairs")
     # one leader per node: the one it shares most buckets with
     best = pairs.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("top")).select("a", "top.b")
     links = cut(verify(best, texts, idf), "links-1")
@@ -300,23 +400,13 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     links = links.union(cut(verify(apart, texts, idf), "links-2"))
     roots = connected(links)
 
-    # buckets whose members beside the leader (compared with all) are in several components
-    members = cut(_labelled(places.filter("key <> leader").select("bucket", "key"), roots), "members")
-    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed = (parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"),
-                                         F.max(F.struct("n", "root")).alias("main")).filter("parts > 1")
-             .select("bucket", F.col("main.root").alias("main"),
-                     F.ceil((F.col("n") - F.col("main.n")) / LEFT_BLOCK).cast("int").alias("lefts"),
-                     F.ceil(F.col("n") / RIGHT_BLOCK).cast("int").alias("rights")))
-    open_ = cut(members.join(mixed, "bucket"), "open")
-    if not open_.isEmpty():
-        spot = F.xxhash64("key")
-        left = open_.filter("root <> main").select(
-            "bucket", F.pmod(spot, F.col("lefts")).cast("int").alias("i"),
-            F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), "key", "root")
-        right = open_.select(
-            "bucket", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
-            F.pmod(spot, F.col("rights")).cast("int").alias("j"), "key", "root")
+    # buckets whose members beside the leader (compared with all) are in several components:
+    # first the signatures tell which members have a partner to be verified with, then the texts decide
+    members = _labelled(places.filter("key <> leader").select("bucket", "key"), roots)
+    left, right = _blocks(cut(members.join(signatures, "key"), "members"))
+    partners = cut(_with_partners(left, right), "partners")
+    if not partners.isEmpty():
+        left, right = _blocks(_labelled(partners.distinct(), roots))
         links = links.union(cut(verify_blocks(left, right, texts, idf), "links-3"))
         roots = connected(links)
 
