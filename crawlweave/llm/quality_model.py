@@ -12,7 +12,7 @@ the bins of some ratios (symbols, capitals, repeated words, ...).  Buckets
 seen in fewer than ``MIN_DOCS`` training documents, or whose mean grade is
 not significantly off (``SIGNIFICANCE``), have no weight.
 
-Fitted on a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest
+Fitted on a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by the
 hashes of their ids) on the driver; every text is scored whole, map-only,
 with the weights (1 MB) broadcast.
 
@@ -34,8 +34,9 @@ from pyspark.sql import types as T
 
 from crawlweave.llm.common import _IS_SPACE, byte_word_hashes, letter_bytes, map_texts, mix64, prepare, word_hashes
 
-#: Labelled rows the model is fitted on, at most.
+#: Labelled rows the model is fitted on, at most; the share taken stays a little below.
 TRAIN_ROWS = 20_000
+MARGIN = 0.95
 BUCKETS = 1 << 18
 MIN_DOCS = 4
 SIGNIFICANCE = 5.0
@@ -140,10 +141,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, rounds: int = ROUNDS) -> Ord
 
 
 def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """``grade`` and ``buckets`` of the sample: the labels with the smallest id hashes, joined to their texts."""
+    """``grade`` and ``buckets`` of the sample: the labels whose id hash lies below ``most`` / labels, with their texts."""
     grade = (F.col("quality") + (1 - F.col("toxic"))).cast("int")
-    chosen = (labels.select(F.col("doc_id").alias("__id"), grade.alias("grade")).dropna()
-              .orderBy(F.xxhash64(F.lit("quality sample"), "__id"), "__id").limit(most))
+    graded = labels.select(F.col("doc_id").alias("__id"), grade.alias("grade")).dropna()
+    whole = 1 << 30
+    share = min(1.0, MARGIN * most / max(1, graded.count()))
+    chosen = graded.filter(F.pmod(F.xxhash64(F.lit("quality sample"), "__id"), F.lit(whole)) < int(share * whole))
     texts = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     return map_texts(texts.join(F.broadcast(chosen), "__id"), "__text", ["grade"],
                      [T.StructField("buckets", T.BinaryType())],
