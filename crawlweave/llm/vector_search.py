@@ -4,7 +4,7 @@ Index: every vector gets one more component, so that all have the same norm
 and the largest inner product is the smallest distance; it is turned by a
 random rotation, assigned to the nearest centroid's list, and stored in
 column blocks of ``COLUMN_BLOCK`` dimensions.  Centroids are fitted on a
-bounded sample (``FIT_ROWS`` vectors, those with the smallest id hashes);
+bounded sample (about ``FIT_ROWS`` vectors, chosen by id hash);
 every vector is indexed.
 
 Search: a query probes the nearest ``PROBE_SHARE`` of the lists.  Within
@@ -38,7 +38,7 @@ from crawlweave.llm.common import prepare
 from crawlweave.session import scratch_dir
 
 HITS = 20
-#: Vectors on which centroids are fitted.
+#: Vectors on which centroids are fitted (expected: their id hash lies below a share).
 FIT_ROWS = 16_384
 FIT_ROUNDS = 8
 MAX_LISTS = 1024
@@ -185,8 +185,11 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
     turn = Turn(facts.dim, facts.norm2)
-    sample = np.array(classes.orderBy(F.xxhash64("rep"), "rep").limit(FIT_ROWS).select("vec").toArrow()
-                      .column(0).combine_chunks().flatten()).reshape(-1, facts.dim)
+    share = F.lit(int(min(1.0, FIT_ROWS / facts.n) * (1 << 30)))
+    found = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share).orderBy("rep").select("vec").toArrow()
+    sample = np.array(found.column(0).combine_chunks().flatten()).reshape(-1, facts.dim)
+    if not len(sample):  # chance left a very small table out
+        sample = np.zeros((1, facts.dim))
     lists = max(1, min(MAX_LISTS, int(math.sqrt(facts.n) / 2), len(sample)))
     probes = math.ceil(probe_share * lists)
     centroids = fit_centroids(turn.points(sample), lists)
