@@ -25,9 +25,12 @@ from pyspark.sql import types as T
 
 from crawlweave.llm.common import map_texts, prepare, text_batches
 from crawlweave.llm.pieces import HEAD, PieceCache, keys_of
+from crawlweave.session import scratch_dir
 
 #: Entries of the broadcast table: about 1 MB, whatever the corpus.
 FREQUENT = 16_384
+#: Levels per power of two, by which counts are told apart when the list is cut.
+LEVELS = 16
 #: Counters a task holds while it looks for its frequent pieces.
 TASK_COUNTERS = 8 * FREQUENT
 #: The tokenizer's mark for a space.
@@ -73,8 +76,20 @@ def frequent_pieces(df: DataFrame, text_col: str = "text", entries: int = FREQUE
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.string()),
                                               pa.array([v for _, v in top], pa.int64())], names=["piece", "n"])
 
-    counted = df.select(text_col).mapInArrow(run, schema).groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(entries).collect() if pieces.is_piece(r.piece)]
+    folder = scratch_dir(df.sparkSession, "frequent-pieces")
+    (df.select(text_col).mapInArrow(run, schema).groupBy("piece").agg(F.sum("n").alias("n"))
+     .withColumn("level", F.floor(F.log2("n") * LEVELS).cast("int")).write.parquet(folder))
+    counted = df.sparkSession.read.parquet(folder)
+    # the lowest level above which there are no more than ``entries``: only those come to the driver
+    level, above = None, 0
+    for r in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r.level):
+        if above + r["count"] > entries:
+            break
+        level, above = r.level, above + r["count"]
+    if level is None:
+        return []
+    top = counted.filter(F.col("level") >= level).select("piece").collect()
+    return sorted(r.piece for r in top if pieces.is_piece(r.piece))
 
 
 #: A worker process keeps the cache of the latest count.
