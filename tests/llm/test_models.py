@@ -167,6 +167,36 @@ def test_language_evidence_decides_where_the_text_does_not(spark):
     assert out[9004]["language"] == "und" and not out[9004]["kept"]
 
 
+def test_every_label_has_a_model(spark):
+    """70 languages, each in a script of its own: the rarest labels are named like the others."""
+    rng = np.random.default_rng(3)
+    made = []
+    for i in range(70):
+        letters = [chr(0x4E00 + 40 * i + j) for j in range(40)]
+        made += [(f"l{i:02}", " ".join("".join(rng.choice(letters, 4)) for _ in range(30)))
+                 for _ in range(3 if i >= 64 else 5)]
+    docs = documents(spark, enumerate(t for _, t in made)).drop("lang", "source")
+    names = spark.createDataFrame([(i, n, "h") for i, (n, _) in enumerate(made)], "doc_id long, lang string, source string")
+    docs = docs.join(names, "doc_id").select("doc_id", "text", "lang", "source", "n_chars")
+    out = {r["doc_id"]: r for r in collected(language.identify(docs))}
+    assert [out[i]["language"] for i in range(len(made))] == [n for n, _ in made]
+    assert [out[i]["text_language"] for i in range(len(made))] == [n for n, _ in made]
+    assert all(r["kept"] for r in out.values())
+    assert corpus_pipeline.in_known_languages(spark, docs, SF).count() == len(made)
+
+
+def test_blocks_of_languages_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    whole = {r["doc_id"]: r for r in collected(language.identify(docs))}
+    monkeypatch.setattr(language, "LANGUAGE_BLOCK", 2)
+    cut = {r["doc_id"]: r for r in collected(language.identify(docs))}
+    assert whole.keys() == cut.keys()
+    for i, r in whole.items():
+        assert {c: v for c, v in cut[i].items() if c != "probability"} == {
+            c: v for c, v in r.items() if c != "probability"}
+        assert r["probability"] == pytest.approx(cut[i]["probability"], rel=1e-9)
+
+
 def test_language_of_pages(spark):
     """Markup and address as evidence, on raw pages: labels are the pages' own declarations."""
     pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("declared", language.markup_language(F.col("html")))
