@@ -1,19 +1,22 @@
 """Operator 6: nearest vectors by inner product, with an adaptive dimension scan over probed lists.
 
-Index: every vector gets one more component, so that all have the same norm
-and the largest inner product is the smallest distance; it is turned by a
-random rotation, assigned to the nearest centroid's list, and stored in
+Index: vectors are parted by norm (a part's norms differ by a factor of
+``NORM_FACTOR`` at most) and divided by their part's largest norm; every
+vector gets one more component, so that all have norm 1 and the largest inner
+product within a part is the smallest distance.  It is turned by a
+random rotation, assigned to the nearest centroid's list of its part, and scanned in
 column blocks of ``COLUMN_BLOCK`` dimensions.  Centroids are fitted on a
 bounded sample (about ``FIT_ROWS`` vectors, chosen by id hash);
 every vector is indexed.
 
-Search: a query probes the nearest ``PROBE_SHARE`` of the lists.  Within
-them a candidate's distance is summed column block by column block; after
+Search: a query probes the nearest ``PROBE_SHARE`` of every part's lists.  Within
+them a candidate's distance is summed in double precision column block by column block; after
 each, a hypothesis test compares the distance estimated from the dimensions
 seen so far with the query's current worst hit and abandons the candidate
 when it is significantly farther (the rotation makes every prefix of the
-dimensions a random projection).  The survivors' scores are then computed in double
-precision on the original vectors.
+dimensions a random projection).  The nearest, and all that rounding cannot tell
+from the last of them, are then scored in double precision on the original
+vectors; these scores choose and merge the hits of blocks and parts.
 
 Work is cut into blocks of bounded size: lists are packed into blocks of candidates (a
 large list is split by id hash), queries into chunks; a task gets one block
@@ -28,11 +31,13 @@ the smaller id.  An empty table gives no rows.  Other columns are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlweave.llm.common import prepare
 from crawlweave.session import scratch_dir
@@ -52,9 +57,13 @@ COLUMN_BLOCK = 16
 SIGNIFICANCE = 1.5
 #: Blocks a table is cut into, and the bounds of a block's rows.
 BLOCKS, LEAST_ROWS, MOST_ROWS = 16, 256, 65_536
+#: The largest norm of a part is at most so many times its smallest.
+NORM_FACTOR = 4.0
 CHUNK_QUERIES = 1024
-#: Hits kept per query in single precision before the exact ranking, beyond those asked for.
+#: Hits kept per query and block beyond those asked for.
 MARGIN = 12
+#: Rounding of a distance between vectors of norm 1, a dimension (several times what doubles can err).
+ROUNDING = 32 * 2.0 ** -52
 SEED = 20
 
 
@@ -64,7 +73,7 @@ def usable(vector: Column) -> Column:
 
 
 def vector_classes(df: DataFrame, id_col: str, vector_col: str, most_ids: int) -> DataFrame:
-    """``vec``, ``rep`` (smallest id), ``ids`` (the ``most_ids`` smallest) of each distinct vector.
+    """``vec``, ``rep`` (smallest id), ``ids`` (the ``most_ids`` smallest), ``log_norm`` of each distinct vector.
 
     The rank filter keeps ``most_ids`` rows of a vector per task before the shuffle.
     """
@@ -75,7 +84,7 @@ def vector_classes(df: DataFrame, id_col: str, vector_col: str, most_ids: int) -
     rank = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
     return (rows.filter(F.size("vec") == dim).withColumn("rank", rank).filter(F.col("rank") <= most_ids)
             .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-            .select(F.element_at("ids", 1).alias("rep"), "ids", "vec"))
+            .select(F.element_at("ids", 1).alias("rep"), "ids", "vec", log_norm(F.col("vec")).alias("log_norm")))
 
 
 def fit_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
@@ -96,23 +105,38 @@ def nearest_lists(vectors: np.ndarray, centroids: np.ndarray, n: int) -> np.ndar
     return np.argsort(far, axis=1, kind="stable")[:, :n]
 
 
+def log_norm(vector: Column) -> Column:
+    """The binary logarithm of the norm; the largest component is taken out, so that no square overflows."""
+    big = F.array_max(F.transform(vector, F.abs))
+    squares = F.zip_with(vector, F.array_repeat(big, F.size(vector)), lambda x, m: (x / m) * (x / m))
+    return F.log2(big) + F.log2(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)) / 2
+
+
+def _divided(vectors: np.ndarray, log_norms: np.ndarray) -> np.ndarray:
+    """Rows divided by 2 to the power of ``log_norms``, in two steps that neither overflow nor vanish."""
+    whole = np.floor(log_norms).astype(np.int64)
+    return np.ldexp(vectors, -whole[:, None]) / np.exp2(log_norms - whole)[:, None]
+
+
 class Turn:
-    """Equal norms, then a seeded random rotation."""
+    """Norm 1, then a seeded random rotation."""
 
-    def __init__(self, dim: int, largest_norm2: float):
+    def __init__(self, dim: int):
         rng = np.random.default_rng(SEED)
         q, r = np.linalg.qr(rng.standard_normal((dim + 1, dim + 1)))
-        self.matrix, self.norm2 = q * np.sign(np.diag(r)), largest_norm2
+        self.matrix = q * np.sign(np.diag(r))
 
-    def points(self, vectors: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(0, self.norm2 - (vectors ** 2).sum(1)))
+    def points(self, vectors: np.ndarray, largest: np.ndarray) -> np.ndarray:
+        """``largest``: the logarithm of the largest norm in each vector's part."""
+        vectors = _divided(vectors, largest)
+        rest = np.sqrt(np.maximum(0, 1 - (vectors ** 2).sum(1)))
         return np.hstack([vectors, rest[:, None]]) @ self.matrix
 
     def queries(self, vectors: np.ndarray) -> np.ndarray:
         """The same norm for queries, so that distances have one scale; the order is not changed."""
-        norm = np.sqrt((vectors ** 2).sum(1))[:, None]
-        scaled = vectors * (math.sqrt(self.norm2) / norm)
-        return np.hstack([scaled, np.zeros((len(vectors), 1))]) @ self.matrix
+        vectors = _divided(vectors, np.frexp(np.abs(vectors).max(1))[1].astype(float))
+        vectors = vectors / np.sqrt((vectors ** 2).sum(1))[:, None]
+        return np.hstack([vectors, np.zeros((len(vectors), 1))]) @ self.matrix
 
 
 def _stack(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
@@ -120,20 +144,39 @@ def _stack(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(values), kind).reshape(len(values), -1)
 
 
-def adaptive_scan(queries: np.ndarray, points: np.ndarray, allowed: np.ndarray, hits: int,
-                  tile: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def inner_products(a: np.ndarray, b: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """``f(i, j)``: double-precision inner products of rows of ``a`` and ``b``, summed in the order of the components."""
+    def f(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i))
+        for x, y in zip(a.T, b.T, strict=True):
+            out += x[i].astype(np.float64) * y[j]
+        return out
+
+    return f
+
+
+def adaptive_scan(queries: np.ndarray, points: np.ndarray, allowed: np.ndarray, hits: int, tile: int = 1024,
+                  score: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+                  names: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, distance) of each query's nearest points among those allowed.
 
-    ``allowed[q, p]`` says whether the query probes the point's list.
+    ``allowed[q, p]`` says whether the query probes the point's list.  With
+    ``score`` the last value is the score, and the largest scores, then the
+    smallest ``names``, choose among the nearest points and those that
+    rounding cannot tell from the last of them.
     """
     dims = points.shape[1]
+    names = np.arange(len(points)) if names is None else names
     edges = [*range(0, dims - COLUMN_BLOCK + 1, COLUMN_BLOCK), dims] if dims > COLUMN_BLOCK else [0, dims]
-    best_d = np.full((len(queries), hits), np.inf, np.float32)
-    best_p = np.full((len(queries), hits), -1, np.int64)
+    # distances are made relative to their scale by the norms of what is compared
+    scale = float((queries ** 2).sum(1).max() + (points ** 2).sum(1).max()) if len(queries) and len(points) else 0.0
+    slack = ROUNDING * (dims + 2) * scale
+    best_d = np.full((len(queries), hits), np.inf)
+    kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     for begin in range(0, len(points), tile):
         part = points[begin:begin + tile]
         alive = allowed[:, begin:begin + tile].copy()
-        sums = np.zeros(alive.shape, np.float32)
+        sums = np.zeros(alive.shape)
         worst = best_d[:, -1]
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             q, p = queries[:, a:b], part[:, a:b]
@@ -149,22 +192,22 @@ def adaptive_scan(queries: np.ndarray, points: np.ndarray, allowed: np.ndarray,
                 bound = worst * (b / dims) * (1 + SIGNIFICANCE / math.sqrt(b)) ** 2
                 alive &= sums <= bound[:, None]
             else:
-                alive &= sums < worst[:, None]
-        found = np.where(alive, sums, np.inf)
+                alive &= sums <= (worst + slack)[:, None]
         rows = np.flatnonzero(alive.any(axis=1))
         if not len(rows):
             continue
-        some = found[rows]
-        if some.shape[1] > hits:
-            near = np.argpartition(some, hits - 1, axis=1)[:, :hits]
-        else:
-            near = np.broadcast_to(np.arange(some.shape[1]), some.shape)
-        d = np.hstack([best_d[rows], np.take_along_axis(some, near, 1)])
-        at = np.hstack([best_p[rows], near + begin])
-        order = np.argsort(d, axis=1, kind="stable")[:, :hits]
-        best_d[rows], best_p[rows] = np.take_along_axis(d, order, 1), np.take_along_axis(at, order, 1)
-    qi, place = np.nonzero(np.isfinite(best_d))
-    return qi, best_p[qi, place], best_d[qi, place]
+        some = np.where(alive[rows], sums[rows], np.inf)
+        least = np.partition(some, hits - 1, axis=1)[:, :hits] if some.shape[1] > hits else some
+        best_d[rows] = np.sort(np.hstack([best_d[rows], least]), axis=1)[:, :hits]
+        qi, pi = np.nonzero(alive[rows] & (some <= best_d[rows, -1:] + slack))
+        qi, far = rows[qi], some[qi, pi]
+        value = far if score is None else -score(qi, pi + begin)
+        qi, pi, value = (np.concatenate(x) for x in zip(kept, (qi, pi + begin, value), strict=True))
+        order = np.lexsort((names[pi], value, qi))
+        first = np.searchsorted(qi[order], np.arange(len(queries)))
+        order = order[np.arange(len(order)) - first[qi[order]] < hits]
+        kept = qi[order], pi[order], value[order]
+    return kept if score is None else (kept[0], kept[1], -kept[2])
 
 
 def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -179,38 +222,57 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
     asked = df.filter(queries)
     vector_classes(df, id_col, vector_col, hits + 1).write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    facts = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-                        .alias("norm2"), F.max(F.size("vec")).alias("dim")).first()
+    facts = classes.agg(F.count("*").alias("n"), F.max("log_norm").alias("top"),
+                        F.max(F.size("vec")).alias("dim")).first()
     if not facts.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
-    turn = Turn(facts.dim, facts.norm2)
+    # parts by norm: as many as the exponents of doubles allow, one where norms are alike
+    part = F.floor((F.lit(facts.top) - F.col("log_norm")) / math.log2(NORM_FACTOR)).cast("int").alias("part")
+    parts = classes.groupBy(part).agg(F.count("*").alias("n"), F.max("log_norm").alias("top")).orderBy("part").collect()
+    place = {r.part: i for i, r in enumerate(parts)}
+    tops = np.array([r.top for r in parts])
+    turn = Turn(facts.dim)
     share = F.lit(int(min(1.0, FIT_ROWS / facts.n) * (1 << 30)))
-    found = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share).orderBy("rep").select("vec").toArrow()
-    sample = np.array(found.column(0).combine_chunks().flatten()).reshape(-1, facts.dim)
-    if not len(sample):  # chance left a very small table out
-        sample = np.zeros((1, facts.dim))
-    lists = max(1, min(MAX_LISTS, int(math.sqrt(facts.n) / 2), len(sample)))
-    probes = math.ceil(probe_share * lists)
-    centroids = fit_centroids(turn.points(sample), lists)
+    found = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < share).orderBy("rep").select(part, "vec").toArrow()
+    samples = np.array(found["vec"].combine_chunks().flatten()).reshape(-1, facts.dim)
+    owner = np.array([place[x] for x in found["part"].to_pylist()], np.int64)
+    centroids = []
+    for i, r in enumerate(parts):
+        sample = turn.points(samples[owner == i], tops[owner[owner == i]])
+        if not len(sample):  # chance left a very small part out
+            sample = np.zeros((1, facts.dim + 1))
+        centroids.append(fit_centroids(sample, max(1, min(MAX_LISTS * r.n // facts.n, int(math.sqrt(r.n) / 2),
+                                                          len(sample)))))
+    first_list = np.cumsum([0, *map(len, centroids)])
+    lists = int(first_list[-1])
+    part_of_list = np.repeat(np.arange(len(parts)), [len(c) for c in centroids])
+    # single-precision vectors travel as such: nothing is rounded
+    element = df.schema[vector_col].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
 
     def index(batches):
         for b in batches:
-            points = turn.points(np.array(b.column("vec").flatten()).reshape(len(b), -1))
+            vectors = np.array(b.column("vec").flatten()).reshape(len(b), -1)
+            own = np.array([place[x] for x in b.column("part").to_pylist()], np.int64)
+            points, at = turn.points(vectors, tops[own]), np.zeros(len(b), np.int64)
+            for i in np.unique(own).tolist():
+                at[own == i] = first_list[i] + nearest_lists(points[own == i], centroids[i], 1)[:, 0]
             yield pa.RecordBatch.from_arrays([
-                b.column("rep"), pa.array(nearest_lists(points, centroids, 1)[:, 0], pa.int32()),
-                pa.array([x.tobytes() for x in points.astype("<f4")], pa.binary())], names=["rep", "list", "point"])
+                b.column("rep"), pa.array(at, pa.int32()),
+                pa.array([x.tobytes() for x in vectors.astype(kind)], pa.binary())], names=["rep", "list", "vector"])
 
-    classes.select("rep", "vec").mapInArrow(index, "rep long, list int, point binary").write.parquet(f"{folder}/index")
+    classes.select("rep", part, "vec").mapInArrow(index, "rep long, list int, vector binary").write.parquet(
+        f"{folder}/index")
     indexed = spark.read.parquet(f"{folder}/index")
 
-    # lists into blocks: at most MAX_LISTS counts come to the driver
+    # lists into blocks of one part each: about MAX_LISTS counts come to the driver
     counts = {r.list: r["count"] for r in indexed.groupBy("list").count().collect()}
     most = max(LEAST_ROWS, min(MOST_ROWS, -(-facts.n // BLOCKS)))
     first_block, split, block, held = np.zeros(lists, np.int32), np.ones(lists, np.int32), 0, 0
     for i in range(lists):
         n = counts.get(i, 0)
-        if held and held + n > most:
+        if i and (held and held + n > most or held and part_of_list[i] != part_of_list[i - 1]):
             block, held = block + 1, 0
         first_block[i], split[i] = block, max(1, -(-n // most))
         held += n
@@ -229,26 +291,28 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
     def aim(batches):
         """A query once per block that holds a probed list, with the bit set of those lists."""
         for b in batches:
-            points = turn.queries(np.array(b.column("vec").flatten()).reshape(len(b), -1))
-            near = nearest_lists(points, centroids, probes)
+            vectors = np.array(b.column("vec").flatten()).reshape(len(b), -1)
+            points = turn.queries(vectors)
+            near = np.hstack([start + nearest_lists(points, c, math.ceil(probe_share * len(c)))
+                              for start, c in zip(first_list.tolist(), centroids, strict=False)])
             rows = []
-            for rep, point, own in zip(b.column("rep").to_pylist(), points.astype("<f4"), near, strict=True):
+            for rep, vector, own in zip(b.column("rep").to_pylist(), vectors.astype(kind), near, strict=True):
                 bits = np.zeros(lists, bool)
                 bits[own] = True
                 blocks = sorted({int(first_block[i]) + s for i in own for s in range(int(split[i]))})
-                raw, mask = point.tobytes(), np.packbits(bits).tobytes()
+                raw, mask = vector.tobytes(), np.packbits(bits).tobytes()
                 rows += [(k, rep, raw, mask) for k in blocks]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 columns, [pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)],
-                names=["block", "rep", "point", "probed"])
+                names=["block", "rep", "vector", "probed"])
 
     chunk = F.pmod(F.xxhash64("rep"), F.lit(chunks)).cast("int").alias("chunk")
-    aimed = (classes_asked.mapInArrow(aim, "block int, rep long, point binary, probed binary")
-             .select("block", chunk, "rep", "point", "probed"))
+    aimed = (classes_asked.mapInArrow(aim, "block int, rep long, vector binary, probed binary")
+             .select("block", chunk, "rep", "vector", "probed"))
     candidates = (indexed.join(F.broadcast(of_list), "list")
                   .select((F.col("block") + F.pmod(F.xxhash64("rep"), F.col("split"))).cast("int").alias("block"),
-                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "rep", "list", "point"))
+                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "rep", "list", "vector"))
     keep = hits + 1 + MARGIN
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -258,23 +322,20 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
             own = np.array(right["list"])
             order = np.argsort(own, kind="stable")
             own = own[order]
-            points = _stack(right["point"], "<f4")[order]
-            q, p, d = adaptive_scan(_stack(left["point"], "<f4"), points, probed[:, own], keep)
-            return pa.table({"query": np.array(left["rep"])[q], "near": np.array(right["rep"])[order][p],
-                             "far": d.astype(np.float32)})
+            names, vectors = np.array(right["rep"])[order], _stack(right["vector"], kind)[order]
+            points = turn.points(vectors.astype(np.float64), tops[part_of_list[own]])
+            asking = _stack(left["vector"], kind)
+            q, p, score = adaptive_scan(turn.queries(asking.astype(np.float64)), points, probed[:, own], keep,
+                                        score=inner_products(asking, vectors), names=names)
+            return pa.table({"query": np.array(left["rep"])[q], "near": names[p], "score": score})
         return pa.table({"query": pa.array([], pa.int64()), "near": pa.array([], pa.int64()),
-                         "far": pa.array([], pa.float32())})
+                         "score": pa.array([], pa.float64())})
 
     pairs = aimed.groupBy("block", "chunk").cogroup(candidates.groupBy("block", "chunk")).applyInArrow(
-        scan, "query long, near long, far float")
-    nearest = Window.partitionBy("query").orderBy("far", "near")
-    short = pairs.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= keep).select("query", "near")
-
-    # exact scores on the original vectors, in double precision
-    exact = (short.join(classes_asked.select(F.col("rep").alias("query"), F.col("vec").alias("a")), "query")
-             .join(classes.select(F.col("rep").alias("near"), F.col("vec").alias("b"), "ids"), "near")
-             .select("query", "ids", F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0),
-                                                 lambda s, x: s + x).alias("score")))
+        scan, "query long, near long, score double")
+    nearest = Window.partitionBy("query").orderBy(F.desc("score"), "near")
+    short = pairs.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= keep)
+    exact = short.join(classes.select(F.col("rep").alias("near"), "ids"), "near").select("query", "ids", "score")
     mine = wanted.join(classes_asked, "vec").select("query_id", F.col("rep").alias("query"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (mine.join(exact, "query").select("query_id", F.explode("ids").alias("vec_id"), "score")

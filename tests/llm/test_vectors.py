@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from helpers import collected
 from pyspark.sql import functions as F
 
@@ -64,6 +65,35 @@ def test_many_equal_vectors(spark):
     assert got[0] == want[0] and got[200] == want[200]
 
 
+@pytest.mark.parametrize("largest", [1e7, 1e30])
+def test_a_long_vector_hides_no_others(spark, largest):
+    rng = np.random.default_rng(6)
+    vectors = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 24)))]
+    vectors += [(1001, (rng.standard_normal(24) * largest).tolist()), (1002, (rng.standard_normal(24) / 1e7).tolist())]
+    out = collected(vector_search.search(table(spark, vectors), F.col("vec_id") % 20 == 0, probe_share=1.0))
+    want = brute(vectors, set(range(0, 600, 20)))
+    got = {}
+    for r in out:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert got.keys() == want.keys()
+    assert sum(len(got[q] & set(want[q])) for q in want) / (20 * len(want)) >= 0.95
+
+
+def test_scores_decide_where_distances_do_not():
+    """More points than are kept differ by less than distances in single precision can tell."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal(16)
+    vectors = np.tile(base, (300, 1))
+    vectors[:, 0] += rng.permutation(300) * 1e-13
+    turn = vector_search.Turn(16)
+    top = np.log2(np.sqrt((vectors ** 2).sum(1)).max())
+    points, queries = turn.points(vectors, np.full(300, top)), turn.queries(base[None])
+    score = vector_search.inner_products(base[None], vectors)
+    exact = score(np.zeros(300, int), np.arange(300))
+    q, p, s = vector_search.adaptive_scan(queries, points, np.ones((1, 300), bool), 10, score=score)
+    assert p.tolist() == np.lexsort((np.arange(300), -exact))[:10].tolist() and (s == exact[p]).all()
+
+
 def test_scan_abandons_without_losing_the_nearest():
     rng = np.random.default_rng(2)
     points, queries = (rng.standard_normal((n, 64)).astype(np.float32) for n in (3000, 20))
