@@ -20,9 +20,13 @@ vectors; these scores choose and merge the hits of blocks and parts.
 
 Work is cut into blocks of bounded size: lists are packed into blocks of candidates (a
 large list is split by id hash), queries into chunks; a task gets one block
-and one chunk.  Equal vectors are one class with its smallest ids: no
+and one chunk.  Equal vectors are one class with its smallest distinct ids: no
 query can use more of them than its number of hits and itself.
 
+Hits are ids: repeated rows count once, and an id with several vectors counts
+once with its best score, as query and as hit (as many times more classes are
+kept as an id has vectors at most, so that they cannot crowd out other ids).
+
 Null and zero vectors, vectors with null or non-finite components, and
 vectors of another length than the most common one take no part.  Ties go to
 the smaller id.  An empty table gives no rows.  Other columns are not read.
@@ -81,12 +85,22 @@ def vector_classes(df: DataFrame, id_col: str, vector_col: str, most_ids: int) -
     rows = rows.filter(usable(F.col("vec")) & F.col("id").isNotNull())
     sizes = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
     dim = sizes[0].dim if sizes else 0
+    # a repeated row is one row
+    rows = rows.filter(F.size("vec") == dim).distinct()
     rank = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
-    return (rows.filter(F.size("vec") == dim).withColumn("rank", rank).filter(F.col("rank") <= most_ids)
+    return (rows.withColumn("rank", rank).filter(F.col("rank") <= most_ids)
             .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
             .select(F.element_at("ids", 1).alias("rep"), "ids", "vec", log_norm(F.col("vec")).alias("log_norm")))
 
 
+def most_vectors(df: DataFrame, id_col: str, vector_col: str) -> int:
+    """How many distinct usable vectors an id has at most."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    rows = rows.filter(usable(F.col("vec")) & F.col("id").isNotNull())
+    pairs = rows.select("id", F.xxhash64("vec").alias("digest")).distinct()
+    return pairs.groupBy("id").count().agg(F.max("count")).first()[0] or 1
+
+
 def fit_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
     """Lloyd's rounds from a seeded start; an empty list keeps its centroid."""
     rng = np.random.default_rng(SEED)
@@ -212,7 +226,7 @@ def adaptive_scan(queries: np.ndarray, points: np.ndarray, allowed: np.ndarray,
 
 def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_id", vector_col: str = "embedding",
            probe_share: float = PROBE_SHARE) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score``: each query's nearest other rows.
+    """``query_id``, ``rank``, ``vec_id``, ``score``: each query's nearest other ids.
 
     ``queries`` is a condition on ``df``'s rows.
     """
@@ -220,7 +234,9 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
     folder = scratch_dir(spark, "vectors")
     # rows of ids and vectors, read twice below: the queries and all candidates
     asked = df.filter(queries)
-    vector_classes(df, id_col, vector_col, hits + 1).write.parquet(f"{folder}/classes")
+    # an id with several vectors can be the smallest of several classes: a class has a key of its own
+    vector_classes(df, id_col, vector_col, hits + 1).withColumn("key", F.monotonically_increasing_id()).write.parquet(
+        f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
     facts = classes.agg(F.count("*").alias("n"), F.max("log_norm").alias("top"),
                         F.max(F.size("vec")).alias("dim")).first()
@@ -259,11 +275,12 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
             for i in np.unique(own).tolist():
                 at[own == i] = first_list[i] + nearest_lists(points[own == i], centroids[i], 1)[:, 0]
             yield pa.RecordBatch.from_arrays([
-                b.column("rep"), pa.array(at, pa.int32()),
-                pa.array([x.tobytes() for x in vectors.astype(kind)], pa.binary())], names=["rep", "list", "vector"])
+                b.column("key"), b.column("rep"), pa.array(at, pa.int32()),
+                pa.array([x.tobytes() for x in vectors.astype(kind)], pa.binary())],
+                names=["key", "rep", "list", "vector"])
 
-    classes.select("rep", part, "vec").mapInArrow(index, "rep long, list int, vector binary").write.parquet(
-        f"{folder}/index")
+    classes.select("key", "rep", part, "vec").mapInArrow(
+        index, "key long, rep long, list int, vector binary").write.parquet(f"{folder}/index")
     indexed = spark.read.parquet(f"{folder}/index")
 
     # lists into blocks of one part each: about MAX_LISTS counts come to the driver
@@ -283,10 +300,11 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
 
     wanted = asked.select(F.col(id_col).cast("long").alias("query_id"),
                           F.col(vector_col).cast("array<double>").alias("vec")).filter(usable(F.col("vec")))
-    classes_asked = wanted.select("vec").distinct().join(classes.select("vec", "rep"), "vec")
+    classes_asked = wanted.select("vec").distinct().join(classes.select("vec", "key"), "vec")
     classes_asked.write.parquet(f"{folder}/asked")
     classes_asked = spark.read.parquet(f"{folder}/asked")
-    chunks = max(1, -(-classes_asked.count() // CHUNK_QUERIES))
+    several = most_vectors(df, id_col, vector_col)
+    chunks = max(1, -(-classes_asked.count() // max(1, CHUNK_QUERIES // several)))
 
     def aim(batches):
         """A query once per block that holds a probed list, with the bit set of those lists."""
@@ -296,24 +314,25 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
             near = np.hstack([start + nearest_lists(points, c, math.ceil(probe_share * len(c)))
                               for start, c in zip(first_list.tolist(), centroids, strict=False)])
             rows = []
-            for rep, vector, own in zip(b.column("rep").to_pylist(), vectors.astype(kind), near, strict=True):
+            for key, vector, own in zip(b.column("key").to_pylist(), vectors.astype(kind), near, strict=True):
                 bits = np.zeros(lists, bool)
                 bits[own] = True
                 blocks = sorted({int(first_block[i]) + s for i in own for s in range(int(split[i]))})
                 raw, mask = vector.tobytes(), np.packbits(bits).tobytes()
-                rows += [(k, rep, raw, mask) for k in blocks]
+                rows += [(k, key, raw, mask) for k in blocks]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 columns, [pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)],
-                names=["block", "rep", "vector", "probed"])
+                names=["block", "key", "vector", "probed"])
 
-    chunk = F.pmod(F.xxhash64("rep"), F.lit(chunks)).cast("int").alias("chunk")
-    aimed = (classes_asked.mapInArrow(aim, "block int, rep long, vector binary, probed binary")
-             .select("block", chunk, "rep", "vector", "probed"))
+    chunk = F.pmod(F.xxhash64("vector"), F.lit(chunks)).cast("int").alias("chunk")
+    aimed = (classes_asked.mapInArrow(aim, "block int, key long, vector binary, probed binary")
+             .select("block", chunk, "key", "vector", "probed"))
     candidates = (indexed.join(F.broadcast(of_list), "list")
-                  .select((F.col("block") + F.pmod(F.xxhash64("rep"), F.col("split"))).cast("int").alias("block"),
-                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "rep", "list", "vector"))
-    keep = hits + 1 + MARGIN
+                  .select((F.col("block") + F.pmod(F.xxhash64("rep", "vector"), F.col("split"))).cast("int").alias("block"),
+                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "key", "rep", "list",
+                          "vector"))
+    keep = (hits + 1) * several + MARGIN
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
@@ -327,18 +346,21 @@ def search(df: DataFrame, queries: Column, hits: int = HITS, id_col: str = "vec_
             asking = _stack(left["vector"], kind)
             q, p, score = adaptive_scan(turn.queries(asking.astype(np.float64)), points, probed[:, own], keep,
                                         score=inner_products(asking, vectors), names=names)
-            return pa.table({"query": np.array(left["rep"])[q], "near": names[p], "score": score})
+            return pa.table({"query": np.array(left["key"])[q], "near": np.array(right["key"])[order][p],
+                             "name": names[p], "score": score})
         return pa.table({"query": pa.array([], pa.int64()), "near": pa.array([], pa.int64()),
-                         "score": pa.array([], pa.float64())})
+                         "name": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
     pairs = aimed.groupBy("block", "chunk").cogroup(candidates.groupBy("block", "chunk")).applyInArrow(
-        scan, "query long, near long, score double")
-    nearest = Window.partitionBy("query").orderBy(F.desc("score"), "near")
+        scan, "query long, near long, name long, score double")
+    nearest = Window.partitionBy("query").orderBy(F.desc("score"), "name", "near")
     short = pairs.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= keep)
-    exact = short.join(classes.select(F.col("rep").alias("near"), "ids"), "near").select("query", "ids", "score")
-    mine = wanted.join(classes_asked, "vec").select("query_id", F.col("rep").alias("query"))
+    exact = short.join(classes.select(F.col("key").alias("near"), "ids"), "near").select("query", "ids", "score")
+    mine = wanted.join(classes_asked, "vec").select("query_id", F.col("key").alias("query")).distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (mine.join(exact, "query").select("query_id", F.explode("ids").alias("vec_id"), "score")
-            .filter(F.col("vec_id") != F.col("query_id"))
-            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= hits)
+    found = (mine.join(exact, "query").select("query_id", F.explode("ids").alias("vec_id"), "score")
+             .filter(F.col("vec_id") != F.col("query_id")))
+    if several > 1:
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= hits)
             .select("query_id", "rank", "vec_id", "score"))

@@ -102,6 +102,25 @@ def test_scan_abandons_without_losing_the_nearest():
     assert np.mean([len(set(p[q == i]) & set(exact[i])) / 10 for i in range(20)]) > 0.97
 
 
+def test_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(8)
+    once = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((200, 8)))]
+    repeated = once + once + [r for r in once if r[0] % 20 == 0] * 30
+    repeated += [(500, once[0][1]), (501, once[0][1])]  # equal to a query, which itself occurs 32 times
+    once += [(500, once[0][1]), (501, once[0][1])]
+    asked = F.col("vec_id").isin(*range(0, 200, 20))
+    want, got = ({(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in collected(vector_search.search(
+        table(spark, x), asked, hits=5, probe_share=1.0))} for x in (once, repeated))
+    assert got == want and len(got) == 50 and {got[0, 1][0], got[0, 2][0]} == {500, 501}
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    vectors = [(0, [1.0, 0.0]), *[(1, [3.0, i / 8]) for i in range(8)], *[(0, [4.0, i / 64]) for i in range(8)],
+               (2, [2.0, 0.0]), (3, [1.5, 0.0]), (4, [0.5, 0.0])]
+    out = collected(vector_search.search(table(spark, vectors), F.col("vec_id") == 0, hits=3, probe_share=1.0))
+    assert sorted((r["rank"], r["vec_id"]) for r in out) == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_empty(spark):
     assert collected(vector_search.search(table(spark, []), F.col("vec_id") % 20 == 0)) == []
     assert collected(vector_search.search(table(spark, [(0, None)]), F.col("vec_id") % 20 == 0)) == []
