@@ -325,7 +325,7 @@ def meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       F.translate(_meta_record(pid, 5, False), '"', "'").alias("value")),
         p.where(pid % 8 == 3).select(home.alias("rel"), (seq + 3).alias("seq"), F.lit("   ").alias("value")),
         p.where(pid % 25 == 0).select(other.alias("rel"), (seq + 4).alias("seq"), _meta_record(pid, 2, False).alias("value")),
-        p.where(pid % 50 == 7).select(_meta_file(F.lit(0), pid, "other").alias("rel"), (seq + 5).alias("seq"),
+        p.where(pid % 50 == 7).select(_meta_file(block, pid, "other").alias("rel"), (seq + 5).alias("seq"),
                                       _meta_record(pid, 3, False).alias("value")),
     ]
     out = parts[0]

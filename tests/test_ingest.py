@@ -127,3 +127,12 @@ def test_forced_batch_then_stream_sees_its_rows(spark, tmp_root):
     rows = [(r.hf_path, r.url_raw) for r in spark.read.parquet(state).collect()]
     assert sorted(rows) == [("S/tt_meta_0.jsonl.zst", "u1"), ("S/tt_meta_1.jsonl.zst", "u2"),
                             ("S/tt_meta_1.jsonl.zst", "u3")]
+
+
+def test_files_outside_the_pattern_do_not_grow_with_the_pages(spark, tmp_root):
+    n = 10 * FX.META_ROWS_PER_FILE
+    spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("https://x/"), "id").alias("url")).write.parquet(
+        f"{tmp_root}/pages.parquet")
+    lines = FX.meta_lines(spark, tmp_root).where(F.col("rel").contains("other_"))
+    sizes = [r["count"] for r in lines.groupBy("rel").count().collect()]
+    assert sum(sizes) == n // 50 and max(sizes) <= FX.META_ROWS_PER_FILE // 50
