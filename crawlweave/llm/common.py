@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -54,6 +55,17 @@ def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.Record
         yield part, [x or "" for x in part.column(column).to_pylist()]
 
 
+def text_parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The slices of ``text_batches``, with the texts left in Arrow."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+    begin = 0
+    while begin < len(sizes):
+        held = np.cumsum(sizes[begin:])
+        end = begin + max(1, int(np.searchsorted(held, BATCH_BYTES, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def map_texts(df: DataFrame, text_col: str, keep: list[str], out: list[T.StructField],
               make: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
     """``keep`` columns of ``df`` plus columns computed from the text, row for row.
@@ -162,3 +174,21 @@ def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:
         acc = (acc * _MIX) + words[i:n - width + 1 + i]
         acc ^= acc >> np.uint64(29)
     return mix64(acc)
+
+
+#: A group with more than 1 / HEAVY_GROUPS of the rows is joined by broadcast: there are fewer than HEAVY_GROUPS of them.
+HEAVY_GROUPS = 4096
+
+
+def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int,
+                  heavy: int = HEAVY_GROUPS) -> DataFrame:
+    """``rows`` left-joined to ``groups`` (one row per ``key``, none null) without gathering a large group.
+
+    ``count`` is the group's number of rows in ``rows`` and ``total`` the number
+    of all rows.  Groups above ``total / heavy`` rows are fewer than ``heavy``,
+    whatever the table, and are broadcast; the rows of the others are shuffled.
+    """
+    large = F.broadcast(groups.filter(F.col(count) * heavy > total))
+    small = groups.filter(F.col(count) * heavy <= total)
+    return (rows.join(large, key)
+            .unionByName(rows.join(large.select(key), key, "left_anti").join(small, key, "left")))
