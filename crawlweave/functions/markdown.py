@@ -1,168 +1,88 @@
-"""HTML -> markdown with a metadata header (U3), as a chain of Column expressions.
-
-Scripts, styles and comments go first, closed or not.  The main content is
-the ``<article>``, else the ``<body>``, else everything; a missing closing tag
-means the end of the text, and a part without any text is passed over for
-the next one.  Navigation, footers, asides and ad blocks go.  Headings become
-``#`` lines, list items ``-`` or ``1.`` lines, table rows ``|`` lines, closed
-links, images, bold, italic and code their markdown; paragraphs and ``<br>``
-line breaks; remaining tags are removed, entities decoded (numeric ones and
-HTML 4's names) and white space tidied.  A header holds ``title:``, ``author:`` and
-``description:`` where the page states them.  NULL when the HTML is
-NULL/empty or no text is left.  Nested ad blocks end at their first closing tag.
-
-Every step is a JVM expression: no Python worker.
+"""HTML -> markdown with a metadata header (U3), and the blocks behind it.
+
+A page is read in one pass by ``blocks.py``: an Arrow UDF over the HTML column
+alone; all other columns stay in the JVM.  The main content is chosen by block
+scores (text and link density) and by the page's own structure: an article or
+main element that holds most of the text, no navigation, footers, asides or
+advertisements.  Headings become ``#`` lines, list items ``-`` or ``1.`` lines
+indented by their nesting, table rows ``|`` lines, quotes ``>`` lines, code
+blocks fences with their white space kept; links, images, bold, italic and code
+their markdown; ``<br>`` and line feeds of the source line breaks.  Entities are
+decoded (numeric ones and HTML's names, with their semicolon), other white
+space tidied.  A header holds ``title:``, ``author:`` and ``description:`` where
+the page states them.  NULL when the HTML is NULL or empty, no text is left or
+a page cannot be read.
 """
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-from itertools import chain
-
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from crawlweave.functions import blocks as B
+
+BLOCK = T.StructType([
+    T.StructField("block", T.IntegerType()),
+    T.StructField("tag", T.StringType()),
+    T.StructField("depth", T.IntegerType()),
+    T.StructField("text_chars", T.LongType()),
+    T.StructField("link_chars", T.LongType()),
+    T.StructField("text_density", T.DoubleType()),
+    T.StructField("link_density", T.DoubleType()),
+    T.StructField("kept", T.BooleanType()),
+    T.StructField("markdown", T.StringType()),
+])
+
+
+def markdown(html: Column, th_headers: bool = False) -> Column:
+    """The page as markdown.
 
-# Fixed rule tables.  (pattern, replacement); ``\1`` in a replacement is the first group.
-HIDDEN = [
-    r"(?s)<!--.*?(-->|\z)",
-    r"(?is)<script\b[^>]*>.*?(</script[^>]*>|\z)",
-    r"(?is)<style\b[^>]*>.*?(</style[^>]*>|\z)",
-]
-DROP_BLOCKS = [
-    r"(?is)<nav\b[^>]*>.*?</nav[^>]*>",
-    r"(?is)<footer\b[^>]*>.*?</footer[^>]*>",
-    r"(?is)<aside\b[^>]*>.*?</aside[^>]*>",
-    r"(?is)<div\b[^>]*\bclass=(\"([^\">]* )?ad( [^\">]*)?\"|'([^'>]* )?ad( [^'>]*)?'|ad[ >])[^>]*>.*?</div[^>]*>",
-]
-STRUCTURE = [
-    (r"(?is)<h1\b[^>]*>(.*?)</h1>", "\n\n# \\1\n\n"),
-    (r"(?is)<h2\b[^>]*>(.*?)</h2>", "\n\n## \\1\n\n"),
-    (r"(?is)<h3\b[^>]*>(.*?)</h3>", "\n\n### \\1\n\n"),
-    (r"(?is)<h4\b[^>]*>(.*?)</h4>", "\n\n#### \\1\n\n"),
-    (r"(?is)<h5\b[^>]*>(.*?)</h5>", "\n\n##### \\1\n\n"),
-    (r"(?is)<h6\b[^>]*>(.*?)</h6>", "\n\n###### \\1\n\n"),
-    (r"(?is)<pre\b[^>]*>[ \n]*<code\b[^>]*>([^<]*)</code>[ \n]*</pre>", "\n\n```\n\\1\n```\n\n"),
-    (r"(?is)<pre\b[^>]*>([^<]*)</pre>", "\n\n```\n\\1\n```\n\n"),
-    (r"(?is)<code\b[^>]*>([^<]*)</code>", "`\\1`"),
-    (r"(?is)<(?:b|strong)(?: [^>]*)?>([^<]+)</(?:b|strong)>", "**\\1**"),
-    (r"(?is)<(?:i|em)(?: [^>]*)?>([^<]+)</(?:i|em)>", "*\\1*"),
-    (r"(?is)<img\b[^>]*\bsrc=[\"']([^\"'>]*)[\"'][^>]*\balt=[\"']([^\"'>]*)[\"'][^>]*>", "![\\2](\\1)"),
-    (r"(?is)<img\b[^>]*\balt=[\"']([^\"'>]*)[\"'][^>]*\bsrc=[\"']([^\"'>]*)[\"'][^>]*>", "![\\1](\\2)"),
-    (r"(?is)<a\b[^>]*\bhref=[\"']([^\"'>]*)[\"'][^>]*>([^<]*)</a>", "[\\2](\\1)"),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?is)</t[dh]>[ \t\r\n]*<t[dh]\b[^>]*>", " | "),
-    (r"(?is)<tr\b[^>]*>[ \t\r\n]*<t[dh]\b[^>]*>", "\n| "),
-    (r"(?is)</t[dh]>[ \t\r\n]*</tr>", " |"),
-    (r"(?i)</?(p|div|ul|ol|table|section|blockquote|h[1-6])\b[^>]*>", "\n\n"),
-    (r"<[^>]*>", ""),
-]
-WHITESPACE = [
-    ("[ \t\r\f]+", " "),
-    (" *\n *", "\n"),
-    ("\n\n\n+", "\n\n"),
-    ("^[ \n]+", ""),
-    ("[ \n]+$", ""),
-]
-ARTICLE = [r"(?is)<article\b[^>]*>(.*)</article", r"(?is)<article\b[^>]*>(.*)"]
-BODY = [r"(?is)<body\b[^>]*>(.*)</body", r"(?is)<body\b[^>]*>(.*)"]
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-META = r"(?is)<meta\b[^>]*\bname=[\"']?{}[\"']?[^>]*\bcontent=[\"']([^\"'>]*)[\"']"
-ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-
-
-def _java_repl(r: str) -> str:
-    return r.replace("$", "\\$").replace("\\1", "$1").replace("\\2", "$2")
-
-
-def _entity(rest: Column) -> Column:
-    """What an ``&`` and the text after it stand for."""
-    names = F.create_map(*[F.lit(x) for x in chain.from_iterable(
-        (name, " " if name == "nbsp" else chr(code)) for name, code in name2codepoint.items())])
-    name = F.regexp_extract(rest, ENTITY, 1)
-    number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).when(
-        name.startswith("#"), F.substring(name, 2, 7)).cast("int")
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(
-        number.isNull(), F.try_element_at(names, name))
-    tail = F.substring(rest, F.length(name) + 2, F.length(rest))
-    return F.coalesce(F.concat(char, tail), F.concat(F.lit("&"), rest))
-
-
-def _decode(c: Column) -> Column:
-    parts = F.split(c, "&")
-    decoded = F.transform(F.slice(parts, 2, F.size(parts)), _entity)
-    return F.when(c.contains("&"), F.concat(parts[0], F.array_join(decoded, ""))).otherwise(c)
-
-
-def _numbered(c: Column) -> Column:
-    """Items of ``<ol>`` as ``1.`` lines (markdown counts them on)."""
-    def one(part: Column) -> Column:
-        end = F.regexp_instr(part, F.lit("(?i)</ol"))
-        inside = F.when(end > 0, F.substring(part, F.lit(1), end - 1)).otherwise(part)
-        after = F.when(end > 0, F.substring(part, end, F.length(part))).otherwise(F.lit(""))
-        return F.concat(F.regexp_replace(inside, r"(?i)<li\b[^>]*>", "\n1. "), after)
-
-    parts = F.split(c, r"(?i)<ol\b")
-    lists = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.concat(F.lit("<ol"), one(p)))
-    return F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(lists, ""))).otherwise(c)
-
-
-def _tidy(c: Column) -> Column:
-    for p, r in WHITESPACE:
-        c = F.regexp_replace(c, p, r)
-    return c
-
-
-def visible(html: Column) -> Column:
-    """The page without scripts, styles and comments."""
-    for p in HIDDEN:
-        html = F.regexp_replace(html, p, "")
-    return html
-
-
-def main_part(h: Column) -> Column:
-    """The first of article, body, everything that holds text."""
-    def inner(name: str, closed: str, rest: str) -> Column:
-        has_end = h.rlike(f"(?is)<{name}\\b.*</{name}")
-        return F.when(has_end, F.regexp_extract(h, closed, 1)).otherwise(F.regexp_extract(h, rest, 1))
-
-    def filled(part: Column) -> Column:
-        return F.when(F.regexp_replace(part, "<[^>]*>", "").rlike(r"[^ \t\r\n\f]"), part)
-
-    return F.coalesce(filled(inner("article", *ARTICLE)), filled(inner("body", *BODY)), h)
-
-
-def marked(main: Column) -> Column:
-    """Main content as markdown, entities still coded."""
-    for p in DROP_BLOCKS:
-        main = F.regexp_replace(main, p, "")
-    main = _numbered(main)
-    for p, r in STRUCTURE:
-        main = F.regexp_replace(main, p, _java_repl(r))
-    return main
-
-
-def with_markdown(df, html: str = "html", out: str = "markdown"):
-    """``df`` plus a ``markdown`` column, the chain evaluated once per row.
-
-    The steps are projections of their own; Catalyst will not merge one into
-    the next because that would repeat a non-trivial expression.
+    A table row in ``<thead>`` gets a delimiter line; with ``th_headers`` so
+    does a first row of ``<th>`` cells.
     """
-    def line(name: str, value: Column) -> Column:
-        return F.when(value != "", F.concat(F.lit(f"{name}: "), value, F.lit("\n"))).otherwise(F.lit(""))
-
-    def meta(name: str) -> Column:
-        return _tidy(_decode(F.regexp_extract("_md_seen", META.format(name), 1)))
-
-    steps = df.withColumn("_md_seen", visible(F.col(html))).withColumn("_md_main", main_part(F.col("_md_seen")))
-    steps = steps.withColumn("_md_marked", marked(F.col("_md_main")))
-    steps = steps.withColumn("_md_text", _tidy(_decode(F.col("_md_marked"))))
-    steps = steps.withColumn("_md_title", _tidy(_decode(F.regexp_replace(F.regexp_extract("_md_seen", TITLE, 1),
-                                                                         "<[^>]*>", ""))))
-    steps = steps.withColumn("_md_head", F.concat(line("title", F.col("_md_title")), line("author", meta("author")),
-                                                  line("description", meta("description"))))
-    header = F.when(F.col("_md_head") != "", F.concat(F.lit("---\n"), "_md_head", F.lit("---\n\n"))).otherwise(F.lit(""))
-    whole = F.concat(header, "_md_text")
-    return steps.withColumn(out, F.when((F.col(html) != "") & (F.col("_md_text") != ""), whole)).drop(
-        "_md_seen", "_md_main", "_md_marked", "_md_text", "_md_title", "_md_head")
+    def convert(pages: pa.Array) -> pa.Array:
+        return pa.array([_safely(B.markdown_of, x, th_headers) for x in pages.to_pylist()], pa.string())
+
+    convert.__annotations__ = {"pages": pa.Array, "return": pa.Array}
+    return F.arrow_udf(convert, T.StringType())(html)
+
+
+def blocks(html: Column) -> Column:
+    """The page's blocks in order (an array of BLOCK): tag, depth, sizes, densities, verdict and markdown."""
+    def convert(pages: pa.Array) -> pa.Array:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        return pa.array([_safely(_listed, x) for x in pages.to_pylist()], to_arrow_type(T.ArrayType(BLOCK)))
+
+    convert.__annotations__ = {"pages": pa.Array, "return": pa.Array}
+    return F.arrow_udf(convert, T.ArrayType(BLOCK))(html)
+
+
+def _listed(html: str | None) -> list[dict] | None:
+    if not html:
+        return None
+    return [{"block": i, "tag": b.tag, "depth": b.depth, "text_chars": b.text_chars, "link_chars": b.link_chars,
+             "text_density": b.text_density, "link_density": b.link_density, "kept": b.kept,
+             "markdown": b.markdown} for i, b in enumerate(B.page_of(html)[0], 1)]
+
+
+def _safely(f, *args):
+    """None for a page that cannot be read: one page never fails its task."""
+    try:
+        return f(*args)
+    except (ValueError, IndexError, KeyError, RecursionError):
+        return None
+
+
+def with_markdown(df: DataFrame, html: str = "html", out: str = "markdown", th_headers: bool = False) -> DataFrame:
+    """``df`` plus a ``markdown`` column."""
+    return df.withColumn(out, markdown(F.col(html), th_headers))
+
+
+def page_blocks(df: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """One row per block of each page: the ``keep`` columns (by default all but the HTML), then those of BLOCK."""
+    names = [c for c in df.columns if c != html] if keep is None else keep
+    made = df.select(*[F.col(c) for c in names], F.explode(blocks(F.col(html))).alias("__block"))
+    return made.select(*names, "__block.*")

@@ -534,10 +534,33 @@ MARKDOWN_CASES = [
 ]
 
 
-def markdown_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One small page per row of ``pages``, its kind by page_id % 12, with the row's id and address in it."""
+_LONG = "A sentence of the main text {k} that is long enough to stand for itself, beside what is no part of it."
+_LINKS = "<ul>" + "".join(f"<li><a href=/{n}>{n} link</a></li>" for n in ("one", "two", "three")) + "</ul>"
+
+#: Odd make-up: every text in them stays but for navigation, advertisements and lists of links beside long text.
+BLOCK_CASES = [
+    "<p>1 < {k} and 3 > 2 <3</p>",
+    "<pre>\n  def {k}():\n      return  1\n</pre>",
+    "<p><b>bold <i>{k}</i></b> and <b>open",
+    "<p><a href={u}>{k}</a> <a title='a > b' href=\"/x\">y</a>",
+    "<ul><li>{k}<ul><li>b<li>c</ul><li>d<ol><li>e</ol></ul>",
+    "<table><tr><th>{k}</th><th>v</th></tr><tr><td>1<td>a|b</table>",
+    "<title>T {k}</title><p>x",
+    f"<article><p>teaser {{k}}</p></article><div><p>{_LONG}</p></div>",
+    "<div class='top ad'>buy <div>now</div> cheap</div><p>{k}</p>",
+    "<nav>menu {k}<p>text behind an open menu",
+    f"<div>{_LINKS}</div><p>{_LONG}</p><div>{_LINKS}</div>",
+    "<table><tr><td><h2>{k}</h2><p>layout</p></td><td>beside</td></tr></table>",
+    "<blockquote><p>{k}<p>said</blockquote><p>x</b></div></p>y",
+    "<p>a<!-- <p>hidden --><script>'<p>'</script> {k}</p><style>p{}</style>&#0;&copy",
+]
+
+
+def markdown_cases(spark: SparkSession, sf_dir: str, cases: list[str] | None = None) -> DataFrame:
+    """One small page per row of ``pages``, its kind by page_id % their number, with the row's id and address in it."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    kinds = F.array(*[F.lit(x) for x in MARKDOWN_CASES])
-    page = F.element_at(kinds, (F.col("page_id") % len(MARKDOWN_CASES) + 1).cast("int"))
+    cases = cases or MARKDOWN_CASES
+    kinds = F.array(*[F.lit(x) for x in cases])
+    page = F.element_at(kinds, (F.col("page_id") % len(cases) + 1).cast("int"))
     word = F.concat(F.lit("k"), F.col("page_id").cast("string"))
     return p.select("page_id", F.replace(F.replace(page, F.lit("{k}"), word), F.lit("{u}"), F.col("url")).alias("html"))

@@ -274,22 +274,28 @@ FROM meta_valid v GROUP BY v.hf_path
 
 
 
-def page_markdown_sql(table: str, id_col: str, html_col: str) -> str:
-    """Expected markdown of the test pages, from what is known of their make-up: one article of h1, p, br and
-    unclosed b, four entities, a title.  Plain splits and replaces; no rule of the engine is used."""
-    nl = "chr(10)"
+_NL = "chr(10)"
+
+
+def _page_entities(e: str) -> str:
+    """The four entities of the test pages decoded."""
+    for code, char in (("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&amp;", "&")):
+        e = f"replace({e}, '{code}', '{char}')"
+    return e
 
-    def entities(e):
-        for code, char in (("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&amp;", "&")):
-            e = f"replace({e}, '{code}', '{char}')"
-        return e
 
-    def lines(e):
-        kept = (f"array_to_string(list_transform(string_split({e}, {nl}), "
-                f"lambda x: array_to_string(list_filter(string_split(translate(x, chr(9) || chr(13), '  '), ' '), "
-                f"lambda w: w <> ''), ' ')), {nl})")
-        return f"trim(regexp_replace({kept}, '\\n{{3,}}', {nl} || {nl}, 'g'), {nl} || ' ')"
+def _page_lines(e: str) -> str:
+    """Lines of single-spaced words, at most one empty line between two."""
+    kept = (f"array_to_string(list_transform(string_split({e}, {_NL}), "
+            f"lambda x: array_to_string(list_filter(string_split(translate(x, chr(9) || chr(13), '  '), ' '), "
+            f"lambda w: w <> ''), ' ')), {_NL})")
+    return f"trim(regexp_replace({kept}, '\\n{{3,}}', {_NL} || {_NL}, 'g'), {_NL} || ' ')"
 
+
+def page_markdown_sql(table: str, id_col: str, html_col: str) -> str:
+    """Expected markdown of the test pages, from what is known of their make-up: one article of h1, p, br and
+    unclosed b, four entities, a title.  Plain splits and replaces; no rule of the engine is used."""
+    nl, entities, lines = _NL, _page_entities, _page_lines
     article = f"split_part(split_part({html_col}, '<article>', 2), '</article>', 1)"
     for tag, text in (("<h1>", f"{nl} || {nl} || '# '"), ("</h1>", f"{nl} || {nl}"), ("<p>", f"{nl} || {nl}"),
                       ("</p>", f"{nl} || {nl}"), ("<br>", nl), ("<b>", "''")):
@@ -343,6 +349,57 @@ SELECT page_id, replace(replace(CASE page_id % 12
 FROM pages
 """
 
+_LONG = "A sentence of the main text {k} that is long enough to stand for itself, beside what is no part of it."
+
+ORACLE["block_cases"] = f"""
+SELECT page_id, replace(replace(CASE page_id % 14
+  WHEN 0 THEN '1 < {{k}} and 3 > 2 <3'
+  WHEN 1 THEN '```$  def {{k}}():$      return  1$```'
+  WHEN 2 THEN '**bold *{{k}}*** and open'
+  WHEN 3 THEN '[{{k}}](' || url || ') [y](/x)'
+  WHEN 4 THEN '- {{k}}$  - b$  - c$- d$  1. e'
+  WHEN 5 THEN '| {{k}} | v |$|---|---|$| 1 | a\\|b |'
+  WHEN 6 THEN '---$title: T {{k}}$---$$x'
+  WHEN 7 THEN 'teaser {{k}}$${_LONG}'
+  WHEN 8 THEN '{{k}}'
+  WHEN 9 THEN 'menu {{k}}$$text behind an open menu'
+  WHEN 10 THEN '{_LONG}'
+  WHEN 11 THEN '## {{k}}$$layout$$beside'
+  WHEN 12 THEN '> {{k}}$$> said$$x$$y'
+  ELSE 'a {{k}}$$&#0;&copy' END, '$', chr(10)), '{{k}}', 'k' || page_id) AS markdown
+FROM pages
+"""
+
+# What the test pages are made of, from front to end: a list of links, an advertisement, an article of a heading
+# and paragraphs (with unclosed b and br), a footer.
+ORACLE["page_blocks"] = f"""
+WITH parts AS (
+  SELECT page_id, 1 AS place, unnest(string_split(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<li>')[2:]) AS piece,
+         unnest(range(len(string_split(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<li>')) - 1)) AS nth,
+         'li' AS tag, 5 AS depth, false AS kept FROM pages
+  UNION ALL
+  SELECT page_id, 2, split_part(split_part(html, '<div class="ad">', 2), '</div>', 1), 0, 'div', 3, false FROM pages
+  UNION ALL
+  SELECT page_id, 3, unnest(string_split(split_part(split_part(html, '<article>', 2), '</article>', 1), '<p>')),
+         unnest(range(len(string_split(split_part(split_part(html, '<article>', 2), '</article>', 1), '<p>')))),
+         'p', 4, true FROM pages
+  UNION ALL
+  SELECT page_id, 4, split_part(split_part(html, '<footer>', 2), '</footer>', 1), 0, 'footer', 3, false FROM pages
+),
+told AS (
+  SELECT page_id, place, nth, depth, kept, CASE WHEN contains(piece, '<h1>') THEN 'h1' ELSE tag END AS tag,
+         tag = 'li' AS linked, CAST(len(string_split(piece, '<b>')) + len(string_split(piece, '<br>'))
+                                    + len(string_split(piece, '<a ')) - 2 AS DOUBLE) AS tags,
+         regexp_replace(regexp_replace(piece, '<br>', chr(10), 'g'), '<[^<>]*>', '', 'g') AS body
+  FROM parts
+),
+sized AS (SELECT *, CAST(length({_page_lines(_page_entities("body"))}) AS BIGINT) AS text_chars FROM told)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place, nth) AS INTEGER) AS block, tag, depth,
+       text_chars, CASE WHEN linked THEN text_chars ELSE 0 END AS link_chars, text_chars / tags AS text_density,
+       CASE WHEN linked THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS link_density, kept
+FROM sized WHERE text_chars > 0
+"""
+
 ORACLE["extract_records"] = f"""
 WITH p AS (
   SELECT page_id AS pid, url, html, 'CC-MAIN-2024-1' || CAST(page_id % 3 AS VARCHAR) AS snapshot_name,

@@ -179,6 +179,21 @@ def q_markdown_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_markdown(_dealt(FX.markdown_cases(spark, sf_dir))).select("page_id", "markdown")
 
 
+def q_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.functions.markdown import page_blocks
+
+    pages = _dealt(FX.table(spark, sf_dir, "pages").select("page_id", "html"))
+    return page_blocks(pages).drop("markdown")
+
+
+def q_block_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markdown of small pages with odd make-up, every text of which must stay (or go, where it is boilerplate)."""
+    from crawlweave.functions.markdown import with_markdown
+
+    pages = _dealt(FX.markdown_cases(spark, sf_dir, FX.BLOCK_CASES))
+    return with_markdown(pages, th_headers=True).select("page_id", "markdown")
+
+
 def q_extract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.operators import extract as X
     from crawlweave.sources import warc as W
@@ -315,6 +330,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_shards": q_ingest_shards,
     "html_markdown": q_html_markdown,
     "markdown_cases": q_markdown_cases,
+    "page_blocks": q_page_blocks,
+    "block_cases": q_block_cases,
     "extract_records": q_extract_records,
     "decode_payloads": q_decode_payloads,
     "export_snapshot": q_export_snapshot,

@@ -22,6 +22,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # pre-filter the big side of selective joins (capture index vs. our URLs)
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # pages handed to a Python worker at once: by bytes, whatever their number
+    "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
 }
 
 
