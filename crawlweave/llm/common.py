@@ -176,7 +176,7 @@ def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:
     return mix64(acc)
 
 
-#: A group with more than 1 / HEAVY_GROUPS of the rows is joined by broadcast: there are fewer than HEAVY_GROUPS of them.
+#: A group with more than 1 / HEAVY_GROUPS of the rows is joined by broadcast; there are fewer than so many.
 HEAVY_GROUPS = 4096
 
 

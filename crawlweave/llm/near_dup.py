@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlweave.llm.common import map_texts, mix64, prepare, shingle_hashes, text_batches, word_hashes
+from crawlweave.llm.common import join_by_group, map_texts, mix64, prepare, shingle_hashes, text_batches, word_hashes
 from crawlweave.llm.components import connected
 from crawlweave.session import scratch_dir
 
@@ -410,7 +410,16 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
         links = links.union(cut(verify_blocks(left, right, texts, idf), "links-3"))
         roots = connected(links)
 
-    classed = _labelled(rows.select("id", "key"), roots)
-    # rows of a class are counted per text first
-    classes = classed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return classed.join(classes, "root").select(F.col("id").alias(id_col), "key", "root", "class_id", "class_size")
+    # classes are named by text first: one row per text, with the number of its rows
+    texts = rows.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    named = cut(_labelled(texts, roots), "named")
+    classes = cut(named.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"),
+                                            F.count("*").alias("texts")).filter("class_size > 1"), "classes")
+    # neither a class of many texts nor a text of many rows is gathered for its name
+    own = cut(join_by_group(named, classes, "root", "texts", named.count()).filter("class_size > 1")
+              .select("key", "copies", "root", "class_id", "class_size"), "class-of-text")
+    classed = join_by_group(rows.select("id", "key"), own, "key", "copies", docs)
+    alone = F.col("class_size").isNull()
+    return classed.select(F.col("id").alias(id_col), "key", F.coalesce("root", "key").alias("root"),
+                          F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+                          F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
