@@ -12,13 +12,18 @@ the bins of some ratios (symbols, capitals, repeated words, ...).  Buckets
 seen in fewer than ``MIN_DOCS`` training documents, or whose mean grade is
 not significantly off (``SIGNIFICANCE``), have no weight.
 
-Fitted on a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by the
-hashes of their ids) on the driver; every text is scored whole, map-only,
-with the weights (1 MB) broadcast.
+Fitted on a bounded sample of at most ``TRAIN_ROWS`` rows on the driver; every
+text is scored whole, map-only, with the weights (1 MB) broadcast.  A row of the
+sample is a distinct (id, text) with one of its id's grades; it weighs as much as
+its id has labels of that grade.  Ids are cut by a hash so that they have at most
+TRAIN_ROWS grades (three an id), their texts by a second hash over id and text
+so that at most TRAIN_ROWS rows are left, whatever is repeated; the cuts widen
+until the sample holds a row, if any id with a label has a document.
 
 Null and empty texts have the shape features only.  Rows without label are
-scored like any other.  Labels repeated for an id count once each.  Without
-labels (an empty table) every document is kept with probability 1.
+scored like any other.  A null id has no label.  Without labels (an empty
+table), or with labels of a single grade, every document is kept with
+probability 1.
 """
 
 from __future__ import annotations
@@ -28,15 +33,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlweave.llm.common import _IS_SPACE, byte_word_hashes, letter_bytes, map_texts, mix64, prepare, word_hashes
+from crawlweave.session import scratch_dir
 
-#: Labelled rows the model is fitted on, at most; the share taken stays a little below.
+#: Rows (distinct id, text and grade) the model is fitted on, at most; the share first tried stays a little below.
 TRAIN_ROWS = 20_000
 MARGIN = 0.95
+HASHES = 1 << 62
 BUCKETS = 1 << 18
 MIN_DOCS = 4
 SIGNIFICANCE = 5.0
@@ -94,20 +101,29 @@ class OrdinalModel:
         return above.sum(1), above[:, -1]
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, rounds: int = ROUNDS) -> OrdinalModel:
-    """Full-batch Adam on the cumulative-link likelihood; thresholds stay ordered as a base and positive steps."""
+def fit(rows: list[np.ndarray], grades: np.ndarray, rounds: int = ROUNDS,
+        counts: np.ndarray | None = None) -> OrdinalModel:
+    """Full-batch Adam on the cumulative-link likelihood; thresholds stay ordered as a base and positive steps.
+
+    ``counts``: how often each row counts (once by default).
+    """
     sizes = np.array([len(r) for r in rows])
     every = np.concatenate(rows).astype(np.int64)
     seen = np.bincount(every, minlength=BUCKETS)
+    times = np.ones(len(rows)) if counts is None else np.asarray(counts, np.float64)
+    weight = times / times.mean()
+    mean = float(np.average(grades, weights=weight))
+    spread = float(np.sqrt(np.average((grades - mean) ** 2, weights=weight)))
     # a bucket must tell grades apart: its mean grade lies SIGNIFICANCE standard errors off the mean of all
-    means = np.bincount(every, weights=np.repeat(grades, sizes), minlength=BUCKETS) / np.maximum(seen, 1)
-    off = np.abs(means - grades.mean()) * np.sqrt(seen) / max(grades.std(), 1e-9)
+    summed = np.bincount(every, weights=np.repeat(weight, sizes), minlength=BUCKETS)
+    means = np.bincount(every, weights=np.repeat(grades * weight, sizes), minlength=BUCKETS) / np.maximum(summed, 1e-9)
+    off = np.abs(means - mean) * np.sqrt(seen) / max(spread, 1e-9)
     useful = (seen >= MIN_DOCS) & (off >= SIGNIFICANCE)
     columns = np.cumsum(useful) - 1
     owner = np.repeat(np.arange(len(rows)), sizes)[useful[every]]
     at = columns[every[useful[every]]]
     width, n = int(useful.sum()), len(rows)
-    shares = np.clip(np.cumsum(np.bincount(grades, minlength=GRADES))[:-1] / n, 1e-3, 1 - 1e-3)
+    shares = np.clip(np.cumsum(np.bincount(grades, weights=weight, minlength=GRADES))[:-1] / n, 1e-3, 1 - 1e-3)
     first = np.log(shares / (1 - shares))
     # parameters: weights, first threshold, logs of the steps between thresholds
     x = np.concatenate([np.zeros(width), [first[0]], np.log(np.maximum(1e-2, np.diff(first)))])
@@ -124,10 +140,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, rounds: int = ROUNDS) -> Ord
             a = 1 / (1 + np.exp(s - bounds[grades + 1]))
             b = 1 / (1 + np.exp(s - bounds[grades]))
         p = np.maximum(a - b, 1e-9)
-        ds = (1 - a - b) / n
+        ds = weight * (1 - a - b) / n
         d_cut = np.zeros(GRADES + 1)
-        np.add.at(d_cut, grades + 1, -a * (1 - a) / p / n)
-        np.add.at(d_cut, grades, b * (1 - b) / p / n)
+        np.add.at(d_cut, grades + 1, -weight * a * (1 - a) / p / n)
+        np.add.at(d_cut, grades, weight * b * (1 - b) / p / n)
         d_cut = d_cut[1:-1]
         tail = np.cumsum(d_cut[::-1])[::-1]  # a step moves all thresholds above it
         g = np.concatenate([np.bincount(at, weights=ds[owner], minlength=width) + RIDGE * x[:width] / 10,
@@ -140,16 +156,58 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, rounds: int = ROUNDS) -> Ord
     return OrdinalModel(weights, thresholds(x))
 
 
+def hash_cut(rows: DataFrame, hashed: Column, most: int) -> DataFrame:
+    """Rows by ascending hash (0 to HASHES), at most ``most`` and at least one where there is any.
+
+    The first cut is the share that should give them; it is moved until the
+    count fits, halfway between cuts that held too many and none.
+    """
+    total = rows.count()
+    if total <= most:
+        return rows
+    empty, full, at = 0, HASHES, max(1, int(MARGIN * most / total * HASHES))
+    while True:
+        chosen = rows.filter(hashed < at)
+        n = chosen.count()
+        if 0 < n <= most:
+            return chosen
+        empty, full = (at, full) if n == 0 else (empty, at)
+        if full - empty <= 1:  # too many rows share the first hash (an id's grades)
+            return rows.filter(hashed < full).orderBy(*rows.columns).limit(most)
+        at = min(at * 2, (empty + full) // 2) if n == 0 and full == HASHES else (empty + full) // 2
+
+
 def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """``grade`` and ``buckets`` of the sample: the labels whose id hash lies below ``most`` / labels, with their texts."""
+    """``grade``, ``times`` and ``buckets`` of the sample, at most ``most`` rows."""
+    spark = prepare(df.sparkSession)
+
+    def hashed(name: str, *columns: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(name), *columns), F.lit(HASHES))
+
+    def cut(frame: DataFrame, name: str) -> DataFrame:
+        folder = scratch_dir(spark, name)
+        frame.write.parquet(folder)
+        return spark.read.schema(frame.schema).parquet(folder)
+
     grade = (F.col("quality") + (1 - F.col("toxic"))).cast("int")
-    graded = labels.select(F.col("doc_id").alias("__id"), grade.alias("grade")).dropna()
-    whole = 1 << 30
-    share = min(1.0, MARGIN * most / max(1, graded.count()))
-    chosen = graded.filter(F.pmod(F.xxhash64(F.lit("quality sample"), "__id"), F.lit(whole)) < int(share * whole))
-    texts = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return map_texts(texts.join(F.broadcast(chosen), "__id"), "__text", ["grade"],
-                     [T.StructField("buckets", T.BinaryType())],
+    graded = (labels.select(F.col("doc_id").alias("__id"), grade.alias("grade")).dropna()
+              .groupBy("__id", "grade").agg(F.count("*").alias("times")))
+    # slim rows: the grades of the ids that have documents, and how many
+    graded = cut(df.select(F.col(id_col).alias("__id")).join(graded, "__id")
+                 .groupBy("__id", "grade").agg(F.any_value("times").alias("times"), F.count("*").alias("docs")),
+                 "quality-grades")
+    chosen = cut(hash_cut(graded, hashed("quality sample", "__id"), most), "quality-sample")  # at most ``most`` rows
+    texts = df.select(F.col(id_col).alias("__id"), F.coalesce(text_col, F.lit("")).alias("__text"))
+    keyed = (texts.join(F.broadcast(chosen.select("__id").distinct()), "__id")
+             .withColumn("__key", F.unhex(F.sha2("__text", 256))))
+    if (chosen.agg(F.sum("docs")).first()[0] or 0) > most:
+        # repeated ids: their distinct texts are cut by a hash of their own
+        units = cut(keyed.select("__id", "__key").distinct(), "quality-texts").join(F.broadcast(chosen), "__id")
+        chosen = cut(hash_cut(units, hashed("quality text", "__id", "__key"), most), "quality-rows")
+        keyed = keyed.join(F.broadcast(chosen.select("__id", "__key").distinct()), ["__id", "__key"], "left_semi")
+    found = keyed.groupBy("__id", "__key").agg(F.any_value("__text").alias("__text")).join(
+        F.broadcast(chosen), [c for c in ("__id", "__key") if c in chosen.columns])
+    return map_texts(found, "__text", ["grade", "times"], [T.StructField("buckets", T.BinaryType())],
                      lambda: lambda texts: [pa.array([features(t).tobytes() for t in texts], pa.binary())])
 
 
@@ -160,8 +218,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(np.unique(grades)) < 2:
         return None
     rows = [np.frombuffer(x, np.int32) for x in found["buckets"].to_pylist()]
-    order = np.lexsort((np.array([zlib.crc32(r.tobytes()) for r in rows]), grades))  # the same whatever the task order
-    return fit([rows[i] for i in order.tolist()], grades[order])
+    times = np.array(found["times"], dtype=np.int64)
+    # the same whatever the task order
+    order = np.lexsort((times, np.array([zlib.crc32(r.tobytes()) for r in rows]), grades))
+    return fit([rows[i] for i in order.tolist()], grades[order], counts=times[order])
 
 
 def rate(df: DataFrame, model: OrdinalModel | None, keep: list[str], text_col: str = "text",
