@@ -18,6 +18,11 @@ as many classes: only one block's trigram counts (at most ``BUCKETS`` per
 language) at a time, the list of labels and the classes' totals come to the
 driver, and a task holds one block of models.
 
+A text is kept when it is in some known language: when the posterior of the
+unknown class is at most 1 - ``KEEP_PROBABILITY``.  Where one language goes by several tags
+(``en``, ``eng``) they share its posterior, so that ``probability``, that of the best
+tag, falls; the sum of all known ones does not.
+
 A text without letters (null and empty ones too) has no language and is not
 kept.  Null declared values and hosts are values of their own.  Ties go to
 the language that comes first by name.  An empty table, or one without
@@ -51,6 +56,7 @@ SMOOTHING = 20.0
 UNKNOWN = "und"
 #: Prior share of the unknown class before any document is seen.
 UNKNOWN_SHARE = 1e-3
+#: Posterior of all known languages together from which a text is kept.
 KEEP_PROBABILITY = 0.5
 
 
@@ -214,6 +220,8 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", labe
              declared: Column | None = None, host: Column | None = None, keys: list[Column] | None = None) -> DataFrame:
     """``id_col`` (and ``keys``), ``language``, ``probability``, ``text_language``, ``declared``, ``host``, ``kept``.
 
+    A kept text's language is the likeliest known one, any other's the likeliest class.
+
     ``declared`` and ``host`` default to the columns ``lang`` and ``source``.
     """
     spark = prepare(df.sparkSession)
@@ -261,15 +269,17 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", labe
              .withColumn("prior", F.coalesce("prior", _numbers(np.log(overall))))
              .withColumn("channel", F.coalesce("channel", _numbers(np.zeros(k))))
              .withColumn("logs", F.zip_with(F.zip_with("ll", "prior", add), "channel", add)))
-    posterior = _softmax(F.col("logs"))
+    fused = fused.withColumn("p", _softmax(F.col("logs")))
+    known = 1 - F.element_at("p", k) >= KEEP_PROBABILITY
     names = F.array(*[F.lit(c) for c in classes])
-    best = F.array_position(F.col("logs"), F.array_max("logs")).cast("int") - 1
+    # the unknown class, the last, is named only where it outweighs all others together
+    best = F.when(known & F.lit(k > 1), F.array_position(F.col("logs"), F.array_max(F.slice("logs", 1, max(1, k - 1))))
+                  ).otherwise(F.array_position(F.col("logs"), F.array_max("logs"))).cast("int") - 1
     text_best = F.array_position(F.col("ll"), F.array_max("ll")).cast("int") - 1
-    judged = fused.select(
+    return fused.select(
         F.col("__id").alias(id_col), *[F.col(f"__key{i}") for i in range(len(extra))],
         F.when(F.col("letters"), F.get(names, best)).alias("language"),
-        F.when(F.col("letters"), F.array_max(posterior)).alias("probability"),
+        F.when(F.col("letters"), F.get("p", best)).alias("probability"),
         F.when(F.col("letters"), F.get(names, text_best)).alias("text_language"),
-        F.nullif("declared", F.lit("")).alias("declared"), F.nullif("host", F.lit("")).alias("host"))
-    kept = (F.col("language") != UNKNOWN) & (F.col("probability") >= KEEP_PROBABILITY)
-    return judged.withColumn("kept", F.coalesce(kept, F.lit(False)))
+        F.nullif("declared", F.lit("")).alias("declared"), F.nullif("host", F.lit("")).alias("host"),
+        (F.col("letters") & known & F.lit(k > 1)).alias("kept"))
