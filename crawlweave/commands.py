@@ -29,7 +29,7 @@ from crawlweave.operators import extract as X
 from crawlweave.operators import metrics as M
 from crawlweave.operators import resolve as R
 from crawlweave.operators import state as ST
-from crawlweave.session import apply_session_conf, scratch_dir
+from crawlweave.session import apply_session_conf, cut_lineage, local_table, scratch_dir, scratch_scope
 from crawlweave.sources import cdx
 from crawlweave.sources import warc as W
 from crawlweave.streaming import ingest_stream as IS
@@ -62,9 +62,9 @@ def ingest(spark: SparkSession, shards_root: str, state_root: str, force: bool =
         IS.ingest_batch(spark, shards_root, urls, shards, force=force, reader=reader)
 
 
-def url_rows(spark: SparkSession, state_root: str) -> DataFrame:
-    """URL rows of the committed ingest batches, with ``ord`` = insertion order (batch, shard, line)."""
-    urls = IS.read_state(spark, _p(state_root, "urls"), _p(state_root, "shards"))
+def url_rows(spark: SparkSession, state_root: str, batches: list[int] | None = None) -> DataFrame:
+    """URL rows of the committed ingest batches (or the given ones), with ``ord`` = insertion order (batch, shard, line)."""
+    urls = IS.read_state(spark, _p(state_root, "urls"), _p(state_root, "shards"), batches)
     return urls.withColumn("ord", F.struct("ingest_batch", "hf_path", "line_ord"))
 
 
@@ -98,15 +98,15 @@ def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, list[
     return max(versions), covered, rows
 
 
-def current_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """Latest state of every URL row (W4 over the event log).
+def current_state(spark: SparkSession, state_root: str, batches: list[int] | None = None) -> DataFrame:
+    """Latest state of every URL row (W4 over the event log), or of those of the given ingest batches.
 
     With a compaction, only the URL batches it does not cover and the events
     newer than it are folded over it -- the cost no longer grows with the
     number of past runs.  (Compact while no command is running.)
     """
     apply_session_conf(spark)
-    urls = url_rows(spark, state_root)
+    urls = url_rows(spark, state_root, batches)
     base = _latest_compaction(spark, state_root)
     if base is None:
         return ST.fold_events(urls, events(spark, state_root), KEY)
@@ -120,27 +120,20 @@ def compact(spark: SparkSession, state_root: str) -> int:
     """Write the current state as ``compact/v=<seq>`` and return ``seq``;
     later reads start from it.  Old URL batches and events stay on disk.
 
-    The list of covered batches is written first; a compaction counts from
-    the moment its rows are complete."""
+    The list of covered batches is written first, and just those are folded: a
+    batch that ends meanwhile stays uncovered.  A compaction counts from the
+    moment its rows are complete."""
     seq = _next_seq(state_root)
     batches = IS.committed(_p(state_root, "shards"), "batch")
-    (spark.createDataFrame([(b,) for b in batches], "batch long").write.mode("overwrite")
-     .parquet(f"{_p(state_root, 'compact')}/covered={seq}"))
-    current_state(spark, state_root).write.partitionBy("batch").parquet(f"{_p(state_root, 'compact')}/v={seq}")
+    IS.write_batch(spark.createDataFrame([(b,) for b in batches], "batch long"),
+                   f"{_p(state_root, 'compact')}/covered={seq}")
+    IS.write_batch(current_state(spark, state_root, batches), f"{_p(state_root, 'compact')}/v={seq}", "batch")
     return seq
 
 
-def _work_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a run's work set once (shared scratch folder) and read it back:
-    the state fold behind it is a join that several consumers would redo."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _append_events(ev: DataFrame, state_root: str, seq: int) -> DataFrame:
     path = f"{_p(state_root, 'events')}/run={seq}"
-    ev.write.mode("overwrite").parquet(path)
+    IS.write_batch(ev, path)
     return ev.sparkSession.read.parquet(path)
 
 
@@ -157,18 +150,19 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
     event per row (matched / missing) and returns matched/missing counts per
     snapshot plus a total row.
     """
-    # the work set is written once: the state fold behind it is a large join
-    work = _work_table(ST.unresolved(current_state(spark, state_root), snapshot, limit), "resolve-work")
-    # one row per crawl snapshot, not per URL
-    snaps = [r[0] for r in work.select("snapshot_name").distinct().collect()]
-    # a snapshot that is skipped still used its share of the budget above
-    present = cdx.complete_snapshots(spark, index_root, manifest_root, snaps)
-    rows = work.where(F.col("snapshot_name").isin(present))
-    resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
-    seq = _next_seq(state_root)
-    written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
-    counted = written.join(rows.select(*KEY, "snapshot_name"), KEY)
-    return R.resolution_summary(counted.withColumnRenamed("kind", "status"))
+    with scratch_scope():
+        # the work set is written once: the state fold behind it is a large join
+        work = cut_lineage(ST.unresolved(current_state(spark, state_root), snapshot, limit), "resolve-work")
+        # one row per crawl snapshot, not per URL
+        snaps = [r[0] for r in work.select("snapshot_name").distinct().collect()]
+        # a snapshot that is skipped still used its share of the budget above
+        present = cdx.complete_snapshots(spark, index_root, manifest_root, snaps)
+        rows = work.where(F.col("snapshot_name").isin(present))
+        resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
+        seq = _next_seq(state_root)
+        written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
+        counted = written.join(rows.select(*KEY, "snapshot_name"), KEY)
+        return local_table(R.resolution_summary(counted.withColumnRenamed("kind", "status")))
 
 
 def write_paths(spark: SparkSession, state_root: str, path_file: str) -> int:
@@ -181,11 +175,12 @@ def _keep_extracted(spark: SparkSession, state_root: str, rows: DataFrame, archi
                     check_target: bool) -> DataFrame:
     """Read the pages, store them, then append the events that make them count (a run stopped
     in between leaves rows that the next run extracts again)."""
+    rows = cut_lineage(rows, "extract-work")
     results = X.extract_to_table(rows, archive_root, KEY, scratch_dir(spark, "extracted"), check_target)
     seq = _next_seq(state_root)
-    X.html_table(results, KEY).write.mode("overwrite").parquet(f"{_p(state_root, 'html')}/run={seq}")
+    IS.write_batch(X.html_table(results, KEY), f"{_p(state_root, 'html')}/run={seq}")
     written = _append_events(X.extraction_events(results, KEY, seq), state_root, seq)
-    return written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    return local_table(written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows")))
 
 
 def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit: int | None = None,
@@ -196,10 +191,10 @@ def extract_html(spark: SparkSession, state_root: str, archive_root: str, limit:
     the HTML table, every row gets a ``downloaded`` or ``error`` event.
     Returns the counts per kind.
     """
-    state = current_state(spark, state_root)
-    rows = _work_table(X.plan_extraction(state, W.list_archives(spark, archive_root), limit_archives=limit),
-                       "extract-work")
-    return _keep_extracted(spark, state_root, rows, archive_root, check_target)
+    with scratch_scope():
+        rows = X.plan_extraction(current_state(spark, state_root), W.list_archives(spark, archive_root),
+                                 limit_archives=limit)
+        return _keep_extracted(spark, state_root, rows, archive_root, check_target)
 
 
 def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snapshot: str | None = None,
@@ -208,9 +203,9 @@ def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snap
     order, optionally one snapshot and a row budget (not an archive budget),
     target check off by default.  Rows whose archive is absent get an error
     (there is no "skip"; every selected range is attempted)."""
-    state = current_state(spark, state_root)
-    rows = _work_table(ST.range_plan(ST.ready(state, snapshot, limit)), "ranges-work")
-    return _keep_extracted(spark, state_root, rows, archive_root, check_target)
+    with scratch_scope():
+        rows = ST.range_plan(ST.ready(current_state(spark, state_root), snapshot, limit))
+        return _keep_extracted(spark, state_root, rows, archive_root, check_target)
 
 
 def stats(spark: SparkSession, state_root: str, by_snapshot: bool = False) -> DataFrame:

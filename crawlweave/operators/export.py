@@ -10,16 +10,22 @@ replaces only that snapshot's folder (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlweave.functions import scalars as S
 from crawlweave.functions.markdown import with_markdown
+from crawlweave.operators import rollover
 from crawlweave.operators import sequence as Q
-from crawlweave.session import filesystem_for, scratch_dir
+from crawlweave.operators.selection import first_rows_of_each
+from crawlweave.session import cut_lineage, filesystem_for, scratch_scope
 
 EXPORT_COLUMNS = ["url", "offset", "length", "filename", "html", "markdown"]
 BATCH_ROWS = 500            # rows per size check (fixed by the export format)
+MAX_BOUNDS = 200_000        # parts whose first keys go out to the tasks (some 20 MB)
 
 
 def export_rows(saved: DataFrame, html: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -37,88 +43,52 @@ def export_rows(saved: DataFrame, html: DataFrame, key_cols: list[str]) -> DataF
 def limit_per_snapshot(rows: DataFrame, limit: int | None, snapshot_col: str = "snapshot") -> DataFrame:
     """The first ``limit`` rows of each snapshot by insertion order.
 
-    Meant for the slim saved rows, before HTML is joined.  Positions come
-    from a distributed row index, so no snapshot is sorted in one task,
-    whatever the limit.
+    Meant for the slim saved rows, before HTML is joined.  The last row of
+    each snapshot's share is found by distributed selection, so no snapshot is
+    sorted in one task, whatever the limit.
     """
-    if limit is None:
-        return rows
-    numbered = Q.row_index(rows, [snapshot_col], ["ord"], "_idx")
-    return numbered.where(F.col("_idx") < F.lit(int(limit))).drop("_idx")
+    return rows if limit is None else first_rows_of_each(rows, [snapshot_col], ["ord"], int(limit))
 
 
 def row_bytes() -> F.Column:
     """Size of a row for split decisions = UTF-8 bytes of html + markdown."""
-    return (F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("markdown"), F.lit(0))).cast("long")
-
-
-def _orbit(starts: DataFrame, jump: DataFrame, batches: DataFrame) -> DataFrame:
-    """Batches reachable from ``starts`` by following ``jump`` (pointer doubling).
-
-    After round k the set holds the first 2^k part starts of each snapshot
-    and ``jump`` skips 2^k parts, so the loop ends after about log2(parts)
-    rounds; every round is checkpointed to keep the lineage short.
-    """
-    reached = starts.checkpoint(eager=True)
-    n = reached.count()
-    while True:
-        step = (reached.join(jump, ["snapshot", "batch"])
-                .select("snapshot", F.col("nxt").alias("batch"))
-                .where(F.col("batch").isNotNull())
-                .join(batches, ["snapshot", "batch"], "left_semi"))
-        grown = reached.unionByName(step).distinct().checkpoint(eager=True)
-        m = grown.count()
-        if m == n:
-            return grown
-        a, c = jump.alias("a"), jump.alias("c")
-        jump = (a.join(c, (F.col("a.snapshot") == F.col("c.snapshot")) & (F.col("a.nxt") == F.col("c.batch")), "left")
-                .select(F.col("a.snapshot").alias("snapshot"), F.col("a.batch").alias("batch"),
-                        F.col("c.nxt").alias("nxt"))
-                .checkpoint(eager=True))
-        reached, n = grown, m
+    return (F.coalesce(F.octet_length("html"), F.lit(0))
+            + F.coalesce(F.octet_length("markdown"), F.lit(0))).cast("long")
 
 
 def assign_parts(rows: DataFrame, max_bytes: int, batch_rows: int = BATCH_ROWS,
-                 n_parts: int | None = None) -> DataFrame:
+                 n_parts: int | None = None, chunk: int = rollover.CHUNK) -> DataFrame:
     """Greedy size rollover -> ``snapshot, ord, part`` of each row (``snapshot, ord, bytes``).
 
     Rows go in insertion order in batches of ``batch_rows``; a part closes
     after the first batch at which its bytes reach ``max_bytes`` and the next
-    batch opens a new part (overshoot is not carried over).  Exact and
-    distributed at every size: batch numbers from a distributed row index,
-    byte offsets from segmented prefix sums, the batch that closes the part opened at
-    each batch from a forward as-of (a fill over the sorted union), and the
-    chain of part starts from pointer doubling.
+    batch opens a new part (overshoot is not carried over).  Batch numbers come
+    from a distributed row index, the parts of batches from composed transfer
+    functions (``rollover.py``): three jobs, one sort of slim rows.
     """
     if max_bytes is None or max_bytes <= 0:
         raise ValueError("a part needs a positive number of bytes")
     r = Q.row_index(rows.select("snapshot", "ord", "bytes"), ["snapshot"], ["ord"], "_idx", n_parts)
     r = r.withColumn("batch", F.floor(F.col("_idx") / batch_rows).cast("long"))
-    b = r.groupBy("snapshot", "batch").agg(F.sum("bytes").cast("long").alias("bytes")).checkpoint(eager=True)
-    parts = _parts_distributed(b, max_bytes, n_parts)
+    b = r.groupBy(F.col("snapshot").alias("group"), "batch").agg(F.sum("bytes").cast("long").alias("bytes"))
+    parts = rollover.parts_of_batches(b, max_bytes, chunk, n_parts).withColumnRenamed("group", "snapshot")
     return r.join(parts, ["snapshot", "batch"]).select("snapshot", "ord", "part")
 
 
-def _parts_distributed(b: DataFrame, max_bytes: int, n_parts: int | None) -> DataFrame:
-    """Part number per batch without gathering a snapshot's batches in one task."""
-    b = Q.segmented_cumsum(b, ["snapshot"], ["batch"], "bytes", "p_before", n_parts)
-    b = b.withColumn("p_after", F.col("p_before") + F.col("bytes")).checkpoint(eager=True)
-
-    # close(b) = first batch j >= b with p_after[j] >= p_before[b] + max_bytes
-    targets = b.select("snapshot", (F.col("p_before") + F.lit(max_bytes)).alias("key"), F.lit(0).alias("kind"),
-                       F.col("batch").alias("opens"), F.lit(None).cast("long").alias("closer"))
-    closers = b.select("snapshot", F.col("p_after").alias("key"), F.lit(1).alias("kind"),
-                       F.lit(None).cast("long").alias("opens"), F.col("batch").alias("closer"))
-    u = Q.segmented_ffill(targets.unionByName(closers), ["snapshot"],
-                          [F.col("key").desc(), F.col("kind").desc(), F.col("closer").desc()], "closer", "close", n_parts)
-    jump = u.where(F.col("kind") == 0).select(
-        "snapshot", F.col("opens").alias("batch"), (F.col("close") + 1).alias("nxt"))
+def _with_parts(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """``rows`` with their ``part``: by the first row of every part where these are few, else by a join.
 
-    batches = b.select("snapshot", "batch")
-    starts = _orbit(b.where(F.col("batch") == 0).select("snapshot", "batch"), jump, batches)
-    starts = Q.row_index(starts, ["snapshot"], ["batch"], "part", n_parts)
-    marked = batches.join(starts.withColumnRenamed("part", "_p"), ["snapshot", "batch"], "left")
-    return Q.segmented_ffill(marked, ["snapshot"], ["batch"], "_p", "part", n_parts).drop("_p")
+    A part's rows are consecutive, so that one key per part tells them apart
+    and the wide rows are not shuffled for it.
+    """
+    firsts = slots.groupBy("snapshot", "part").agg(F.min("ord").alias("ord"))
+    found = firsts.limit(MAX_BOUNDS + 1).toArrow().to_pylist()
+    if len(found) > MAX_BOUNDS:
+        return rows.join(slots, ["snapshot", "ord"])
+    keys = sorted((Q.comparable({"snapshot": r["snapshot"], "ord": r["ord"]}), r["part"]) for r in found)
+    starts, parts = [k for k, _ in keys], [p for _, p in keys]
+    part_of = Q.udf_of(lambda key: parts[bisect.bisect_right(starts, key) - 1], T.IntegerType())
+    return rows.withColumn("part", part_of(F.struct("snapshot", "ord")))
 
 
 def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
@@ -126,10 +96,11 @@ def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
     """K1/K2: write export rows; with ``max_bytes`` split into ``part=<n>`` folders.
 
     Runs its jobs when called.  A snapshot's folder is replaced as a whole.
-    Without parts, rows are range-partitioned first and their markdown is
-    computed behind the shuffle.  With parts, rows and markdown are written once to the shared
-    scratch folder (their sizes are needed before the layout is known); a
-    part, bounded by its size, is then written by one task.
+    Wide rows (html) are shuffled once, by ranges of the insertion order or by
+    part, and their markdown is computed behind that shuffle; the ranges come
+    from slim keys.  With parts, a first pass computes the rows' sizes alone
+    (and so their markdown once more); nothing wide is written to the scratch
+    folder.  A part, bounded by its size, is written by one task.
     """
     spark = rows.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -138,25 +109,22 @@ def write_export(rows: DataFrame, out: str, max_bytes: int | None = None,
         return df if "markdown" in df.columns else with_markdown(df)
 
     if max_bytes is None:
-        ordered = rows.repartitionByRange(n, "snapshot", "ord").sortWithinPartitions("snapshot", "ord")
-        (with_pages(ordered).select("snapshot", *EXPORT_COLUMNS)
+        (with_pages(Q.spread_by_range(rows, ["snapshot", "ord"], n)).select("snapshot", *EXPORT_COLUMNS)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot").parquet(out))
         return
     if max_bytes <= 0:
         raise ValueError("a part needs a positive number of bytes")
-    work = scratch_dir(spark, "export-pages")
-    with_pages(rows).withColumn("bytes", row_bytes()).write.parquet(work)
-    pages = spark.read.parquet(work)
-    slots = scratch_dir(spark, "export-parts")
-    assign_parts(pages, max_bytes, batch_rows, n_parts).write.parquet(slots)
-    parts = spark.read.parquet(slots)
-    (pages.join(parts, ["snapshot", "ord"]).repartition(n, "snapshot", "part")
-     .sortWithinPartitions("snapshot", "part", "ord").select("snapshot", "part", *EXPORT_COLUMNS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot", "part").parquet(out))
-    # parts of an earlier export beyond the new ones (one row per snapshot comes to the driver)
-    for r in parts.groupBy("snapshot").agg(F.max("part").alias("last")).collect():
-        _drop_old_parts(f"{out.rstrip('/')}/snapshot={r.snapshot}", r.last)
+    with scratch_scope():
+        sizes = cut_lineage(with_pages(rows).select("snapshot", "ord", row_bytes().alias("bytes")), "export-sizes")
+        parts = cut_lineage(assign_parts(sizes, max_bytes, batch_rows, n_parts), "export-parts")
+        placed = (_with_parts(rows, parts).repartition(n, "snapshot", "part")
+                  .sortWithinPartitions("snapshot", "part", "ord"))
+        (with_pages(placed).select("snapshot", "part", *EXPORT_COLUMNS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot", "part").parquet(out))
+        # parts of an earlier export beyond the new ones (one row per snapshot comes to the driver)
+        for r in parts.groupBy("snapshot").agg(F.max("part").alias("last")).collect():
+            _drop_old_parts(f"{out.rstrip('/')}/snapshot={r.snapshot}", r.last)
 
 
 def _drop_old_parts(folder: str, last: int) -> None:

@@ -21,8 +21,8 @@ group whose size grows with the data is gathered into one task:
    we need; AQE turns this into a broadcast when the key set is small).
 2. captures collapse to one per (snapshot, url, second) -- the earliest in
    scan order -- with partial aggregation before the shuffle, so a URL that
-   was captured millions of times shrinks map-side.  This table is
-   checkpointed: the index is scanned exactly once.
+   was captured millions of times shrinks map-side.  This table is written
+   to the scratch folder: the index is scanned exactly once.
 3. the as-of step runs on the union of captures and distinct target dates,
    windowed per (snapshot, url, day): each window holds at most one row per
    second of that day (<= 2 * 86,400 rows) whatever the data volume.
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
+from crawlweave.session import cut_lineage
 
 DAY = 86_400
 STRATEGIES = ("nearest", "priority")
@@ -171,15 +172,12 @@ def best_captures(rows: DataFrame, captures: DataFrame, key_cols: list[str],
     """Best capture per row: ``key_cols`` + ``best`` (struct or NULL)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    from crawlweave.session import checkpoint_root
-
-    checkpoint_root(rows.sparkSession)
     cands = candidate_rows(rows, key_cols)
     targets = distinct_targets(cands)
     # the index is the largest input: scan it once, keep only the captures of
     # our URLs (one per second), and cut the lineage so the consumers below
     # read this table instead of rescanning the index
-    per_second = first_per_second(needed_captures(captures, targets)).checkpoint(eager=True)
+    per_second = cut_lineage(first_per_second(needed_captures(captures, targets)), "captures")
     per_target = best_per_target(per_second, targets)
 
     opt = F.col("opt")

@@ -14,10 +14,17 @@ checkpoint folder) so every pass sees the same partitioning.
 
 from __future__ import annotations
 
+import bisect
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+
+from crawlweave.session import checkpoint_root, scratch_dir
 
 PID, POS = "_seq_pid", "_seq_pos"
 
@@ -33,8 +40,6 @@ def sorted_tasks(df: DataFrame, keys: list[str], order: list, n_parts: int | Non
     cols = [F.col(k) for k in keys] + _order_cols(order)
     s = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     s = s.withColumn(PID, F.spark_partition_id()).withColumn(POS, F.monotonically_increasing_id())
-    from crawlweave.session import checkpoint_root
-
     checkpoint_root(spark)
     return s.checkpoint(eager=True)
 
@@ -130,20 +135,84 @@ def segmented_ffill(df: DataFrame, keys: list[str], order: list, value: str, out
 
 def row_index(df: DataFrame, keys: list[str], order: list, out: str = "idx",
               n_parts: int | None = None) -> DataFrame:
-    """0-based position of each row in its group (a distributed zipWithIndex)."""
-    return segmented_cumsum(df.withColumn("_one", F.lit(1).cast("long")), keys, order, "_one", out, n_parts).drop("_one")
+    """0-based position of each row in its group (a distributed zipWithIndex).
+
+    The sorted rows are written once to the shared scratch folder with their
+    task and place (for slim rows); a position is the group's rows in earlier
+    tasks plus the place in its own.  One row per task and group is summed up.
+    """
+    spark = df.sparkSession
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(k) for k in keys] + _order_cols(order)
+    folder = scratch_dir(spark, "row-index")
+    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+     .withColumn(PID, F.spark_partition_id()).withColumn(POS, F.monotonically_increasing_id()).write.parquet(folder))
+    s = spark.read.parquet(folder)
+    tasks = s.groupBy(*keys, PID).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
+    before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = tasks.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(PID).alias("_p"),
+                          (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = s[PID] == shifts["_p"]
+    for i, k in enumerate(keys):
+        same &= s[k].eqNullSafe(shifts[f"_k{i}"])
+    return s.join(shifts, same).select(*df.columns, (F.col(POS) + F.col("_shift")).alias(out))
+
+
+def comparable(value):
+    """A value that Python orders as Spark does: nulls first, structs field by field."""
+    if isinstance(value, dict):
+        return True, tuple(comparable(v) for v in value.values())
+    return value is not None, value
+
+
+def spread_by_range(df: DataFrame, cols: list[str], n: int, per_task: int = 40) -> DataFrame:
+    """``df`` in ``n`` partitions by ranges of ``cols``, sorted within.
+
+    Like ``repartitionByRange``, but the ranges come from a sample of the slim
+    keys (``per_task`` of each task, weighed by its rows): the other columns
+    are not computed for it.
+    """
+    spark = df.sparkSession
+    keys = df.select(F.struct(*cols).alias("k"))
+
+    def draw(batches):
+        rng, kept, seen = np.random.default_rng(per_task), [], 0
+        for batch in batches:
+            for value in batch.column("k").to_pylist():
+                seen += 1
+                if len(kept) < per_task:
+                    kept.append(value)
+                elif (at := int(rng.integers(seen))) < per_task:
+                    kept[at] = value
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(kept, arrow.field("k").type),
+                                              pa.array([seen / len(kept)] * len(kept))], names=["k", "weight"])
+
+    schema = T.StructType([keys.schema["k"], T.StructField("weight", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+    drawn = keys.mapInArrow(draw, schema).toArrow().to_pylist()  # per_task slim keys of each task
+    drawn = sorted((comparable(r["k"]), r["weight"]) for r in drawn)
+    whole, sum_, bounds = sum(w for _, w in drawn), 0.0, []
+    for key, weight in drawn:
+        sum_ += weight
+        if len(bounds) < n - 1 and sum_ >= whole * (len(bounds) + 1) / n:
+            bounds.append(key)
+    place = udf_of(lambda key: bisect.bisect_left(bounds, key), T.IntegerType())
+    return (df.withColumn(PID, place(F.struct(*cols))).repartitionById(n, F.col(PID)).drop(PID)
+            .sortWithinPartitions(*cols))
+
+
+def udf_of(f, kind: T.DataType):
+    """An Arrow UDF that applies ``f`` to each comparable value of a struct column."""
+    def run(keys: pa.Array) -> pa.Array:
+        return pa.array([f(comparable(k)) for k in keys.to_pylist()], to_arrow_type(kind))
+
+    run.__annotations__ = {"keys": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, kind)
 
 
 def first_rows(df: DataFrame, order: list, limit: int, n_parts: int | None = None) -> DataFrame:
-    """The first ``limit`` rows in the order (which must be unique), spread over the tasks that hold them.
+    """The first ``limit`` rows in the order (which must be unique), spread over the tasks that hold them."""
+    from crawlweave.operators.selection import first_rows as select_first
 
-    ``orderBy().limit(n)`` ends in one task with n rows; here each task keeps
-    the rows whose position - those of earlier tasks plus its own - is below
-    the limit.  Only one row per task is summed up and broadcast.
-    """
-    s = sorted_tasks(df, [], order, n_parts)
-    tasks = s.groupBy(PID).agg(F.count(F.lit(1)).alias("n"), F.min(POS).alias("first"))
-    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = tasks.select(PID, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("_shift"))
-    j = s.join(F.broadcast(shifts), PID)
-    return j.where(F.col(POS) + F.col("_shift") < F.lit(int(limit))).drop(PID, POS, "_shift")
+    return select_first(df, order, int(limit))

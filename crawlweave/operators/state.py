@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.functions import scalars as S
-from crawlweave.operators import sequence as Q
+from crawlweave.operators.selection import first_rows
+
 
 def is_unresolved() -> F.Column:
     """Any of offset / length / filename missing."""
@@ -41,7 +42,7 @@ def unresolved(state: DataFrame, snapshot: str | None = None, limit: int | None
     the snapshots in name order, rows in insertion order (O3/O4)."""
     df = _in_snapshot(state.where(is_unresolved()), snapshot)
     if limit is not None:
-        df = Q.first_rows(df, ["snapshot_name", "ord"], limit)
+        df = first_rows(df, ["snapshot_name", "ord"], limit)
     return df
 
 
@@ -60,7 +61,7 @@ def ready(state: DataFrame, snapshot: str | None = None, limit: int | None = Non
     ties by insertion order (O1)."""
     df = _in_snapshot(state.where(is_ready()), snapshot)
     if limit is not None:
-        df = Q.first_rows(df, ["filename", "offset", "ord"], limit)
+        df = first_rows(df, ["filename", "offset", "ord"], limit)
     return df
 
 
@@ -68,7 +69,7 @@ def saved(state: DataFrame, snapshot: str | None = None, limit: int | None = Non
     """Rows with saved HTML; with ``limit`` the first ones by insertion order (O2)."""
     df = _in_snapshot(state.where(is_saved()), snapshot)
     if limit is not None:
-        df = Q.first_rows(df, ["ord"], limit)
+        df = first_rows(df, ["ord"], limit)
     return df
 
 

@@ -164,7 +164,7 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     IS.run_ingest_stream(spark, root, state, shards, ckpt)           # nothing new: no-op
     IS.ingest_batch(spark, root, state, shards)                       # every shard imported: no-op
     IS.ingest_batch(spark, root, state, shards, force=True)           # re-read, nothing overwritten
-    return spark.read.parquet(state).select(*INGEST_OUT)
+    return IS.read_state(spark, state, shards).select(*INGEST_OUT)
 
 
 def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:

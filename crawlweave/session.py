@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -74,9 +76,54 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root.
+
+    It belongs to the innermost ``scratch_scope`` around the call; without
+    one, to the caller, whose lazy results may still read it.
+    """
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope():
+    """Remove the scratch folders made inside at its end; results that are used later must not read them."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        delete_folders(*made)
+
+
+def cut_lineage(df, name: str):
+    """``df`` written once to a scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_table(df):
+    """A few rows brought to the driver, as a table that reads nothing any more (counts and summaries)."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def delete_folders(*paths: str) -> None:
+    """Remove scratch folders that nothing reads any more; one that is not there is passed over."""
+    from pyarrow import fs as pafs
+
+    for path in paths:
+        filesystem, inner = filesystem_for(path)
+        if filesystem.get_file_info(inner).type == pafs.FileType.Directory:
+            filesystem.delete_dir(inner)
 
 
 def local_path(path: str) -> str:

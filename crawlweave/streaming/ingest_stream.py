@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.operators import ingest as IG
-from crawlweave.session import file_path_of, scratch_dir
+from crawlweave.session import cut_lineage, file_path_of, scratch_scope
 from crawlweave.sources import metadata as MD
 
 FORCE_BATCH_BASE = 1 << 40      # batch ids of forced (non-stream) re-ingests
@@ -44,23 +44,54 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
 
 
+MARK = "_SUCCESS"
+
+
 def committed(path: str, name: str) -> list[int]:
-    """Values of the ``name=<int>`` folders under ``path`` whose write ended (a listing, no data read)."""
+    """Values of the ``name=<int>`` folders under ``path`` whose write ended (a listing, no data read).
+
+    A folder whose write stopped half way has no mark and does not count.
+    Where not one of the folders with data files has a mark, and none is
+    being written, marks are switched off: an error, for all state would read
+    as empty.
+    """
     from crawlweave.session import filesystem_for
     from pyarrow import fs as pafs
 
     filesystem, inner = filesystem_for(path)
     if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
         return []
-    found = []
+    found, unmarked = [], []
     for entry in filesystem.get_file_info(pafs.FileSelector(inner)):
         value = entry.base_name.removeprefix(f"{name}=")
         if entry.type == pafs.FileType.Directory and value != entry.base_name and value.isdigit():
-            done = filesystem.get_file_info(f"{entry.path}/_SUCCESS").type != pafs.FileType.NotFound
-            found += [int(value)] * done
+            if filesystem.get_file_info(f"{entry.path}/{MARK}").type != pafs.FileType.NotFound:
+                found.append(int(value))
+            else:
+                unmarked.append(entry.path)
+    if unmarked and not found:
+        inside = [{e.base_name for e in filesystem.get_file_info(pafs.FileSelector(x))} for x in unmarked]
+        if any(any(n.startswith("part-") for n in names) for names in inside) and not any(
+                "_temporary" in names for names in inside):
+            raise RuntimeError(f"{path}: {name} folders hold data files but no {MARK} mark; {_NO_MARK}")
     return sorted(found)
 
 
+_NO_MARK = ("the output committer must write it (mapreduce.fileoutputcommitter.marksuccessfuljobs), "
+            "because a write counts from this mark on")
+
+
+def write_batch(df: DataFrame, path: str, *partition: str) -> None:
+    """Write one state folder; its ``_SUCCESS`` mark, without which it would not count, must be there after it."""
+    from crawlweave.session import filesystem_for
+    from pyarrow import fs as pafs
+
+    df.write.mode("overwrite").partitionBy(*partition).parquet(path)
+    filesystem, inner = filesystem_for(path)
+    if filesystem.get_file_info(f"{inner}/{MARK}").type == pafs.FileType.NotFound:
+        raise RuntimeError(f"{path} was written without its {MARK} mark; {_NO_MARK}")
+
+
 def read_batches(spark: SparkSession, path: str, batches: list[int], schema: str, name: str = "batch") -> DataFrame:
     """The rows of the given ``name=<n>`` folders; folders without files give none."""
     if not batches:
@@ -69,9 +100,9 @@ def read_batches(spark: SparkSession, path: str, batches: list[int], schema: str
             .parquet(*[f"{path}/{name}={b}" for b in batches]))
 
 
-def read_state(spark: SparkSession, state_path: str, shards_path: str, exclude_batch: int | None = None) -> DataFrame:
-    """URL rows of every committed batch (its shard rows, written last, are there) but ``exclude_batch``."""
-    batches = [b for b in committed(shards_path, "batch") if b != exclude_batch]
+def read_state(spark: SparkSession, state_path: str, shards_path: str, batches: list[int] | None = None) -> DataFrame:
+    """URL rows of every committed batch (its shard rows, written last, are there), or of the given ones."""
+    batches = committed(shards_path, "batch") if batches is None else batches
     return read_batches(spark, state_path, sorted(set(batches) & set(committed(state_path, "batch"))), URL_SCHEMA)
 
 
@@ -97,15 +128,14 @@ def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, sha
     lists the batch's shards where the caller knows them.  The first rows per
     key are written once to the shared scratch folder; all else derives from them.
     """
-    work = scratch_dir(spark, "ingest-firsts")
-    IG.first_wins(records).write.parquet(work)
-    firsts = spark.read.parquet(work)
-    shards = firsts.select("hf_path").distinct() if shards is None else shards
-    existing = known_rows(spark, state_path, shards_path, shards, batch_id)
-    new = IG.new_rows(firsts.where(F.col("url_raw").isNotNull()), existing)
-    IG.as_state_rows(new, batch_id).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    IG.shard_rows(shards, firsts, now).write.mode("overwrite").parquet(f"{shards_path}/batch={batch_id}")
+    with scratch_scope():
+        firsts = cut_lineage(IG.first_wins(records), "ingest-firsts")
+        shards = firsts.select("hf_path").distinct() if shards is None else shards
+        existing = known_rows(spark, state_path, shards_path, shards, batch_id)
+        new = IG.new_rows(firsts.where(F.col("url_raw").isNotNull()), existing)
+        write_batch(IG.as_state_rows(new, batch_id), f"{state_path}/batch={batch_id}")
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        write_batch(IG.shard_rows(shards, firsts, now), f"{shards_path}/batch={batch_id}")
 
 
 def stream_lines(spark: SparkSession, source_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -130,8 +160,13 @@ def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, sh
     A file without any line never reaches a batch: the listed shards that are
     not in the shard table afterwards are entered as imported, with no record.
     """
-    listed = scratch_dir(spark, "listed-shards")
-    MD.list_shards(spark, source_root).write.parquet(listed)
+    with scratch_scope():
+        _run_stream(spark, source_root, state_path, shards_path, checkpoint, max_files_per_trigger)
+
+
+def _run_stream(spark: SparkSession, source_root: str, state_path: str, shards_path: str, checkpoint: str,
+                max_files_per_trigger: int | None) -> None:
+    listed = cut_lineage(MD.list_shards(spark, source_root), "listed-shards")
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         # a shard file is never split across micro-batches, and zstd files are
@@ -147,12 +182,11 @@ def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, sh
         .start()
     )
     query.awaitTermination()
-    blank = IG.pending_shards(spark.read.parquet(listed), shard_table(spark, shards_path))
+    blank = IG.pending_shards(listed, shard_table(spark, shards_path))
     if not blank.isEmpty():
         nothing = spark.createDataFrame([], "hf_path string, url_raw string, records long")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        IG.shard_rows(blank, nothing, now).write.mode("overwrite").parquet(
-            f"{shards_path}/batch={next_forced_batch(shards_path)}")
+        write_batch(IG.shard_rows(blank, nothing, now), f"{shards_path}/batch={next_forced_batch(shards_path)}")
 
 
 def shard_table(spark: SparkSession, shards_path: str) -> DataFrame | None:
@@ -179,9 +213,9 @@ def ingest_batch(spark: SparkSession, source_root: str, state_path: str, shards_
     takes shards with windows beyond the native reader's.  Returns the batch id.
     """
     batch_id = next_forced_batch(shards_path)
-    work = scratch_dir(spark, "pending-shards")
-    IG.pending_shards(MD.list_shards(spark, source_root), shard_table(spark, shards_path), force).write.parquet(work)
-    todo = spark.read.parquet(work)
-    records = MD.read_records(spark, source_root, reader, todo, every_line=True)
-    ingest_records(spark, records, state_path, shards_path, batch_id, todo)
+    with scratch_scope():
+        todo = cut_lineage(IG.pending_shards(MD.list_shards(spark, source_root), shard_table(spark, shards_path), force),
+                           "pending-shards")
+        records = MD.read_records(spark, source_root, reader, todo, every_line=True)
+        ingest_records(spark, records, state_path, shards_path, batch_id, todo)
     return batch_id
