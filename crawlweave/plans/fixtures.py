@@ -443,6 +443,33 @@ def write_warc_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return root, locations
 
 
+def write_torn_archives(spark: SparkSession, sf_dir: str) -> str:
+    """The archives with damage: page_id % 19 == 4 cut after 300 bytes, junk before page_id % 23 == 6 (where the page
+    before it in the archive is not cut: its torn member would reach over the junk)."""
+    from crawlweave.sources import warc as W
+
+    root = scratch_dir(spark, "warc-torn")
+
+    def write(pdf):
+        import pandas as pd
+
+        archive = pdf["archive"].iloc[0]
+        filesystem, inner = _open_output(f"{root}/{archive}")
+        with filesystem.open_output_stream(inner + ".part", compression=None) as out:
+            before = None
+            for pid, url, html, variant in pdf.sort_values("seq")[["seq", "url", "html", "variant"]].itertuples(index=False):
+                if pid % 23 == 6 and (before is None or before % 19 != 4):
+                    out.write(b"\x1f\x8b\x08 no member at all")
+                member = W.encode_record(url, bytes(html), variant="short" if variant == "short" else None)
+                out.write(member[:300] if pid % 19 == 4 else member)
+                before = pid
+        filesystem.move(inner + ".part", inner)
+        return pd.DataFrame({"archive": [archive]})
+
+    archive_records(spark, sf_dir).groupBy("archive").applyInPandas(write, "archive string").count()
+    return root
+
+
 def extract_state(spark: SparkSession, sf_dir: str, locations: str) -> DataFrame:
     """Located URL rows pointing at the archives (% 11 == 5 at an absent archive,
     % 8 == 0 with a leading ``/`` in the archive name, % 23 == 7 with half the length)."""

@@ -428,6 +428,19 @@ SELECT page_id,
 FROM pages
 """
 
+ORACLE["archive_members"] = """
+WITH p AS (
+  SELECT page_id, url, 'crawl/seg-' || (page_id % 4 + 4 * (page_id // 1000)) || '.warc.gz' AS archive,
+         lag(page_id) OVER (PARTITION BY page_id % 4 + 4 * (page_id // 1000) ORDER BY page_id) AS before
+  FROM pages
+)
+SELECT archive, url, CASE WHEN page_id % 19 = 4 THEN 'torn' WHEN page_id % 33 = 6 THEN 'short' ELSE 'whole' END AS state,
+       true AS covered
+FROM p
+UNION ALL
+SELECT archive, NULL, 'junk', true FROM p WHERE page_id % 23 = 6 AND (before IS NULL OR before % 19 <> 4)
+"""
+
 _SAVED_SRC = f"""
 WITH {STATE_FX},
 src AS (

@@ -215,6 +215,21 @@ def q_decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("page_id", S.bytes_to_text("payload").alias("html"), "error")
 
 
+def q_archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of damaged archives; places and lengths depend on the compression, so that they are summed up here:
+    an archive's members cover it from its first to its last byte."""
+    from crawlweave.sources import warc as W
+
+    root = FX.write_torn_archives(spark, sf_dir)
+    found = W.archive_members(spark, root, range_bytes=64 << 10)
+    sizes = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(F.regexp_extract("path", "(crawl/[^/]*)$", 1).alias("archive"), F.col("length").alias("size")))
+    covered = found.groupBy("archive").agg(F.sum("length").alias("bytes"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    whole = covered.join(sizes, "archive").select("archive", (
+        (F.col("bytes") == F.col("size")) & (F.col("end") == F.col("size"))).alias("covered"))
+    return found.join(whole, "archive").select("archive", "url", "state", "covered")
+
+
 EXPORT_OUT = ["snapshot", "url", "offset", "length", "filename", "html", "markdown"]
 EXPORT_LIMIT = 20            # rows per snapshot in the limited export
 SPLIT_BYTES = 64 * 1024      # split threshold of the split export
@@ -334,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_cases": q_block_cases,
     "extract_records": q_extract_records,
     "decode_payloads": q_decode_payloads,
+    "archive_members": q_archive_members,
     "export_snapshot": q_export_snapshot,
     "export_limited": q_export_limited,
     "export_split_parts": q_export_split_parts,

@@ -4,12 +4,15 @@ A capture location is (archive, offset, length); the bytes there are one
 gzip member holding one WARC record: WARC headers, then (for responses) an
 HTTP message whose body is the page.  Parsing is per-record Python on Arrow
 batches (``mapInPandas``); the rest of the pipeline stays in the JVM.
-Failures never stop a task: each row carries ``error`` instead.
+Failures never stop a task: each row carries ``error`` instead.  Records are
+inflated step by step up to their stated length, and never beyond
+``MAX_RECORD``, so that no record can fill a worker's memory.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +27,10 @@ TASK_ROWS = 20_000              # ranges that one task reads
 YIELD_BYTES = 32 << 20          # payload bytes handed back to Spark at once
 COALESCE_GAP = 1 << 20          # ranges closer than this are fetched with one read ...
 COALESCE_SPAN = 64 << 20        # ... as long as the combined read stays under this size
+MAX_RECORD = 64 << 20           # inflated bytes of a record or body; a larger one is an error of its row
+STEP_BYTES = 1 << 20            # bytes inflated or read on at once
+HEAD_BYTES = 1 << 20            # longest WARC header
+GZIP = b"\x1f\x8b"
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -39,6 +46,10 @@ class CutShort(ValueError):
     """The bytes end before the record does."""
 
 
+def _too_large(what: str, limit: int) -> ValueError:
+    return ValueError(f"{what} is larger than {limit} bytes")
+
+
 def _dechunk(body: bytes) -> bytes:
     """Body of a chunked message; the body itself where it is not chunked after all."""
     out, pos = bytearray(), 0
@@ -62,59 +73,138 @@ def _dechunk(body: bytes) -> bytes:
     return bytes(out)
 
 
-def _gunzip(data: bytes, short: type[ValueError], what: str) -> bytes:
-    """The first gzip member of ``data``; ``short`` is raised where it is not whole."""
+def _gunzip(body: bytes, limit: int) -> bytes:
+    """The first gzip member of a body, inflated up to ``limit`` bytes."""
     member = zlib.decompressobj(31)
-    out = member.decompress(data)
+    out = member.decompress(body, limit + 1)
+    if len(out) > limit:
+        raise _too_large("gzip body", limit)
     if not member.eof:
-        raise short(f"{what} ends early")
+        raise ValueError("gzip body ends early")
     return out
 
 
-def _inflate(body: bytes) -> bytes:
+def _inflate(body: bytes, limit: int) -> bytes:
     """A deflate body, with or without the zlib header; a plain body as it is."""
     for bits in (zlib.MAX_WBITS, -zlib.MAX_WBITS):
         stream = zlib.decompressobj(bits)
         try:
-            out = stream.decompress(body)
+            out = stream.decompress(body, limit + 1)
         except zlib.error:
             continue
-        if stream.eof:
+        if stream.eof and len(out) <= limit:
             return out
+        if len(out) > limit:
+            raise _too_large("deflate body", limit)
         if bits > 0:
             raise ValueError("deflate body ends early")
     return body
 
 
-def _decode_content(body: bytes, encodings: str) -> bytes:
+def _decode_content(body: bytes, encodings: str, limit: int) -> bytes:
     """Undo the content encodings, last one first.  A body that does not begin
     like its encoding was stored decoded; an encoding unknown here is an error."""
     for name in reversed([x.strip().lower() for x in encodings.split(",") if x.strip()]):
         if name in ("gzip", "x-gzip"):
-            body = _gunzip(body, ValueError, "gzip body") if body[:2] == b"\x1f\x8b" else body
+            body = _gunzip(body, limit) if body[:2] == GZIP else body
         elif name == "deflate":
-            body = _inflate(body)
+            body = _inflate(body, limit)
         elif name not in ("identity", "none"):
             raise ValueError(f"content encoding {name} is not supported")
     return body
 
 
-def decode_record(data: bytes, url_raw: str | None = None, check_target: bool = True) -> bytes:
-    """Payload bytes of the single record in ``data``; raises on bad input, ``CutShort`` if bytes are missing."""
-    short = CutShort  # more bytes may follow in the archive ...
-    if data[:2] == b"\x1f\x8b":
-        data = _gunzip(data, short, "record")
-        short = ValueError  # ... but not beyond a whole gzip member
-    head, sep, rest = data.partition(b"\r\n\r\n")
+class _Bytes:
+    """The bytes of one record, inflated no further than they are asked for.
+
+    ``data`` are its stored bytes as far as they are at hand, ``more()`` gives
+    the ones that follow in the archive (none at its end).
+    """
+
+    def __init__(self, data: bytes, more: Callable[[], bytes] | None = None):
+        self.more = more or (lambda: b"")
+        self.raw, self.at, self.text = memoryview(data), 0, bytearray()
+        self.member, self.tail = zlib.decompressobj(31) if data[:2] == GZIP else None, b""
+
+    def _stored(self, size: int) -> bytes:
+        """The next stored bytes, ``size`` at most."""
+        if self.at >= len(self.raw):
+            self.raw, self.at = memoryview(self.more()), 0
+        out = bytes(self.raw[self.at:self.at + size])
+        self.at += len(out)
+        return out
+
+    def _grow(self, upto: int) -> bool:
+        """More of the text, ``upto`` bytes at most; False where there is none."""
+        if self.member is None:
+            taken = self._stored(upto)
+            self.text += taken
+            return bool(taken)
+        while not self.member.eof:
+            self.tail = self.tail or self._stored(1 << 16)
+            if not self.tail:
+                raise CutShort("record ends early")
+            made = self.member.decompress(self.tail, upto)
+            self.tail = self.member.unconsumed_tail
+            if made:
+                self.text += made
+                return True
+        return False
+
+    def head(self) -> bytes:
+        """What comes before the first empty line."""
+        searched = 0
+        while (end := self.text.find(b"\r\n\r\n", searched)) < 0:
+            if not self.text.startswith(b"WARC/"[:len(self.text)]):
+                raise ValueError("not a WARC record")
+            if len(self.text) > HEAD_BYTES:
+                raise _too_large("record header", HEAD_BYTES)
+            searched = max(0, len(self.text) - 3)
+            # in small steps: what a damaged member gives before the damage counts
+            if not self._grow(max(256, len(self.text))):
+                raise (ValueError if self.member else CutShort)("record ends early")
+        out = bytes(self.text[:end])
+        del self.text[:end + 4]
+        return out
+
+    def block(self, size: int) -> bytes:
+        while len(self.text) < size:
+            if not self._grow(min(STEP_BYTES, size - len(self.text) + 4)):
+                raise (ValueError if self.member else CutShort)("record ends early")
+        out = bytes(self.text[:size])
+        del self.text[:]
+        return out
+
+    def finish(self, slack: int = 1 << 16) -> None:
+        """The member's end and checksum, where they follow; what lies behind the record is not read."""
+        while self.member and slack > 0 and self._grow(slack):
+            slack -= len(self.text)
+            del self.text[:]
+
+
+def decode_record(data: bytes, url_raw: str | None = None, check_target: bool = True,
+                  more: Callable[[], bytes] | None = None, limit: int = MAX_RECORD) -> bytes:
+    """Payload bytes of the first record in ``data`` (and the bytes that ``more()`` gives); raises on bad input,
+    ``CutShort`` if bytes are missing.  Neither record nor payload is inflated beyond ``limit``."""
+    record = _Bytes(data, more)
+    head = record.head()
     if not head.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
-    if not sep:
-        raise short("record ends early")
     warc = _headers(head)
-    size = int(warc.get("content-length", len(rest)))
-    if len(rest) < size:
-        raise short("record ends early")
-    block = rest[:size]
+    if "content-length" in warc:
+        size = int(warc["content-length"])
+        if size > limit:
+            raise _too_large("record", limit)
+        block = record.block(max(0, size))
+        record.finish()
+    else:
+        if record.member is None:
+            record.more = lambda: b""  # nothing tells where it ends but the range
+        while len(record.text) <= limit and record._grow(STEP_BYTES):
+            pass
+        if len(record.text) > limit:
+            raise _too_large("record", limit)
+        block = bytes(record.text)
     target = warc.get("warc-target-uri")
     if check_target and target and url_raw and target.strip() != url_raw.strip():
         raise ValueError(TARGET_MISMATCH)
@@ -126,7 +216,7 @@ def decode_record(data: bytes, url_raw: str | None = None, check_target: bool =
     http = _headers(http_head)
     if "chunked" in http.get("transfer-encoding", "").lower():
         body = _dechunk(body)
-    return _decode_content(body, http.get("content-encoding", ""))
+    return _decode_content(body, http.get("content-encoding", ""), limit)
 
 
 def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = COALESCE_GAP,
@@ -151,15 +241,17 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = COALESCE_GAP,
 
 
 def _whole_record(f, offset: int, data: bytes, url: str | None, check_target: bool) -> bytes:
-    """Decode ``data``; where it is cut short, read on from ``offset`` (a stated length can be too small)."""
-    while True:
-        try:
-            return decode_record(data, url, check_target)
-        except CutShort:
-            more = f.read_at(max(4 * len(data), 1 << 16), offset)
-            if len(more) <= len(data):
-                raise
-            data = more
+    """Decode ``data``; where it is cut short, read on behind it, step by step, to the record's end (a stated length
+    can be too small) and no further than ``limit`` inflated bytes need."""
+    at = offset + len(data)
+
+    def more() -> bytes:
+        nonlocal at
+        found = f.read_at(STEP_BYTES, at)
+        at += len(found)
+        return found
+
+    return decode_record(data, url, check_target, more)
 
 
 def _read_ranges(root: str, check_target: bool, keep_url: bool):
@@ -203,12 +295,16 @@ def _read_batch(pdf, handles: dict, root: str, check_target: bool):
         ranges = [(int(offsets[i]), int(lengths[i])) for i in idx]
         for start, end, members in coalesce_ranges(ranges):
             try:
-                block = f.read_at(end - start, start)
+                # a single range that is too long is not read at all
+                block = f.read_at(end - start, start) if end - start <= max(MAX_RECORD, COALESCE_SPAN) else b""
             except Exception as e:  # noqa: BLE001
                 done += [(idx[m], None, str(e) or type(e).__name__) for m in members]
                 continue
             for m in members:
                 (off, ln), i = ranges[m], idx[m]
+                if ln > MAX_RECORD:
+                    done.append((i, None, str(_too_large("byte range", MAX_RECORD))))
+                    continue
                 try:
                     page = _whole_record(f, off, block[off - start: off - start + ln], urls[i], check_target)
                     done.append((i, page, None))
@@ -272,6 +368,116 @@ def decode_payloads(df: DataFrame, body_col: str = "body", url_col: str | None =
     return df.mapInPandas(run, out_schema)
 
 
+# --------------------------------------------------------------------------- members of an archive
+
+#: Archive bytes whose members one task lists.
+RANGE_BYTES = 64 << 20
+_MEMBER_START = GZIP + b"\x08"
+
+
+def _starts_record(f, at: int) -> bool:
+    """Whether a gzip member that begins like a WARC record starts at ``at``."""
+    member = zlib.decompressobj(31)
+    try:
+        return member.decompress(f.read_at(4096, at), 5) == b"WARC/"
+    except zlib.error:
+        return False
+
+
+def _next_start(f, at: int, size: int) -> int:
+    """The first place from ``at`` on where a record's member starts, else the archive's end."""
+    while at < size:
+        block = f.read_at(STEP_BYTES, at)
+        found = block.find(_MEMBER_START)
+        while found >= 0:
+            if _starts_record(f, at + found):
+                return at + found
+            found = block.find(_MEMBER_START, found + 1)
+        at += max(1, len(block) - len(_MEMBER_START) + 1)
+    return size
+
+
+def _member(f, at: int, size: int) -> tuple[int | None, str | None, str]:
+    """(stored length, target, state) of the member at ``at``; no length where its end is not known."""
+    place = at
+
+    def more() -> bytes:
+        nonlocal place
+        found = f.read_at(STEP_BYTES, place)
+        place += len(found)
+        return found
+
+    record, url = _Bytes(more(), more), None
+    try:
+        warc = _headers(record.head())
+        url = warc.get("warc-target-uri")
+        left = int(warc.get("content-length", -1))
+        seen = len(record.text)
+        del record.text[:]
+        while record._grow(STEP_BYTES):  # to the member's end, holding a step at most
+            seen += len(record.text)
+            del record.text[:]
+    except (ValueError, zlib.error):
+        return None, url, "torn"
+    stored = place - (len(record.raw) - record.at) - len(record.member.unused_data) - at
+    return stored, url, "short" if seen < left else "whole"
+
+
+def archive_members(spark, root: str, archives: DataFrame | None = None,
+                    range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``archive, offset, length, url, state`` of every gzip member of the archives below ``root``.
+
+    ``whole``: a record of its stated length; ``short``: the member ends
+    before that; ``torn``: it does not inflate to its end, and reaches to the next
+    member that begins like a record; ``junk``: bytes between members.  An
+    archive is cut into ranges of ``range_bytes``, a task each; a range lists the
+    members that start in it and finds its first one by itself.  Members are
+    inflated step by step and nothing of them is kept.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    from crawlweave.session import path_below
+
+    files = files.select(path_below(F.col("path"), root).alias("archive"), F.col("length").alias("size"))
+    if archives is not None:
+        files = files.join(archives.select("archive").distinct(), "archive", "left_semi")
+    ranges = files.filter("size > 0").select("archive", "size", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
+
+    def run(batches):
+        for pdf in batches:
+            for archive, size, start in zip(pdf["archive"], pdf["size"], pdf["start"]):
+                filesystem, inner = filesystem_for(f"{root}/{archive}")
+                with filesystem.open_input_file(inner) as f:
+                    rows = list(_listed(f, int(size), int(start), min(int(size), int(start) + range_bytes)))
+                yield pd.DataFrame([(archive, *r) for r in rows], columns=_MEMBERS)
+
+    n = max(1, ranges.count())
+    return ranges.repartitionByRange(n, "archive", "start").mapInPandas(
+        run, "archive string, offset long, length long, url string, state string")
+
+
+_MEMBERS = ["archive", "offset", "length", "url", "state"]
+
+
+def _listed(f, size: int, start: int, end: int):
+    """Members (and junk behind them) that start in a range; what leads up to the first one is its predecessor's."""
+    at = _next_start(f, start, size)
+    if start == 0 and at > 0:
+        yield 0, at, None, "junk"
+    while at < end:
+        length, url, state = _member(f, at, size)
+        if length is None:
+            following = _next_start(f, at + 1, size)
+            yield at, following - at, url, state
+        else:
+            yield at, length, url, state
+            following = at + length
+            if following < size and not _starts_record(f, following):
+                junk, following = following, _next_start(f, following, size)
+                yield junk, following - junk, None, "junk"
+        at = following
+
+
 # --------------------------------------------------------------------------- record writer
 
 #: Ways in which archives in the wild deviate, for building test archives.
