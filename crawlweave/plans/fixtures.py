@@ -183,6 +183,20 @@ def write_cdx_fixture(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def write_block_index(spark: SparkSession, sf_dir: str, block_lines: int = 100) -> str:
+    """The capture index sorted by key in blocks of ``block_lines`` with its sidecar (keys of ``zipnum.sort_key``;
+    lines without a readable record are filed under their first word)."""
+    from crawlweave.sources import cdx
+    from crawlweave.sources import zipnum as Z
+
+    root = scratch_dir(spark, "cdx-blocks")
+    found = capture_lines(spark, sf_dir).withColumn("r", cdx.parse_cdxj("value"))
+    key = F.coalesce(Z.sort_key(F.coalesce("r.url", "r.original")), F.substring_index("value", " ", 1))
+    lines = found.select("snapshot", key.alias("key"), F.coalesce("r.timestamp", F.lit("")).alias("stamp"), "value")
+    Z.write_blocks(lines, root, block_lines)
+    return root
+
+
 SNAPSHOTS = [f"{SNAPSHOT_STEM}{i}" for i in range(3)]
 
 

@@ -134,6 +134,17 @@ SELECT snapshot_name, url, filename, "offset", length, capture_ts FROM caps
     "resolve_limited": _resolve_sql("delta, shard, event_id", UNRESOLVED_LIMITED, STATE_FX),
 }
 
+ORACLE["captures_pruned"] = f"""
+WITH {STATE_FX}, {CAPS},
+rows_in AS ({UNRESOLVED_LIMITED}),
+wanted AS (
+  SELECT snapshot_name, url_raw AS url FROM rows_in UNION SELECT snapshot_name, lower(url_raw) FROM rows_in
+  UNION SELECT snapshot_name, url_norm FROM rows_in
+)
+SELECT k.snapshot_name, k.url, k.filename, k."offset", k.length, k.capture_ts
+FROM caps k JOIN wanted w ON w.snapshot_name = k.snapshot_name AND w.url = k.url
+"""
+
 EVENTS_FX = """
 ev AS (
   SELECT e.event_id % (SELECT count(*) FROM pages) AS ord, e.event_id AS seq,

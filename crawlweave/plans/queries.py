@@ -35,6 +35,16 @@ def q_scan_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.select("snapshot_name", "url", "filename", "offset", "length", "capture_ts")
 
 
+def q_captures_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captures of the next budget of unresolved rows, read from the blocks that hold their keys only."""
+    from crawlweave.sources import zipnum as Z
+
+    root = FX.write_block_index(spark, sf_dir)
+    rows = ST.unresolved(FX.state_fx(spark, sf_dir), limit=LIMITED_BUDGET)
+    caps = Z.captures_of(spark, root, R.candidate_rows(rows, ["ord"]))
+    return caps.select("snapshot_name", "url", "filename", "offset", "length", "capture_ts")
+
+
 def _resolve(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     root = FX.write_cdx_fixture(spark, sf_dir)
     rows = FX.urls_fx(spark, sf_dir)
@@ -328,6 +338,7 @@ def q_archive_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_captures": q_scan_captures,
+    "captures_pruned": q_captures_pruned,
     "shard_manifest_missing": q_shard_manifest_missing,
     "resolve_nearest": q_resolve_nearest,
     "resolve_priority": q_resolve_priority,
