@@ -367,13 +367,15 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     nodes = rows.groupBy("key").agg(F.any_value(F.struct("buckets", "signature")).alias("n"))
     nodes = cut(nodes.select("key", "n.buckets", "n.signature"), "nodes")
     places = cut(nodes.select("key", F.explode("buckets").alias("bucket")), "places")
-    buckets = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    places = cut(places.join(buckets, "bucket"), "shared")
+    buckets = cut(places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    # a bucket of many texts is not gathered for its count or its leader
+    places = cut(join_by_group(places, buckets, "bucket", "n", places.count()).filter("n IS NOT NULL"), "shared")
     # a bucket's leader is its node with the most company over all buckets: in a group of copies, the one they came from
     company = places.groupBy("key").agg(F.sum("n").alias("company"))
-    leaders = places.join(company, "key").groupBy("bucket").agg(F.max(F.struct("company", "key")).alias("top")).select(
-        "bucket", F.col("top.key").alias("leader"))
-    places = cut(places.join(leaders, "bucket"), "led")
+    leaders = cut(places.join(company, "key").groupBy("bucket").agg(
+        F.max(F.struct("company", "key")).alias("top"), F.any_value("n").alias("members"))
+        .select("bucket", F.col("top.key").alias("leader"), "members"), "leaders")
+    places = cut(join_by_group(places, leaders, "bucket", "members", places.count()).drop("members"), "led")
     signatures = cut(nodes.select("key", "signature").join(places.select("key").distinct(), "key", "left_semi"), "signed")
 
     def signed(name: str) -> DataFrame:
