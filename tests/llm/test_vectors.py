@@ -124,3 +124,45 @@ def test_an_id_with_several_vectors_counts_once(spark):
 def test_empty(spark):
     assert collected(vector_search.search(table(spark, []), F.col("vec_id") % 20 == 0)) == []
     assert collected(vector_search.search(table(spark, [(0, None)]), F.col("vec_id") % 20 == 0)) == []
+
+
+def test_an_id_with_most_of_the_vectors(spark):
+    """One placeholder id with 2,000 vectors, nearest of all: it takes one place, and answers once as a query."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 8)))]
+    vectors += [(1000, (3 * v).tolist()) for v in rng.standard_normal((2000, 8))]
+    out = collected(vector_search.search(table(spark, vectors), F.col("vec_id") % 20 == 0, hits=5, probe_share=1.0))
+    best = {}
+    exact = [(i, np.float32(v).astype(float)) for i, v in vectors]
+    for q, own in exact:
+        if q % 20 == 0:
+            scores = best.setdefault(q, {})
+            for i, v in exact:
+                if i != q:
+                    scores[i] = max(scores.get(i, -1e9), float(own @ v))
+    got = {}
+    for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], pytest.approx(r["score"], abs=1e-9)))
+    want = {q: sorted(s.items(), key=lambda x: (-x[1], x[0]))[:5] for q, s in best.items()}
+    assert got == want
+
+
+def test_blocks_tasks_and_chunks_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = table(spark, [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((900, 12)))])
+    rows = ["query_id", "rank", "vec_id", "score"]
+    whole = sorted(map(tuple, vector_search.search(df, F.col("vec_id") % 3 == 0).select(rows).collect()))
+    for name, value in (("BLOCKS", 3), ("LEAST_ROWS", 8), ("BLOCK_BYTES", 40 * 8 * 13), ("TASK_QUERIES", 70),
+                        ("CHUNK_QUERIES", 9)):
+        monkeypatch.setattr(vector_search, name, value)
+    cut = sorted(map(tuple, vector_search.search(df, F.col("vec_id") % 3 == 0).select(rows).collect()))
+    same = len(set(whole) & set(cut)) / len(whole)
+    assert len(cut) == len(whole) and same > 0.98  # the adaptive test sees candidates in another order
+
+
+def test_only_queries_are_shuffled_for_the_scan(spark):
+    """No candidate is copied for the chunks of queries: the plan has no join of candidates, a task reads its block."""
+    rng = np.random.default_rng(6)
+    df = table(spark, [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 8)))])
+    plan = vector_search.search(df, F.col("vec_id") % 3 == 0)._jdf.queryExecution().analyzed().toString()
+    assert "CoGroup" not in plan and "sequence" not in plan
