@@ -556,6 +556,33 @@ def write_manifest_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return root, local
 
 
+# --------------------------------------------------------------------------- overlapping batches
+
+OVERLAP_BATCHES = 5
+
+
+def overlap_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed records of two shards (page_id % 2), to be ingested in batches by ranges of page_id (``part``)."""
+    from crawlweave.sources import metadata as MD
+
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    pid = F.col("page_id")
+    name = F.concat(F.lit("meta/tt/CC-MAIN-2024-10/tt_meta_"), (pid % 2).cast("string"), F.lit(".jsonl.zst"))
+    value = F.to_json(F.struct(F.struct(F.col("url").alias("warc-target-uri")).alias("warc_headers")))
+    lines = p.select(name.alias("hf_path"), pid.alias("line_ord"), value.alias("value"))
+    # page_id 0 to 19 in the first batch and so on, all from 80 on in the last
+    part = F.least(F.floor(F.col("line_ord") / 20), F.lit(OVERLAP_BATCHES - 1)).cast("int")
+    return MD.parse_records(lines).withColumn("part", part)
+
+
+def second_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of another crawl of the same shards: every URL of the second and the last batch's odd pages, and new ones."""
+    rows = overlap_records(spark, sf_dir)
+    old = rows.where((F.col("part") == 1) | ((F.col("part") == OVERLAP_BATCHES - 1) & (F.col("line_ord") % 2 == 1)))
+    new = rows.withColumn("url_raw", F.concat("url_raw", F.lit("?second")))
+    return old.unionByName(new)
+
+
 # --------------------------------------------------------------------------- markdown cases
 
 MARKDOWN_CASES = [

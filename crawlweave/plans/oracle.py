@@ -341,6 +341,18 @@ SELECT 'meta/tt/CC-MAIN-2024-10/tt_meta_' || n || '.jsonl.zst', 'CC-MAIN-2024-10
 FROM (VALUES ('junk'), ('none')) t(n)
 """
 
+# a key is (shard, URL): the first row of a batch counts, later batches do not repeat it
+ORACLE["ingest_overlap"] = """
+WITH p AS (SELECT page_id % 2 AS shard, url, min(page_id) AS page_id FROM pages GROUP BY ALL),
+again AS (
+  SELECT DISTINCT page_id % 2 AS shard, url FROM pages
+  WHERE page_id // 20 = 1 OR (page_id >= 80 AND page_id % 2 = 1)
+)
+SELECT least(p.page_id // 20, 4) AS batch, count(*) AS rows, count(a.url) AS colliding, count(a.url) > 0 AS read
+FROM p LEFT JOIN again a ON a.shard = p.shard AND a.url = p.url
+GROUP BY 1
+"""
+
 ORACLE["html_markdown"] = page_markdown_sql("pages", "page_id", "html")
 
 ORACLE["markdown_cases"] = """

@@ -177,6 +177,25 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IS.read_state(spark, state, shards).select(*INGEST_OUT)
 
 
+def q_ingest_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per committed batch: its rows, those whose keys a second crawl of the same shards brings again, and whether
+    the key filter says that the batch must be read for it."""
+    from crawlweave.operators import ingest as IG
+    from crawlweave.streaming import ingest_stream as IS
+
+    state, shards = scratch_dir(spark, "state"), scratch_dir(spark, "shards")
+    rows = FX.overlap_records(spark, sf_dir)
+    for batch in range(FX.OVERLAP_BATCHES):
+        IS.ingest_records(spark, rows.where(F.col("part") == batch), state, shards, batch)
+    again = FX.second_crawl(spark, sf_dir)
+    which = IS.batches_of_shards(spark, shards, again, -1)
+    read = IS.batches_with_keys(spark, state, which, again.select(*IG.KEY))
+    held = IS.read_state(spark, state, shards).select(*IG.KEY, "batch")
+    hit = held.join(again.select(*IG.KEY).distinct().withColumn("again", F.lit(1)), IG.KEY, "left")
+    return hit.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.count("again").alias("colliding")).withColumn(
+        "read", F.col("batch").isin(read))
+
+
 def q_html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.functions.markdown import with_markdown
     pages = _dealt(FX.table(spark, sf_dir, "pages").select("page_id", "html"))
@@ -354,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_counts": q_ingest_counts,
     "ingest_incremental": q_ingest_incremental,
     "ingest_shards": q_ingest_shards,
+    "ingest_overlap": q_ingest_overlap,
     "html_markdown": q_html_markdown,
     "markdown_cases": q_markdown_cases,
     "page_blocks": q_page_blocks,

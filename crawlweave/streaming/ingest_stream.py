@@ -7,9 +7,10 @@ stream checkpoint remembers which files were read, so a re-run picks up only
 new shards (``trigger(availableNow=True)`` processes what is there and stops).
 
 The state is a Parquet folder with one sub-folder per batch
-(``batch=<id>``).  A batch writes its rows with ``overwrite``, then its shard
-rows, which commit it: readers take committed batches only.  It reads no
-other batch than those that saw one of its shards before.  A batch re-run
+(``batch=<id>``).  A batch writes its rows with ``overwrite``, a filter of its
+keys (``<state>_keys``), then its shard rows, which commit it: readers take
+committed batches only.  It reads no other batch than those that saw one of
+its shards before and whose filter may hold one of its keys.  A batch re-run
 after a failure yields the same rows -- the sink is idempotent and the whole
 job exactly-once.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.operators import ingest as IG
+from crawlweave.operators import keyfilter as KF
 from crawlweave.session import cut_lineage, file_path_of, scratch_scope
 from crawlweave.sources import metadata as MD
 
@@ -106,14 +108,40 @@ def read_state(spark: SparkSession, state_path: str, shards_path: str, batches:
     return read_batches(spark, state_path, sorted(set(batches) & set(committed(state_path, "batch"))), URL_SCHEMA)
 
 
-def known_rows(spark: SparkSession, state_path: str, shards_path: str, shards: DataFrame,
-               batch_id: int) -> DataFrame | None:
-    """State rows that could share a key with this batch: the key starts with the shard's path, so only
-    those of batches that read one of these shards before.  For new shards none, and no state is read."""
+def filters_path(state_path: str) -> str:
+    """Where the key filters of the state's batches are."""
+    return f"{state_path}_keys"
+
+
+def batches_of_shards(spark: SparkSession, shards_path: str, shards: DataFrame, batch_id: int) -> list[int]:
+    """Committed batches (but ``batch_id``) that read one of these shards before."""
     batches = [b for b in committed(shards_path, "batch") if b != batch_id]
     before = read_batches(spark, shards_path, batches, SHARD_SCHEMA)
     again = before.join(shards.select("hf_path").distinct(), "hf_path", "left_semi").select("batch").distinct()
-    which = sorted(r.batch for r in again.collect())
+    return sorted(r.batch for r in again.collect())
+
+
+def batches_with_keys(spark: SparkSession, state_path: str, batches: list[int], keys: DataFrame) -> list[int]:
+    """Those of the batches that may hold one of the keys, by their filters; a batch without a filter may."""
+    filtered = sorted(set(batches) & set(committed(filters_path(state_path), "batch")))
+    if not filtered:
+        return batches
+    filters = read_batches(spark, filters_path(state_path), filtered, KF.SCHEMA)
+    hit = {r.batch for r in KF.may_hold(filters, keys, IG.KEY).where("found > 0").collect()}
+    return [b for b in batches if b in hit or b not in filtered]
+
+
+def known_rows(spark: SparkSession, state_path: str, shards_path: str, shards: DataFrame, batch_id: int,
+               keys: DataFrame | None = None) -> DataFrame | None:
+    """State rows that could share a key with this batch.
+
+    A key starts with the shard's path, so only batches that read one of these
+    shards before can hold one (for new shards none, and no state is read); of
+    those, the ones whose key filter may hold one of ``keys`` are read.
+    """
+    which = batches_of_shards(spark, shards_path, shards, batch_id)
+    if which and keys is not None:
+        which = batches_with_keys(spark, state_path, which, keys)
     if not which:
         return None
     return read_batches(spark, state_path, sorted(set(which) & set(committed(state_path, "batch"))), URL_SCHEMA)
@@ -131,9 +159,12 @@ def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, sha
     with scratch_scope():
         firsts = cut_lineage(IG.first_wins(records), "ingest-firsts")
         shards = firsts.select("hf_path").distinct() if shards is None else shards
-        existing = known_rows(spark, state_path, shards_path, shards, batch_id)
-        new = IG.new_rows(firsts.where(F.col("url_raw").isNotNull()), existing)
+        keyed = firsts.where(F.col("url_raw").isNotNull())
+        existing = known_rows(spark, state_path, shards_path, shards, batch_id, keyed.select(*IG.KEY))
+        new = IG.new_rows(keyed, existing)
         write_batch(IG.as_state_rows(new, batch_id), f"{state_path}/batch={batch_id}")
+        written = read_batches(spark, state_path, [batch_id], URL_SCHEMA).select(*IG.KEY)
+        write_batch(KF.build(written, IG.KEY, written.count()), f"{filters_path(state_path)}/batch={batch_id}")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         write_batch(IG.shard_rows(shards, firsts, now), f"{shards_path}/batch={batch_id}")
 
