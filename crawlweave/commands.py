@@ -6,7 +6,10 @@ Layout of ``state_root`` (every part append-only; readers take the latest)::
     shards/batch=<n>/          one row per ingested shard (imported, time, count)
     events/run=<seq>/          state updates from resolve / extract runs
     html/run=<seq>/            saved pages: hf_path, url_raw, snapshot_name, saved_path, html
-    compact/v=<seq>/batch=<n>/ folded state up to event ``seq`` (see ``compact``)
+    counters/batch=<n>/, run=<seq>/   changes of the progress counters by that ingest batch or run
+    compact/v=<seq>/bucket=<n>/ folded state of some hash buckets up to event ``seq`` (see ``compact``)
+    compact/covered=<seq>/     ingest batches that version covers
+    compact/places=<seq>/      which version holds each bucket
     stream-checkpoint/         file-source checkpoint of the incremental ingest
 
 ``current_state`` folds the event log over the URL rows (latest event per
@@ -18,10 +21,12 @@ saved.
 
 from __future__ import annotations
 
+import functools
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlweave.functions import scalars as S
 from crawlweave.operators import export as E
@@ -60,10 +65,38 @@ def ingest(spark: SparkSession, shards_root: str, state_root: str, force: bool =
                              max_files_per_trigger)
     else:
         IS.ingest_batch(spark, shards_root, urls, shards, force=force, reader=reader)
+    _count_batches(spark, state_root)
+
+
+COUNTER_SCHEMA = "snapshot_name string, " + ", ".join(f"{c} long" for c in M.COUNTERS)
+
+
+def _count_batches(spark: SparkSession, state_root: str) -> None:
+    """The counter changes of ingest batches that have none yet: their rows are all new."""
+    done = set(IS.committed(_p(state_root, "counters"), "batch"))
+    for batch in IS.committed(_p(state_root, "shards"), "batch"):
+        if batch not in done:
+            rows = url_rows(spark, state_root, [batch])
+            IS.write_batch(M.counter_changes(None, rows), f"{_p(state_root, 'counters')}/batch={batch}")
+
+
+def kept_changes(spark: SparkSession, state_root: str) -> DataFrame | None:
+    """The counter changes of every committed ingest batch and run; None where one of them left none (it stopped
+    before, or was written by other means)."""
+    path, found = _p(state_root, "counters"), []
+    for name, part in (("batch", "shards"), ("run", "events")):
+        wanted = IS.committed(_p(state_root, part), name)
+        if set(wanted) - set(IS.committed(path, name)):
+            return None
+        found += [f"{path}/{name}={x}" for x in wanted]
+    if not found:
+        return spark.createDataFrame([], COUNTER_SCHEMA)
+    return spark.read.schema(COUNTER_SCHEMA).parquet(*found)
 
 
 def url_rows(spark: SparkSession, state_root: str, batches: list[int] | None = None) -> DataFrame:
-    """URL rows of the committed ingest batches (or the given ones), with ``ord`` = insertion order (batch, shard, line)."""
+    """URL rows of the committed ingest batches (or the given ones), with ``ord`` = insertion order (batch, shard,
+    line)."""
     urls = IS.read_state(spark, _p(state_root, "urls"), _p(state_root, "shards"), batches)
     return urls.withColumn("ord", F.struct("ingest_batch", "hf_path", "line_ord"))
 
@@ -87,15 +120,38 @@ def saved_html(spark: SparkSession, state_root: str) -> DataFrame:
     return IS.read_batches(spark, path, sorted(runs), HTML_SCHEMA, "run")
 
 
-def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, list[int], DataFrame] | None:
-    """(version, ingest batches it covers, its rows) of the newest compaction whose write ended."""
-    versions = IS.committed(_p(state_root, "compact"), "v")
+LEAST_BUCKETS = 64  # hash buckets of the key that a first compaction deals the state to, at least
+
+
+def bucket_of(buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+
+
+def _latest_compaction(spark: SparkSession, state_root: str) -> tuple[int, list[int], int, dict[int, int]] | None:
+    """(version, ingest batches it covers, number of buckets, version that holds each bucket) of the newest
+    compaction whose write ended."""
+    root = _p(state_root, "compact")
+    versions = IS.committed(root, "v")
     if not versions:
         return None
-    path = f"{_p(state_root, 'compact')}/v={max(versions)}"
-    rows = spark.read.schema(url_rows(spark, state_root).schema).parquet(path)
-    covered = [r[0] for r in spark.read.parquet(f"{_p(state_root, 'compact')}/covered={max(versions)}").collect()]
-    return max(versions), covered, rows
+    v = max(versions)
+    covered = [r[0] for r in spark.read.parquet(f"{root}/covered={v}").collect()]
+    places = spark.read.parquet(f"{root}/places={v}").collect()  # a row per bucket
+    return v, covered, places[0].buckets, {r.bucket: r.version for r in places if r.version is not None}
+
+
+def _compacted(spark: SparkSession, state_root: str, places: dict[int, int]) -> DataFrame:
+    """The folded rows of the given buckets, each from the version that holds it."""
+    root = _p(state_root, "compact")
+    schema = T.StructType([*url_rows(spark, state_root, []).schema.fields, T.StructField("bucket", T.IntegerType())])
+    parts = [spark.createDataFrame([], schema)]
+    for version in sorted(set(places.values())):
+        # a bucket whose events belong to no row has no folder
+        paths = [f"{root}/v={version}/bucket={b}" for b in IS.folders(f"{root}/v={version}", "bucket")
+                 if places.get(b) == version]
+        if paths:
+            parts.append(spark.read.schema(schema).option("basePath", f"{root}/v={version}").parquet(*paths))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def current_state(spark: SparkSession, state_root: str, batches: list[int] | None = None) -> DataFrame:
@@ -106,28 +162,50 @@ def current_state(spark: SparkSession, state_root: str, batches: list[int] | Non
     number of past runs.  (Compact while no command is running.)
     """
     apply_session_conf(spark)
-    urls = url_rows(spark, state_root, batches)
     base = _latest_compaction(spark, state_root)
     if base is None:
-        return ST.fold_events(urls, events(spark, state_root), KEY)
-    v, covered, done = base
-    # partition filters (not joins), so the folders already folded are pruned
-    urls = done.unionByName(urls.where(~F.col("batch").isin(covered)))
-    return ST.fold_events(urls, events(spark, state_root, after=v), KEY)
+        return ST.fold_events(url_rows(spark, state_root, batches), events(spark, state_root), KEY)
+    v, covered, _, places = base
+    batches = IS.committed(_p(state_root, "shards"), "batch") if batches is None else batches
+    late = url_rows(spark, state_root, [b for b in batches if b not in set(covered)])
+    done = _compacted(spark, state_root, places).drop("bucket")
+    return ST.fold_events(done.unionByName(late), events(spark, state_root, after=v), KEY)
 
 
-def compact(spark: SparkSession, state_root: str) -> int:
-    """Write the current state as ``compact/v=<seq>`` and return ``seq``;
-    later reads start from it.  Old URL batches and events stay on disk.
+def compact(spark: SparkSession, state_root: str, buckets: int | None = None) -> int:
+    """Write the current state of what changed as ``compact/v=<seq>`` and return ``seq``; later reads start from it.
+    Old URL batches and events stay on disk.
+
+    State lies in hash buckets of the key.  Only buckets with an event or a URL
+    row since the last compaction are folded and written; the others stay where
+    they are, and ``places=<seq>`` tells which version holds each.  The first
+    compaction sets the number of buckets for good: ``buckets``, or as many as
+    shuffle partitions.
 
     The list of covered batches is written first, and just those are folded: a
     batch that ends meanwhile stays uncovered.  A compaction counts from the
     moment its rows are complete."""
-    seq = _next_seq(state_root)
+    apply_session_conf(spark)
+    root, seq = _p(state_root, "compact"), _next_seq(state_root)
     batches = IS.committed(_p(state_root, "shards"), "batch")
-    IS.write_batch(spark.createDataFrame([(b,) for b in batches], "batch long"),
-                   f"{_p(state_root, 'compact')}/covered={seq}")
-    IS.write_batch(current_state(spark, state_root, batches), f"{_p(state_root, 'compact')}/v={seq}", "batch")
+    base = _latest_compaction(spark, state_root)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v, covered, buckets, places = base if base else (-1, [], buckets or max(LEAST_BUCKETS, partitions), {})
+    late = url_rows(spark, state_root, [b for b in batches if b not in set(covered)])
+    recent = events(spark, state_root, after=v)
+    bucket = bucket_of(buckets).alias("bucket")
+    touched = late.select(*KEY).unionByName(recent.select(*KEY))
+    dirty = sorted(r.bucket for r in touched.select(bucket).distinct().collect())
+    IS.write_batch(spark.createDataFrame([(b,) for b in batches], "batch long"), f"{root}/covered={seq}")
+    stale = _compacted(spark, state_root, {b: x for b, x in places.items() if b in set(dirty)})
+    rows = stale.drop("bucket").unionByName(late)
+    folded = ST.fold_events(rows, recent, KEY).withColumn("bucket", bucket_of(buckets))
+    now = {**places, **{b: seq for b in dirty}}
+    IS.write_batch(spark.createDataFrame([(b, now.get(b), buckets) for b in range(buckets)],
+                                         "bucket int, version long, buckets int"), f"{root}/places={seq}")
+    # a bucket's rows to one task: one file per bucket, of a bounded share of the state
+    n = max(1, min(len(dirty), partitions))
+    IS.write_batch(folded.repartition(n, "bucket"), f"{root}/v={seq}", "bucket")
     return seq
 
 
@@ -137,6 +215,14 @@ def _append_events(ev: DataFrame, state_root: str, seq: int) -> DataFrame:
     return ev.sparkSession.read.parquet(path)
 
 
+def _count_run(rows: DataFrame, written: DataFrame, state_root: str, seq: int) -> None:
+    """The counter changes of a run, from the rows it worked on and its events (a run without them is counted from
+    the state)."""
+    slim = rows.select(*KEY, "snapshot_name", "filename", "offset", "length", "status", "saved_path", "last_error")
+    after = ST.fold_events(slim, written, KEY)
+    IS.write_batch(M.counter_changes(slim, after), f"{_p(state_root, 'counters')}/run={seq}")
+
+
 def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapshot: str | None = None,
                   limit: int | None = None, strategy: str = "nearest", manifest_root: str | None = None) -> DataFrame:
     """Resolve unresolved rows against the capture index under ``index_root/<snapshot>/``.
@@ -161,6 +247,7 @@ def resolve_local(spark: SparkSession, state_root: str, index_root: str, snapsho
         resolved = R.resolve(rows, cdx.read_captures(spark, index_root, snapshots=present), KEY, strategy)
         seq = _next_seq(state_root)
         written = _append_events(ST.resolve_events(resolved, seq), state_root, seq)
+        _count_run(rows, written, state_root, seq)
         counted = written.join(rows.select(*KEY, "snapshot_name"), KEY)
         return local_table(R.resolution_summary(counted.withColumnRenamed("kind", "status")))
 
@@ -180,6 +267,7 @@ def _keep_extracted(spark: SparkSession, state_root: str, rows: DataFrame, archi
     seq = _next_seq(state_root)
     IS.write_batch(X.html_table(results, KEY), f"{_p(state_root, 'html')}/run={seq}")
     written = _append_events(X.extraction_events(results, KEY, seq), state_root, seq)
+    _count_run(rows, written, state_root, seq)
     return local_table(written.groupBy("kind").agg(F.count(F.lit(1)).cast("long").alias("rows")))
 
 
@@ -209,7 +297,15 @@ def extract_ranges(spark: SparkSession, state_root: str, archive_root: str, snap
 
 
 def stats(spark: SparkSession, state_root: str, by_snapshot: bool = False) -> DataFrame:
-    """A1: total, resolved, downloaded, errors (optionally per snapshot with a total row)."""
+    """A1: total, resolved, downloaded, errors (optionally per snapshot with a total row).
+
+    Added up from the changes that each run wrote, a few rows a run; only
+    where those are incomplete from the state itself.
+    """
+    apply_session_conf(spark)
+    changes = kept_changes(spark, state_root)
+    if changes is not None:
+        return M.summed_changes(changes, by_snapshot)
     state = current_state(spark, state_root)
     return M.progress_by_snapshot(state) if by_snapshot else M.progress_stats(state)
 

@@ -20,6 +20,41 @@ def progress_stats(state: DataFrame) -> DataFrame:
     )
 
 
+#: The counters of A1 and the condition on a state row that each counts.
+COUNTERS = {
+    "total": lambda: F.lit(True),
+    "resolved": lambda: F.col("filename").isNotNull(),
+    "downloaded": lambda: F.col("saved_path").isNotNull(),
+    "errors": lambda: F.coalesce(F.col("status") == "error", F.lit(False)),
+}
+
+
+def counter_changes(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """Signed changes of the counters per snapshot, from the touched rows alone: their state before and after.
+
+    Rows that were not there before are new.  Added up over all runs, the
+    changes are the counters of the whole state.
+    """
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select("snapshot_name", *[
+            F.when(held(), F.lit(sign)).otherwise(F.lit(0)).cast("long").alias(name) for name, held in COUNTERS.items()])
+
+    rows = signed(after, 1) if before is None else signed(after, 1).unionByName(signed(before, -1))
+    summed = rows.groupBy("snapshot_name").agg(*[F.sum(c).cast("long").alias(c) for c in COUNTERS])
+    changed = F.lit(False)
+    for c in COUNTERS:
+        changed |= F.col(c) != 0
+    return summed.where(changed)
+
+
+def summed_changes(changes: DataFrame, by_snapshot: bool = False) -> DataFrame:
+    """The counters that the changes add up to: one row, or one per snapshot and a total row."""
+    sums = {c: F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in COUNTERS}
+    if by_snapshot:
+        return with_total_row(changes, "snapshot_name", sums)
+    return changes.agg(*[v.alias(c) for c, v in sums.items()])
+
+
 def with_total_row(df: DataFrame, key: str, counts: dict[str, F.Column]) -> DataFrame:
     """Counts per ``key`` plus a total row (``key`` NULL), zeros on empty input.
 

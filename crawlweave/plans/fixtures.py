@@ -556,6 +556,44 @@ def write_manifest_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return root, local
 
 
+# --------------------------------------------------------------------------- runs over a state folder
+
+RUNS = 3
+STATE_BUCKETS = 256
+
+
+def runs_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state events dealt to RUNS runs in order: the last 40 in run 2, the 200 before them in run 1."""
+    ev = state_events(spark, sf_dir)
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    place = F.lit(last) - F.col("seq")
+    return ev.withColumn("run", F.when(place < 40, 2).when(place < 240, 1).otherwise(0).cast("int"))
+
+
+def _shard_key() -> list[F.Column]:
+    """A state key for a page: a shard by page_id % 2, the URL with the id (URLs of pages may repeat)."""
+    pid = F.col("ord")
+    return [F.concat(F.lit("s/tt_meta_"), (pid % 2).cast("string"), F.lit(".jsonl.zst")).alias("hf_path"),
+            F.concat(F.lit("http://page/"), pid.cast("string")).alias("url_raw")]
+
+
+def write_state_folder(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """An ingested state folder with one row per page."""
+    from crawlweave.operators import ingest as IG
+    from crawlweave.streaming import ingest_stream as IS
+
+    rows = urls_fx(spark, sf_dir).select(
+        *_shard_key(), "snapshot_name", "url_norm", "warc_date", "warc_record_id", "digest", F.col("ord").alias("line_ord"))
+    IS.ingest_records(spark, rows.select("line_ord", *IG.KEY, *[c for c in IG.RECORD_COLUMNS if c != "url_raw"]),
+                      f"{root}/urls", f"{root}/shards", 0)
+
+
+def keyed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of ``runs_of_events`` by the keys of ``write_state_folder``."""
+    ev = runs_of_events(spark, sf_dir)
+    return ev.select(*_shard_key(), "seq", "kind", "filename", "offset", "length", "saved_path", "message", "run")
+
+
 # --------------------------------------------------------------------------- overlapping batches
 
 OVERLAP_BATCHES = 5

@@ -341,6 +341,34 @@ SELECT 'meta/tt/CC-MAIN-2024-10/tt_meta_' || n || '.jsonl.zst', 'CC-MAIN-2024-10
 FROM (VALUES ('junk'), ('none')) t(n)
 """
 
+_RUNS = """
+r AS (
+  SELECT ev.*, CASE WHEN (SELECT max(event_id) FROM events) - seq < 40 THEN 2
+                    WHEN (SELECT max(event_id) FROM events) - seq < 240 THEN 1 ELSE 0 END AS run
+  FROM ev
+)"""
+
+ORACLE["progress_deltas"] = f"""
+WITH {EVENTS_FX}, {_RUNS},
+upto AS (SELECT CAST(n AS INTEGER) AS after_run FROM range(-1, 3) AS t(n)),
+last AS (
+  SELECT upto.after_run, p.page_id, count(*) FILTER (WHERE r.kind = 'matched') > 0 AS resolved,
+         count(*) FILTER (WHERE r.kind = 'downloaded') > 0 AS downloaded, arg_max(r.kind, r.seq) AS kind
+  FROM upto CROSS JOIN pages p LEFT JOIN r ON r.ord = p.page_id AND r.run <= upto.after_run
+  GROUP BY ALL
+)
+SELECT after_run, count(*) AS total, CAST(count(*) FILTER (WHERE resolved) AS BIGINT) AS resolved,
+       CAST(count(*) FILTER (WHERE downloaded) AS BIGINT) AS downloaded,
+       CAST(count(*) FILTER (WHERE kind = 'error') AS BIGINT) AS errors
+FROM last GROUP BY after_run
+"""
+
+ORACLE["state_buckets"] = f"""
+WITH {EVENTS_FX}, {_RUNS}
+SELECT CAST(run AS INTEGER) AS run, count(*) AS events, true AS only_touched, CAST(0 AS BIGINT) AS differing
+FROM r GROUP BY run
+"""
+
 # a key is (shard, URL): the first row of a batch counts, later batches do not repeat it
 ORACLE["ingest_overlap"] = """
 WITH p AS (SELECT page_id % 2 AS shard, url, min(page_id) AS page_id FROM pages GROUP BY ALL),

@@ -104,6 +104,49 @@ def q_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "saved_path", "last_error")
 
 
+def q_progress_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters after the ingest (run -1) and after each of three runs of events, added up from the runs' changes."""
+    state = FX.urls_fx(spark, sf_dir)
+    events = FX.runs_of_events(spark, sf_dir)
+    columns = ["ord", "snapshot_name", "filename", "offset", "length", "status", "saved_path", "last_error"]
+    changes = M.counter_changes(None, ST.fold_events(state, events.limit(0), ["ord"]).select(columns)).withColumn(
+        "run", F.lit(-1))
+    for run in range(FX.RUNS):
+        own = events.where(F.col("run") == run).drop("run")
+        touched = state.join(own.select("ord").distinct(), "ord", "left_semi")
+        before = ST.fold_events(touched, events.where(F.col("run") < run).drop("run"), ["ord"]).select(columns)
+        after = ST.fold_events(before, own, ["ord"])
+        changes = changes.unionByName(M.counter_changes(before, after).withColumn("run", F.lit(run)))
+    runs = spark.createDataFrame([(r, x) for r in range(-1, FX.RUNS) for x in range(-1, r + 1)], "after_run int, run int")
+    summed = runs.join(changes, "run", "left").groupBy("after_run")
+    return summed.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in M.COUNTERS])
+
+
+def q_state_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compactions after the ingest and after each run of events: buckets that got events, buckets written anew, and
+    how many rows of the state differ from a full fold of all events."""
+    from crawlweave import commands as C
+
+    root = scratch_dir(spark, "state")
+    FX.write_state_folder(spark, sf_dir, root)
+    rows = C.url_rows(spark, root)
+    C.compact(spark, root, FX.STATE_BUCKETS)
+    events = FX.keyed_runs(spark, sf_dir)
+    told = []
+    for run in range(FX.RUNS):
+        own = events.where(F.col("run") == run).withColumn("run", F.lit(run).cast("long"))
+        C._append_events(own.drop("run"), root, run + C._next_seq(root))
+        version = C.compact(spark, root)
+        state = C.current_state(spark, root)
+        full = ST.fold_events(rows, events.where(F.col("run") <= run).drop("run"), C.KEY)
+        names = [*C.KEY, "status", "filename", "offset", "length", "saved_path", "last_error"]
+        differ = state.select(names).exceptAll(full.select(names)).count() + state.count() - rows.count()
+        touched = own.join(rows.select(*C.KEY), C.KEY, "left_semi").select(C.bucket_of(FX.STATE_BUCKETS)).distinct().count()
+        written = len(C.IS.folders(f"{root}/compact/v={version}", "bucket"))
+        told.append((run, own.count(), touched == written, differ))
+    return spark.createDataFrame(told, "run int, events long, only_touched boolean, differing long")
+
+
 def q_pending_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = FX.state_fx(spark, sf_dir)
     shards = state.select("hf_path", "snapshot_name").distinct()
@@ -365,6 +408,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_summary": q_resolve_summary,
     "resolve_complete_index": q_resolve_complete_index,
     "state_latest": q_state_latest,
+    "progress_deltas": q_progress_deltas,
+    "state_buckets": q_state_buckets,
     "pending_ranges": q_pending_ranges,
     "archive_paths": q_archive_paths,
     "progress_stats": q_progress_stats,

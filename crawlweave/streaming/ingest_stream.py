@@ -79,6 +79,19 @@ def committed(path: str, name: str) -> list[int]:
     return sorted(found)
 
 
+def folders(path: str, name: str) -> list[int]:
+    """Values of the ``name=<int>`` folders under ``path``, whole or not."""
+    from crawlweave.session import filesystem_for
+    from pyarrow import fs as pafs
+
+    filesystem, inner = filesystem_for(path)
+    if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
+        return []
+    values = (e.base_name.removeprefix(f"{name}=") for e in filesystem.get_file_info(pafs.FileSelector(inner))
+              if e.base_name.startswith(f"{name}="))
+    return sorted(int(v) for v in values if v.isdigit())
+
+
 _NO_MARK = ("the output committer must write it (mapreduce.fileoutputcommitter.marksuccessfuljobs), "
             "because a write counts from this mark on")
 
