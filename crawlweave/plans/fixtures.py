@@ -556,6 +556,31 @@ def write_manifest_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return root, local
 
 
+# --------------------------------------------------------------------------- spellings of URLs
+
+def url_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's address (``page_id, url``), spelled in another way by page_id % 10: 0 as it is, 1 upper-case scheme and
+    host with an empty port, 2 default port, 3 dot segments, 4 needless escapes, 5 lower-case escapes, 6 characters to be
+    escaped, 7 an international host, 8 a stray ``%``, 9 white space around and line breaks inside."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    kind = F.col("page_id") % 10
+    scheme, host = F.regexp_extract("url", "^([a-z]+)://", 1), F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
+    rest = F.regexp_extract("url", "^[a-z]+://[^/]*(.*)$", 1)
+    port = F.when(scheme == "http", ":80").otherwise(":443")
+    spelled = (
+        F.when(kind == 1, F.concat(F.upper(scheme), F.lit("://"), F.upper(host), F.lit(":"), rest))
+        .when(kind == 2, F.concat(scheme, F.lit("://"), host, port, rest))
+        .when(kind == 3, F.concat(scheme, F.lit("://"), host, F.lit("/x/.././y/.."), rest))
+        .when(kind == 4, F.concat(scheme, F.lit("://"), host, F.lit("/%7e%41"), rest))
+        .when(kind == 5, F.concat(scheme, F.lit("://"), host, F.lit("/%c3%a9%2f"), rest))
+        .when(kind == 6, F.concat(scheme, F.lit("://"), host, F.lit("/a \u00e9<"), rest))
+        .when(kind == 7, F.concat(scheme, F.lit("://b\u00fccher."), host, rest))
+        .when(kind == 8, F.concat(scheme, F.lit("://"), host, F.lit("/50%"), rest))
+        .when(kind == 9, F.concat(F.lit(" \t"), scheme, F.lit("://"), host, F.lit("/l\n\r"), rest, F.lit("\n")))
+        .otherwise(F.col("url")))
+    return p.select("page_id", spelled.alias("url"))
+
+
 # --------------------------------------------------------------------------- runs over a state folder
 
 RUNS = 3

@@ -369,6 +369,19 @@ SELECT CAST(run AS INTEGER) AS run, count(*) AS events, true AS only_touched, CA
 FROM r GROUP BY run
 """
 
+# the pages' addresses are in normal form but for their fragment; what each spelling adds is known
+ORACLE["url_normal_forms"] = """
+WITH p AS (
+  SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host,
+         split_part(regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1), '#', 1) AS rest
+  FROM pages
+)
+SELECT page_id, scheme || '://' || CASE WHEN page_id % 10 = 7 THEN 'xn--bcher-kva.' ELSE '' END || host
+       || CASE page_id % 10 WHEN 4 THEN '/~A' WHEN 5 THEN '/%C3%A9%2F' WHEN 6 THEN '/a%20%C3%A9%3C' WHEN 8 THEN '/50%25'
+                            WHEN 9 THEN '/l' ELSE '' END || rest AS url
+FROM p
+"""
+
 # a key is (shard, URL): the first row of a batch counts, later batches do not repeat it
 ORACLE["ingest_overlap"] = """
 WITH p AS (SELECT page_id % 2 AS shard, url, min(page_id) AS page_id FROM pages GROUP BY ALL),

@@ -220,6 +220,12 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IS.read_state(spark, state, shards).select(*INGEST_OUT)
 
 
+def q_url_normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crawlweave.functions.urls import normal_form
+
+    return FX.url_spellings(spark, sf_dir).select("page_id", normal_form("url").alias("url"))
+
+
 def q_ingest_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per committed batch: its rows, those whose keys a second crawl of the same shards brings again, and whether
     the key filter says that the batch must be read for it."""
@@ -419,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_incremental": q_ingest_incremental,
     "ingest_shards": q_ingest_shards,
     "ingest_overlap": q_ingest_overlap,
+    "url_normal_forms": q_url_normal_forms,
     "html_markdown": q_html_markdown,
     "markdown_cases": q_markdown_cases,
     "page_blocks": q_page_blocks,
