@@ -354,12 +354,13 @@ def _open_output(path: str):
     return filesystem, inner
 
 
-def write_zstd_files(lines: DataFrame, root: str, level: int = 3, window_log: int | None = None) -> DataFrame:
+def write_zstd_files(lines: DataFrame, root: str, level: int = 3, window_log: int | None = None,
+                     frame_bytes: int | None = None) -> DataFrame:
     """Write ``rel, seq, value`` lines as zstd text files ``<root>/<rel>`` (lines in ``seq`` order).
 
     One task per file, written under a temporary name and moved into place,
-    so a retried task simply rewrites it.  Returns ``rel, lines``; the files
-    exist once that result has been computed.
+    so a retried task simply rewrites it.  With ``frame_bytes`` a file has many
+    frames.  Returns ``rel, lines``; the files exist once that result has been computed.
     """
     def write(pdf):
         import zstandard
@@ -373,8 +374,11 @@ def write_zstd_files(lines: DataFrame, root: str, level: int = 3, window_log: in
         cctx = zstandard.ZstdCompressor(level=level) if params is None else zstandard.ZstdCompressor(compression_params=params)
         payload = ("\n".join(pdf["value"]) + "\n").encode("utf-8")
         with filesystem.open_output_stream(inner + ".part", compression=None) as out:
-            with cctx.stream_writer(out, closefd=False) as zw:
-                zw.write(payload)
+            # frames of any length: they end within lines
+            step = frame_bytes or max(1, len(payload))
+            for at in range(0, len(payload), step):
+                with cctx.stream_writer(out, closefd=False) as zw:
+                    zw.write(payload[at:at + step])
         filesystem.move(inner + ".part", inner)
         import pandas as pd
 
@@ -384,13 +388,13 @@ def write_zstd_files(lines: DataFrame, root: str, level: int = 3, window_log: in
 
 
 def write_meta_fixture(spark: SparkSession, sf_dir: str, root: str | None = None,
-                       snapshot_dirs: tuple[str, ...] | None = None) -> str:
-    """Write the metadata shards (optionally only those of some snapshot folders)."""
+                       snapshot_dirs: tuple[str, ...] | None = None, frame_bytes: int | None = None) -> str:
+    """Write the metadata shards (optionally only those of some snapshot folders, or with many frames each)."""
     root = root or scratch_dir(spark, "meta")
     lines = meta_lines(spark, sf_dir)
     if snapshot_dirs is not None:
         lines = lines.where(F.split("rel", "/")[2].isin(list(snapshot_dirs)))
-    write_zstd_files(lines, root).count()
+    write_zstd_files(lines, root, frame_bytes=frame_bytes).count()
     return root
 
 

@@ -369,6 +369,8 @@ SELECT CAST(run AS INTEGER) AS run, count(*) AS events, true AS only_touched, CA
 FROM r GROUP BY run
 """
 
+ORACLE["ingest_framed"] = ORACLE["ingest_metadata"]  # the same records, however the shards are cut into frames
+
 # the pages' addresses are in normal form but for their fragment; what each spelling adds is known
 ORACLE["url_normal_forms"] = """
 WITH p AS (

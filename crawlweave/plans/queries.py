@@ -197,6 +197,16 @@ def q_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IG.ingest(MD.read_records(spark, root)).select(*INGEST_OUT)
 
 
+def q_ingest_framed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ingest_metadata`` from shards of many frames, each read by several tasks."""
+    from crawlweave.operators import ingest as IG
+    from crawlweave.sources import frames as FR
+    from crawlweave.sources import metadata as MD
+
+    root = FX.write_meta_fixture(spark, sf_dir, frame_bytes=1000)
+    return IG.ingest(MD.parse_records(FR.read_framed_lines(spark, root, task_bytes=1000))).select(*INGEST_OUT)
+
+
 def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlweave.sources import metadata as MD
 
@@ -421,6 +431,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "progress_stats": q_progress_stats,
     "safe_names": q_safe_names,
     "ingest_metadata": q_ingest_metadata,
+    "ingest_framed": q_ingest_framed,
     "ingest_counts": q_ingest_counts,
     "ingest_incremental": q_ingest_incremental,
     "ingest_shards": q_ingest_shards,
