@@ -11,7 +11,8 @@ DataFrame expression over one row: nothing is shuffled, no Python worker runs.
 
 Null and empty texts have no words and fail the base rules.  Repeated rows
 give repeated results.  The measures live in one struct column, so columns
-of the same names cannot clash.
+named like a measure cannot clash; input columns named ``measures``,
+``base_failed``, ``rejected_by`` or ``kept`` are replaced by ours.
 """
 
 from __future__ import annotations
