@@ -371,6 +371,16 @@ FROM r GROUP BY run
 
 ORACLE["ingest_framed"] = ORACLE["ingest_metadata"]  # the same records, however the shards are cut into frames
 
+ORACLE["ready_counts"] = f"""
+WITH {STATE_FX}, snaps AS (SELECT 'CC-MAIN-2024-1' || n AS snapshot_name FROM range(3) AS t(n)),
+ready AS (
+  SELECT snapshot_name FROM state_fx
+  WHERE filename IS NOT NULL AND "offset" IS NOT NULL AND length IS NOT NULL AND saved_path IS NULL
+)
+SELECT s.snapshot_name, count(r.snapshot_name) AS ready FROM snaps s LEFT JOIN ready r USING (snapshot_name) GROUP BY 1
+UNION ALL SELECT NULL, count(*) FROM ready
+"""
+
 # the pages' addresses are in normal form but for their fragment; what each spelling adds is known
 ORACLE["url_normal_forms"] = """
 WITH p AS (

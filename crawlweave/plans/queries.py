@@ -320,7 +320,7 @@ def q_archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXPORT_OUT = ["snapshot", "url", "offset", "length", "filename", "html", "markdown"]
 EXPORT_LIMIT = 20            # rows per snapshot in the limited export
-SPLIT_BYTES = 64 * 1024      # split threshold of the split export
+SPLIT_MB = "0.0625"          # split threshold of the split export, as a user writes it (P14)
 SPLIT_BATCH_ROWS = 20        # rows per size check in the split export
 
 
@@ -363,7 +363,7 @@ def q_export_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = FX.urls_fx(spark, sf_dir).join(pages, "ord")
     rows = E.export_rows(rows.drop("html"), rows.select("ord", "html"), ["ord"])
     out = scratch_dir(spark, "export-split")
-    E.write_export(rows, out, max_bytes=SPLIT_BYTES, batch_rows=SPLIT_BATCH_ROWS)
+    E.write_export(rows, out, max_bytes=S.parse_split_mb(SPLIT_MB), batch_rows=SPLIT_BATCH_ROWS)
     back = spark.read.parquet(out)
     return back.groupBy("snapshot", "part").agg(
         F.count(F.lit(1)).cast("long").alias("rows"), F.sum(E.row_bytes()).cast("long").alias("bytes"))
@@ -380,6 +380,13 @@ READY_BUDGET = 25            # rows in the ready-range budget (O1)
 ARCHIVE_BUDGET = 3           # archives in the extraction budget (O5)
 
 
+def q_ready_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: ready rows of each snapshot and of all (NULL)."""
+    state = FX.state_fx(spark, sf_dir)
+    return spark.createDataFrame([(s, ST.count_ready(state, s)) for s in (None, *FX.SNAPSHOTS)],
+                                 "snapshot_name string, ready long")
+
+
 def q_progress_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.progress_by_snapshot(FX.state_fx(spark, sf_dir))
 
@@ -450,6 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "progress_by_snapshot": q_progress_by_snapshot,
     "export_counts": q_export_counts,
     "snapshot_lists": q_snapshot_lists,
+    "ready_counts": q_ready_counts,
     "ready_budget": q_ready_budget,
     "saved_budget": q_saved_budget,
     "archive_budget": q_archive_budget,
