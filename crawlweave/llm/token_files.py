@@ -14,7 +14,8 @@ attempt's own name, so that a lost or repeated task leaves no half file; the
 manifest, written by Spark, lists the files of the attempts that counted.
 
 Null and empty texts are one end id.  Repeated rows are written as often as
-they come.  Columns other than the id and the text are not read.
+they come (rows equal in id and text stay in one range, so in one task).  Columns other than the id and the
+text are not read.
 """
 
 from __future__ import annotations
