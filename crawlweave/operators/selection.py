@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 #: Keys of an interval that are looked at themselves, and drawn for the next splitters.
 LAST = 10_000
 SAMPLE = 2_000
+#: Up to so many rows each task just hands on its own first keys.
+TOP = 1_000
 
 
 @dataclass
@@ -113,14 +115,23 @@ def _literal(value: Any, kind: T.DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def first_rows(df: DataFrame, order: list[str], n: int, last: int = LAST, sample: int = SAMPLE) -> DataFrame:
-    """The first ``n`` rows in the order (which must be unique), where they are."""
+def first_rows(df: DataFrame, order: list[str], n: int, last: int = LAST, sample: int = SAMPLE,
+               top: int = TOP) -> DataFrame:
+    """The first ``n`` rows in the order (which must be unique), where they are.
+
+    Up to ``top`` rows the n-th key is the last of the first n keys, of which
+    every task hands on its own first n; beyond, it is found by rounds of counting.
+    """
     if n <= 0:
         return df.where(F.lit(False))
-    found = nth_keys(df, [], order, n, last, sample)
+    if n <= top:
+        first = df.select(F.struct(*order).alias("k")).orderBy("k").limit(n).collect()
+        found = [r.k for r in first[n - 1:]]
+    else:
+        found = list(nth_keys(df, [], order, n, last, sample).values())
     if not found:
         return df  # no more than n rows
-    key = next(iter(found.values()))
+    key = found[0]
     cut = F.struct(*order) <= _literal(key, T.StructType([df.schema[c] for c in order]))
     first = df.schema[order[0]]
     if not isinstance(first.dataType, T.StructType) and key[0] is not None:

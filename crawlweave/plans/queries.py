@@ -246,6 +246,7 @@ def q_ingest_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = FX.overlap_records(spark, sf_dir)
     for batch in range(FX.OVERLAP_BATCHES):
         IS.ingest_records(spark, rows.where(F.col("part") == batch), state, shards, batch)
+    IS.add_filter(spark, state, 0)  # the first batch of new shards has none by itself
     again = FX.second_crawl(spark, sf_dir)
     which = IS.batches_of_shards(spark, shards, again, -1)
     read = IS.batches_with_keys(spark, state, which, again.select(*IG.KEY))

@@ -8,8 +8,8 @@ new shards (``trigger(availableNow=True)`` processes what is there and stops).
 
 The state is a Parquet folder with one sub-folder per batch
 (``batch=<id>``).  A batch writes its rows with ``overwrite``, a filter of its
-keys (``<state>_keys``), then its shard rows, which commit it: readers take
-committed batches only.  It reads no other batch than those that saw one of
+keys (``<state>_keys``) where one of its shards was read before, then its shard
+rows, which commit it: readers take committed batches only.  It reads no other batch than those that saw one of
 its shards before and whose filter may hold one of its keys.  A batch re-run
 after a failure yields the same rows -- the sink is idempotent and the whole
 job exactly-once.
@@ -126,6 +126,12 @@ def filters_path(state_path: str) -> str:
     return f"{state_path}_keys"
 
 
+def add_filter(spark: SparkSession, state_path: str, batch: int) -> None:
+    """Write the key filter of a batch."""
+    written = read_batches(spark, state_path, [batch], URL_SCHEMA).select(*IG.KEY)
+    write_batch(KF.build(written, IG.KEY, written.count()), f"{filters_path(state_path)}/batch={batch}")
+
+
 def batches_of_shards(spark: SparkSession, shards_path: str, shards: DataFrame, batch_id: int) -> list[int]:
     """Committed batches (but ``batch_id``) that read one of these shards before."""
     batches = [b for b in committed(shards_path, "batch") if b != batch_id]
@@ -152,7 +158,10 @@ def known_rows(spark: SparkSession, state_path: str, shards_path: str, shards: D
     shards before can hold one (for new shards none, and no state is read); of
     those, the ones whose key filter may hold one of ``keys`` are read.
     """
-    which = batches_of_shards(spark, shards_path, shards, batch_id)
+    return _rows_with_keys(spark, state_path, batches_of_shards(spark, shards_path, shards, batch_id), keys)
+
+
+def _rows_with_keys(spark: SparkSession, state_path: str, which: list[int], keys: DataFrame | None) -> DataFrame | None:
     if which and keys is not None:
         which = batches_with_keys(spark, state_path, which, keys)
     if not which:
@@ -173,11 +182,13 @@ def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, sha
         firsts = cut_lineage(IG.first_wins(records), "ingest-firsts")
         shards = firsts.select("hf_path").distinct() if shards is None else shards
         keyed = firsts.where(F.col("url_raw").isNotNull())
-        existing = known_rows(spark, state_path, shards_path, shards, batch_id, keyed.select(*IG.KEY))
+        earlier = batches_of_shards(spark, shards_path, shards, batch_id)
+        existing = _rows_with_keys(spark, state_path, earlier, keyed.select(*IG.KEY))
         new = IG.new_rows(keyed, existing)
         write_batch(IG.as_state_rows(new, batch_id), f"{state_path}/batch={batch_id}")
-        written = read_batches(spark, state_path, [batch_id], URL_SCHEMA).select(*IG.KEY)
-        write_batch(KF.build(written, IG.KEY, written.count()), f"{filters_path(state_path)}/batch={batch_id}")
+        if earlier:
+            # what a shard's first batch holds nearly every later reading repeats; later batches hold little of it
+            add_filter(spark, state_path, batch_id)
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         write_batch(IG.shard_rows(shards, firsts, now), f"{shards_path}/batch={batch_id}")
 
