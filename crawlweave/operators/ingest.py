@@ -70,12 +70,16 @@ def pending_shards(shards: DataFrame, snapshots: DataFrame | None, force: bool =
     return shards.join(done, "hf_path", "left_anti")
 
 
-def shard_rows(shards: DataFrame, firsts: DataFrame, imported_at) -> DataFrame:
-    """K5/K7: one row per shard of the list -- name, imported flag, time, records parsed (0 without records)."""
+def shard_rows(shards: DataFrame | None, firsts: DataFrame, imported_at) -> DataFrame:
+    """K5/K7: one row per shard of the list -- name, imported flag, time, records parsed (0 without records).
+
+    Without a list, the shards are those of ``firsts``.
+    """
     from crawlweave.functions import scalars as S
 
     counts = firsts.groupBy("hf_path").agg(F.sum(F.when(F.col("url_raw").isNotNull(), F.col("records"))).alias("n"))
-    return shards.select("hf_path").distinct().join(counts, "hf_path", "left").select(
+    rows = counts if shards is None else shards.select("hf_path").distinct().join(counts, "hf_path", "left")
+    return rows.select(
         "hf_path", S.snapshot_name_from_path(F.col("hf_path")).alias("snapshot_name"), F.lit(True).alias("imported"),
         F.lit(imported_at).cast("timestamp").alias("imported_at"), F.coalesce("n", F.lit(0)).cast("long").alias("total_urls"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from crawlweave.operators import ingest as IG
 from crawlweave.operators import keyfilter as KF
-from crawlweave.session import cut_lineage, file_path_of, scratch_scope
+from crawlweave.session import cut_lineage, file_path_of, scratch_dir, scratch_scope
 from crawlweave.sources import metadata as MD
 
 FORCE_BATCH_BASE = 1 << 40      # batch ids of forced (non-stream) re-ingests
@@ -135,11 +135,45 @@ def add_filter(spark: SparkSession, state_path: str, batch: int) -> None:
 def batches_of_shards(spark: SparkSession, shards_path: str, shards: DataFrame, batch_id: int) -> list[int]:
     """Committed batches (but ``batch_id``) that read one of these shards before."""
     batches = [b for b in committed(shards_path, "batch") if b != batch_id]
-    before = read_batches(spark, shards_path, batches, SHARD_SCHEMA)
+    if not batches:
+        return []
+    return _batches_with(read_batches(spark, shards_path, batches, SHARD_SCHEMA), shards)
+
+
+def _batches_with(before: DataFrame, shards: DataFrame) -> list[int]:
     again = before.join(shards.select("hf_path").distinct(), "hf_path", "left_semi").select("batch").distinct()
     return sorted(r.batch for r in again.collect())
 
 
+class ShardsBefore:
+    """``batches_of_shards`` for the batches of one stream run, at a cost that does not grow with their number.
+
+    The shard rows committed before the run are gathered once, in the caller's
+    scratch folder.  The run's own batches are not asked: the file source
+    hands out a path once.  What another writer commits meanwhile has the next
+    forced ids, so that one look a batch finds it.
+    """
+
+    def __init__(self, spark: SparkSession, shards_path: str):
+        self.path, self.meanwhile, self.table = shards_path, [], None
+        batches = committed(shards_path, "batch")
+        self.next_forced = max([FORCE_BATCH_BASE, *(b + 1 for b in batches)])
+        if batches:
+            rows = read_batches(spark, shards_path, batches, SHARD_SCHEMA).select("hf_path", "batch").distinct()
+            self.table = scratch_dir(spark, "shards-before")
+            rows.write.parquet(self.table)
+
+    def batches(self, spark: SparkSession, shards: DataFrame, batch_id: int) -> list[int]:
+        while _path_exists(spark, f"{self.path}/batch={self.next_forced}/{MARK}"):
+            self.meanwhile.append(self.next_forced)
+            self.next_forced += 1
+        before = [spark.read.schema("hf_path string, batch long").parquet(self.table)] if self.table else []
+        if self.meanwhile:
+            before.append(read_batches(spark, self.path, self.meanwhile, SHARD_SCHEMA).select("hf_path", "batch"))
+        found = [_batches_with(x.where(F.col("batch") != batch_id), shards) for x in before]
+        return sorted({b for one in found for b in one})
+
+
 def batches_with_keys(spark: SparkSession, state_path: str, batches: list[int], keys: DataFrame) -> list[int]:
     """Those of the batches that may hold one of the keys, by their filters; a batch without a filter may."""
     filtered = sorted(set(batches) & set(committed(filters_path(state_path), "batch")))
@@ -170,19 +204,21 @@ def _rows_with_keys(spark: SparkSession, state_path: str, which: list[int], keys
 
 
 def ingest_records(spark: SparkSession, records: DataFrame, state_path: str, shards_path: str,
-                   batch_id: int, shards: DataFrame | None = None) -> None:
+                   batch_id: int, shards: DataFrame | None = None, before: ShardsBefore | None = None) -> None:
     """One ingest batch: parsed lines -> new state rows, then shard rows (which commit the batch).
 
     ``records`` may hold a row without URL per line without record
     (``every_line``), so that shards without records are seen; ``shards``
     lists the batch's shards where the caller knows them.  The first rows per
     key are written once to the shared scratch folder; all else derives from them.
+    ``before`` answers for a run of many batches which of them read a shard.
     """
     with scratch_scope():
         firsts = cut_lineage(IG.first_wins(records), "ingest-firsts")
-        shards = firsts.select("hf_path").distinct() if shards is None else shards
         keyed = firsts.where(F.col("url_raw").isNotNull())
-        earlier = batches_of_shards(spark, shards_path, shards, batch_id)
+        listed = firsts if shards is None else shards
+        earlier = (batches_of_shards(spark, shards_path, listed, batch_id) if before is None
+                   else before.batches(spark, listed, batch_id))
         existing = _rows_with_keys(spark, state_path, earlier, keyed.select(*IG.KEY))
         new = IG.new_rows(keyed, existing)
         write_batch(IG.as_state_rows(new, batch_id), f"{state_path}/batch={batch_id}")
@@ -222,12 +258,13 @@ def run_ingest_stream(spark: SparkSession, source_root: str, state_path: str, sh
 def _run_stream(spark: SparkSession, source_root: str, state_path: str, shards_path: str, checkpoint: str,
                 max_files_per_trigger: int | None) -> None:
     listed = cut_lineage(MD.list_shards(spark, source_root), "listed-shards")
+    before = ShardsBefore(spark, shards_path)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         # a shard file is never split across micro-batches, and zstd files are
         # read whole by one task, so the id below follows the line order
         records = MD.records_from(df, F.monotonically_increasing_id(), every_line=True)
-        ingest_records(df.sparkSession, records, state_path, shards_path, batch_id)
+        ingest_records(df.sparkSession, records, state_path, shards_path, batch_id, before=before)
 
     query = (
         stream_lines(spark, source_root, max_files_per_trigger)

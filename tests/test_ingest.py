@@ -136,3 +136,44 @@ def test_files_outside_the_pattern_do_not_grow_with_the_pages(spark, tmp_root):
     lines = FX.meta_lines(spark, tmp_root).where(F.col("rel").contains("other_"))
     sizes = [r["count"] for r in lines.groupBy("rel").count().collect()]
     assert sum(sizes) == n // 50 and max(sizes) <= FX.META_ROWS_PER_FILE // 50
+
+
+def test_a_micro_batch_does_not_read_the_shard_rows_of_all_batches_before(spark, tmp_root, monkeypatch):
+    state, shards, ckpt = f"{tmp_root}-state", f"{tmp_root}-shards", f"{tmp_root}-ckpt"
+    read = []
+    real = IS.read_batches
+
+    def counted(session, path, batches, *rest, **more):
+        read.extend(batches if path == shards else [])
+        return real(session, path, batches, *rest, **more)
+
+    for i in range(4):
+        write_shard(spark, tmp_root, f"meta/2014-42/tt_meta_{i}.jsonl.zst", [rec(f"https://x/{i}")])
+    monkeypatch.setattr(IS, "read_batches", counted)
+    IS.run_ingest_stream(spark, tmp_root, state, shards, ckpt, max_files_per_trigger=1)
+    assert len(read) <= 4          # the shard table at the end
+    assert sorted(r.url_raw for r in IS.read_state(spark, state, shards).collect()) == [
+        f"https://x/{i}" for i in range(4)]
+    read.clear()
+    for i in range(4, 7):
+        write_shard(spark, tmp_root, f"meta/2014-42/tt_meta_{i}.jsonl.zst", [rec(f"https://x/{i}")])
+    IS.run_ingest_stream(spark, tmp_root, state, shards, ckpt, max_files_per_trigger=1)
+    assert len(read) <= 4 + 7      # the earlier batches once at the start, all at the end
+    assert IS.read_state(spark, state, shards).count() == 7
+
+
+def test_shards_before_sees_batches_of_before_and_of_meanwhile_but_not_its_own(spark, tmp_root):
+    state, shards = f"{tmp_root}-state", f"{tmp_root}-shards"
+    write_shard(spark, tmp_root, "S/tt_meta_0.jsonl.zst", [rec("u"), rec("v")])
+    write_shard(spark, tmp_root, "S/tt_meta_1.jsonl.zst", [rec("w")])
+    recs = MD.read_records(spark, tmp_root)
+    of = {i: recs.where(F.col("hf_path").endswith(f"_{i}.jsonl.zst")) for i in range(2)}
+    assert IS.ShardsBefore(spark, shards).batches(spark, recs, 0) == []
+    IS.ingest_records(spark, of[0], state, shards, 3)
+    before = IS.ShardsBefore(spark, shards)
+    assert before.batches(spark, of[0], 4) == [3] and before.batches(spark, of[1], 4) == []
+    assert before.batches(spark, of[0], 3) == []                    # a batch run again does not see itself
+    IS.ingest_records(spark, of[1], state, shards, IS.next_forced_batch(shards))
+    assert before.batches(spark, recs, 4) == [3, IS.FORCE_BATCH_BASE]
+    IS.ingest_records(spark, recs, state, shards, 4, before=before)  # nothing is entered twice
+    assert IS.read_state(spark, state, shards).count() == 3
