@@ -27,6 +27,8 @@ from crawlweave.sources import metadata as MD
 
 #: Compressed bytes of frames that one task reads.
 TASK_BYTES = 64 << 20
+#: Tasks a core that fewer bytes a task may lead to.
+TASKS_PER_CORE = 4
 STEP_BYTES = 1 << 20
 YIELD_ROWS = 4096
 
@@ -63,7 +65,7 @@ def frame_ends(f, size: int) -> Iterator[tuple[int, int]]:
 
 def list_frames(shards: DataFrame) -> DataFrame:
     """Frames of the shards (``file_path, hf_path``): ``hf_path, file_path, frame, offset, length``."""
-    n = max(1, shards.count())
+    n = max(1, min(shards.count(), TASKS_PER_CORE * shards.sparkSession.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,19 +106,33 @@ class _Slice:
 
 
 def _tasks(frames: DataFrame, task_bytes: int) -> DataFrame:
-    """Frames dealt to tasks by their bytes, in order."""
+    """Frames dealt to tasks by their bytes, in order.
+
+    A ``task_bytes`` below TASK_BYTES spreads them over ``TASKS_PER_CORE`` tasks a
+    core at most: a task costs time, and a file, whatever it reads.
+    """
     total = frames.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
-    n = max(1, min(total["n"], max(frames.sparkSession.sparkContext.defaultParallelism,
-                                   -(-int(total["bytes"] or 0) // task_bytes))))
+    held, cores = int(total["bytes"] or 0), frames.sparkSession.sparkContext.defaultParallelism
+    spread = min(-(-held // task_bytes), TASKS_PER_CORE * cores)
+    n = max(1, min(total["n"], max(cores, spread, -(-held // max(task_bytes, TASK_BYTES)))))
     return frames.repartitionByRange(n, "hf_path", "frame").sortWithinPartitions("hf_path", "frame")
 
 
 def _each_frame(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        for r in batch.to_pylist():
-            filesystem, inner = filesystem_for(r["file_path"])
-            with filesystem.open_input_file(inner) as f:
+    """Each row with its frame's bytes; a file stays open for its frames that follow one another."""
+    path, f = None, None
+    try:
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["file_path"] != path:
+                    if f is not None:
+                        f.close()
+                    filesystem, inner = filesystem_for(r["file_path"])
+                    path, f = r["file_path"], filesystem.open_input_file(inner)
                 yield r, _pieces(f, r["offset"], r["length"])
+    finally:
+        if f is not None:
+            f.close()
 
 
 def read_framed_lines(spark: SparkSession, root: str, shards: DataFrame | None = None,

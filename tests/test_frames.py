@@ -85,3 +85,16 @@ def test_torn_shards_are_errors(tmp_path):
         list(FR.frame_ends(File(data[:-9]), len(data) - 9))
     with pytest.raises(ValueError, match="no zstd frame"):
         list(FR.frame_ends(File(data + b"junk" * 5), len(data) + 20))
+
+
+def test_small_tasks_stay_a_few_a_core(spark):
+    root = local_path(scratch_dir(spark, "meta"))
+    data = b"".join(b"line %d\n" % i for i in range(20_000))
+    for i in range(2):
+        shard(f"{root}/S/tt_meta_{i}.jsonl.zst", data, range(1000, len(data), 1000))
+    most = FR.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    frames = FR.list_frames(MD.list_shards(spark, root))
+    assert frames.count() > 20 * most // 2
+    assert most // 2 < FR._tasks(frames, 1).rdd.getNumPartitions() <= most
+    lines = FR.read_framed_lines(spark, root, task_bytes=1)
+    assert lines.select("hf_path", "line_ord").distinct().count() == lines.count() == 40_000
