@@ -71,8 +71,12 @@ class PieceCache:
         keys: list[list[str] | None] = [keys_of(t) for t in texts]
         missing = set().union(*keys).difference(self.known)
         odd = set() if self._all_pieces(missing) else {k for k in missing if not self.is_piece(k)}
-        if odd:
-            keys = [None if not odd.isdisjoint(k) else k for k in keys]
+        # a carriage return of the text's own would pass for the mark of a first word
+        marked = [i for i, t in enumerate(texts) if HEAD in t]
+        for i in marked:
+            keys[i] = None
+        if odd or marked:
+            keys = [None if k is None or not odd.isdisjoint(k) else k for k in keys]
             missing = set().union(*filter(None, keys)).difference(self.known)
         if full:  # what this batch has in common with the past is what comes often
             own = set().union(*filter(None, keys)) - missing

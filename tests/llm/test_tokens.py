@@ -193,3 +193,27 @@ def test_empty_tables(spark):
 
 def test_texts_are_covered():
     assert None in TEXTS and "" in TEXTS
+
+
+def test_a_carriage_return_of_the_text_is_no_mark_of_a_first_word(hf, sp):
+    texts = ["a \rb", "a \rb c\nd", "\rfoo bar", "a b", "a\r b"]
+    assert IdEncoder(JSON).encode(texts) == [u32(hf.encode(t, add_special_tokens=False).ids) for t in texts]
+    cache = token_count.PieceCache(lambda k: token_count.count_keys(PIECES, k), alone=[token_count.SPACE_MARK])
+    for t, keys in zip(texts, cache.learn(texts), strict=True):
+        assert keys is None if "\r" in t else sum(cache.known[k] for k in keys) == len(sp.encode(t))
+
+
+def test_words_of_letters_are_cut_at_spaces_only(hf, monkeypatch):
+    own = IdEncoder(JSON)
+    assert own.words is not None
+    through = []
+    real = own._whole
+    monkeypatch.setattr(own, "_whole", lambda texts, tokenizer=None: through.append(tokenizer) or real(texts, tokenizer))
+    texts = ["Word émentß Ünder ab", "x naïve\nnext line's", "mixed a1 b. ª º µm Дом ñandú", "a don't isn'T ÷ ×"]
+    assert own.encode(texts) == [u32(hf.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.encode(texts[:1]) == [u32(hf.encode(texts[0], add_special_tokens=False).ids)]
+    fresh = IdEncoder(JSON)
+    monkeypatch.setattr(fresh, "_whole", lambda texts, tokenizer=None: through.append(tokenizer) or real(texts, tokenizer))
+    through.clear()
+    assert fresh.encode(texts[:1]) == own.encode(texts[:1])
+    assert fresh.words in through
